@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sqltext import rnd
+
 
 @dataclass
 class Query:
@@ -32,14 +34,16 @@ class Query:
             return None
         if not self.doubles:
             return self.sql.strip()
-        repl = ", ".join(
-            f"CAST(round(CAST({c} AS DECIMAL(38, 10)), {self.digits}) AS DOUBLE) AS {c}"
-            for c in self.doubles)
+        repl = ", ".join(f"{rnd(f'{c} * {NUDGE!r}', self.digits)} AS {c}"
+                         for c in self.doubles)
         return f"SELECT * REPLACE ({repl}) FROM (\n{self.sql.strip()}\n) AS q"
 
 
 CATALOG: dict[str, Query] = {}
 
+# Relative nudge applied before the comparison rounding (both sides).
+NUDGE = 1.00000000001
+
 
 def register(name: str, sql: str | None, doubles: Sequence[str] = (), digits: int = 4):
     def deco(fn):
@@ -54,10 +58,12 @@ def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            # Round through DECIMAL(38,10) so the rounding digit is decided on
-            # the decimal form in both engines (27.97725 -> 27.9773 in each).
-            cols.append(F.round(F.col(f.name).cast("decimal(38,10)"), digits)
-                        .cast("double").alias(f.name))
+            # Spark rounds the shortest decimal form of the double half-up;
+            # the oracle side does the same through VARCHAR (see sqltext.rnd).
+            # The nudge moves exact ties (a mean of a few two-decimal values
+            # is often exactly x.xxxx5) off the tie in both engines alike,
+            # so a last-bit difference between their sums cannot flip it.
+            cols.append(F.round(F.col(f.name) * F.lit(NUDGE), digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -70,5 +76,5 @@ def double_columns(df: DataFrame) -> list:
 
 def load_all() -> dict:
     """Import every module that registers queries, return the catalog."""
-    from . import queries_core  # noqa: F401
+    from . import queries_core, queries_features  # noqa: F401
     return CATALOG
