@@ -76,5 +76,5 @@ def double_columns(df: DataFrame) -> list:
 
 def load_all() -> dict:
     """Import every module that registers queries, return the catalog."""
-    from . import queries_core, queries_features  # noqa: F401
+    from . import queries_clean, queries_core, queries_features  # noqa: F401
     return CATALOG
