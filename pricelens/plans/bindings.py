@@ -95,9 +95,27 @@ def _latest(raw: str) -> str:
             f"FILTER (WHERE prix_nom = '{raw}' AND prix_valeur IS NOT NULL) AS {raw.lower()}")
 
 
-OBS_WIDE_SQL = OBS_LONG_SQL + """,
-obs_wide AS (
+def wide_sql(src: str = "obs_long", name: str = "obs_wide") -> str:
+    """CTE text of the pivot (R1) over the long CTE ``src``."""
+    return f""",
+{name} AS (
   SELECT id, departement, region_code, prix_maj_date, annee,
-         """ + ",\n         ".join(_latest(r) for r in RAW_PRODUCTS) + """
-  FROM obs_long
+         """ + ",\n         ".join(_latest(r) for r in RAW_PRODUCTS) + f"""
+  FROM {src}
   GROUP BY id, departement, region_code, prix_maj_date, annee)"""
+
+
+OBS_WIDE_SQL = OBS_LONG_SQL + wide_sql()
+
+# Coordinates for the map operators: the driver tables have none, so they
+# are derived from the entity key by fixed arithmetic (every 7th missing).
+LAT_SQL = "CASE WHEN id % 7 = 0 THEN NULL ELSE 42.0 + (id % 90) / 10.0 END"
+LON_SQL = "CASE WHEN id % 7 = 0 THEN NULL ELSE -4.5 + (id % 120) / 10.0 END"
+
+
+def with_coordinates(df: DataFrame) -> DataFrame:
+    missing = F.col("id") % 7 == 0
+    return df.select(
+        "*",
+        F.when(~missing, 42.0 + (F.col("id") % 90) / 10.0).alias("latitude"),
+        F.when(~missing, -4.5 + (F.col("id") % 120) / 10.0).alias("longitude"))

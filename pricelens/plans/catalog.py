@@ -76,5 +76,6 @@ def double_columns(df: DataFrame) -> list:
 
 def load_all() -> dict:
     """Import every module that registers queries, return the catalog."""
-    from . import queries_clean, queries_core, queries_features, queries_io  # noqa: F401
+    from . import (queries_clean, queries_core, queries_dashboard,  # noqa: F401
+                   queries_features, queries_io)
     return CATALOG
