@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import approx_quantiles, exact_quantiles
+from .quantiles import exact_quantiles
 
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str], *, lower_quantile: float = 0.25,
@@ -16,26 +16,37 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], *, lower_quantile: float =
                method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """A1: one row with ``{c}_q1, {c}_q3, {c}_lower, {c}_upper`` per column.
 
-    ``method="exact"``: linear-interpolation quantiles (distributed, see
-    ``quantiles.exact_quantiles``); ``"approx"``: ``percentile_approx``
-    sketch with relative rank error ``1/accuracy`` (the published job used a
-    sketch with error 0.01, i.e. ``accuracy=100``).  NULLs are ignored; an
-    all-NULL column gives NULL bounds (and no flags).
+    ``method="exact"``: linear-interpolation quantiles of all columns in one
+    distributed pass (the columns are stacked to ``(column, value)`` and the
+    column name becomes the group; see ``quantiles.exact_quantiles``).
+    ``"approx"``: one aggregate of ``percentile_approx`` sketches, relative
+    rank error ``1/accuracy`` (the published job used a sketch with error
+    0.01, i.e. ``accuracy=100``).  NULLs are ignored; an all-NULL column
+    gives NULL bounds, hence no flags.
     """
-    frames = []
-    for c in columns:
-        names = [f"{c}_q1", f"{c}_q3"]
-        probs = [lower_quantile, upper_quantile]
-        if method == "exact":
-            q = exact_quantiles(df, c, probs, names=names)
-        else:
-            q = approx_quantiles(df, c, probs, accuracy=accuracy, names=names)
+    cols = list(columns)
+    probs = [lower_quantile, upper_quantile]
+    if method == "exact":
+        stacked = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val"))
+            for c in cols])).alias("_s")).select("_s.*")
+        q = exact_quantiles(stacked, "_val", probs, groups=["_col"], names=["_q1", "_q3"])
+        # at most len(columns) rows -> one row (a global aggregate always
+        # returns one row, NULLs for columns without values)
+        row = q.agg(*[F.max(F.when(F.col("_col") == c, F.col(n))).alias(f"{c}_{n[1:]}")
+                      for c in cols for n in ("_q1", "_q3")])
+    else:
+        sk = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"_{i}")
+                      for i, c in enumerate(cols)])
+        row = sk.select(*[F.col(f"_{i}")[j].alias(f"{c}_{n}")
+                          for i, c in enumerate(cols) for j, n in enumerate(("q1", "q3"))])
+    out = []
+    for c in cols:
         iqr = F.col(f"{c}_q3") - F.col(f"{c}_q1")
-        frames.append(q.select(
-            "*", (F.col(f"{c}_q1") - iqr_multiplier * iqr).alias(f"{c}_lower"),
-            (F.col(f"{c}_q3") + iqr_multiplier * iqr).alias(f"{c}_upper")))
-    # every frame has exactly one row
-    return reduce(lambda a, b: a.crossJoin(b), frames)
+        out += [F.col(f"{c}_q1"), F.col(f"{c}_q3"),
+                (F.col(f"{c}_q1") - iqr_multiplier * iqr).alias(f"{c}_lower"),
+                (F.col(f"{c}_q3") + iqr_multiplier * iqr).alias(f"{c}_upper")]
+    return row.select(*out)
 
 
 def outlier_flags(df: DataFrame, bounds: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -61,12 +72,19 @@ def any_anomaly(df: DataFrame, *, out: str = "has_any_anomaly",
 
 
 def detect_anomalies(df: DataFrame, products: Sequence[str], *, method: str = "exact",
-                     accuracy: int = 10000, iqr_multiplier: float = 1.5) -> DataFrame:
-    """A1-A3 for every product column present."""
+                     accuracy: int = 10000, iqr_multiplier: float = 1.5,
+                     bounds_from: DataFrame | None = None) -> DataFrame:
+    """A1-A3 for every product column present.
+
+    ``bounds_from`` (default ``df``) is the table the quantiles are taken
+    from - pass the narrow wide table rather than a feature-laden one so
+    the quantile pass reads only the product columns.
+    """
     ps = [p for p in products if p in df.columns]
     if not ps:
         return df
-    bounds = iqr_bounds(df, ps, method=method, accuracy=accuracy,
+    src = bounds_from if bounds_from is not None else df
+    bounds = iqr_bounds(src.select(*ps), ps, method=method, accuracy=accuracy,
                         iqr_multiplier=iqr_multiplier)
     return any_anomaly(outlier_flags(df, bounds, ps))
 

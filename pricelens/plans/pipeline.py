@@ -35,9 +35,17 @@ def detailed_table(long_df: DataFrame, *, raw_products: Sequence[str],
                    keys: Sequence[str] | None = None, entity: str = "id",
                    group: Sequence[str] = ("region_code",), date: str = "prix_maj_date",
                    quantiles: str = "exact", run_ts: str | None = None,
-                   run_date: str | None = None) -> DataFrame:
-    """E1 on an already-cleaned long table (lazy except the quantile step)."""
+                   run_date: str | None = None, checkpoint: bool = True) -> DataFrame:
+    """E1 on an already-cleaned long table.
+
+    The wide table is checkpointed (reliable storage under
+    ``spark.checkpoint.dir``) before it fans out to the group means, the lag
+    window and the quantile pass: the long -> wide shuffle runs once and a
+    lost executor re-reads the checkpoint instead of re-parsing raw files.
+    """
     wide = reshape.pivot_wide(long_df, raw_products, order=order, keys=keys)
+    if checkpoint:
+        wide = wide.checkpoint(eager=True)
     products = list(products or [p for p in wide.columns if p in
                                  {n.lower().replace(" ", "_").replace("-", "_")
                                   for n in raw_products}])
@@ -45,7 +53,7 @@ def detailed_table(long_df: DataFrame, *, raw_products: Sequence[str],
     tiebreak = [c for c in wide_keys if c not in (entity, date)]
     out = features.add_features(wide, products, flagged=flagged, group=group,
                                 entity=entity, date=date, tiebreak=tiebreak)
-    out = anomaly.detect_anomalies(out, products, method=quantiles)
+    out = anomaly.detect_anomalies(out, products, method=quantiles, bounds_from=wide)
     return clean.stamp_processing(out, run_ts=run_ts, run_date=run_date)
 
 
@@ -77,7 +85,8 @@ def run_marts(spark: SparkSession, detailed_path: str, out_base: str, *,
 
 def map_slice(dept_date: DataFrame, products: Sequence[str], *, year: int | None,
               product_label: str, level: str = "department",
-              areas: DataFrame | None = None, labels: dict | None = None) -> dict:
+              areas: DataFrame | None = None, labels: dict | None = None,
+              mapping: DataFrame | None = None) -> dict:
     """The map's tables from the department x date mart.
 
     Returns ``{"slice", "kpi", "scale", "table"}``; ``table`` (needs
@@ -88,7 +97,7 @@ def map_slice(dept_date: DataFrame, products: Sequence[str], *, year: int | None
                                labels=labels)
     code = "departement"
     if level == "region":
-        long = dashboard.rollup_region(long)
+        long = dashboard.rollup_region(long, mapping=mapping)
         code = "region"
     one = select.filter_product(long, product_label)
     latest = select.latest_slice(one, product="fuel_type", date="date")

@@ -14,7 +14,7 @@ P = B.PRODUCTS
 KEYS = list(B.WIDE_KEYS)
 KEYS_SQL = csv(KEYS)
 
-FEAT_SQL = B.OBS_WIDE_SQL + """,
+FEAT_PART = """,
 means AS (
   SELECT region_code, """ + csv(f"{rnd(f'avg({p})', 3)} AS {p}_moy_region" for p in P) + """
   FROM obs_wide GROUP BY region_code),
@@ -24,6 +24,7 @@ feat AS (
     f"{rnd(f'((w.{p} - m.{p}_moy_region) / NULLIF(m.{p}_moy_region, 0)) * 100', 2)} "
     f"AS {p}_pct_vs_region" for p in P) + """
   FROM obs_wide w LEFT JOIN means m ON w.region_code IS NOT DISTINCT FROM m.region_code)"""
+FEAT_SQL = B.OBS_WIDE_SQL + FEAT_PART
 
 BOUNDS_SQL = """,
 quart AS (
