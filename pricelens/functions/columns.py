@@ -52,8 +52,10 @@ def format_date_dmy(c) -> Column:
 
 
 def clamp01(c) -> Column:
-    """Clamp to [0, 1] (NULL stays NULL)."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), _col(c)))
+    """Clamp to [0, 1]; NULL stays NULL (``least``/``greatest`` alone skip
+    NULL arguments and would turn a missing value into a bound)."""
+    v = _col(c)
+    return F.when(v.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), v)))
 
 
 def price_bin(value, lo, width, bins: int) -> Column:

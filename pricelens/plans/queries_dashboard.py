@@ -403,9 +403,9 @@ def q_period_span(spark, sf):
 
 @register("first_last_change",
           f"WITH {MARTS_SQL} SELECT measure, min(prix_maj_date) AS first_date, "
-          "max(prix_maj_date) AS last_date, arg_min(v, prix_maj_date) AS first_value, "
-          "arg_max(v, prix_maj_date) AS last_value, "
-          "arg_max(v, prix_maj_date) - arg_min(v, prix_maj_date) AS variation FROM ("
+          "max(prix_maj_date) AS last_date, arg_min_null(v, prix_maj_date) AS first_value, "
+          "arg_max_null(v, prix_maj_date) AS last_value, "
+          "arg_max_null(v, prix_maj_date) - arg_min_null(v, prix_maj_date) AS variation FROM ("
           + " UNION ALL ".join(f"SELECT '{p}_moyen' AS measure, prix_maj_date, {p}_moyen AS v "
                                "FROM by_date WHERE prix_maj_date IS NOT NULL" for p in P)
           + ") t GROUP BY measure",
@@ -513,8 +513,8 @@ def q_choropleth_table(spark, sf):
 @register("choropleth_bands",
           f"WITH {MARTS_SQL}{_AREAS_SQL}, sc AS (SELECT quantile_cont(mean_price, 0.05) AS vmin, "
           "quantile_cont(mean_price, 0.95) AS vmax FROM prices) "
-          "SELECT t.*, greatest(0.0, least(1.0, (t.mean_price - sc.vmin) / "
-          "CASE WHEN sc.vmax > sc.vmin THEN sc.vmax - sc.vmin END)) AS band "
+          "SELECT t.*, CASE WHEN t.mean_price IS NULL OR sc.vmax <= sc.vmin THEN NULL ELSE "
+          "greatest(0.0, least(1.0, (t.mean_price - sc.vmin) / (sc.vmax - sc.vmin))) END AS band "
           "FROM tbl t CROSS JOIN sc",
           doubles=["mean_price", "band"])
 def q_choropleth_bands(spark, sf):

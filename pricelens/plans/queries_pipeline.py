@@ -101,8 +101,9 @@ areas AS (SELECT n_name AS departement FROM nation)""")
 
 @register("pipeline_map",
           f"WITH {_MAP_SQL} SELECT a.departement, s.mean_price, s.nombre_stations, "
-          "s.mean_price IS NOT NULL AS has_data, greatest(0.0, least(1.0, (s.mean_price - "
-          "sc.vmin) / CASE WHEN sc.vmax > sc.vmin THEN sc.vmax - sc.vmin END)) AS band "
+          "s.mean_price IS NOT NULL AS has_data, CASE WHEN s.mean_price IS NULL OR "
+          "sc.vmax <= sc.vmin THEN NULL ELSE greatest(0.0, least(1.0, (s.mean_price - sc.vmin) "
+          "/ (sc.vmax - sc.vmin))) END AS band "
           "FROM areas a LEFT JOIN sl s ON a.departement = s.departement CROSS JOIN sc",
           doubles=["mean_price", "band"])
 def q_pipeline_map(spark, sf):
