@@ -8,6 +8,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sizing import broadcast_if_small
+
 
 def _present(df, products):
     return [p for p in products if p in df.columns]
@@ -46,8 +48,9 @@ def group_compare(df: DataFrame, products: Sequence[str], *,
     Written as an aggregate joined back on the group keys rather than a
     window partitioned by the group: the aggregate is combined map-side, so
     a region holding a third of the rows never lands in one task.  The
-    aggregate has one row per group; AQE broadcasts it when its measured
-    size is small, otherwise it is a sort-merge join with skew splitting.
+    aggregate (one row per group) is broadcast after a row-count check
+    (``broadcast_if_small``), so the big side is not shuffled at all;
+    beyond the bound it is a planner-chosen join with AQE skew splitting.
     NULL group keys form their own group (null-safe join), as in a window.
     """
     ps = _present(df, products)
@@ -56,8 +59,8 @@ def group_compare(df: DataFrame, products: Sequence[str], *,
         return df
     means = df.groupBy(*keys).agg(
         *[F.round(F.avg(p), digits).alias(f"{p}_moy_{suffix}") for p in ps])
-    means = means.select(*[F.col(k).alias(f"__g_{k}") for k in keys],
-                         *[f"{p}_moy_{suffix}" for p in ps])
+    means = broadcast_if_small(means.select(*[F.col(k).alias(f"__g_{k}") for k in keys],
+                                            *[f"{p}_moy_{suffix}" for p in ps]))
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys])
     out = df.join(means, on=cond, how="left").drop(*[f"__g_{k}" for k in keys])

@@ -28,6 +28,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sizing import broadcast_if_small
+
 
 def _qname(value: str, q: float) -> str:
     return f"{value}_p{int(round(q * 100)):02d}" if abs(q * 100 - round(q * 100)) < 1e-9 \
@@ -86,10 +88,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
             .filter((F.col("_rank") > F.col("_before"))
                     & (F.col("_rank") <= F.col("_before") + F.col("_bn")))
             .withColumn("_local", F.col("_rank") - F.col("_before")))
+    # at most 2 x len(probs) rows per group: broadcast after a size check, so
+    # only the rows of the wanted blocks are shuffled for the running count
+    need = broadcast_if_small(need)
 
     in_block = Window.partitionBy(*g, "_blk").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cand = (pairs.join(need.select(*g, "_blk").distinct(), on=[*g, "_blk"], how="left_semi")
+    cand = (pairs.join(need.select(*g, "_blk"), on=[*g, "_blk"], how="left_semi")
             .withColumn("_cum", F.sum("_c").over(in_block)))
     hits = (cand.join(need.select(*g, "_blk", "_qi", "_end", "_local", "_frac"),
                       on=[*g, "_blk"])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.columns import format_date_dmy, format_price, tidy_label
+from ..functions.sizing import broadcast_if_small
 
 
 def filter_year(df: DataFrame, year: int, *, date: str = "date") -> DataFrame:
@@ -27,11 +28,11 @@ def filter_product(df: DataFrame, product: str, *, column: str = "fuel_type") ->
 def latest_slice(df: DataFrame, *, product: str = "fuel_type", date: str = "date") -> DataFrame:
     """For every product, the rows on that product's latest date.
 
-    An aggregate (one row per product) joined back - the aggregate is
-    combined map-side, and AQE broadcasts it from its measured size.
+    An aggregate (one row per product) joined back - combined map-side,
+    then broadcast after a row-count check, so the rows are not shuffled.
     """
     latest = df.groupBy(product).agg(F.max(date).alias("__latest"))
-    latest = latest.select(F.col(product).alias("__p"), "__latest")
+    latest = broadcast_if_small(latest.select(F.col(product).alias("__p"), "__latest"))
     return (df.join(latest, (F.col(product) == F.col("__p")) & (F.col(date) == F.col("__latest")))
               .drop("__p", "__latest"))
 

@@ -119,3 +119,38 @@ def with_coordinates(df: DataFrame) -> DataFrame:
         "*",
         F.when(~missing, 42.0 + (F.col("id") % 90) / 10.0).alias("latitude"),
         F.when(~missing, -4.5 + (F.col("id") % 120) / 10.0).alias("longitude"))
+
+
+def raw_snapshot(spark: SparkSession, sf_dir: str,
+                 ingestion_ts: str = "2025-06-30T06:00:00") -> DataFrame:
+    """The driver tables in the *landed* record shape (strings, nested
+    geometry), one record per line item - input for the full clean layer.
+
+    Postal codes are built so their first two digits are a real department
+    code (01-25, from the nation key), which the clean layer maps to a
+    region.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_shipdate")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    geo = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+    joined = (li.join(part, li.l_partkey == part.p_partkey)
+                .join(geo, li.l_suppkey == geo.s_suppkey))
+    cp = F.lpad(((F.col("n_nationkey") + 1) * 1000 + F.col("s_suppkey") % 1000).cast("string"),
+                5, "0")
+    return joined.select(
+        F.col("s_suppkey").cast("string").alias("id"),
+        cp.alias("cp"),
+        F.col("n_name").alias("ville"),
+        F.col("s_name").alias("adresse"),
+        F.struct((42.0 + (F.col("s_suppkey") % 90) / 10.0).alias("lat"),
+                 (-4.5 + (F.col("s_suppkey") % 120) / 10.0).alias("lon")).alias("geom"),
+        F.col("p_type").alias("prix_nom"),
+        F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).cast("string")
+        .alias("prix_valeur"),
+        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("prix_maj"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("prix_id"),
+        F.lit(ingestion_ts).alias("ingestion_timestamp"))
