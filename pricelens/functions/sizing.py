@@ -2,22 +2,40 @@
 
 A derived side such as "mean per region" or "latest date per product" has
 one row per group, and the number of groups is data-dependent, so it has
-no static size bound.  ``broadcast_if_small`` materialises it once to the
-reliable checkpoint folder, counts its rows against ``max_rows`` and only
-then hints a broadcast; above the bound the join is left to the planner
-(sort-merge, with AQE skew splitting).  The count reads the materialised
-copy, so the aggregate is computed once either way.
+no static size bound.  ``broadcast_if_small`` materialises it once as a
+Parquet table in the shared checkpoint folder, counts its rows against
+``max_rows`` and only then hints a broadcast; above the bound the join is
+left to the planner (sort-merge, with AQE skew splitting).  The count reads
+the materialised copy, so the aggregate is computed once either way.
+
+``materialize`` is the lineage cut used throughout: a Parquet table under
+``spark.checkpoint.dir`` (shared storage on a cluster), written in one pass
+and read back with file statistics the planner can use.  Unlike an RDD
+checkpoint it does not recompute the plan for the write, and a lost
+executor re-reads files instead of recomputing upstream stages.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 DEFAULT_MAX_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    materialised = df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, f"materialized/{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                       name: str = "small") -> DataFrame:
+    materialised = materialize(df, name)
     n = materialised.limit(max_rows + 1).count()
     return F.broadcast(materialised) if n <= max_rows else materialised

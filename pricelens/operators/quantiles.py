@@ -9,7 +9,7 @@ instead:
 1. collapse duplicates: ``(group, value) -> count`` (map-side partial
    aggregation, so a value repeated a billion times is one row);
 2. range-partition those pairs by ``(group, value)`` into blocks of
-   bounded size and checkpoint them (the block id must not change between
+   bounded size and materialise them (the block id must not change between
    the branches that read it);
 3. per block: its count and its place in the group (running sum over block
    totals - at most partitions + groups rows);
@@ -28,7 +28,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sizing import broadcast_if_small
+from ..functions.sizing import broadcast_if_small, materialize
 
 
 def _qname(value: str, q: float) -> str:
@@ -52,7 +52,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
     """Exact linear-interpolation quantiles of ``value`` per group.
 
     One row per group that has at least one non-NULL value (one row with
-    NULLs when there are no groups and no values).  Runs one checkpoint.
+    NULLs when there are no groups and no values).  Runs eagerly: the
+    value/count pairs and the wanted blocks are materialised.
     """
     g = list(groups)
     names = list(names or [_qname(value, q) for q in probs])
@@ -65,9 +66,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
 
     pairs = (df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull())
              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    pairs = (pairs.repartitionByRange(nparts, *[F.col(c) for c in g], F.col("_v"))
-             .withColumn("_blk", F.spark_partition_id())
-             .checkpoint(eager=True))
+    # the block id is written with the rows, so every later branch sees the
+    # same layout (a recomputed range partition could draw other bounds)
+    pairs = materialize(pairs.repartitionByRange(nparts, *[F.col(c) for c in g], F.col("_v"))
+                        .withColumn("_blk", F.spark_partition_id()), "quantile_pairs")
 
     blocks = pairs.groupBy(*g, "_blk").agg(F.sum("_c").alias("_bn"))
     before = Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
 from ..operators import anomaly, clean, dashboard, features, marts, reshape, select
+from ..functions.columns import normalized_name
+from ..functions.sizing import materialize
 from ..operators.mapdata import choropleth_bands, choropleth_table
 from ..sources import files
 
@@ -28,27 +30,27 @@ log = logging.getLogger(__name__)
 DETAILED_PARTITIONS = ("region_code", "departement")
 
 
-def detailed_table(long_df: DataFrame, *, raw_products: Sequence[str],
-                   products: Sequence[str] | None = None,
-                   flagged: Sequence[str] = S.FLAGGED_PRODUCTS,
-                   order: Sequence[str] = ("prix_maj", "prix_id"),
-                   keys: Sequence[str] | None = None, entity: str = "id",
-                   group: Sequence[str] = ("region_code",), date: str = "prix_maj_date",
-                   quantiles: str = "exact", run_ts: str | None = None,
-                   run_date: str | None = None, checkpoint: bool = True) -> DataFrame:
-    """E1 on an already-cleaned long table.
+def build_wide(long_df: DataFrame, *, raw_products: Sequence[str],
+               order: Sequence[str] = ("prix_maj", "prix_id"),
+               keys: Sequence[str] | None = None, materialized: bool = True) -> DataFrame:
+    """E1, first half: long -> wide (R1), materialised.
 
-    The wide table is checkpointed (reliable storage under
-    ``spark.checkpoint.dir``) before it fans out to the group means, the lag
-    window and the quantile pass: the long -> wide shuffle runs once and a
-    lost executor re-reads the checkpoint instead of re-parsing raw files.
+    The wide table is written as Parquet under ``spark.checkpoint.dir``
+    before it fans out to the group means, the lag window and the quantile
+    pass: the long -> wide shuffle runs once and a lost executor re-reads
+    the table instead of re-parsing raw files.
     """
     wide = reshape.pivot_wide(long_df, raw_products, order=order, keys=keys)
-    if checkpoint:
-        wide = wide.checkpoint(eager=True)
-    products = list(products or [p for p in wide.columns if p in
-                                 {n.lower().replace(" ", "_").replace("-", "_")
-                                  for n in raw_products}])
+    return materialize(wide, "wide") if materialized else wide
+
+
+def detailed_from_wide(wide: DataFrame, *, products: Sequence[str],
+                       flagged: Sequence[str] = S.FLAGGED_PRODUCTS, entity: str = "id",
+                       group: Sequence[str] = ("region_code",), date: str = "prix_maj_date",
+                       quantiles: str = "exact", run_ts: str | None = None,
+                       run_date: str | None = None) -> DataFrame:
+    """E1, second half: features (F1-F7), IQR flags (A1-A3), stamp (P10)."""
+    products = [p for p in products if p in wide.columns]
     wide_keys = [c for c in wide.columns if c not in products]
     tiebreak = [c for c in wide_keys if c not in (entity, date)]
     out = features.add_features(wide, products, flagged=flagged, group=group,
@@ -57,6 +59,24 @@ def detailed_table(long_df: DataFrame, *, raw_products: Sequence[str],
     return clean.stamp_processing(out, run_ts=run_ts, run_date=run_date)
 
 
+def detailed_table(long_df: DataFrame, *, raw_products: Sequence[str],
+                   products: Sequence[str] | None = None,
+                   flagged: Sequence[str] = S.FLAGGED_PRODUCTS,
+                   order: Sequence[str] = ("prix_maj", "prix_id"),
+                   keys: Sequence[str] | None = None, entity: str = "id",
+                   group: Sequence[str] = ("region_code",), date: str = "prix_maj_date",
+                   quantiles: str = "exact", run_ts: str | None = None,
+                   run_date: str | None = None, checkpoint: bool = True) -> DataFrame:
+    """E1 on an already-cleaned long table: ``build_wide`` then
+    ``detailed_from_wide``."""
+    wide = build_wide(long_df, raw_products=raw_products, order=order, keys=keys,
+                      materialized=checkpoint)
+    products = list(products or [normalized_name(n) for n in raw_products])
+    return detailed_from_wide(wide, products=products, flagged=flagged, entity=entity,
+                              group=group, date=date, quantiles=quantiles, run_ts=run_ts,
+                              run_date=run_date)
+
+
 def run_detailed(spark: SparkSession, raw_path: str, out_base: str, *, fmt: str = "json",
                  raw_products: Sequence[str] = ("Gazole", "SP95", "SP98", "E10", "E85", "GPLc"),
                  price_range: tuple = (0.0, 5.0), run_ts: str | None = None) -> str:

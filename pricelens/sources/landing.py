@@ -40,17 +40,19 @@ def ingest_audit(df: DataFrame, *, dataset_name: str, source_url: str,
         *(["file_size_mb"] if with_size else []))
 
 
-def _array_lines(rows):
-    first = True
-    yield "["
-    for line in rows:
-        yield line if first else "," + line
-        first = False
-    yield "]"
-
-
 def write_json_array(df: DataFrame, path: str) -> None:
     """Write each partition as one JSON array of objects (the landed
     snapshot format read by ``scan_json``).  Rows stream through; no
     partition is held in memory as one string."""
-    df.toJSON().mapPartitions(_array_lines).saveAsTextFile(path)
+
+    # nested, so it is shipped to the Python workers by value: they need
+    # not have this package installed
+    def array_lines(rows):
+        first = True
+        yield "["
+        for line in rows:
+            yield line if first else "," + line
+            first = False
+        yield "]"
+
+    df.toJSON().mapPartitions(array_lines).saveAsTextFile(path)
