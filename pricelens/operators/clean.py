@@ -59,31 +59,34 @@ def department_from_postal(postal) -> "F.Column":
 
 def derive_department(df: DataFrame, *, postal: str = "cp", dep_code: str = "dep_code",
                       out: str = "departement") -> DataFrame:
-    """Department from ``dep_code`` when that column exists (padded to
-    two characters, three-digit overseas codes kept), else from the postal
-    code."""
+    """Department from ``dep_code`` (padded to two characters,
+    three-digit overseas codes kept) where the row has one, else from the
+    postal code.  With an explicit read schema the optional column always
+    exists, so the fallback is per row."""
+    from_postal = department_from_postal(postal) if postal in df.columns else F.lit(None)
     if dep_code in df.columns:
-        return df.withColumn(out, pad_code(dep_code, 2))
-    return df.withColumn(out, department_from_postal(postal))
+        return df.withColumn(out, F.coalesce(pad_code(dep_code, 2), from_postal))
+    return df.withColumn(out, from_postal.cast("string"))
 
 
 def derive_region(df: DataFrame, *, department: str = "departement",
                   reg_code: str = "reg_code", out: str = "region_code",
                   default: str = schema.OTHER_REGION,
                   mapping: DataFrame | None = None) -> DataFrame:
-    """P5: region from ``reg_code`` when present, else from the department
-    through the department -> region dimension (unknown -> ``default``).
+    """P5: region from ``reg_code`` where the row has one, else from the
+    department through the department -> region dimension (unknown ->
+    ``default``).
 
     The dimension is a fixed 96-row table (or a caller-supplied one), so the
     lookup is a broadcast hash join: no shuffle of the observations.
     """
-    if reg_code in df.columns:
-        return df.withColumn(out, F.col(reg_code).cast("string"))
     m = mapping if mapping is not None else department_region_df(df.sparkSession)
     c0, c1 = m.columns[:2]
     m = m.select(F.col(c0).cast("string").alias("__dept"), F.col(c1).cast("string").alias("__reg"))
     joined = df.join(m, F.col(department) == F.col("__dept"), "left")
-    return joined.withColumn(out, F.coalesce(F.col("__reg"), F.lit(default))).drop("__dept", "__reg")
+    given = F.col(reg_code).cast("string") if reg_code in df.columns else F.lit(None)
+    return joined.withColumn(out, F.coalesce(given, F.col("__reg"), F.lit(default))) \
+        .drop("__dept", "__reg")
 
 
 def extract_geo(df: DataFrame, *, geom: str = "geom", lat: str = "lat", lon: str = "lon",

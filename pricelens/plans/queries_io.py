@@ -153,3 +153,20 @@ def q_ingest_audit(spark, sf):
     return landing.ingest_audit(_long(spark, sf), dataset_name="obs_long",
                                 source_url="driver-tables", ingestion_ts=INGEST_TS,
                                 with_size=False)
+
+
+# Files written by ``write_json_array`` are named part-NNNNN (no suffix);
+# the sidecar written next to them by the DataFrame writer is not.
+SNAPSHOT_PARTS = "part-[0-9][0-9][0-9][0-9][0-9]"
+
+
+@register("scan_snapshots", LONG_SQL, doubles=["prix_valeur"])
+def q_scan_snapshots(spark, sf):
+    path = _fresh(spark, "landing")
+    long = _long(spark, sf)
+    landing.write_json_array(long, path)
+    audit = landing.ingest_audit(long, dataset_name="obs_long", source_url="driver-tables",
+                                 ingestion_ts=INGEST_TS)
+    audit.coalesce(1).write.mode("append").json(path)   # sidecar in the same folder
+    return files.scan_snapshots(spark, path, LONG_SCHEMA, glob=SNAPSHOT_PARTS,
+                                source_col=None)

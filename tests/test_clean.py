@@ -67,8 +67,15 @@ def test_region_from_department_map(spark):
 
 
 def test_region_from_reg_code_when_present(spark):
-    df = spark.createDataFrame([("75", 11)], "departement string, reg_code int")
-    assert clean.derive_region(df).collect()[0].region_code == "11"
+    df = spark.createDataFrame([("75", 32), ("75", None)], "departement string, reg_code int")
+    got = sorted(r.region_code for r in clean.derive_region(df).collect())
+    assert got == ["11", "32"]      # per-row fallback to the department map
+
+
+def test_department_fallback_per_row(spark):
+    df = spark.createDataFrame([("75001", "75"), ("20090", None)], "cp string, dep_code string")
+    got = {r.cp: r.departement for r in clean.derive_department(df).collect()}
+    assert got == {"75001": "75", "20090": "2A"}
 
 
 def test_validate_range_keeps_rows(spark):
