@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import format_date_dmy, price_bin
 from ..schema import PRODUCT_LABELS, mean_col
 from .lookups import map_dept_region
-from .quantiles import exact_quantiles
+from .quantiles import _join_ns, exact_quantiles
 from .reshape import unpivot_long
 
 
@@ -144,7 +144,8 @@ def box_stats(df: DataFrame, value: str, *, group: str = "region_name") -> DataF
     mm = df.filter(F.col(value).isNotNull()).groupBy(group).agg(
         F.min(value).alias("min"), F.max(value).alias("max"),
         F.count(F.lit(1)).alias("n"))
-    return mm.join(q, on=group, how="left").select(group, "min", "q1", "median", "q3", "max", "n")
+    return _join_ns(mm, q, [group], how="left").select(group, "min", "q1", "median", "q3",
+                                                       "max", "n")
 
 
 def price_scale(df: DataFrame, value: str = "mean_price", *, low: float = 0.05,

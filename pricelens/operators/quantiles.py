@@ -31,6 +31,22 @@ from pyspark.sql import functions as F
 from ..functions.sizing import broadcast_if_small, materialize
 
 
+def _join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str],
+             how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL-safe equality (a NULL group is a group)."""
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    out = left.join(r, cond, how)
+    if how in ("left_semi", "left_anti"):
+        return out
+    if how in ("full", "outer", "full_outer"):
+        rest = [c for c in out.columns if c not in keys and not c.startswith("__r_")]
+        return out.select(*[F.coalesce(F.col(k), F.col(f"__r_{k}")).alias(k) for k in keys],
+                          *rest)
+    return out.drop(*[f"__r_{k}" for k in keys])
+
+
 def _qname(value: str, q: float) -> str:
     return f"{value}_p{int(round(q * 100)):02d}" if abs(q * 100 - round(q * 100)) < 1e-9 \
         else f"{value}_p{str(q).replace('.', '_')}"
@@ -96,10 +112,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
 
     in_block = Window.partitionBy(*g, "_blk").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cand = (pairs.join(need.select(*g, "_blk"), on=[*g, "_blk"], how="left_semi")
+    cand = (_join_ns(pairs, need.select(*g, "_blk"), [*g, "_blk"], how="left_semi")
             .withColumn("_cum", F.sum("_c").over(in_block)))
-    hits = (cand.join(need.select(*g, "_blk", "_qi", "_end", "_local", "_frac"),
-                      on=[*g, "_blk"])
+    hits = (_join_ns(cand, need.select(*g, "_blk", "_qi", "_end", "_local", "_frac"),
+                     [*g, "_blk"])
             .filter((F.col("_cum") - F.col("_c") < F.col("_local"))
                     & (F.col("_local") <= F.col("_cum"))))
 
@@ -128,4 +144,4 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
             frames.append(approx_quantiles(df, c, probs, groups=groups, accuracy=accuracy))
     if not groups:
         return reduce(lambda a, b: a.crossJoin(b), frames)
-    return reduce(lambda a, b: a.join(b, on=list(groups), how="full"), frames)
+    return reduce(lambda a, b: _join_ns(a, b, list(groups), how="full"), frames)

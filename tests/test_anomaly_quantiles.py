@@ -67,3 +67,14 @@ def test_outlier_rate_and_by_region(spark):
     assert by == {"r1": 2, "r2": 0}
     empty = spark.createDataFrame([], "is_outlier_gazole boolean")
     assert anomaly.outlier_rate(empty).collect()[0].pct_outliers == 0.0
+
+
+def test_quantile_table_full_join_keeps_groups(spark):
+    from pricelens.operators.quantiles import quantile_table
+    df = spark.createDataFrame([("a", 1.0, None), ("a", 3.0, None), ("b", None, 2.0),
+                                (None, 5.0, 6.0)], "g string, x double, y double")
+    got = {r.g: r for r in quantile_table(df, ["x", "y"], [0.5], groups=["g"]).collect()}
+    assert set(got) == {"a", "b", None}
+    assert got["a"].x_p50 == 2.0 and got["a"].y_p50 is None
+    assert got["b"].x_p50 is None and got["b"].y_p50 == 2.0
+    assert got[None].x_p50 == 5.0
