@@ -79,28 +79,83 @@ def agg_by_department_year(df: DataFrame, products: Sequence[str], *,
             .orderBy(F.col(department).asc_nulls_first(), F.col(year).asc_nulls_first()))
 
 
+def grouped_marts(df: DataFrame, products: Sequence[str], *,
+                  department: str = "departement", region: str = "region_code",
+                  date: str = "prix_maj_date", year: str = "annee",
+                  materialized: bool = True) -> dict:
+    """G1-G6 in one pass: a single GROUPING SETS aggregate.
+
+    One scan and one shuffle of the detailed table compute all six
+    groupings (separate ``groupBy``s would scan it six times).  The combined
+    result has one row per group of every mart - small - and is materialised
+    once; each mart is then a slice by ``grouping_id()``, so a genuine NULL
+    key (the NULL-date group) is never confused with "not grouped".
+    """
+    ps = present(df, products)
+    sets = {"by_region": [region], "by_departement": [department, region]}
+    if date in df.columns:
+        sets["by_date"] = [date]
+        sets["by_departement_date"] = [department, region, date]
+    if year in df.columns:
+        sets["by_year"] = [year]
+        sets["by_departement_year"] = [department, region, year]
+    cols = [c for c in (department, region, date, year) if c in df.columns]
+    gid = {}
+    for name, keys in sets.items():
+        # grouping_id bit i (from the left, most significant first) is 1 when
+        # cols[i] is *not* grouped
+        gid[name] = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
+    agg = df.groupingSets([[F.col(c) for c in keys] for keys in sets.values()], *cols).agg(
+        *price_stats(ps), F.grouping_id().alias("_gid"))
+    if materialized:
+        from ..functions.sizing import materialize
+        agg = materialize(agg, "marts")
+    out = {}
+    for name, keys in sets.items():
+        full = name in ("by_region", "by_departement")
+        stats = [c for p in ps for c in ([mean_col(p), f"{p}_min", f"{p}_max", f"{p}_stddev"]
+                                         if full else [mean_col(p)])]
+        m = agg.filter(F.col("_gid") == gid[name]).select(*keys, *stats, COUNT_COL)
+        if name == "by_departement_date":
+            m = m.withColumnRenamed(date, "date")
+        elif name == "by_year":
+            m = m.orderBy(F.col(year).asc_nulls_first())
+        elif name == "by_departement_year":
+            m = m.orderBy(F.col(department).asc_nulls_first(), F.col(year).asc_nulls_first())
+        out[name] = m
+    return out
+
+
 def build_marts(df: DataFrame, products: Sequence[str], *,
                 entity: str = "id", department: str = "departement",
                 region: str = "region_code", date: str = "prix_maj_date",
                 year: str = "annee", headline: str | None = None,
                 extra_cols: Sequence[str] = (), top_n: int = 10,
-                tiebreak: Sequence[str] = ()) -> dict:
-    """E2 core: the eight marts as a name -> DataFrame dict (no action)."""
+                tiebreak: Sequence[str] = (), single_pass: bool = True) -> dict:
+    """E2 core: the eight marts as a name -> DataFrame dict.
+
+    ``single_pass`` computes G1-G6 with one GROUPING SETS aggregate
+    (materialised); otherwise six lazy ``groupBy``s.
+    """
     from .ranking import bottom_n_per_group, top_n_per_group
 
-    marts = {
-        "by_region": agg_by_region(df, products, region=region),
-        "by_departement": agg_by_department(df, products, department=department,
-                                            region=region),
-    }
-    if date in df.columns:
-        marts["by_date"] = agg_by_date(df, products, date=date)
-        marts["by_departement_date"] = agg_by_department_date(
-            df, products, department=department, region=region, date=date)
-    if year in df.columns:
-        marts["by_year"] = agg_by_year(df, products, year=year)
-        marts["by_departement_year"] = agg_by_department_year(
-            df, products, department=department, region=region, year=year)
+    if single_pass:
+        marts = grouped_marts(df, products, department=department, region=region,
+                              date=date, year=year)
+    else:
+        marts = {
+            "by_region": agg_by_region(df, products, region=region),
+            "by_departement": agg_by_department(df, products, department=department,
+                                                region=region),
+        }
+        if date in df.columns:
+            marts["by_date"] = agg_by_date(df, products, date=date)
+            marts["by_departement_date"] = agg_by_department_date(
+                df, products, department=department, region=region, date=date)
+        if year in df.columns:
+            marts["by_year"] = agg_by_year(df, products, year=year)
+            marts["by_departement_year"] = agg_by_department_year(
+                df, products, department=department, region=region, year=year)
     headline = headline or (present(df, products) or [None])[0]
     if headline and headline in df.columns:
         cols = [entity, *extra_cols, department, region, headline]

@@ -83,3 +83,22 @@ def test_pivot_unpivot_round_trip(spark, rows):
     want = {(i, p) for i, p, v, _ in long.collect() if v is not None}
     assert {(r.id, r.prix_nom) for r in back.collect()} == want
     assert back.count() == len(want)
+
+
+def test_single_pass_marts_equal_separate(spark):
+    rows = [("r1", "d1", "2025-01-01", 2025, 1.0, None), ("r1", "d2", None, None, 2.0, 3.0),
+            ("r2", "d3", "2025-01-02", 2025, None, 4.0), (None, "d4", "2024-12-31", 2024, 5.0, 6.0),
+            ("r1", "d1", "2025-01-01", 2025, 7.0, 8.0)]
+    df = spark.createDataFrame(rows, "region_code string, departement string, "
+                                     "prix_maj_date string, annee int, gazole double, sp95 double")
+    df = df.withColumn("id", F.concat_ws("-", "departement", "prix_maj_date"))
+    a = marts.build_marts(df, ["gazole", "sp95"], headline="gazole", single_pass=True,
+                          tiebreak=["id"])
+    b = marts.build_marts(df, ["gazole", "sp95"], headline="gazole", single_pass=False,
+                          tiebreak=["id"])
+    assert set(a) == set(b)
+    for name in a:
+        assert a[name].columns == b[name].columns, name
+        ka = sorted(a[name].collect(), key=repr)
+        kb = sorted(b[name].collect(), key=repr)
+        assert ka == kb, name
