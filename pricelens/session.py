@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -59,11 +58,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) a scratch folder is created.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="pricelens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    if current:
+        return current          # applied by SparkContext at start-up
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    # spark.checkpoint.dir is a core setting and cannot be changed on a
+    # running session; the context's checkpoint folder can.
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="pricelens-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
