@@ -75,7 +75,8 @@ def main() -> int:
     timed("aggregations_x8", lambda: pipeline.run_marts(spark, detailed_path, f"{base}/out",
                                                        products=B.PRODUCTS))
 
-    det = files.scan_parquet(spark, detailed_path)
+    det = files.scan_parquet(spark, detailed_path,
+                             string_partitions=pipeline.DETAILED_PARTITIONS)
     timed("filter_one_region", lambda: det.filter(F.col("region_code") == "84").count())
     timed("filter_one_department", lambda: det.filter(F.col("departement") == "01").count())
     timed("full_scan", lambda: run(det.agg(*[F.count(c) for c in det.columns])))

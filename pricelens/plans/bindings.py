@@ -53,7 +53,8 @@ def obs_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = geography(spark, sf_dir)
     joined = (li.join(part, li.l_partkey == part.p_partkey)
                 .join(geo, li.l_suppkey == geo.s_suppkey))
-    month = F.date_trunc("month", F.col("l_shipdate")).cast("date")
+    # date first, then the month: no time-zone conversion on the way
+    month = F.trunc(F.col("l_shipdate").cast("date"), "month")
     return joined.select(
         F.col("s_suppkey").alias("id"),
         "departement",

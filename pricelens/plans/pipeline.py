@@ -96,7 +96,8 @@ def run_detailed(spark: SparkSession, raw_path: str, out_base: str, *, fmt: str
 def run_marts(spark: SparkSession, detailed_path: str, out_base: str, *,
               products: Sequence[str] = S.PRODUCTS, extra_cols: Sequence[str] = ("ville",)) -> dict:
     """E2 with I/O: re-read the detailed table, write the eight marts."""
-    detailed = files.scan_parquet(spark, detailed_path)
+    detailed = files.scan_parquet(spark, detailed_path,
+                                  string_partitions=DETAILED_PARTITIONS)
     extra = [c for c in extra_cols if c in detailed.columns]
     mdict = marts.build_marts(detailed, products, extra_cols=extra,
                               tiebreak=[c for c in ("id", "prix_maj_date") if c in detailed.columns])
@@ -141,7 +142,8 @@ def main(argv=None) -> int:
     try:
         detailed = run_detailed(spark, args.raw_path, args.out_base, fmt=args.format)
         run_marts(spark, detailed, args.out_base)
-        marts.run_summary(files.scan_parquet(spark, detailed)).show(truncate=False)
+        marts.run_summary(files.scan_parquet(spark, detailed, string_partitions=DETAILED_PARTITIONS)
+                          ).show(truncate=False)
         return 0
     except Exception:  # noqa: BLE001
         log.exception("transform failed")

@@ -68,9 +68,8 @@ def q_scan_parquet(spark, sf):
 def q_sink_parquet_partitioned(spark, sf):
     path = _fresh(spark, "detailed")
     files.write_table(B.obs_wide(spark, sf), path, partition_by=["region_code", "departement"])
-    back = files.scan_parquet(spark, path)
-    # partition columns come back last and, with type inference off, as strings
-    return back
+    # partition columns come back last, as strings whatever the session says
+    return files.scan_parquet(spark, path, string_partitions=["region_code", "departement"])
 
 
 def _by_region(spark, sf):

@@ -80,7 +80,8 @@ def q_pipeline_marts(spark, sf):
     base = scratch_path(spark, f"roundtrip/pipeline-{uuid.uuid4().hex}")
     files.write_table(detailed(spark, sf), f"{base}/detailed",
                       partition_by=list(pipeline.DETAILED_PARTITIONS))
-    back = files.scan_parquet(spark, f"{base}/detailed")
+    back = files.scan_parquet(spark, f"{base}/detailed",
+                              string_partitions=pipeline.DETAILED_PARTITIONS)
     m = marts.build_marts(back, P, headline=B.HEADLINE, tiebreak=["id", "prix_maj_date"])
     paths = files.write_marts(m, f"{base}/aggregations")
     return files.scan_parquet(spark, paths["by_region"])

@@ -11,6 +11,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from .. import schema as S
@@ -60,9 +61,21 @@ def scan_csv(spark: SparkSession, path, schema: StructType | str | None = None,
     return r.csv(path)
 
 
-def scan_parquet(spark: SparkSession, path) -> DataFrame:
-    """Parquet (schema, statistics and partition columns from the files)."""
-    return spark.read.parquet(path)
+def scan_parquet(spark: SparkSession, path,
+                 string_partitions: Sequence[str] = ()) -> DataFrame:
+    """Parquet (schema, statistics and partition columns from the files).
+
+    ``string_partitions`` names Hive partition columns that must come back
+    as strings whatever the session's partition type inference says
+    (``01`` or ``2A`` are codes, not numbers): the table is read with an
+    explicit schema in which they are strings.
+    """
+    df = spark.read.parquet(path)
+    if not string_partitions:
+        return df
+    fields = [T.StructField(f.name, T.StringType(), True) if f.name in string_partitions
+              else f for f in df.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def read_table(spark: SparkSession, path, fmt: str = "json",
