@@ -39,7 +39,10 @@ def pivot_wide(
     if keys is None:
         keys = [c for c in df.columns if c not in skip]
     keys = list(keys)
-    order_struct = F.struct(*[F.col(c) for c in order])
+    # a single ordering column is used bare: for a fixed-width type (a
+    # timestamp, a number) the aggregate then runs as a hash aggregate; a
+    # struct ordering needs the sort-based aggregate
+    order_struct = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     aggs = []
     for raw in values:
         hit = (F.col(name) == F.lit(raw)) & F.col(value).isNotNull()
