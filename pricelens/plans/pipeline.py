@@ -79,11 +79,12 @@ def detailed_table(long_df: DataFrame, *, raw_products: Sequence[str],
 
 def run_detailed(spark: SparkSession, raw_path: str, out_base: str, *, fmt: str = "json",
                  raw_products: Sequence[str] = ("Gazole", "SP95", "SP98", "E10", "E85", "GPLc"),
-                 price_range: tuple = (0.0, 5.0), run_ts: str | None = None) -> str:
+                 price_range: tuple = (0.0, 5.0), run_ts: str | None = None,
+                 glob: str = S.SNAPSHOT_GLOB) -> str:
     """E1 with I/O: landed snapshots -> detailed Parquet partitioned by
     region and department.  Returns the detailed table's path."""
     files.check_format(fmt)
-    raw = (files.scan_snapshots(spark, raw_path, fmt=fmt, source_col=None)
+    raw = (files.scan_snapshots(spark, raw_path, fmt=fmt, source_col=None, glob=glob)
            if fmt in ("json", "jsonl") else files.read_table(spark, raw_path, fmt))
     long_df = clean.clean_observations(raw, low=price_range[0], high=price_range[1])
     detailed = detailed_table(long_df, raw_products=raw_products,
@@ -137,10 +138,13 @@ def main(argv=None) -> int:
     ap.add_argument("out_base")
     ap.add_argument("--format", default="json", choices=files.FORMATS)
     ap.add_argument("--shuffle-partitions", type=int, default=None)
+    ap.add_argument("--glob", default=S.SNAPSHOT_GLOB, help="snapshot file name pattern")
+    ap.add_argument("--price-range", type=float, nargs=2, default=(0.0, 5.0))
     args = ap.parse_args(argv)
     spark = build_session("pricelens-transform", shuffle_partitions=args.shuffle_partitions)
     try:
-        detailed = run_detailed(spark, args.raw_path, args.out_base, fmt=args.format)
+        detailed = run_detailed(spark, args.raw_path, args.out_base, fmt=args.format,
+                                glob=args.glob, price_range=tuple(args.price_range))
         run_marts(spark, detailed, args.out_base)
         marts.run_summary(files.scan_parquet(spark, detailed, string_partitions=DETAILED_PARTITIONS)
                           ).show(truncate=False)
