@@ -67,3 +67,15 @@ def price_bin(value, lo, width, bins: int) -> Column:
     idx = F.floor((v - lo) / F.when(width > 0, width)).cast("int")
     return F.when(v.isNull(), F.lit(None).cast("int")).otherwise(
         F.least(F.lit(bins - 1), F.coalesce(idx, F.lit(0))))
+
+
+def sample_hash(keys, seed: int) -> Column:
+    """Seeded hash of a row key: lower-case hex MD5 of ``k1|k2|...|seed``.
+
+    Keys are rendered as text (integers, strings and dates have one text
+    form in every engine), so the order is reproducible outside Spark, e.g.
+    ``md5(concat_ws('|', CAST(k AS VARCHAR), ..., '42'))`` in DuckDB.  The
+    hex strings have a fixed width, so text order is numeric order.
+    """
+    parts = [_col(k).cast("string") for k in keys]
+    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))

@@ -7,6 +7,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import sample_hash
+
 
 def _ranked(df: DataFrame, group: str | Sequence[str], order: list, n: int,
             rank_col: str) -> DataFrame:
@@ -70,31 +72,31 @@ def bounded_sample(df: DataFrame, *, n: int = 5000, seed: int = 42,
     """At most ``n`` rows, chosen by a seeded hash of the key.
 
     Exactly ``n`` rows when there are more: the rows with the smallest
-    ``xxhash64(key, seed)`` (ties by key).  The choice depends only on the
-    data, not on partitioning or task order, and runs as a top-k
-    (TakeOrderedAndProject), never a full sort.
+    ``sample_hash(key, seed)`` (MD5 hex of the key text; ties by key).  The
+    choice depends only on the data, not on partitioning or task order, and
+    runs as a top-k (TakeOrderedAndProject), never a full sort.  The key
+    should be unique and made of integer, string or date columns.
 
     A top-k alone ends in one task merging ``n`` rows from every task.
     With ``prefilter`` (eager: one count, one materialised filter) the hash,
-    uniform over the 64-bit range, is first cut at a threshold that about
+    uniform over the 128-bit range, is first cut at a threshold that about
     ``4 n`` rows pass; the n smallest hashes are all below it, so the
     result is the same, and the final merge sees thousands of rows.  If
     fewer than ``n`` pass (vanishingly unlikely), the plain top-k runs.
     """
     keys = [F.col(k) for k in key]
-    h = F.xxhash64(*keys, F.lit(seed))
+    h = sample_hash(keys, seed)
     top = df.orderBy(h, *keys).limit(n)
     if not prefilter:
         return top
     total = df.count()
     if total <= n:
         return top
-    frac = min(1.0, 4.0 * n / total)
-    threshold = int(-(2 ** 63) + frac * (2 ** 64 - 1))
-    if threshold >= 2 ** 63 - 1:
+    threshold = (4 * n * 2 ** 128) // total
+    if threshold >= 2 ** 128:
         return top
     from ..functions.sizing import materialize
-    cand = materialize(df.filter(h <= F.lit(threshold)), "sample_candidates")
+    cand = materialize(df.filter(h <= F.lit(format(threshold, "032x"))), "sample_candidates")
     if cand.count() < n:
         return top
-    return cand.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    return cand.orderBy(sample_hash(keys, seed), *keys).limit(n)

@@ -12,7 +12,7 @@ from ..operators.mapdata import (choropleth_bands, choropleth_table, heat_points
 from . import bindings as B
 from .catalog import register
 from .queries_core import FULL_DOUBLES, MEAN_DOUBLES, _full_stats_sql, _mean_sql
-from .queries_features import FLAGS_SQL, region_dim, REGION_DIM_SQL
+from .queries_features import BOUNDS_SQL, FEAT_PART, FLAGS_SQL, region_dim, REGION_DIM_SQL
 from .sqltext import csv, rnd
 
 P = B.PRODUCTS
@@ -292,11 +292,21 @@ def q_show_sample(spark, sf):
     return ranking.head(W(spark, sf).orderBy("id", "prix_maj_date"), 10)
 
 
-@register("bounded_sample", None)
+def _md5_sql(keys, seed=42):
+    """DuckDB twin of ``functions.columns.sample_hash``."""
+    return ("md5(concat_ws('|', " + csv(f"CAST({k} AS VARCHAR)" for k in keys)
+            + f", '{seed}'))")
+
+
+_LONG_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
+
+
+@register("bounded_sample",
+          f"WITH {B.OBS_LONG_SQL} SELECT * FROM obs_long "
+          f"ORDER BY {_md5_sql(_LONG_KEY)}, {csv(_LONG_KEY)} LIMIT 5000",
+          doubles=["prix_valeur"])
 def q_bounded_sample(spark, sf):
-    # seeded xxhash64 order: no DuckDB twin; checked against brute force in tests
-    return ranking.bounded_sample(B.obs_long(spark, sf), n=5000, seed=42,
-                                  key=["l_orderkey", "l_linenumber", "l_partkey"])
+    return ranking.bounded_sample(B.obs_long(spark, sf), n=5000, seed=42, key=_LONG_KEY)
 
 
 # ----------------------------------------------------------- statistics
@@ -466,9 +476,30 @@ def q_distinct_areas(spark, sf):
 
 # ------------------------------------------------------------ map tables
 
-@register("station_points", None)
+def _popup_sql(cols, doubles):
+    parts = []
+    for c in cols:
+        txt = (f"printf('{c}: %.3f €/L', {rnd(c, 3)})" if c in doubles
+               else f"'{c}: ' || CAST({c} AS VARCHAR)")
+        parts.append(f"CASE WHEN {c} IS NOT NULL THEN {txt} END")
+    return f"concat_ws(chr(10), {csv(parts)})"
+
+
+_POINTS_SQL = (f"WITH {B.OBS_WIDE_SQL}{FEAT_PART}{BOUNDS_SQL}, "
+               "anom AS (SELECT f.*, (" + " OR ".join(
+                   f"coalesce(f.{p} < b.{p}_lower OR f.{p} > b.{p}_upper, false)" for p in P)
+               + ") AS has_any_anomaly FROM feat f CROSS JOIN bounds b), "
+               f"geo AS (SELECT *, {B.LAT_SQL} AS latitude, {B.LON_SQL} AS longitude FROM anom) "
+               "SELECT id, prix_maj_date, latitude, longitude, "
+               "CASE WHEN coalesce(has_any_anomaly, false) THEN 'red' "
+               "WHEN coalesce(economy_diff_region < 0, false) THEN 'green' ELSE 'blue' END AS color, "
+               f"{_popup_sql(['departement', 'economy', 'small'], {'economy', 'small'})} AS popup "
+               "FROM geo WHERE latitude IS NOT NULL AND longitude IS NOT NULL "
+               f"ORDER BY {_md5_sql(['id', 'prix_maj_date'])}, id, prix_maj_date LIMIT 5000")
+
+
+@register("station_points", _POINTS_SQL, doubles=["latitude", "longitude"])
 def q_station_points(spark, sf):
-    # uses the seeded hash sample (W6): checked against brute force in tests
     from ..operators import anomaly, features
     w = features.group_compare(W(spark, sf), P)
     w = features.competitive_flags(w, ["economy"])

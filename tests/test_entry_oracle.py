@@ -37,7 +37,7 @@ def test_contract_keys():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     no_oracle = set(qs) - set(sqls)
-    assert no_oracle == {"iqr_bounds_approx", "bounded_sample", "station_points"}
+    assert no_oracle == {"iqr_bounds_approx"}
 
 
 def _norm(v):
