@@ -39,3 +39,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
     materialised = materialize(df, name)
     n = materialised.limit(max_rows + 1).count()
     return F.broadcast(materialised) if n <= max_rows else materialised
+
+
+def scalar_struct(one_row: DataFrame):
+    """A one-row DataFrame (a global aggregate) as a struct-valued scalar
+    subquery: ``s = scalar_struct(stats); df.select(..., s["lo"])``.
+
+    Attaches scalar statistics to every row without any join: Spark runs
+    the subquery once (repeated field reads reuse it) and the big side keeps
+    its partitioning and whole-stage code generation.  More than one row is
+    an error at run time; none gives NULL fields.
+    """
+    return one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()

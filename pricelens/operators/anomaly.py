@@ -8,6 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sizing import scalar_struct
 from .quantiles import exact_quantiles
 
 
@@ -52,14 +53,13 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], *, lower_quantile: float =
 def outlier_flags(df: DataFrame, bounds: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A2: ``is_outlier_{c}`` = strictly outside [lower, upper]; NULL -> false.
 
-    ``bounds`` has exactly one row (A1), so attaching it is a broadcast of
-    one row - the only size bound needed.
+    ``bounds`` has exactly one row (A1): it is read as a scalar subquery,
+    so the observation table is neither joined nor shuffled.
     """
-    bcols = [f"{c}_{s}" for c in columns for s in ("lower", "upper")]
-    out = df.crossJoin(F.broadcast(bounds.select(*bcols)))
-    flags = [F.coalesce((F.col(c) < F.col(f"{c}_lower")) | (F.col(c) > F.col(f"{c}_upper")),
+    b = scalar_struct(bounds.select(*[f"{c}_{s}" for c in columns for s in ("lower", "upper")]))
+    flags = [F.coalesce((F.col(c) < b[f"{c}_lower"]) | (F.col(c) > b[f"{c}_upper"]),
                         F.lit(False)).alias(f"is_outlier_{c}") for c in columns]
-    return out.select(*df.columns, *flags)
+    return df.select(*df.columns, *flags)
 
 
 def any_anomaly(df: DataFrame, *, out: str = "has_any_anomaly",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import format_date_dmy, price_bin
+from ..functions.sizing import scalar_struct
 from ..schema import PRODUCT_LABELS, mean_col
 from .lookups import map_dept_region
 from .quantiles import _join_ns, exact_quantiles
@@ -82,8 +83,8 @@ def national_deviation(df: DataFrame, product: str, *, code: str = "region_code"
     region is hidden afterwards; sorted by the gap.
     """
     c = mean_col(product)
-    nat = df.agg(F.avg(c).alias("moyenne_nationale"))
-    out = df.crossJoin(F.broadcast(nat))
+    nat = scalar_struct(df.agg(F.avg(c).alias("moyenne_nationale")))
+    out = df.select("*", nat["moyenne_nationale"].alias("moyenne_nationale"))
     out = out.select("*", (F.col(c) - F.col("moyenne_nationale")).alias("ecart"))
     out = out.withColumn("ecart_pct", F.try_divide(F.col("ecart"), F.col("moyenne_nationale")) * 100)
     return (out.filter(~F.col(code).eqNullSafe(F.lit(other)))
@@ -120,21 +121,19 @@ def histogram(df: DataFrame, value: str, *, bins: int = 20) -> DataFrame:
     last bin), every bin listed (empty ones with 0), plus the overall mean.
     """
     v = F.col(value)
-    stats = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"))
-    stats = stats.withColumn("width", (F.col("hi") - F.col("lo")) / bins)
+    st = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"))
+    st = scalar_struct(st.withColumn("width", (F.col("hi") - F.col("lo")) / bins))
     binned = (df.select(v.alias("_v")).filter(F.col("_v").isNotNull())
-              .crossJoin(F.broadcast(stats.select("lo", "width")))
-              .select(price_bin("_v", "lo", "width", bins).alias("bin")))
+              .select(price_bin("_v", st["lo"], st["width"], bins).alias("bin")))
     counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (all_bins.crossJoin(F.broadcast(stats))
-            .join(counts, "bin", "left")
+    return (all_bins.join(counts, "bin", "left")
             .select("bin",
-                    (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_start"),
-                    (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_end"),
+                    (st["lo"] + F.col("bin") * st["width"]).alias("bin_start"),
+                    (st["lo"] + (F.col("bin") + 1) * st["width"]).alias("bin_end"),
                     F.coalesce(F.col("n"), F.lit(0)).alias("n"),
-                    F.col("mean")))
+                    st["mean"].alias("mean")))
 
 
 def box_stats(df: DataFrame, value: str, *, group: str = "region_name") -> DataFrame:
@@ -153,8 +152,8 @@ def price_scale(df: DataFrame, value: str = "mean_price", *, low: float = 0.05,
     """Colour scale from the 5th to the 95th percentile (linear
     interpolation), five ticks, the range, the mean and the row count."""
     q = exact_quantiles(df, value, [low, high], names=["vmin", "vmax"])
-    stats = df.agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n"))
-    out = q.crossJoin(F.broadcast(stats))
+    st = scalar_struct(df.agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n")))
+    out = q.select("*", st["mean"].alias("mean"), st["n"].alias("n"))
     rng = F.col("vmax") - F.col("vmin")
     ticks = [(F.col("vmin") + rng * (k / 4.0)).alias(f"tick_{k + 1}") for k in range(5)]
     return out.select("vmin", "vmax", rng.alias("price_range"), *ticks, "mean", "n")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import clamp01
+from ..functions.sizing import scalar_struct
 from .ranking import bounded_sample
 from .select import drop_missing
 
@@ -67,7 +68,7 @@ def choropleth_bands(table: DataFrame, scale: DataFrame, *,
                      value: str = "mean_price") -> DataFrame:
     """V3: each area's position on the p05-p95 scale, clamped to [0, 1]
     (NULL for no-data areas or a zero-width scale)."""
-    s = F.broadcast(scale.select("vmin", "vmax"))
-    pos = F.try_divide(F.col(value) - F.col("vmin"),
-                       F.when(F.col("vmax") > F.col("vmin"), F.col("vmax") - F.col("vmin")))
-    return table.crossJoin(s).withColumn("band", clamp01(pos)).drop("vmin", "vmax")
+    s = scalar_struct(scale.select("vmin", "vmax"))
+    pos = F.try_divide(F.col(value) - s["vmin"],
+                       F.when(s["vmax"] > s["vmin"], s["vmax"] - s["vmin"]))
+    return table.withColumn("band", clamp01(pos))

@@ -28,7 +28,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sizing import broadcast_if_small, materialize
+from ..functions.sizing import broadcast_if_small, materialize, scalar_struct
 
 
 def _join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -143,5 +143,7 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
         else:
             frames.append(approx_quantiles(df, c, probs, groups=groups, accuracy=accuracy))
     if not groups:
-        return reduce(lambda a, b: a.crossJoin(b), frames)
+        # one row each: the first frame carries the others as scalar subqueries
+        rest = [(scalar_struct(f), f.columns) for f in frames[1:]]
+        return frames[0].select("*", *[s[c].alias(c) for s, cols in rest for c in cols])
     return reduce(lambda a, b: _join_ns(a, b, list(groups), how="full"), frames)

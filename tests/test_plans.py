@@ -52,3 +52,14 @@ def test_global_top_k_is_take_ordered(spark, tmpdir_path):
     p = plan(ranking.global_top_k(wide(spark, tmpdir_path), value="gazole", k=5,
                                   tiebreak=["id"]))
     assert "TakeOrderedAndProject" in p
+
+
+def test_scalar_statistics_attach_without_join(spark, tmpdir_path):
+    # IQR bounds and histogram range are one-row aggregates read as scalar
+    # subqueries: the big side is neither joined nor shuffled for them
+    from pricelens.operators import anomaly, dashboard
+    w = wide(spark, tmpdir_path)
+    for df in (anomaly.detect_anomalies(w, ["gazole"]), dashboard.histogram(w, "gazole")):
+        p = plan(df)
+        assert "Subquery" in p
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
