@@ -125,11 +125,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
         hi = F.max(F.when((F.col("_qi") == i) & (F.col("_end") == "hi"), F.col("_v")))
         frac = F.max(F.when(F.col("_qi") == i, F.col("_frac")))
         aggs.append((lo + (hi - lo) * frac).alias(n))
-    out = hits.groupBy(*g).agg(*aggs)
     if global_:
-        one = spark.range(1).select(F.lit(0).alias("_one"))
-        out = one.join(out, on="_one", how="left").drop("_one")
-    return out
+        # a global aggregate has exactly one row (NULLs when there are no values)
+        return hits.agg(*aggs)
+    return hits.groupBy(*g).agg(*aggs)
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
