@@ -55,7 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    Only when it is unset on a local master (tests) a scratch folder is
+    created; on a cluster an unset folder is an error, never a folder on
+    one machine's disk.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -64,6 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the "
+                           "cluster's distributed file system); lineage cuts are written there")
     # spark.checkpoint.dir is a core setting and cannot be changed on a
     # running session; the context's checkpoint folder can.
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="pricelens-ckpt-"))
