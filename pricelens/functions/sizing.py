@@ -3,8 +3,9 @@
 A derived side such as "mean per region" or "latest date per product" has
 one row per group, and the number of groups is data-dependent, so it has
 no static size bound.  ``broadcast_if_small`` materialises it once as a
-Parquet table in the shared checkpoint folder, counts its rows against
-``max_rows`` and only then hints a broadcast; above the bound the join is
+Parquet table in the shared checkpoint folder, checks its rows against
+``max_rows`` and its size against ``max_bytes``, and only then hints a
+broadcast; above the bound the join is
 left to the planner (sort-merge, with AQE skew splitting).  The count reads
 the materialised copy, so the aggregate is computed once either way.
 
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 DEFAULT_MAX_ROWS = 200_000
+DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -35,10 +37,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
-                       name: str = "small") -> DataFrame:
+                       max_bytes: int = DEFAULT_MAX_BYTES, name: str = "small") -> DataFrame:
+    """Materialise ``df``; hint a broadcast only if it has at most ``max_rows``
+    rows and at most ``max_bytes`` of row text (JSON length, an over-estimate
+    of the in-memory size).  The check reads at most ``max_rows + 1`` rows of
+    the materialised copy and returns one row of two numbers."""
     materialised = materialize(df, name)
-    n = materialised.limit(max_rows + 1).count()
-    return F.broadcast(materialised) if n <= max_rows else materialised
+    head = materialised.limit(max_rows + 1)
+    row_text = F.length(F.to_json(F.struct(*[F.col(c) for c in materialised.columns])))
+    n, size = head.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_text), F.lit(0))).first()
+    small = n <= max_rows and size <= max_bytes
+    return F.broadcast(materialised) if small else materialised
 
 
 def scalar_struct(one_row: DataFrame):

@@ -63,3 +63,24 @@ def test_scalar_statistics_attach_without_join(spark, tmpdir_path):
         p = plan(df)
         assert "Subquery" in p
         assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_broadcast_if_small_checks_rows_and_bytes(spark):
+    from pricelens.functions.sizing import broadcast_if_small
+    big = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
+    small = spark.range(10).withColumnRenamed("id", "k")
+
+    def hinted(side, **kw):
+        p = plan(big.join(broadcast_if_small(small, **kw), "k", "left"))
+        return "BroadcastHashJoin" in p
+    assert hinted(small)
+    # a bound the side exceeds drops the hint (the planner then picks by statistics)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert hinted(small)
+        assert not hinted(small, max_rows=5)
+        assert not hinted(small, max_bytes=20)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
