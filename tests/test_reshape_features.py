@@ -105,3 +105,46 @@ def test_features_independent_of_partitioning(spark):
     b = features.add_features(base.repartition(5), ["gazole", "sp95"], flagged=["gazole"])
     key = lambda r: (r.id, r.prix_maj_date)
     assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
+
+
+def test_hot_entity_pivot_means_lag_vs_brute_force(spark):
+    # one entity holds a third of the rows; results must equal a pandas
+    # brute force (latest valid value, rounded region mean, lag by date)
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(7)
+    rows = []
+    ents = [("hot", "11")] + [(f"e{i}", "11" if i % 2 else "84") for i in range(60)]
+    for ent, reg in ents:
+        n = 600 if ent == "hot" else 20
+        for k in range(n):
+            v = None if rng.random() < 0.1 else float(np.round(rng.uniform(1, 2), 2))
+            day = 1 + int(rng.integers(0, 28))
+            rows.append((ent, reg, ["Gazole", "SP95"][k % 2], v,
+                         f"2025-01-{day:02d}T{k % 24:02d}:{k % 60:02d}:00", f"{ent}-{k}",
+                         f"2025-01-{day:02d}"))
+    schema = ("id string, region_code string, prix_nom string, prix_valeur double, "
+              "prix_maj string, prix_id string, prix_maj_date string")
+    long = spark.createDataFrame(rows, schema).repartition(6)
+    wide = reshape.pivot_wide(long, ["Gazole", "SP95"])
+    out = features.lag_change(features.group_compare(wide, ["gazole"]), "gazole",
+                              order=["prix_maj_date"])
+    got = {(r.id, r.prix_maj_date): (r.gazole, r.gazole_moy_region, r.gazole_evolution)
+           for r in out.collect()}
+
+    pdf = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+    valid = pdf[pdf.prix_valeur.notna()].sort_values(["prix_maj", "prix_id"])
+    last = valid.groupby(["id", "region_code", "prix_maj_date", "prix_nom"]).prix_valeur.last()
+    w = pdf[["id", "region_code", "prix_maj_date"]].drop_duplicates().set_index(
+        ["id", "region_code", "prix_maj_date"])
+    w["gazole"] = last.xs("Gazole", level="prix_nom")
+    w = w.reset_index()
+    means = w.groupby("region_code").gazole.mean()
+    w = w.sort_values(["id", "prix_maj_date"])
+    w["evo"] = w.gazole - w.groupby("id").gazole.shift(1)
+    assert len(got) == len(w)
+    for r in w.itertuples():
+        g, m, e = got[(r.id, r.prix_maj_date)]
+        assert (g is None and pd.isna(r.gazole)) or abs(g - r.gazole) < 1e-12
+        assert abs(m - round(means[r.region_code], 3)) < 1e-9
+        assert (e is None and pd.isna(r.evo)) or abs(e - r.evo) < 1e-9
