@@ -84,3 +84,14 @@ def test_broadcast_if_small_checks_rows_and_bytes(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_scalar_statistics_computed_once(spark, tmpdir_path):
+    # six products x two bounds read one struct subquery: after execution
+    # the repeated reads are ReusedSubquery, not separate jobs
+    from pricelens.operators import anomaly
+    w = wide(spark, tmpdir_path).withColumn("sp95", F.col("gazole") + 0.1)
+    df = anomaly.detect_anomalies(w, ["gazole", "sp95"])
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedSubquery" in p
