@@ -92,7 +92,7 @@ def main() -> int:
 
     cat = load_all()
     for name in ("agg_by_region", "agg_by_department_date", "top_n_per_group",
-                 "iqr_bounds", "pipeline_detailed", "pipeline_map"):
+                 "iqr_bounds", "pipeline_detailed", "pipeline_map", "bounded_sample"):
         timed(f"q_{name}", lambda n=name: run(cat[n].spark(spark, sf_dir)))
 
     stages = ["json_read", "clean_pivot", "features_anomalies_write", "aggregations_x8",
