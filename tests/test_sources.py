@@ -89,3 +89,27 @@ def test_landing_enrich_and_audit(spark):
     assert abs(audit.file_size_mb - len(text) / 2 ** 20) < 1e-12
     assert [f.name for f in schema.SIDECAR][:4] == ["dataset_name", "ingestion_timestamp",
                                                     "ingestion_date", "source_url"]
+
+
+def test_checkpoint_dir_required_off_local_masters():
+    # lineage cuts never go to one machine's disk on a cluster
+    from pricelens.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
+    Context.getCheckpointDir = lambda self: "hdfs:///shared/ckpt"
+    assert ensure_checkpoint_dir(Session()) == "hdfs:///shared/ckpt"
