@@ -131,7 +131,7 @@ def map_slice(dept_date: DataFrame, products: Sequence[str], *, year: int | None
 
 
 def main(argv=None) -> int:
-    from ..session import build_session
+    from ..session import build_session, shuffle_partitions_for
 
     ap = argparse.ArgumentParser(description="landed snapshots -> detailed table + marts")
     ap.add_argument("raw_path")
@@ -143,6 +143,12 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
     spark = build_session("pricelens-transform", shuffle_partitions=args.shuffle_partitions)
     try:
+        if args.shuffle_partitions is None:
+            # size the shuffles from the landed input instead of a fixed default
+            glob = args.glob if args.format in ("json", "jsonl") else None
+            nbytes = files.input_bytes(spark, args.raw_path, glob)
+            parts = shuffle_partitions_for(nbytes, spark.sparkContext.defaultParallelism)
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
         detailed = run_detailed(spark, args.raw_path, args.out_base, fmt=args.format,
                                 glob=args.glob, price_range=tuple(args.price_range))
         run_marts(spark, detailed, args.out_base)

@@ -79,3 +79,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def shuffle_partitions_for(input_bytes: int, cores: int, *,
+                           bytes_per_partition: int = 256 * 1024 * 1024,
+                           min_per_core: int = 2, max_per_core: int = 25) -> int:
+    """Shuffle partition count for a job reading ``input_bytes``.
+
+    About ``bytes_per_partition`` of input per shuffle partition, so a
+    partition's sort and aggregation buffers fit in an executor core's
+    memory, kept between ``min_per_core`` and ``max_per_core`` times the
+    cluster's cores (AQE merges partitions that turn out small, but never
+    splits a large one outside skew joins).
+    """
+    by_size = -(-max(input_bytes, 0) // bytes_per_partition)
+    lo = max(1, min_per_core * cores)
+    return int(min(max(by_size, lo), max(lo, max_per_core * cores)))

@@ -161,3 +161,16 @@ def load_all_marts(spark: SparkSession, base: str,
 def export_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """CSV export with a header line."""
     write_table(df, path, fmt="csv", mode=mode)
+
+
+def input_bytes(spark: SparkSession, path: str, glob: str | None = None) -> int:
+    """Total size of the files under ``path`` (matching ``glob``).
+
+    A distributed listing through the ``binaryFile`` source that reads only
+    the ``length`` column, so file contents are never loaded.
+    """
+    r = spark.read.format("binaryFile")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    total = r.load(path).select("length").agg(F.sum("length")).first()[0]
+    return int(total or 0)

@@ -52,3 +52,24 @@ def test_run_detailed_and_marts(spark, tmpdir_path):
     least = files.load_mart(spark, out + "/aggregations", "least_expensive").collect()
     assert all(r.gazole is not None for r in least)
     assert det.filter(F.col("departement") == "2A").count() == 1   # codes stay strings
+
+
+def test_shuffle_partitions_from_input_size(spark, tmpdir_path):
+    from pricelens import schema
+    from pricelens.session import shuffle_partitions_for
+    raw = os.path.join(tmpdir_path, "sized")
+    os.makedirs(raw)
+    for name, n in (("carburants_2025-01-15.json", 3), ("carburants_2025-01-16.json", 5),
+                    ("carburants_2025-01-16_metadata.json", 1)):
+        with open(os.path.join(raw, name), "w") as f:
+            json.dump([rec(i, "75001", "Gazole", "1.7", "2025-01-15T08:00:00")
+                       for i in range(n)], f)
+    want = sum(os.path.getsize(os.path.join(raw, n)) for n in os.listdir(raw)
+               if not n.endswith("_metadata.json"))
+    assert files.input_bytes(spark, raw, schema.SNAPSHOT_GLOB) == want
+    mb = 1024 * 1024
+    assert shuffle_partitions_for(0, 8) == 16                   # floor: 2 per core
+    assert shuffle_partitions_for(100 * 1024 * 1024 * mb, 8) == 200   # cap: 25 per core
+    assert shuffle_partitions_for(10 * 1024 * mb, 4000) == 8000
+    assert shuffle_partitions_for(100 * 1024 * 1024 * mb, 4000) == 100000  # ~1 GB each
+    assert shuffle_partitions_for(10 * 1024 * 1024 * mb, 4000) == 40960    # 256 MB each
