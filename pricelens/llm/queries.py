@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
+from . import decontaminate, ngram_join
 from .common import table
 
 
@@ -17,7 +17,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       digest.alias("items_sha256"), "contaminated")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op7_ngram_join": op7_ngram_join,
     "op6_decontaminate": op6_decontaminate,
 }
 
@@ -55,6 +60,28 @@ SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words,
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i
+        FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+           FROM sh x JOIN sh y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+          WHERE 100 * c >= 80 * (p.n + q.n - c)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM both_ways UNION
+          SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+       least(w.doc_id, coalesce((SELECT min(b) FROM reach WHERE reach.a = w.doc_id), w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id)
+"""
+
 ORACLES = {
+    "op7_ngram_join": OP7_SQL,
     "op6_decontaminate": OP6_SQL,
 }
