@@ -30,16 +30,23 @@ BLOCK_BYTES = 8 << 20
 
 
 def dealt(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          batch_bytes: int = BATCH_BYTES, block_bytes: int = BLOCK_BYTES
-          ) -> tuple[DataFrame, int]:
-    """((batch int, doc_id, text) of all rows, number of blocks)."""
+          batch_bytes: int = BATCH_BYTES, block_bytes: int = BLOCK_BYTES,
+          carry: bool = False) -> tuple[DataFrame, int]:
+    """((batch int, doc_id, text) of all rows, number of blocks); with
+    ``carry`` the other columns come along in a struct ``row``, and ``no_text``
+    marks NULL texts."""
     base = keyed_text(docs, id_col, text_col)
     n = text_bytes(base)
+    if carry:
+        base = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                           F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                           F.col(text_col).isNull().alias("no_text"),
+                           F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("row"))
     batches = block_count(docs.sparkSession, n, batch_bytes)
     blocks = block_count(docs.sparkSession, n, block_bytes)
     # rows of one id (or of no id) spread by their length
     batch = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(batches)).cast("int")
-    return base.select(batch.alias("batch"), "doc_id", "text"), blocks
+    return base.select(batch.alias("batch"), *base.columns), blocks
 
 
 def block_of(g: np.ndarray, blocks: int) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join
+from . import decontaminate, ngram_join, substring_dedup
 from .common import table
 
 
@@ -21,7 +21,14 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed",
+                      F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op6_decontaminate": op6_decontaminate,
 }
@@ -81,7 +88,26 @@ SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
 FROM w LEFT JOIN n USING (doc_id)
 """
 
+OP5_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+least_doc AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+         FROM win JOIN least_doc USING (g) WHERE doc_id > m),
+word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+         FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 ORACLES = {
+    "op5_substring_dedup": OP5_SQL,
     "op7_ngram_join": OP7_SQL,
     "op6_decontaminate": OP6_SQL,
 }

@@ -151,3 +151,28 @@ def ragged(values: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> np.nda
     step[0] = starts[0]
     step[ends[:-1]] = starts[1:] - (starts[:-1] + size[:-1] - 1)
     return values[np.cumsum(step)]
+
+
+def spans(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """values[s:e] for each pair of start and end, end to end."""
+    both = np.empty(2 * len(start), dtype=np.int64)
+    both[0::2], both[1::2] = start, end
+    return ragged(values, both, np.arange(0, 2 * len(start), 2))
+
+
+def joined_words(w: Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of each text's kept words, joined by one space."""
+    kept = np.flatnonzero(keep)
+    start, end = w.start[kept], w.end[kept]
+    out = spans(np.append(w.data, np.uint8(0x20)), start, end + 1)
+    size = end - start + 1
+    total = np.concatenate(([0], np.cumsum(size)))
+    out[total[1:] - 1] = 0x20
+    # the space after the last kept word of a text goes
+    cut = np.searchsorted(kept, w.first)
+    off = total[cut]
+    some = off[1:] > off[:-1]
+    keep_byte = np.ones(len(out), dtype=bool)
+    keep_byte[off[1:][some] - 1] = False
+    size_of = np.diff(off) - some
+    return out[keep_byte], np.concatenate(([0], np.cumsum(size_of)))
