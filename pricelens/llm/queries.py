@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, substring_dedup
-from .common import table
+from . import byte_bpe, decontaminate, langid, ngram_join, substring_dedup
+from .common import held_out, table
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +28,26 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out("doc_id", 4, 2)
+    model = langid.fit(docs, ~out)
+    got = langid.identify(docs.select("doc_id", "text"), model)
+    return got.select("doc_id", out.alias("held_out"), "langid.lang_pred", "langid.score",
+                      "langid.margin", "langid.rejected")
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = byte_bpe.encode_decode(table(spark, sf_dir, "documents"), vocab)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return out.select("doc_id", "n_tokens", F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
+    "op8_language_id": op8_language_id,
+    "op10_byte_bpe": op10_byte_bpe,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op6_decontaminate": op6_decontaminate,
