@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, langid, ngram_join, substring_dedup
+from . import byte_bpe, decontaminate, langid, ngram_join, substring_dedup, token_store
+from ..session import scratch_path
 from .common import held_out, table
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    store = token_store.write_store(docs, scratch_path(spark, f"token-store/{uuid.uuid4().hex}"),
+                                    public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    got = token_store.lookup(store, docs)
+    return got.select(F.col("key").alias("doc_id"), "start", "n_tokens",
+                      F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(table(spark, sf_dir, "documents"),
                                       table(spark, sf_dir, "benchmark"))
@@ -46,6 +58,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_store": op2_token_store,
     "op8_language_id": op8_language_id,
     "op10_byte_bpe": op10_byte_bpe,
     "op5_substring_dedup": op5_substring_dedup,
