@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import block_count, keyed_text, text_bytes
-from .exchange import cells
+from .exchange import cells, planes, unplanes
 from .textvec import ragged, spans
 
 BATCH_BYTES = 8 << 20
@@ -83,21 +83,6 @@ _CUT = pa.schema([("batch", pa.int64()), ("part", pa.int32()), ("ids", pa.list_(
                   ("nums", pa.binary()), ("body", pa.binary())])
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Codes as four byte planes, compressed (high planes are nearly constant)."""
-    import zstandard
-
-    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def _unplanes(data: bytes) -> np.ndarray:
-    import zstandard
-
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1)
-
-
 class _Batch:
     """Texts of one batch as they arrive: codes of their chunks."""
 
@@ -136,7 +121,7 @@ class _Batch:
         seq = ragged(np.array(pieces, dtype=np.uint32), off, chunks)
         ends = np.concatenate(([0], np.cumsum((off[1:] - off[:-1])[chunks])))
         bounds = ends[np.concatenate(([0], np.cumsum(self.lengths, dtype=np.int64)))]
-        yield batch, -1, self.ids, bounds.astype(np.int64).tobytes(), _planes(seq)
+        yield batch, -1, self.ids, bounds.astype(np.int64).tobytes(), planes(seq)
         pack = zstandard.ZstdCompressor(level=1).compress
         raw = [w.encode() for w in words]
         part = np.array([zlib.crc32(w) % parts for w in raw], dtype=np.int64)
@@ -199,8 +184,8 @@ def _encode(vocab: Vocabulary):
                     got = known[w] = encode(w.decode())
                 counts.append(len(got))
                 ids.extend(got)
-            nums.append(_planes(np.array(counts, dtype=np.uint32)))
-            body.append(_planes(np.array(ids, dtype=np.uint32)))
+            nums.append(planes(np.array(counts, dtype=np.uint32)))
+            body.append(planes(np.array(ids, dtype=np.uint32)))
         return pa.table([table.column("batch"), table.column("part"), pa.array(nums, pa.binary()),
                          pa.array(body, pa.binary())], names=["batch", "part", "counts", "tokens"])
     return run
@@ -233,15 +218,15 @@ def _assemble(vocab: Vocabulary):
         codes, counts, tokens = [], [], []
         for n, c, t in zip(asked.column("nums"), told.column("counts"), told.column("tokens")):
             codes.append(np.frombuffer(n.as_buffer(), dtype=np.uint32).reshape(2, -1)[0])
-            counts.append(_unplanes(c.as_py()))
-            tokens.append(_unplanes(t.as_py()))
+            counts.append(unplanes(c.as_py()))
+            tokens.append(unplanes(t.as_py()))
         codes, counts, tokens = (np.concatenate(x) if x else np.zeros(0, np.uint32)
                                  for x in (codes, counts, tokens))
         # offsets of each pre-token's ids, by its code
         begin = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
         start, end = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
         start[codes], end[codes] = begin[:-1], begin[1:]
-        seq = _unplanes(own.column("body")[0].as_py()).astype(np.int64)
+        seq = unplanes(own.column("body")[0].as_py()).astype(np.int64)
         bounds = np.frombuffer(own.column("nums")[0].as_buffer(), dtype=np.int64)
         ids = spans(tokens, start[seq], end[seq]).astype(np.int64)
         total = np.concatenate(([0], np.cumsum((end - start)[seq])))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, langid, ngram_join, substring_dedup, token_store
+from . import byte_bpe, decontaminate, exact_topk, langid, ngram_join, substring_dedup, token_store
 from ..session import scratch_path
 from .common import held_out, table
 
@@ -22,6 +22,11 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = exact_topk.quantised(table(spark, sf_dir, "embeddings"))
+    return exact_topk.topk(vectors.filter("vec_id % 20 = 0"), vectors)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(table(spark, sf_dir, "documents"),
                                       table(spark, sf_dir, "benchmark"))
@@ -58,6 +63,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_exact_topk": op4_exact_topk,
     "op2_token_store": op2_token_store,
     "op8_language_id": op8_language_id,
     "op10_byte_bpe": op10_byte_bpe,
@@ -139,7 +145,23 @@ SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS
 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.x, v.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.x) = len(v.x) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 20
+"""
+
 ORACLES = {
+    "op4_exact_topk": OP4_SQL,
     "op5_substring_dedup": OP5_SQL,
     "op7_ngram_join": OP7_SQL,
     "op6_decontaminate": OP6_SQL,
