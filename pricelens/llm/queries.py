@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, exact_topk, langid, ngram_join, substring_dedup, token_store
+from . import byte_bpe, decontaminate, exact_topk, langid, lattice_lm, ngram_join, substring_dedup, token_store
 from ..session import scratch_path
 from .common import held_out, table
 
@@ -22,6 +22,14 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out("doc_id", 7, 2)
+    got = lattice_lm.scores(table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("piece_bpe_32k.model"), ~out)
+    return got.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score", "lattice_score")
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = exact_topk.quantised(table(spark, sf_dir, "embeddings"))
     return exact_topk.topk(vectors.filter("vec_id % 20 = 0"), vectors)
@@ -63,6 +71,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_lattice_lm": op3_lattice_lm,
     "op4_exact_topk": op4_exact_topk,
     "op2_token_store": op2_token_store,
     "op8_language_id": op8_language_id,
