@@ -8,11 +8,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, exact_topk, langid, lattice_lm, ngram_join, substring_dedup, token_store
 from ..session import scratch_path
+from . import (byte_bpe, decontaminate, exact_topk, langid, lattice_lm, ngram_join, substring_dedup,
+               token_counts, token_store, toxicity)
 from .common import held_out, table
 
 
+def _ranks() -> byte_bpe.Vocabulary:
+    return byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document: section -1 holds the document's
+    unattributed tokens (0 for lines, which cover the text)."""
+    got = token_counts.section_tokens(table(spark, sf_dir, "documents"), _ranks())
+    none = F.struct(F.lit("-1").alias("name"), F.lit(0).alias("start"), F.lit(0).alias("end"),
+                    F.col("unattributed").alias("n_tokens"))
+    rows = got.select("doc_id", F.col("n_tokens").alias("doc_tokens"),
+                      F.explode(F.concat(F.array(none), "sections")).alias("s"))
+    return rows.select("doc_id", "doc_tokens", F.col("s.name").cast("int").alias("section"),
+                       F.col("s.start").alias("start_char"), F.col("s.end").alias("end_char"),
+                       F.col("s.n_tokens").alias("n_tokens"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     store = token_store.write_store(docs, scratch_path(spark, f"token-store/{uuid.uuid4().hex}"),
@@ -62,23 +80,30 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "langid.margin", "langid.rejected")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out("doc_id", 5, 0)
+    got = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~out)
+    return got.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocab = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    out = byte_bpe.encode_decode(table(spark, sf_dir, "documents"), vocab)
+    out = byte_bpe.encode_decode(table(spark, sf_dir, "documents"), _ranks())
     decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
     return out.select("doc_id", "n_tokens", F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op2_token_store": op2_token_store,
     "op3_lattice_lm": op3_lattice_lm,
     "op4_exact_topk": op4_exact_topk,
-    "op2_token_store": op2_token_store,
-    "op8_language_id": op8_language_id,
-    "op10_byte_bpe": op10_byte_bpe,
     "op5_substring_dedup": op5_substring_dedup,
-    "op7_ngram_join": op7_ngram_join,
     "op6_decontaminate": op6_decontaminate,
+    "op7_ngram_join": op7_ngram_join,
+    "op8_language_id": op8_language_id,
+    "op9_toxicity": op9_toxicity,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 # --- DuckDB SQL ----------------------------------------------------------------
