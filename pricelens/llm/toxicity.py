@@ -6,7 +6,9 @@
    chosen; they are the dimensions of the vector space.
 2. *Vectors.*  One pass over all texts counts the terms (an Aho-Corasick
    automaton over the whole text).  Document frequencies over all documents
-   give idf; weights are (1 + ln tf) * idf, vectors have length one.
+   give idf; weights are (1 + ln tf) * idf, vectors have length one.  All other
+   words of a text that has a term are one more dimension (idf 1, as every
+   text has them), so one chance hit in a long text is far from many in a short.
 3. *Index.*  The examples' vectors form an inverted index in blocks of
    neighbouring examples; each term has its greatest weight in each block.  A
    text visits blocks in falling order of the cosine that their maxima allow
@@ -37,7 +39,7 @@ TERMS = 256
 MIN_CHI2 = 30.0
 MIN_DOCS = 5
 PREFIXES = (4, 5, 6, 7)
-K = 25
+K = 15
 SHRINK = 0.25
 BLOCK = 128
 
@@ -93,7 +95,8 @@ def choose_terms(examples: DataFrame, terms: int = TERMS) -> list[bytes]:
 # --- 2: vectors ------------------------------------------------------------------------
 
 def _count(terms: list[bytes]):
-    """Counts of the terms in each text, and the row's id."""
+    """Counts of the terms in each text; under the number after the last term
+    all words of a text that has one."""
     def run(batches):
         import ahocorasick
 
@@ -106,7 +109,9 @@ def _count(terms: list[bytes]):
             at, tf = [], []
             for text in b.column("text"):
                 raw = plain(text.as_py()).decode("latin-1")
-                got = Counter(i for _, i in auto.iter(raw)) if terms else {}
+                got = Counter(i for _, i in auto.iter(raw)) if terms else Counter()
+                if got:
+                    got[len(terms)] = len(raw.split())
                 keys = sorted(got)
                 at.append(keys)
                 tf.append([got[k] for k in keys])
@@ -243,7 +248,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column | None = Non
     n = vectors.count()
     df = {r["i"]: r["n"] for r in vectors.select(F.explode("at").alias("i")).groupBy("i")
           .agg(F.count(F.lit(1)).alias("n")).collect()}           # a row per term
-    idf = np.array([np.log((1 + n) / (1 + df.get(i, 0))) + 1.0 for i in range(len(words))])
+    idf = np.array([np.log((1 + n) / (1 + df.get(i, 0))) + 1.0 for i in range(len(words))] + [1.0])
     known = vectors.join(chosen, vectors["doc_id"] == chosen["key"]).groupBy("key").agg(
         F.min(F.struct("at", "tf", "label")).alias("v"))
     rows = [(r["key"], r["v"]["label"], r["v"]["at"], r["v"]["tf"])
