@@ -26,28 +26,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.llm import byte_bpe, decontaminate, langid, ngram_join, substring_dedup
-from pricelens.llm.common import held_out, table
+from pricelens.llm.common import held_out, ship, table
 from pricelens.session import scratch_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     model = langid.fit(docs, ~held_out("doc_id", 4, 2))
     return langid.keep_identified(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return ngram_join.one_per_group(docs)
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return substring_dedup.remove_repeats(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     vocab = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     out = byte_bpe.encode_decode(docs, vocab)
     decimal = F.array_join(F.col("ids").cast("array<string>"), " ")

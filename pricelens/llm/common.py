@@ -3,13 +3,34 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sizing import materialize
 
-__all__ = ["materialize", "table", "keyed_text", "text_bytes", "block_count", "held_out"]
+__all__ = ["materialize", "ship", "table", "keyed_text", "text_bytes", "block_count", "held_out"]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the executors' Python import this package: once per application the
+    package's sources are added with ``addPyFile`` (what ``--py-files`` does),
+    unless it runs from an archive already."""
+    sc, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if sc.applicationId in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 import public_tokenizers
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import (byte_bpe, decontaminate, exact_topk, langid, lattice_lm, ngram_join, substring_dedup,
                token_counts, token_store, toxicity)
-from .common import held_out, table
+from .common import held_out, ship, table
 
 
 def _ranks() -> byte_bpe.Vocabulary:
@@ -93,18 +94,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {
-    "op1_token_counts": op1_token_counts,
-    "op2_token_store": op2_token_store,
-    "op3_lattice_lm": op3_lattice_lm,
-    "op4_exact_topk": op4_exact_topk,
-    "op5_substring_dedup": op5_substring_dedup,
-    "op6_decontaminate": op6_decontaminate,
-    "op7_ngram_join": op7_ngram_join,
-    "op8_language_id": op8_language_id,
-    "op9_toxicity": op9_toxicity,
-    "op10_byte_bpe": op10_byte_bpe,
-}
+def _shipped(query):
+    """The query, once the executors can import this package."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+    return run
+
+
+QUERIES = {q.__name__: _shipped(q) for q in (
+    op1_token_counts, op2_token_store, op3_lattice_lm, op4_exact_topk, op5_substring_dedup,
+    op6_decontaminate, op7_ngram_join, op8_language_id, op9_toxicity, op10_byte_bpe)}
 
 # --- DuckDB SQL ----------------------------------------------------------------
 
