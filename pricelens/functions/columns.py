@@ -19,6 +19,11 @@ def normalized_name(name: str) -> str:
     return name.strip().replace(" ", "_").replace("-", "_").lower()
 
 
+def normalized(c) -> Column:
+    """``normalized_name`` of a text column's values."""
+    return F.lower(F.translate(F.trim(_col(c)), " -", "__"))
+
+
 def pad_code(c, width: int) -> Column:
     """Left-pad a code with zeros up to ``width``; longer codes stay whole.
 
@@ -30,8 +35,9 @@ def pad_code(c, width: int) -> Column:
 
 
 def tidy_label(c) -> Column:
-    """Display label of a measure column: drop an ``avg_`` prefix, upper-case."""
-    return F.upper(F.regexp_replace(_col(c), r"^avg_", ""))
+    """Display label of a measure column: the product's name in upper case,
+    without the mark of a mean (``avg_`` before it or ``_moyen`` after it)."""
+    return F.upper(F.regexp_replace(_col(c), r"^avg_|_moyen$", ""))
 
 
 def format_price(c, decimals: int = 3, unit: str = "€") -> Column:

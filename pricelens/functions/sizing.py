@@ -36,15 +36,29 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` wrote, once no plan that
+    reads it will run again.  Any other table raises."""
+    spark = df.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    base = scratch_path(spark, "materialized/").split(":", 1)[-1].lstrip("/")
+    for folder in folders:
+        if base not in folder:
+            raise ValueError(f"{folder} is not an intermediate table")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                        max_bytes: int = DEFAULT_MAX_BYTES, name: str = "small") -> DataFrame:
     """Materialise ``df``; hint a broadcast only if it has at most ``max_rows``
-    rows and at most ``max_bytes`` of row text (JSON length, an over-estimate
-    of the in-memory size).  The check reads at most ``max_rows + 1`` rows of
+    rows and at most ``max_bytes`` by its rows' text and 16 bytes a field (NULL
+    fields have no text but a slot).  The check reads at most ``max_rows + 1`` rows of
     the materialised copy and returns one row of two numbers."""
     materialised = materialize(df, name)
     head = materialised.limit(max_rows + 1)
-    row_text = F.length(F.to_json(F.struct(*[F.col(c) for c in materialised.columns])))
+    row_text = (F.octet_length(F.to_json(F.struct(*[F.col(c) for c in materialised.columns])))
+                + 16 * len(materialised.columns))
     n, size = head.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_text), F.lit(0))).first()
     small = n <= max_rows and size <= max_bytes
     return F.broadcast(materialised) if small else materialised

@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sizing import scalar_struct
+from ..functions.sizing import materialize, scalar_struct
 from .quantiles import exact_quantiles
 
 
@@ -73,16 +73,20 @@ def any_anomaly(df: DataFrame, *, out: str = "has_any_anomaly",
 
 def detect_anomalies(df: DataFrame, products: Sequence[str], *, method: str = "exact",
                      accuracy: int = 10000, iqr_multiplier: float = 1.5,
-                     bounds_from: DataFrame | None = None) -> DataFrame:
+                     bounds_from: DataFrame | None = None, once: bool = True) -> DataFrame:
     """A1-A3 for every product column present.
 
     ``bounds_from`` (default ``df``) is the table the quantiles are taken
     from - pass the narrow wide table rather than a feature-laden one so
-    the quantile pass reads only the product columns.
+    the quantile pass reads only the product columns.  Without it the rows are
+    read twice and first written once (``once=False`` for a table that lies in
+    files already).
     """
     ps = [p for p in products if p in df.columns]
     if not ps:
         return df
+    if bounds_from is None and once:
+        df = materialize(df, "flagged-rows")
     src = bounds_from if bounds_from is not None else df
     bounds = iqr_bounds(src.select(*ps), ps, method=method, accuracy=accuracy,
                         iqr_multiplier=iqr_multiplier)

@@ -111,26 +111,31 @@ def validate_range(df: DataFrame, column: str = "prix_valeur", *, low: float = 0
 
 
 def parse_date_year(df: DataFrame, *, ts: str = "prix_maj", date_out: str = "prix_maj_date",
-                    year_out: str = "annee") -> DataFrame:
+                    year_out: str = "annee", time_out: str = "prix_maj_ts") -> DataFrame:
     """Observation date (date part of an ISO timestamp text, malformed ->
-    NULL) and its year."""
+    NULL), its year, and the moment itself (offsets applied), by which the
+    pivot finds the latest observation."""
     if ts not in df.columns:
         return df
     d = F.col(ts).try_cast("date")
-    return df.withColumn(date_out, d).withColumn(year_out, F.year(F.col(date_out)))
+    return (df.withColumn(date_out, d).withColumn(year_out, F.year(F.col(date_out)))
+              .withColumn(time_out, F.col(ts).try_cast("timestamp")))
 
 
 def clean_report(df: DataFrame, keys: Sequence[str] = ("id", "cp", "ville")) -> DataFrame:
     """Rows in, rows kept by P2, rows removed and removed percent - one
-    aggregate over the input (no second scan of the cleaned table)."""
+    aggregate over the input (no second scan of the cleaned table).  For a scan
+    with the corrupt column ``rows_corrupt`` counts corrupt records; they are
+    among the rows in and, having no keys, among the rows removed."""
     keep = None
     for k in keys:
         c = F.col(k).isNotNull()
         keep = c if keep is None else keep & c
+    corrupt = [F.count(schema.CORRUPT).alias("rows_corrupt")] if schema.CORRUPT in df.columns else []
     agg = df.agg(F.count(F.lit(1)).alias("rows_in"),
-                 F.count_if(keep).alias("rows_out"))
+                 F.count_if(keep).alias("rows_out"), *corrupt)
     return agg.select(
-        "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("rows_removed"),
+        "rows_in", "rows_out", *(["rows_corrupt"] if corrupt else []), (F.col("rows_in") - F.col("rows_out")).alias("rows_removed"),
         F.when(F.col("rows_in") > 0,
                (F.col("rows_in") - F.col("rows_out")) * 100.0 / F.col("rows_in"))
         .otherwise(F.lit(0.0)).alias("removed_pct"))

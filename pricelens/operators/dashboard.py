@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import format_date_dmy, price_bin
-from ..functions.sizing import scalar_struct
+from ..functions.sizing import materialize, scalar_struct
 from ..schema import PRODUCT_LABELS, mean_col
 from .lookups import map_dept_region
 from .quantiles import _join_ns, exact_quantiles
@@ -51,10 +51,12 @@ def national_evolution(df: DataFrame, *, date: str = "date",
 
 
 def kpi_cards(df: DataFrame, *, value: str = "mean_price",
-              area: str = "departement") -> DataFrame:
-    """Mean, min and max of the slice and its number of rows (areas)."""
+              area: str | None = None) -> DataFrame:
+    """Mean, min and max of the slice and its number of areas: its rows, or
+    the distinct values of ``area`` where a slice has several rows for one."""
+    n = F.count(F.lit(1)) if area is None else F.count_distinct(area)
     return df.agg(F.avg(value).alias("avg_price"), F.min(value).alias("min_price"),
-                  F.max(value).alias("max_price"), F.count(F.lit(1)).alias("n_areas"))
+                  F.max(value).alias("max_price"), n.alias("n_areas"))
 
 
 def overview_means(df: DataFrame, products: Sequence[str]) -> DataFrame:
@@ -137,10 +139,12 @@ def histogram(df: DataFrame, value: str, *, bins: int = 20) -> DataFrame:
 
 
 def box_stats(df: DataFrame, value: str, *, group: str = "region_name") -> DataFrame:
-    """Min, quartiles, median and max per group (exact, distributed)."""
+    """Min, quartiles, median and max per group (exact, distributed).  The
+    two columns are written once; all statistics read them there."""
+    df = materialize(df.select(group, value).filter(F.col(value).isNotNull()), "box-values")
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75], groups=[group],
                         names=["q1", "median", "q3"])
-    mm = df.filter(F.col(value).isNotNull()).groupBy(group).agg(
+    mm = df.groupBy(group).agg(
         F.min(value).alias("min"), F.max(value).alias("max"),
         F.count(F.lit(1)).alias("n"))
     return _join_ns(mm, q, [group], how="left").select(group, "min", "q1", "median", "q3",

@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sizing import broadcast_if_small
+from ..functions.sizing import broadcast_if_small, materialize
 
 
 def _present(df, products):
@@ -38,7 +38,7 @@ def row_mean_available(df: DataFrame, products: Sequence[str], *,
 
 def group_compare(df: DataFrame, products: Sequence[str], *,
                   group: Sequence[str] = ("region_code",), suffix: str = "region",
-                  digits: int = 3) -> DataFrame:
+                  digits: int = 3, once: bool = True) -> DataFrame:
     """Group mean on every row, difference and percent difference.
 
     ``{p}_moy_{suffix}`` = round(avg(p) over the group, 3) (all dates),
@@ -52,11 +52,14 @@ def group_compare(df: DataFrame, products: Sequence[str], *,
     (``broadcast_if_small``), so the big side is not shuffled at all;
     beyond the bound it is a planner-chosen join with AQE skew splitting.
     NULL group keys form their own group (null-safe join), as in a window.
+    The rows are read twice, so they are first written once (``once=False``
+    for a table that lies in files already).
     """
     ps = _present(df, products)
     keys = list(group)
     if not ps:
         return df
+    df = materialize(df, "compared-rows") if once else df
     means = df.groupBy(*keys).agg(
         *[F.round(F.avg(p), digits).alias(f"{p}_moy_{suffix}") for p in ps])
     means = broadcast_if_small(means.select(*[F.col(k).alias(f"__g_{k}") for k in keys],
@@ -108,11 +111,11 @@ def add_features(df: DataFrame, products: Sequence[str], *,
                  flagged: Sequence[str] = ("gazole", "sp95"),
                  group: Sequence[str] = ("region_code",), entity: str = "id",
                  date: str = "prix_maj_date", tiebreak: Sequence[str] = (),
-                 lag_product: str | None = None) -> DataFrame:
-    """F1-F7 in the published column order."""
+                 lag_product: str | None = None, once: bool = True) -> DataFrame:
+    """F1-F7 in the published column order (``once`` as in ``group_compare``)."""
     ps = _present(df, products)
     out = row_mean(df, ps)
-    out = group_compare(out, ps, group=group)
+    out = group_compare(out, ps, group=group, once=once)
     out = competitive_flags(out, [p for p in flagged if p in ps])
     out = competitive_score(out, ps)
     lag_product = lag_product or (flagged[0] if flagged else None)

@@ -17,16 +17,17 @@ def station_points(df: DataFrame, *, lat: str = "latitude", lon: str = "longitud
                    popup_cols: Sequence[str] = ("ville", "adresse", "gazole", "sp95", "sp98"),
                    color_by: str | None = None, anomaly: str = "has_any_anomaly",
                    competitive: str = "competitive_gazole", n: int = 5000, seed: int = 42,
-                   key: Sequence[str] = ("id",)) -> DataFrame:
+                   key: Sequence[str]) -> DataFrame:
     """V1: points with coordinates, at most ``n`` (seeded hash sample), a
     marker class and a popup text.
 
     Class: anomaly -> red, else competitive -> green, else blue; all blue
-    without ``color_by``.  Popup: ``name: value`` for each non-NULL
+    without ``color_by`` or if the table lacks that column.  ``key`` names a row
+    (see ``bounded_sample``).  Popup: ``name: value`` for each non-NULL
     attribute, doubles as ``%.3f €/L``.
     """
     pts = bounded_sample(drop_missing(df, [lat, lon]), n=n, seed=seed, key=key)
-    if color_by:
+    if color_by and color_by in df.columns:
         red = F.coalesce(F.col(anomaly), F.lit(False)) if anomaly in df.columns else F.lit(False)
         green = (F.coalesce(F.col(competitive), F.lit(False))
                  if competitive in df.columns else F.lit(False))

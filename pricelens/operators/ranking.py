@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import sample_hash
+from ..functions.sizing import materialize
 
 
 def _ranked(df: DataFrame, group: str | Sequence[str], order: list, n: int,
@@ -68,17 +69,18 @@ def head(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def bounded_sample(df: DataFrame, *, n: int = 5000, seed: int = 42,
-                   key: Sequence[str] = ("id",), prefilter: bool = True) -> DataFrame:
+                   key: Sequence[str], prefilter: bool = True) -> DataFrame:
     """At most ``n`` rows, chosen by a seeded hash of the key.
 
     Exactly ``n`` rows when there are more: the rows with the smallest
     ``sample_hash(key, seed)`` (MD5 hex of the key text; ties by key).  The
     choice depends only on the data, not on partitioning or task order, and
-    runs as a top-k (TakeOrderedAndProject), never a full sort.  The key
-    should be unique and made of integer, string or date columns.
+    runs as a top-k (TakeOrderedAndProject), never a full sort.  The key has to
+    be unique, e.g. entity and date of a wide table: a key that many rows share
+    would pick whole entities.  Integer, string or date columns.
 
     A top-k alone ends in one task merging ``n`` rows from every task.
-    With ``prefilter`` (eager: one count, one materialised filter) the hash,
+    With ``prefilter`` (eager: the rows written once and counted) the hash,
     uniform over the 128-bit range, is first cut at a threshold that about
     ``4 n`` rows pass; the n smallest hashes are all below it, so the
     result is the same, and the final merge sees thousands of rows.  If
@@ -89,14 +91,11 @@ def bounded_sample(df: DataFrame, *, n: int = 5000, seed: int = 42,
     top = df.orderBy(h, *keys).limit(n)
     if not prefilter:
         return top
+    df = materialize(df, "sample-rows")
     total = df.count()
-    if total <= n:
-        return top
-    threshold = (4 * n * 2 ** 128) // total
-    if threshold >= 2 ** 128:
-        return top
-    from ..functions.sizing import materialize
-    cand = materialize(df.filter(h <= F.lit(format(threshold, "032x"))), "sample_candidates")
-    if cand.count() < n:
-        return top
-    return cand.orderBy(sample_hash(keys, seed), *keys).limit(n)
+    threshold = (4 * n * 2 ** 128) // max(total, 1)
+    if threshold < 2 ** 128:
+        cand = materialize(df.filter(h <= F.lit(format(threshold, "032x"))), "sample-candidates")
+        if cand.count() >= n:
+            df = cand
+    return df.orderBy(h, *keys).limit(n)

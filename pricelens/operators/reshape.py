@@ -9,16 +9,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
-from ..functions.columns import normalized_name, tidy_label
+from ..functions.columns import normalized, normalized_name, tidy_label
+
+
+def product_names(df: DataFrame, name: str = "prix_nom", limit: int = 1000) -> list[str]:
+    """The normalised product names that occur, sorted: one distinct.  A table
+    with more than ``limit`` of them is no product column and raises."""
+    found = (df.select(normalized(name).alias("n")).filter("n IS NOT NULL").distinct()
+               .limit(limit + 1).collect())
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} product names in {name!r}")
+    return sorted(r["n"] for r in found)
+
+
+def unlisted_products(df: DataFrame, values: Sequence[str], name: str = "prix_nom") -> DataFrame:
+    """(name, rows) of the product names that a pivot on ``values`` leaves out."""
+    listed = [normalized_name(v) for v in values]
+    return (df.filter(F.col(name).isNotNull() & ~normalized(name).isin(listed))
+              .groupBy(F.col(name).alias("name")).agg(F.count(F.lit(1)).alias("rows")))
+
+
+def latest_order(df: DataFrame, order: Sequence[str]) -> list:
+    """Ordering expressions of the latest observation: text columns compare as
+    numbers where they are numbers ("10" after "9"), then as text."""
+    kinds = dict(df.dtypes)
+    out = []
+    for c in order:
+        out += [F.col(c).try_cast("bigint"), F.col(c)] if kinds[c] == "string" else [F.col(c)]
+    return out
 
 
 def pivot_wide(
     df: DataFrame,
-    values: Sequence[str],
+    values: Sequence[str] | None = None,
     *,
     name: str = "prix_nom",
     value: str = "prix_valeur",
-    order: Sequence[str] = ("prix_maj", "prix_id"),
+    order: Sequence[str] | None = None,
     keys: Sequence[str] | None = None,
     exclude: Iterable[str] = (),
 ) -> DataFrame:
@@ -26,15 +53,23 @@ def pivot_wide(
 
     Each cell holds the *latest valid* value: among rows of that product
     with a non-NULL value, the one with the greatest ``order`` tuple
-    (``max_by``).  Keys default to every column that is not part of the
-    observation (name, value, timestamps, ids) nor of ``order``.
-
-    The product list is explicit, so no job runs to discover it, and the
-    pivot is written as one conditional aggregate per product: a single
-    hash aggregation with map-side partial aggregation, so an entity with a
-    huge number of observations collapses before the shuffle.
-    Output columns are the normalised product names.
+    (``max_by``).  The default order is the parsed moment ``prix_maj_ts`` (the
+    text ``prix_maj`` where the clean step did not run), then ``prix_id`` as a
+    number.  Keys default to every column that is not part of the observation
+    (name, value, timestamps, ids, source file) nor of ``order``.
+
+    Product names match in their normal form, which is the output column.  With
+    an explicit list no job runs to discover it (``unlisted_products`` counts
+    what it leaves out); with None every name that occurs becomes a column.
+    The pivot is written as one conditional aggregate per product: a single
+    aggregation with map-side partial aggregation, so an entity with a huge
+    number of observations collapses before the shuffle.
     """
+    if values is None:
+        values = product_names(df, name)
+    if order is None:
+        order = [("prix_maj_ts" if "prix_maj_ts" in df.columns else "prix_maj"), "prix_id"]
+        order = [c for c in order if c in df.columns]
     skip = set(schema.OBSERVATION_COLUMNS) | {name, value} | set(order) | set(exclude)
     if keys is None:
         keys = [c for c in df.columns if c not in skip]
@@ -42,13 +77,12 @@ def pivot_wide(
     # a single ordering column is used bare: for a fixed-width type (a
     # timestamp, a number) the aggregate then runs as a hash aggregate; a
     # struct ordering needs the sort-based aggregate
-    order_struct = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+    by = latest_order(df, order)
+    order_struct = by[0] if len(by) == 1 else F.struct(*by)
     aggs = []
-    for raw in values:
-        hit = (F.col(name) == F.lit(raw)) & F.col(value).isNotNull()
-        aggs.append(
-            F.max_by(F.when(hit, F.col(value)), F.when(hit, order_struct))
-            .alias(normalized_name(raw)))
+    for out in dict.fromkeys(normalized_name(v) for v in values):
+        hit = (normalized(name) == F.lit(out)) & F.col(value).isNotNull()
+        aggs.append(F.max_by(F.when(hit, F.col(value)), F.when(hit, order_struct)).alias(out))
     return df.groupBy(*keys).agg(*aggs)
 
 
@@ -95,6 +129,16 @@ def melt_region(
     return out.withColumn(variable, tidy_label(variable))
 
 
+def region_matrix(df: DataFrame, products: Sequence[str], *,
+                  id_col: str = "region_name") -> DataFrame:
+    """One row per region with the mean column of each product the table
+    has, in the order of ``products``; without any of them the region column
+    alone and no rows."""
+    present = [schema.mean_col(p) for p in products if schema.mean_col(p) in df.columns]
+    out = df.select(id_col, *present)
+    return out if present else out.limit(0)
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by column name; columns missing on one side become NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

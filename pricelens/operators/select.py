@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.columns import format_date_dmy, format_price, tidy_label
-from ..functions.sizing import broadcast_if_small
+from ..functions.sizing import broadcast_if_small, materialize
 
 
 def filter_year(df: DataFrame, year: int, *, date: str = "date") -> DataFrame:
@@ -25,12 +25,16 @@ def filter_product(df: DataFrame, product: str, *, column: str = "fuel_type") ->
     return df.filter(F.col(column) == F.lit(product))
 
 
-def latest_slice(df: DataFrame, *, product: str = "fuel_type", date: str = "date") -> DataFrame:
+def latest_slice(df: DataFrame, *, product: str = "fuel_type", date: str = "date",
+                 once: bool = True) -> DataFrame:
     """For every product, the rows on that product's latest date.
 
     An aggregate (one row per product) joined back - combined map-side,
     then broadcast after a row-count check, so the rows are not shuffled.
+    The rows are read twice, so they are first written once (``once=False``
+    for a table that lies in files already).
     """
+    df = materialize(df, "latest-rows") if once else df
     latest = df.groupBy(product).agg(F.max(date).alias("__latest"))
     latest = broadcast_if_small(latest.select(F.col(product).alias("__p"), "__latest"))
     return (df.join(latest, (F.col(product) == F.col("__p")) & (F.col(date) == F.col("__latest")))
@@ -64,7 +68,7 @@ def filter_anomalies(df: DataFrame, *, flag: str = "has_any_anomaly") -> DataFra
 
 
 def tidy_labels(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
-    """``avg_gazole`` -> ``GAZOLE``."""
+    """``gazole_moyen`` (or ``avg_gazole``) -> ``GAZOLE``."""
     return df.withColumn(out or column, tidy_label(column))
 
 

@@ -17,21 +17,22 @@ from datetime import datetime
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import anomaly, clean, dashboard, features, marts, reshape, select
 from ..functions.columns import normalized_name
-from ..functions.sizing import materialize
+from ..functions.sizing import discard, materialize
 from ..operators.mapdata import choropleth_bands, choropleth_table
 from ..sources import files
 
 log = logging.getLogger(__name__)
 
-DETAILED_PARTITIONS = ("region_code", "departement")
+DETAILED_PARTITIONS = files.DETAILED_PARTITIONS
 
 
-def build_wide(long_df: DataFrame, *, raw_products: Sequence[str],
-               order: Sequence[str] = ("prix_maj", "prix_id"),
+def build_wide(long_df: DataFrame, *, raw_products: Sequence[str] | None,
+               order: Sequence[str] | None = None,
                keys: Sequence[str] | None = None, materialized: bool = True) -> DataFrame:
     """E1, first half: long -> wide (R1), materialised.
 
@@ -48,59 +49,99 @@ def detailed_from_wide(wide: DataFrame, *, products: Sequence[str],
                        flagged: Sequence[str] = S.FLAGGED_PRODUCTS, entity: str = "id",
                        group: Sequence[str] = ("region_code",), date: str = "prix_maj_date",
                        quantiles: str = "exact", run_ts: str | None = None,
-                       run_date: str | None = None) -> DataFrame:
-    """E1, second half: features (F1-F7), IQR flags (A1-A3), stamp (P10)."""
+                       run_date: str | None = None, once: bool = False) -> DataFrame:
+    """E1, second half: features (F1-F7), IQR flags (A1-A3), stamp (P10).
+    ``wide`` is read several times: a written table (else ``once=True``)."""
     products = [p for p in products if p in wide.columns]
     wide_keys = [c for c in wide.columns if c not in products]
     tiebreak = [c for c in wide_keys if c not in (entity, date)]
     out = features.add_features(wide, products, flagged=flagged, group=group,
-                                entity=entity, date=date, tiebreak=tiebreak)
+                                entity=entity, date=date, tiebreak=tiebreak, once=once)
     out = anomaly.detect_anomalies(out, products, method=quantiles, bounds_from=wide)
     return clean.stamp_processing(out, run_ts=run_ts, run_date=run_date)
 
 
-def detailed_table(long_df: DataFrame, *, raw_products: Sequence[str],
+def detailed_table(long_df: DataFrame, *, raw_products: Sequence[str] | None = None,
                    products: Sequence[str] | None = None,
                    flagged: Sequence[str] = S.FLAGGED_PRODUCTS,
-                   order: Sequence[str] = ("prix_maj", "prix_id"),
+                   order: Sequence[str] | None = None,
                    keys: Sequence[str] | None = None, entity: str = "id",
                    group: Sequence[str] = ("region_code",), date: str = "prix_maj_date",
                    quantiles: str = "exact", run_ts: str | None = None,
                    run_date: str | None = None, checkpoint: bool = True) -> DataFrame:
     """E1 on an already-cleaned long table: ``build_wide`` then
-    ``detailed_from_wide``."""
+    ``detailed_from_wide``.  Without ``raw_products`` every product name that
+    occurs becomes a column."""
+    if raw_products is None:
+        raw_products = reshape.product_names(long_df)
     wide = build_wide(long_df, raw_products=raw_products, order=order, keys=keys,
                       materialized=checkpoint)
-    products = list(products or [normalized_name(n) for n in raw_products])
+    products = list(products or dict.fromkeys(normalized_name(n) for n in raw_products))
     return detailed_from_wide(wide, products=products, flagged=flagged, entity=entity,
                               group=group, date=date, quantiles=quantiles, run_ts=run_ts,
-                              run_date=run_date)
+                              run_date=run_date, once=not checkpoint)
 
 
 def run_detailed(spark: SparkSession, raw_path: str, out_base: str, *, fmt: str = "json",
-                 raw_products: Sequence[str] = ("Gazole", "SP95", "SP98", "E10", "E85", "GPLc"),
+                 raw_products: Sequence[str] | None = None,
+                 products: Sequence[str] | None = None,
+                 flagged: Sequence[str] = S.FLAGGED_PRODUCTS,
                  price_range: tuple = (0.0, 5.0), run_ts: str | None = None,
-                 glob: str = S.SNAPSHOT_GLOB) -> str:
+                 run_date: str | None = None, glob: str | None = None, quantiles: str = "exact",
+                 max_corrupt: int = 0, schema=S.RAW_OBSERVATION) -> str:
     """E1 with I/O: landed snapshots -> detailed Parquet partitioned by
-    region and department.  Returns the detailed table's path."""
+    region and department.  Returns the detailed table's path.
+
+    Raw text is parsed once: the cleaned long table is written, and the report,
+    the list of products and the pivot read that.  Corrupt records and files are
+    counted; more than ``max_corrupt`` of them fail the job before anything is
+    written to ``out_base``, and the report is logged in any case.  With
+    ``raw_products`` only those become columns, and rows of other products are
+    counted and logged; without it all do.  ``quantiles`` "approx" takes the
+    sketch.  The job's own intermediate tables are deleted at its end.
+    """
     files.check_format(fmt)
-    raw = (files.scan_snapshots(spark, raw_path, fmt=fmt, source_col=None, glob=glob)
-           if fmt in ("json", "jsonl") else files.read_table(spark, raw_path, fmt))
-    long_df = clean.clean_observations(raw, low=price_range[0], high=price_range[1])
-    detailed = detailed_table(long_df, raw_products=raw_products,
-                              run_ts=run_ts or datetime.now().isoformat())
+    raw = files.scan_snapshots(spark, raw_path, schema, fmt=fmt, source_col=None, glob=glob,
+                               on_corrupt="report")
+    if S.CORRUPT not in raw.columns:          # Parquet has no corrupt records
+        raw = raw.withColumn(S.CORRUPT, F.lit(None).cast("string"))
+    landed = materialize(raw, "landed")
+    report = clean.clean_report(landed).first().asDict()
+    log.info("clean report: %s", report)
+    if report["rows_corrupt"] > max_corrupt:
+        raise ValueError(f"{report['rows_corrupt']} corrupt records or files in {raw_path} "
+                         f"(at most {max_corrupt} admitted): {report}")
+    long_df = clean.clean_observations(landed.drop(S.CORRUPT), low=price_range[0], high=price_range[1])
+    if raw_products is not None:
+        left_out = reshape.unlisted_products(long_df, raw_products).orderBy(F.desc("rows")).limit(20)
+        for r in left_out.collect():
+            log.warning("product %r is not listed: %d rows have no column", r["name"], r["rows"])
+    else:
+        raw_products = reshape.product_names(long_df)
+    wide = build_wide(long_df, raw_products=raw_products)
+    products = list(products or dict.fromkeys(normalized_name(n) for n in raw_products))
+    detailed = detailed_from_wide(wide, products=products, flagged=flagged, quantiles=quantiles,
+                                  run_ts=run_ts or datetime.now().isoformat(), run_date=run_date)
     path = f"{out_base.rstrip('/')}/detailed"
     files.write_table(detailed, path, partition_by=list(DETAILED_PARTITIONS))
+    discard(wide)
+    discard(landed)
     return path
 
 
 def run_marts(spark: SparkSession, detailed_path: str, out_base: str, *,
-              products: Sequence[str] = S.PRODUCTS, extra_cols: Sequence[str] = ("ville",)) -> dict:
-    """E2 with I/O: re-read the detailed table, write the eight marts."""
+              products: Sequence[str] | None = None, extra_cols: Sequence[str] = ("ville",),
+              headline: str | None = None) -> dict:
+    """E2 with I/O: re-read the detailed table, write the eight marts.  Products
+    default to those the detailed table has (their region means name them)."""
     detailed = files.scan_parquet(spark, detailed_path,
                                   string_partitions=DETAILED_PARTITIONS)
+    if products is None:
+        products = [c[:-len("_moy_region")] for c in detailed.columns if c.endswith("_moy_region")]
     extra = [c for c in extra_cols if c in detailed.columns]
-    mdict = marts.build_marts(detailed, products, extra_cols=extra,
+    if headline is None and S.FLAGGED_PRODUCTS[0] in products:
+        headline = S.FLAGGED_PRODUCTS[0]
+    mdict = marts.build_marts(detailed, products, extra_cols=extra, headline=headline,
                               tiebreak=[c for c in ("id", "prix_maj_date") if c in detailed.columns])
     return files.write_marts(mdict, f"{out_base.rstrip('/')}/aggregations")
 
@@ -121,10 +162,12 @@ def map_slice(dept_date: DataFrame, products: Sequence[str], *, year: int | None
     if level == "region":
         long = dashboard.rollup_region(long, mapping=mapping)
         code = "region"
+    # the answer is as small as the areas, its source is the whole mart: the
+    # slice's product is written once, and the latest slice again
     one = select.filter_product(long, product_label)
-    latest = select.latest_slice(one, product="fuel_type", date="date")
+    latest = materialize(select.latest_slice(one, product="fuel_type", date="date"), "map-slice")
     scale = dashboard.price_scale(latest)
-    out = {"slice": latest, "kpi": dashboard.kpi_cards(latest, area=code), "scale": scale}
+    out = {"slice": latest, "kpi": dashboard.kpi_cards(latest), "scale": scale}
     if areas is not None:
         out["table"] = choropleth_bands(choropleth_table(areas, latest, code=code), scale)
     return out
@@ -138,19 +181,27 @@ def main(argv=None) -> int:
     ap.add_argument("out_base")
     ap.add_argument("--format", default="json", choices=files.FORMATS)
     ap.add_argument("--shuffle-partitions", type=int, default=None)
-    ap.add_argument("--glob", default=S.SNAPSHOT_GLOB, help="snapshot file name pattern")
+    ap.add_argument("--glob", default=None, help="snapshot file name pattern")
+    ap.add_argument("--quantiles", default="approx", choices=("approx", "exact"),
+                    help="IQR bounds from a one-pass sketch or exact")
+    ap.add_argument("--max-corrupt", type=int, default=0,
+                    help="corrupt records or files to tolerate")
+    ap.add_argument("--products", nargs="*", default=None,
+                    help="product names to keep (default: all that occur)")
     ap.add_argument("--price-range", type=float, nargs=2, default=(0.0, 5.0))
     args = ap.parse_args(argv)
     spark = build_session("pricelens-transform", shuffle_partitions=args.shuffle_partitions)
     try:
         if args.shuffle_partitions is None:
             # size the shuffles from the landed input instead of a fixed default
-            glob = args.glob if args.format in ("json", "jsonl") else None
+            glob = args.glob or files.snapshot_glob(args.format)
             nbytes = files.input_bytes(spark, args.raw_path, glob)
             parts = shuffle_partitions_for(nbytes, spark.sparkContext.defaultParallelism)
             spark.conf.set("spark.sql.shuffle.partitions", str(parts))
         detailed = run_detailed(spark, args.raw_path, args.out_base, fmt=args.format,
-                                glob=args.glob, price_range=tuple(args.price_range))
+                                glob=args.glob, price_range=tuple(args.price_range),
+                                quantiles=args.quantiles, max_corrupt=args.max_corrupt,
+                                raw_products=args.products or None)
         run_marts(spark, detailed, args.out_base)
         marts.run_summary(files.scan_parquet(spark, detailed, string_partitions=DETAILED_PARTITIONS)
                           ).show(truncate=False)

@@ -103,7 +103,7 @@ def q_validate_range(spark, sf):
 def q_parse_date_year(spark, sf):
     o = B.table(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("string").alias("prix_maj"))
-    return clean.parse_date_year(o, ts="prix_maj").drop("prix_maj")
+    return clean.parse_date_year(o, ts="prix_maj").select("o_orderkey", "prix_maj_date", "annee")
 
 
 @register("clean_report",

@@ -79,7 +79,7 @@ def q_unpivot_long(spark, sf):
 
 
 _MELT = " UNION ALL ".join(
-    f"SELECT d.region_name, upper('{p}_moyen') AS carburant, r.{p}_moyen AS prix "
+    f"SELECT d.region_name, '{p.upper()}' AS carburant, r.{p}_moyen AS prix "
     f"FROM by_region r LEFT JOIN rdim d ON r.region_code = d.region_code "
     f"WHERE r.region_code IS DISTINCT FROM '{OTHER}'" for p in P)
 
@@ -100,7 +100,7 @@ def q_melt_region(spark, sf):
 def q_region_matrix(spark, sf):
     named = lookups.lookup_region_name(by_region(spark, sf), region_dim(spark, sf))
     named = select.exclude_other(named, other=OTHER)
-    return named.select("region_name", *[f"{p}_moyen" for p in P])
+    return reshape.region_matrix(named, P)
 
 
 _RANKED = ("SELECT id, departement, region_code, economy, CAST(rank AS INTEGER) AS rank, "
@@ -217,10 +217,10 @@ def q_filter_anomalies(spark, sf):
 
 @register("tidy_labels",
           f"WITH {MARTS_SQL} SELECT departement, date, fuel_type, "
-          "upper(regexp_replace('avg_' || lower(fuel_type), '^avg_', '')) AS label FROM dd_long")
+          "upper(fuel_type) AS label FROM dd_long")
 def q_tidy_labels(spark, sf):
     df = dd_long(spark, sf).select("departement", "date", "fuel_type",
-                                   F.concat(F.lit("avg_"), F.lower("fuel_type")).alias("label"))
+                                   F.concat(F.lower("fuel_type"), F.lit("_moyen")).alias("label"))
     return select.tidy_labels(df, "label")
 
 

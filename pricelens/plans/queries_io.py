@@ -39,7 +39,7 @@ def _long(spark, sf):
 def q_scan_json(spark, sf):
     path = _fresh(spark, "json")
     landing.write_json_array(_long(spark, sf), path)
-    return files.scan_json(spark, path, LONG_SCHEMA, glob="part-*")
+    return files.scan_json(spark, path, LONG_SCHEMA, glob="part-*.txt")
 
 
 @register("scan_jsonl", LONG_SQL, doubles=["prix_valeur"])
@@ -146,17 +146,21 @@ def q_landing_enrich(spark, sf):
 @register("ingest_audit",
           f"WITH {L} SELECT 'obs_long' AS dataset_name, '{INGEST_TS}' AS ingestion_timestamp, "
           f"'{INGEST_TS[:10]}' AS ingestion_date, 'driver-tables' AS source_url, "
-          "count(*) AS record_count FROM obs_long")
+          "count(*) AS record_count, sum("
+          + " + ".join(f"length({c})" for c in ("departement", "region_code", "prix_nom"))
+          + " + length(CAST(l_orderkey AS VARCHAR))) / (1024.0 * 1024.0) AS file_size_mb "
+          "FROM obs_long", doubles=["file_size_mb"])
 def q_ingest_audit(spark, sf):
-    # the size column is engine-specific JSON text length; compared in unit tests
+    # the size is that of these fields' texts, which every engine writes alike
+    text = F.concat("departement", "region_code", "prix_nom", F.col("l_orderkey").cast("string"))
     return landing.ingest_audit(_long(spark, sf), dataset_name="obs_long",
                                 source_url="driver-tables", ingestion_ts=INGEST_TS,
-                                with_size=False)
+                                size_of=F.length(text))
 
 
-# Files written by ``write_json_array`` are named part-NNNNN (no suffix);
-# the sidecar written next to them by the DataFrame writer is not.
-SNAPSHOT_PARTS = "part-[0-9][0-9][0-9][0-9][0-9]"
+# Files written by ``write_json_array`` end in .txt, the sidecar written next
+# to them in .json.
+SNAPSHOT_PARTS = "part-*.txt"
 
 
 @register("scan_snapshots", LONG_SQL, doubles=["prix_valeur"])

@@ -48,6 +48,6 @@ def q_incremental_clean(spark, sf):
     landing.write_json_array(B.raw_snapshot(spark, sf), f"{base}/raw")
     q = start_incremental_clean(spark, f"{base}/raw", f"{base}/long",
                                 checkpoint_location=f"{base}/checkpoint", low=LO, high=HI,
-                                glob="part-[0-9][0-9][0-9][0-9][0-9]")
+                                glob="part-*.txt")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/long").select(*OUT_COLS)

@@ -85,13 +85,16 @@ DEPARTMENT_REGION = {
 # department (public postal geography).
 CORSICA_POSTAL_PREFIX = {"200": "2A", "201": "2A", "202": "2B", "206": "2B"}
 
-# Landing-file naming: one snapshot per day, plus a metadata sidecar.
-SNAPSHOT_GLOB = "*_[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9].json"
-SIDECAR_SUFFIX = "_metadata.json"
+# Landing-file naming: one snapshot per day (a metadata sidecar beside it does
+# not match).
+SNAPSHOT_STEM = "*_[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
+SNAPSHOT_GLOB = SNAPSHOT_STEM + ".json"
 
 # Pivot: columns that carry the observation itself, never a grouping key.
-OBSERVATION_COLUMNS = ("prix_nom", "prix_valeur", "prix_maj", "prix_id",
-                       "ingestion_timestamp")
+# (the parsed time, the source file and the corrupt text come with a scan)
+CORRUPT = "_corrupt_record"
+OBSERVATION_COLUMNS = ("prix_nom", "prix_valeur", "prix_maj", "prix_maj_ts", "prix_id",
+                       "ingestion_timestamp", "source_file", CORRUPT)
 
 # ---------------------------------------------------------------------------
 # Schemas
@@ -120,18 +123,6 @@ RAW_OBSERVATION = T.StructType([
     T.StructField("reg_code", T.StringType()),
 ])
 
-SIDECAR = T.StructType([
-    T.StructField("dataset_name", T.StringType()),
-    T.StructField("ingestion_timestamp", T.StringType()),
-    T.StructField("ingestion_date", T.StringType()),
-    T.StructField("source_url", T.StringType()),
-    T.StructField("record_count", T.LongType()),
-    T.StructField("gcp_project", T.StringType()),
-    T.StructField("gcs_bucket", T.StringType()),
-    T.StructField("file_size_mb", T.DoubleType()),
-])
-
-
 def mean_col(product: str) -> str:
     """Name of a product's mean column in the marts."""
     return f"{product}_moyen"

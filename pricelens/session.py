@@ -59,14 +59,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     created; on a cluster an unset folder is an error, never a folder on
     one machine's disk.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current          # applied by SparkContext at start-up
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    # the setting is applied by SparkContext at start-up
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    local = sc.master.startswith("local")
     if current:
+        shared = local or spark.conf.get("spark.pricelens.sharedFileSystem", "false") == "true"
+        if not shared and (current.startswith("file:") or current.startswith("/tmp")):
+            raise RuntimeError(f"spark.checkpoint.dir {current} is a folder of one machine; set a "
+                               "shared one, or spark.pricelens.sharedFileSystem=true for a mount "
+                               "that all machines share")
         return current
-    if not sc.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the "
                            "cluster's distributed file system); lineage cuts are written there")
     # spark.checkpoint.dir is a core setting and cannot be changed on a
@@ -83,15 +87,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions_for(input_bytes: int, cores: int, *,
                            bytes_per_partition: int = 256 * 1024 * 1024,
-                           min_per_core: int = 2, max_per_core: int = 25) -> int:
+                           min_per_core: int = 2) -> int:
     """Shuffle partition count for a job reading ``input_bytes``.
 
     About ``bytes_per_partition`` of input per shuffle partition, so a
     partition's sort and aggregation buffers fit in an executor core's
-    memory, kept between ``min_per_core`` and ``max_per_core`` times the
+    memory whatever the input, and at least ``min_per_core`` for each of the
     cluster's cores (AQE merges partitions that turn out small, but never
     splits a large one outside skew joins).
     """
     by_size = -(-max(input_bytes, 0) // bytes_per_partition)
-    lo = max(1, min_per_core * cores)
-    return int(min(max(by_size, lo), max(lo, max_per_core * cores)))
+    return int(max(by_size, min_per_core * cores, 1))

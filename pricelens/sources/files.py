@@ -1,8 +1,9 @@
 """File scans and sinks.
 
 Scans take an explicit schema: no inference pass over the data, stable
-types (codes stay strings), and malformed values become NULL (PERMISSIVE)
-instead of failing the job.
+types (codes stay strings).  A malformed value becomes NULL; a malformed
+record or file never vanishes: it fails the read, or is reported in the
+corrupt column, as the caller says.
 """
 
 from __future__ import annotations
@@ -26,39 +27,117 @@ def check_format(fmt: str) -> str:
     return fmt
 
 
-def scan_json(spark: SparkSession, path, schema: StructType | None = S.RAW_OBSERVATION,
-              glob: str | None = None) -> DataFrame:
-    """Files holding one JSON array of objects (whole-file parse)."""
-    r = spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+ON_CORRUPT = ("fail", "report")
+
 
+def _struct(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
-def scan_jsonl(spark: SparkSession, path, schema: StructType | None = S.RAW_OBSERVATION,
-               glob: str | None = None) -> DataFrame:
-    """JSON Lines (one object per line; splittable).
 
-    The format is chosen by the caller: reading JSON Lines with the
-    multi-line reader returns only the first record and no corrupt-record
-    column, so there is no reliable automatic fallback.
+def settled(df: DataFrame, on_corrupt: str, probe: str) -> DataFrame:
+    """What happens to corrupt input: ``report`` leaves its text in the corrupt
+    column (other columns NULL); ``fail`` raises when such a row is read and
+    drops the column.  ``probe`` is a data column that the check reads too, as
+    a scan of the corrupt column alone is not allowed."""
+    if on_corrupt not in ON_CORRUPT:
+        raise ValueError(f"on_corrupt must be one of {ON_CORRUPT}")
+    if on_corrupt == "report":
+        return df
+    text = F.concat(F.lit("corrupt input record: "), F.substring(S.CORRUPT, 1, 200),
+                    F.coalesce(F.col(probe).cast("string"), F.lit("")))
+    ok = F.when(F.col(S.CORRUPT).isNotNull(), F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    return df.filter(ok).drop(S.CORRUPT)
+
+
+def scan_json(spark: SparkSession, path, schema: StructType | str | None = S.RAW_OBSERVATION,
+              glob: str | None = None, on_corrupt: str = "fail",
+              source_col: str | None = None) -> DataFrame:
+    """Files holding one JSON array of objects (whole-file parse).
+
+    A file that is no array is corrupt as a whole: a truncated array, JSON Lines,
+    or a single object.  ``on_corrupt`` "fail" raises when it is read; "report"
+    gives one row for it, with the beginning of its text in the corrupt column.
+    The array reader of the JSON source would take the first record of a JSON
+    Lines file and stop without a word, so the file is parsed from its text.
     """
-    r = spark.read.option("multiLine", False).option("mode", "PERMISSIVE")
+    if schema is None:
+        r = spark.read.option("multiLine", True).option("mode", "FAILFAST")
+        return (r.option("pathGlobFilter", glob) if glob else r).json(path)
+    r = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    return json_arrays(r.text(path, wholetext=True), schema, on_corrupt=on_corrupt, source_col=source_col)
+
+
+def json_arrays(text: DataFrame, schema: StructType | str, *, on_corrupt: str = "fail",
+                source_col: str | None = None) -> DataFrame:
+    """Rows of whole-file texts that are JSON arrays (batch or stream); see
+    ``scan_json``."""
+    fields = _struct(schema)
+    keep = [F.col("_metadata.file_path").alias(source_col)] if source_col else []
+    is_array = F.col("value").rlike(r"\A\s*\[[\s\S]*\]\s*\z")
+    rows = F.when(is_array, F.from_json("value", T.ArrayType(fields), {"mode": "PERMISSIVE"}))
+    blank = F.trim(F.col("value")) == ""
+    bad = F.when(rows.isNull() & ~blank, F.substring("value", 1, 1000))
+    parsed = text.select(*keep, rows.alias("rows"), bad.alias(S.CORRUPT))
+    # an empty array or file has no row; a corrupt file one row of NULLs
+    one = F.when(F.col(S.CORRUPT).isNotNull(), F.array(F.lit(None).cast(fields)))
+    parsed = parsed.select(*([source_col] if source_col else []), S.CORRUPT,
+                           F.explode(F.coalesce(one, F.col("rows"))).alias("r"))
+    cols = [F.col("r")[f.name].alias(f.name) for f in fields.fields]
+    out = parsed.select(*cols, *([source_col] if source_col else []), S.CORRUPT)
+    return settled(out, on_corrupt, fields.fields[0].name)
+
+
+def scan_jsonl(spark: SparkSession, path, schema: StructType | str | None = S.RAW_OBSERVATION,
+               glob: str | None = None, on_corrupt: str = "fail",
+               source_col: str | None = None) -> DataFrame:
+    """JSON Lines (one object per line; splittable, the format to land at
+    scale).  A line that is no object of the schema is corrupt: ``on_corrupt``
+    as in ``scan_json`` (the lines of an array file are corrupt here)."""
+    r = spark.read.option("multiLine", False)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+    if schema is None:
+        return r.option("mode", "FAILFAST").json(path)
+    fields = _struct(schema)
+    both = StructType([*fields.fields, T.StructField(S.CORRUPT, T.StringType())])
+    df = (r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", S.CORRUPT)
+           .schema(both).json(path))
+    if source_col:
+        df = df.withColumn(source_col, F.col("_metadata.file_path"))
+    return settled(df, on_corrupt, fields.fields[0].name)
 
 
 def scan_csv(spark: SparkSession, path, schema: StructType | str | None = None,
-             header: bool = True) -> DataFrame:
-    """S3: CSV with a header line (schema given, or inferred when None)."""
+             header: bool = True, glob: str | None = None, on_corrupt: str = "fail",
+             source_col: str | None = None) -> DataFrame:
+    """S3: CSV with a header line (schema given, or inferred when None).
+
+    With a schema, columns are taken by their header name, whatever their order;
+    missing ones are NULL, values that do not parse are NULL.  A struct field
+    ``geom`` comes from the flat columns ``geom_lat``, ``geom_lon``.  All files
+    must share one header; a line with another number of fields is corrupt
+    (``on_corrupt`` as in ``scan_json``).
+    """
     r = spark.read.option("header", header)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(path)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    if schema is None:
+        return r.option("inferSchema", True).csv(path)
+    fields = _struct(schema)
+    names = r.csv(path).columns if header else [f.name for f in fields.fields]   # reads one header
+    text = StructType([*[T.StructField(n, T.StringType()) for n in names],
+                       T.StructField(S.CORRUPT, T.StringType())])
+    df = (r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", S.CORRUPT)
+           .option("enforceSchema", not header).schema(text).csv(path))
+
+    def column(name: str, kind) -> F.Column:
+        if isinstance(kind, StructType):
+            return F.struct(*[column(f"{name}_{f.name}", f.dataType).alias(f.name) for f in kind.fields])
+        return (F.col(f"`{name}`").try_cast(kind) if name in names else F.lit(None).cast(kind))
+
+    cols = [column(f.name, f.dataType).alias(f.name) for f in fields.fields]
+    more = [F.col("_metadata.file_path").alias(source_col)] if source_col else []
+    return settled(df.select(*cols, *more, S.CORRUPT), on_corrupt, fields.fields[0].name)
 
 
 def scan_parquet(spark: SparkSession, path,
@@ -71,7 +150,7 @@ def scan_parquet(spark: SparkSession, path,
     explicit schema in which they are strings.
     """
     df = spark.read.parquet(path)
-    if not string_partitions:
+    if not set(string_partitions) & set(df.columns):
         return df
     fields = [T.StructField(f.name, T.StringType(), True) if f.name in string_partitions
               else f for f in df.schema.fields]
@@ -79,33 +158,35 @@ def scan_parquet(spark: SparkSession, path,
 
 
 def read_table(spark: SparkSession, path, fmt: str = "json",
-               schema: StructType | None = S.RAW_OBSERVATION) -> DataFrame:
+               schema: StructType | str | None = S.RAW_OBSERVATION, glob: str | None = None,
+               on_corrupt: str = "fail", source_col: str | None = None) -> DataFrame:
     """S1-S5 behind one entry point."""
     check_format(fmt)
-    if fmt == "json":
-        return scan_json(spark, path, schema)
-    if fmt == "jsonl":
-        return scan_jsonl(spark, path, schema)
-    if fmt == "csv":
-        return scan_csv(spark, path, schema)
-    return scan_parquet(spark, path)
+    if fmt == "parquet":
+        df = scan_parquet(spark, path)
+        return df.withColumn(source_col, F.col("_metadata.file_path")) if source_col else df
+    scan = {"json": scan_json, "jsonl": scan_jsonl, "csv": scan_csv}[fmt]
+    return scan(spark, path, schema, glob=glob, on_corrupt=on_corrupt, source_col=source_col)
+
+
+def snapshot_glob(fmt: str) -> str:
+    """File names of daily snapshots in a format."""
+    return S.SNAPSHOT_STEM + {"json": ".json", "jsonl": ".json*", "csv": ".csv",
+                              "parquet": ".parquet"}[check_format(fmt)]
 
 
 def scan_snapshots(spark: SparkSession, root: str,
-                   schema: StructType | None = S.RAW_OBSERVATION,
-                   glob: str = S.SNAPSHOT_GLOB, fmt: str = "json",
-                   source_col: str | None = "source_file") -> DataFrame:
-    """Every daily snapshot under ``root`` in one scan.
-
-    The glob matches ``*_YYYY-MM-DD.json`` only, so metadata sidecars in
-    the same folder are never read as observations; the source file of each
-    row comes from the hidden ``_metadata`` column.
+                   schema: StructType | str | None = S.RAW_OBSERVATION,
+                   glob: str | None = None, fmt: str = "json",
+                   source_col: str | None = "source_file", on_corrupt: str = "fail") -> DataFrame:
+    """Every daily snapshot under ``root`` in one scan, in any format.
+
+    The glob (default ``*_YYYY-MM-DD`` with the format's ending) never matches
+    the metadata sidecars in the same folder; the source file of each row comes
+    from the hidden ``_metadata`` column and is never a pivot key.
     """
-    scan = scan_json if fmt == "json" else scan_jsonl
-    df = scan(spark, root, schema, glob=glob)
-    if source_col:
-        df = df.withColumn(source_col, F.col("_metadata.file_path"))
-    return df
+    return read_table(spark, root, check_format(fmt), schema, glob=glob or snapshot_glob(fmt),
+                      on_corrupt=on_corrupt, source_col=source_col)
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwrite",
@@ -145,10 +226,19 @@ def write_marts(marts: dict, base: str, *, fmt: str = "parquet", mode: str = "ov
     return paths
 
 
+#: Partition columns of the detailed table, codes that stay text (01, 2A).
+DETAILED_PARTITIONS = ("region_code", "departement")
+
+
 def load_mart(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One mart by its exact folder (``by_departement`` never picks up
-    ``by_departement_date``)."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}/")
+    ``by_departement_date``); partition codes come back as strings in any session."""
+    return scan_parquet(spark, f"{base.rstrip('/')}/{name}/", string_partitions=DETAILED_PARTITIONS)
+
+
+def load_detailed(spark: SparkSession, base: str) -> DataFrame:
+    """The detailed table below ``base``."""
+    return load_mart(spark, base, "detailed")
 
 
 def load_all_marts(spark: SparkSession, base: str,

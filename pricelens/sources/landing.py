@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schema as S
 from ..functions.columns import pad_code
 
 
@@ -20,16 +21,21 @@ def landing_enrich(df: DataFrame, ingestion_ts: str, *, postal: str = "cp",
 
 def ingest_audit(df: DataFrame, *, dataset_name: str, source_url: str,
                  ingestion_ts: str, ingestion_date: str | None = None,
-                 with_size: bool = True) -> DataFrame:
+                 with_size: bool = True, size_of: Column | None = None) -> DataFrame:
     """One audit row for a landed batch.
 
     ``record_count`` and the approximate size (MiB of the rows as JSON text)
     come from one aggregate; the landed rows never leave the executors.
+    ``size_of`` is another measure of a row's size in bytes.  For a
+    scan with the corrupt column ``corrupt_count`` counts corrupt records and
+    files (they are part of ``record_count``).
     """
     aggs = [F.count(F.lit(1)).alias("record_count")]
+    if S.CORRUPT in df.columns:
+        aggs.append(F.count(S.CORRUPT).alias("corrupt_count"))
     if with_size:
-        aggs.append((F.sum(F.length(F.to_json(F.struct(*df.columns)))) / (1024.0 * 1024.0))
-                    .alias("file_size_mb"))
+        size = F.length(F.to_json(F.struct(*df.columns))) if size_of is None else size_of
+        aggs.append((F.sum(size) / (1024.0 * 1024.0)).alias("file_size_mb"))
     out = df.agg(*aggs)
     return out.select(
         F.lit(dataset_name).alias("dataset_name"),
@@ -37,22 +43,19 @@ def ingest_audit(df: DataFrame, *, dataset_name: str, source_url: str,
         F.lit(ingestion_date or ingestion_ts[:10]).alias("ingestion_date"),
         F.lit(source_url).alias("source_url"),
         "record_count",
+        *(["corrupt_count"] if S.CORRUPT in df.columns else []),
         *(["file_size_mb"] if with_size else []))
 
 
-def write_json_array(df: DataFrame, path: str) -> None:
-    """Write each partition as one JSON array of objects (the landed
-    snapshot format read by ``scan_json``).  Rows stream through; no
-    partition is held in memory as one string."""
-
-    # nested, so it is shipped to the Python workers by value: they need
-    # not have this package installed
-    def array_lines(rows):
-        first = True
-        yield "["
-        for line in rows:
-            yield line if first else "," + line
-            first = False
-        yield "]"
-
-    df.toJSON().mapPartitions(array_lines).saveAsTextFile(path)
+def write_json_array(df: DataFrame, path: str, rows_per_file: int = 50_000) -> None:
+    """Write the rows as files of one JSON array of objects each (the landed
+    snapshot format read by ``scan_json``), at most ``rows_per_file`` rows in an
+    array.  Files end in ``.txt``."""
+    own = F.monotonically_increasing_id()
+    part, at = F.shiftright(own, 33), own.bitwiseAND(F.lit((1 << 33) - 1))
+    rows = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row"),
+                     part.alias("part"), F.floor(at / rows_per_file).alias("chunk"))
+    arrays = rows.groupBy("part", "chunk").agg(F.collect_list("row").alias("rows"))
+    text = F.concat(F.lit("["), F.array_join("rows", ",\n"), F.lit("]"))
+    (arrays.select(text.alias("value")).write.mode("errorifexists")
+           .option("maxRecordsPerFile", 1).text(path))

@@ -14,38 +14,54 @@ which fits a daily schedule; a processing-time trigger keeps it running.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schema as S
 from ..operators import clean
 from ..session import scratch_path
+from ..sources.files import json_arrays, settled, snapshot_glob
 
 
 def snapshot_stream(spark: SparkSession, landing_dir: str,
-                    schema: StructType = S.RAW_OBSERVATION, glob: str = S.SNAPSHOT_GLOB,
-                    multiline: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of snapshot files (sidecars excluded by the glob)."""
-    r = (spark.readStream.schema(schema).option("multiLine", multiline)
-         .option("mode", "PERMISSIVE").option("pathGlobFilter", glob))
+                    schema: StructType = S.RAW_OBSERVATION, glob: str | None = None,
+                    fmt: str = "json", max_files_per_trigger: int | None = None,
+                    on_corrupt: str = "fail") -> DataFrame:
+    """Streaming scan of snapshot files, JSON arrays or JSON Lines (sidecars
+    excluded by the glob).  A corrupt file or line fails the stream, or is
+    reported in the corrupt column (``sources.files``)."""
+    if fmt not in ("json", "jsonl"):
+        raise ValueError(f"snapshots stream as json or jsonl, not {fmt!r}")
+    r = spark.readStream.option("pathGlobFilter", glob or snapshot_glob(fmt))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(landing_dir)
+    if fmt == "json":
+        return json_arrays(r.text(landing_dir, wholetext=True), schema,
+                           on_corrupt=on_corrupt)
+    both = StructType([*schema.fields, StructField(S.CORRUPT, StringType())])
+    lines = (r.schema(both).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", S.CORRUPT).json(landing_dir))
+    return settled(lines, on_corrupt, schema.fields[0].name)
 
 
 def start_incremental_clean(spark: SparkSession, landing_dir: str, out_path: str, *,
                             checkpoint_location: str | None = None,
                             low: float = 0.0, high: float = 5.0,
-                            glob: str = S.SNAPSHOT_GLOB, available_now: bool = True,
-                            schema: StructType = S.RAW_OBSERVATION) -> StreamingQuery:
+                            glob: str | None = None, available_now: bool = True,
+                            schema: StructType = S.RAW_OBSERVATION,
+                            fmt: str = "json") -> StreamingQuery:
     """Clean newly landed snapshots into the long Parquet table ``out_path``.
 
     ``checkpoint_location`` must be shared storage; by default it lives
-    under ``spark.checkpoint.dir``.
+    under ``spark.checkpoint.dir``, in a folder of its own for each pair of
+    landing folder and output, so another output starts from the beginning.
     """
-    ckpt = checkpoint_location or scratch_path(spark, "streams/incremental_clean")
-    cleaned = clean.clean_observations(snapshot_stream(spark, landing_dir, schema, glob),
+    pair = hashlib.sha256(f"{landing_dir}\n{out_path}".encode()).hexdigest()[:32]
+    ckpt = checkpoint_location or scratch_path(spark, f"streams/incremental_clean-{pair}")
+    cleaned = clean.clean_observations(snapshot_stream(spark, landing_dir, schema, glob, fmt),
                                        low=low, high=high)
     w = (cleaned.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", ckpt))

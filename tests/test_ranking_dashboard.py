@@ -2,6 +2,7 @@
 
 import hashlib
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pricelens.operators import dashboard, lookups, marts, ranking, select
@@ -38,14 +39,20 @@ def test_global_top_k_and_sample(spark):
                                   (F.col("id") % 97).cast("double").alias("v"))
     top = ranking.global_top_k(df, value="v", k=5, tiebreak=["id"]).collect()
     assert [r.v for r in top] == [96.0] * 5
-    s1 = {r.id for r in ranking.bounded_sample(df, n=100).collect()}
-    s2 = {r.id for r in ranking.bounded_sample(df.repartition(7), n=100).collect()}
+    s1 = {r.id for r in ranking.bounded_sample(df, n=100, key=["id"]).collect()}
+    s2 = {r.id for r in ranking.bounded_sample(df.repartition(7), n=100, key=["id"]).collect()}
     assert len(s1) == 100 and s1 == s2                 # independent of partitioning
     # brute force: the 100 smallest seeded hashes
     ids = [r.id for r in df.select("id").collect()]
     want = set(sorted(ids, key=lambda i: (hashlib.md5(f"{i}|42".encode()).hexdigest(), i))[:100])
     assert s1 == want
-    assert ranking.bounded_sample(df, n=5000).count() == 1000
+    assert ranking.bounded_sample(df, n=5000, key=["id"]).count() == 1000
+    # many rows for an entity: the sample takes rows, not entities
+    rows = spark.range(5000).select((F.col("id") % 100).alias("id"), F.col("id").alias("day"))
+    got = ranking.bounded_sample(rows, n=500, key=["id", "day"]).collect()
+    assert len(got) == 500 and len({r.id for r in got}) > 90
+    with pytest.raises(TypeError):
+        ranking.bounded_sample(rows, n=500)
 
 
 def test_histogram_and_scale(spark):
@@ -137,8 +144,10 @@ def test_map_tables(spark):
         "id string, latitude double, longitude double, gazole double, "
         "has_any_anomaly boolean, competitive_gazole boolean")
     sp = {r.id: r for r in station_points(pts, popup_cols=["id", "gazole"],
-                                          color_by="x").collect()}
+                                          color_by="gazole", key=["id"]).collect()}
     assert set(sp) == {"a", "c"} and sp["a"].color == "red" and sp["c"].color == "green"
+    plain = station_points(pts, popup_cols=["id"], color_by="absent", key=["id"]).collect()
+    assert {r.color for r in plain} == {"blue"}        # an absent column colours nothing
     assert sp["a"].popup == "id: a\ngazole: 1.500 €/L" and sp["c"].popup == "id: c"
     assert heat_points(pts).count() == 1
 

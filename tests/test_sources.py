@@ -47,7 +47,7 @@ def test_json_lines_and_multiline(spark, tmpdir_path):
     q = os.path.join(tmpdir_path, "arr")
     landing.write_json_array(spark.createDataFrame([(i,) for i in range(50)], "x int")
                              .repartition(3), q)
-    back = files.scan_json(spark, q, "x int", glob="part-*")
+    back = files.scan_json(spark, q, "x int", glob="part-*.txt")
     assert sorted(r.x for r in back.collect()) == list(range(50))
 
 
@@ -87,8 +87,49 @@ def test_landing_enrich_and_audit(spark):
     assert audit.record_count == 2 and audit.ingestion_date == "2025-01-15"
     text = '{"id":"1","cp":"1000"}{"id":"2","cp":"75001"}'
     assert abs(audit.file_size_mb - len(text) / 2 ** 20) < 1e-12
-    assert [f.name for f in schema.SIDECAR][:4] == ["dataset_name", "ingestion_timestamp",
-                                                    "ingestion_date", "source_url"]
+    assert audit.__fields__[:4] == ["dataset_name", "ingestion_timestamp", "ingestion_date",
+                                    "source_url"]
+
+
+def test_array_reader_refuses_lines_and_truncated_files(spark, tmpdir_path):
+    lines = os.path.join(tmpdir_path, "lines_2025-01-15.json")
+    write(lines, "\n".join(json.dumps(dict(REC, id=str(i))) for i in range(40)))
+    cut = os.path.join(tmpdir_path, "cut_2025-01-15.json")
+    write(cut, json.dumps([dict(REC, id=str(i)) for i in range(40)])[:-25])
+    empty = os.path.join(tmpdir_path, "empty_2025-01-15.json")
+    write(empty, "[]")
+    for bad in (lines, cut):
+        with pytest.raises(Exception, match="corrupt input record"):
+            files.scan_json(spark, bad).collect()
+        with pytest.raises(Exception, match="corrupt input record"):
+            files.scan_json(spark, bad).count()
+        rows = files.scan_json(spark, bad, on_corrupt="report").collect()
+        assert len(rows) == 1 and rows[0].id is None and rows[0][schema.CORRUPT]
+    assert files.scan_json(spark, empty).count() == 0
+    assert files.scan_json(spark, [lines, cut, empty], on_corrupt="report").count() == 2
+    audit = landing.ingest_audit(files.scan_json(spark, cut, on_corrupt="report"),
+                                 dataset_name="d", source_url="u", ingestion_ts="2025-01-15T06:00:00")
+    assert audit.first().corrupt_count == 1
+
+
+def test_corrupt_lines_and_csv_rows(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "l_2025-01-15.json")
+    write(p, "\n".join([json.dumps(REC), '{"id": "2", "cp"', json.dumps(dict(REC, id="3"))]))
+    with pytest.raises(Exception, match="corrupt input record"):
+        files.scan_jsonl(spark, p).count()
+    got = files.scan_snapshots(spark, tmpdir_path, fmt="jsonl", on_corrupt="report").collect()
+    assert sorted(str(r.id) for r in got) == ["1", "3", "None"]
+    assert all(r.source_file.endswith("l_2025-01-15.json") for r in got)
+    c = os.path.join(tmpdir_path, "c.csv")
+    write(c, "b,a\n1,x\n2\n3,y\n")
+    with pytest.raises(Exception, match="corrupt input record"):
+        files.scan_csv(spark, c, "a string, b int").collect()
+    got = files.scan_csv(spark, c, "a string, b int, z double", on_corrupt="report").collect()
+    assert sorted((r.a, r.b) for r in got if r[schema.CORRUPT] is None) == [("x", 1), ("y", 3)]
+    with pytest.raises(ValueError):
+        files.scan_snapshots(spark, tmpdir_path, fmt="xml")
+    with pytest.raises(ValueError):
+        files.scan_jsonl(spark, p, on_corrupt="ignore")
 
 
 def test_checkpoint_dir_required_off_local_masters():
@@ -113,3 +154,7 @@ def test_checkpoint_dir_required_off_local_masters():
         ensure_checkpoint_dir(Session())
     Context.getCheckpointDir = lambda self: "hdfs:///shared/ckpt"
     assert ensure_checkpoint_dir(Session()) == "hdfs:///shared/ckpt"
+    for one_machine in ("file:/tmp/ckpt", "file:///data/ckpt", "/tmp/ckpt"):
+        Context.getCheckpointDir = lambda self, p=one_machine: p
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(Session())

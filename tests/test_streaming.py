@@ -33,4 +33,9 @@ def test_incremental_clean_picks_up_new_files_once(spark, tmpdir_path):
     q.awaitTermination()
     rows = spark.read.parquet(out).collect()
     assert sorted(r.id for r in rows) == ["1", "2", "3"]          # no file read twice
+    # the default checkpoint belongs to the output: another output gets everything
+    for other in ("long-b", "long-c"):
+        path = os.path.join(tmpdir_path, other)
+        start_incremental_clean(spark, landing, path).awaitTermination()
+        assert spark.read.parquet(path).count() == 3
     assert {r.id: r.prix_valeur for r in rows}["2"] is None        # invalid price -> NULL
