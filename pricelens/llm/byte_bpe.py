@@ -73,14 +73,16 @@ def load(path: str, pattern: str) -> Vocabulary:
 
 # --- 1: pre-tokens by position ---------------------------------------------------
 #
-# Rows of the first step.  part -1: one row per batch, ``ids`` the document
-# ids, ``nums`` the bounds of each text in the batch's sequence of codes (int64),
-# ``body`` the codes.  part >= 0: the distinct pre-tokens of one range of hashes,
-# ``nums`` their codes and byte lengths (uint32), ``body`` their bytes.
+# One exchange carries both kinds of rows of the first step to where they are
+# needed, by ``slot``.  A negative slot is a batch: ``ids`` the document ids,
+# ``nums`` the bounds of each text in the batch's sequence of codes (int64),
+# ``body`` the codes.  Another slot is a range of pre-token hashes: the distinct
+# pre-tokens of one batch there, ``codes`` (ascending) their codes as steps,
+# ``nums`` their byte lengths, ``body`` their bytes.
 
-CUT = "batch long, part int, ids array<long>, nums binary, body binary"
-_CUT = pa.schema([("batch", pa.int64()), ("part", pa.int32()), ("ids", pa.list_(pa.int64())),
-                  ("nums", pa.binary()), ("body", pa.binary())])
+CUT = "slot long, batch long, ids array<long>, codes binary, nums binary, body binary"
+_CUT = pa.schema([("slot", pa.int64()), ("batch", pa.int64()), ("ids", pa.list_(pa.int64())),
+                  ("codes", pa.binary()), ("nums", pa.binary()), ("body", pa.binary())])
 
 
 class _Batch:
@@ -121,15 +123,15 @@ class _Batch:
         seq = ragged(np.array(pieces, dtype=np.uint32), off, chunks)
         ends = np.concatenate(([0], np.cumsum((off[1:] - off[:-1])[chunks])))
         bounds = ends[np.concatenate(([0], np.cumsum(self.lengths, dtype=np.int64)))]
-        yield batch, -1, self.ids, bounds.astype(np.int64).tobytes(), planes(seq)
-        pack = zstandard.ZstdCompressor(level=1).compress
+        yield batch, batch, self.ids, None, bounds.astype(np.int64).tobytes(), planes(seq)
+        pack = zstandard.ZstdCompressor(level=3).compress
         raw = [w.encode() for w in words]
         part = np.array([zlib.crc32(w) % parts for w in raw], dtype=np.int64)
         order = np.argsort(part, kind="stable")
         for p, i, j in cells(part[order]):
-            own = order[i:j].tolist()
-            nums = np.array([own, [len(raw[x]) for x in own]], dtype=np.uint32)
-            yield batch, p, None, nums.tobytes(), pack(b"".join(raw[x] for x in own))
+            own = order[i:j].tolist()                  # ascending: the order is stable
+            yield (p, batch, None, planes(np.diff(order[i:j], prepend=0)),
+                   planes(np.array([len(raw[x]) for x in own])), pack(b"".join(raw[x] for x in own)))
 
 
 def _cut(pattern: str, parts: int, batch_bytes: int):
@@ -139,7 +141,7 @@ def _cut(pattern: str, parts: int, batch_bytes: int):
 
         find = regex.compile(pattern).findall
         split = regex.compile(r"(?V1)(?= \S)").split
-        batch = TaskContext.get().partitionId() << 32
+        batch = -1 - (TaskContext.get().partitionId() << 32)
         own = _Batch()
 
         def flush():
@@ -152,7 +154,7 @@ def _cut(pattern: str, parts: int, batch_bytes: int):
                 own.add(doc_id, text.as_py(), split)
                 if own.held >= batch_bytes:
                     yield from flush()
-                    batch, own = batch + 1, _Batch()
+                    batch, own = batch - 1, _Batch()
         if own.ids:
             yield from flush()
     return run
@@ -160,23 +162,23 @@ def _cut(pattern: str, parts: int, batch_bytes: int):
 
 # --- 2: each distinct pre-token once ---------------------------------------------
 
-def _asked(table: pa.Table) -> pa.Table:
-    return table.filter(pc.greater_equal(table.column("part"), 0)).select(
-        ["batch", "part", "nums", "body"])
+_TOLD = pa.schema([("slot", pa.int64()), ("codes", pa.binary()), ("counts", pa.binary()),
+                   ("tokens", pa.binary())])
 
 
 def _encode(vocab: Vocabulary):
     def run(table: pa.Table) -> pa.Table:
         import zstandard
 
+        if table.column("slot")[0].as_py() < 0:       # texts of a batch: nothing to encode
+            return _TOLD.empty_table()
         encode = vocab.encoder().encode_ordinary
         unpack = zstandard.ZstdDecompressor().decompress
         known: dict[bytes, list[int]] = {}
-        nums, body = [], []
+        counted, told = [], []
         for n, b in zip(table.column("nums"), table.column("body")):
-            size = np.frombuffer(n.as_buffer(), dtype=np.uint32).reshape(2, -1)[1]
             raw, at, counts, ids = unpack(b.as_py()), 0, [], []
-            for k in size.tolist():
+            for k in unplanes(n.as_py()).tolist():
                 w = raw[at:at + k]
                 at += k
                 got = known.get(w)
@@ -184,10 +186,10 @@ def _encode(vocab: Vocabulary):
                     got = known[w] = encode(w.decode())
                 counts.append(len(got))
                 ids.extend(got)
-            nums.append(planes(np.array(counts, dtype=np.uint32)))
-            body.append(planes(np.array(ids, dtype=np.uint32)))
-        return pa.table([table.column("batch"), table.column("part"), pa.array(nums, pa.binary()),
-                         pa.array(body, pa.binary())], names=["batch", "part", "counts", "tokens"])
+            counted.append(planes(np.array(counts)))
+            told.append(planes(np.array(ids)))
+        return pa.table([table.column("batch"), table.column("codes"), pa.array(counted, pa.binary()),
+                         pa.array(told, pa.binary())], schema=_TOLD)
     return run
 
 
@@ -210,24 +212,23 @@ def _assemble(vocab: Vocabulary):
     cache: dict = {}
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.column("slot")[0].as_py() >= 0:       # a range of pre-tokens: no text
+            return _OUT.empty_table()
         if "t" not in cache:
             cache["t"] = vocab.byte_table()
-        own = left.filter(pc.equal(left.column("part"), -1))
-        asked = left.filter(pc.greater_equal(left.column("part"), 0)).sort_by("part")
-        told = right.sort_by("part")
         codes, counts, tokens = [], [], []
-        for n, c, t in zip(asked.column("nums"), told.column("counts"), told.column("tokens")):
-            codes.append(np.frombuffer(n.as_buffer(), dtype=np.uint32).reshape(2, -1)[0])
+        for k, c, t in zip(right.column("codes"), right.column("counts"), right.column("tokens")):
+            codes.append(np.cumsum(unplanes(k.as_py()), dtype=np.int64))
             counts.append(unplanes(c.as_py()))
             tokens.append(unplanes(t.as_py()))
-        codes, counts, tokens = (np.concatenate(x) if x else np.zeros(0, np.uint32)
-                                 for x in (codes, counts, tokens))
+        codes, counts, tokens = (np.concatenate(x) if x else np.zeros(0, t)
+                                 for x, t in ((codes, np.int64), (counts, np.uint32), (tokens, np.uint32)))
         # offsets of each pre-token's ids, by its code
         begin = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
         start, end = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
         start[codes], end[codes] = begin[:-1], begin[1:]
-        seq = unplanes(own.column("body")[0].as_py()).astype(np.int64)
-        bounds = np.frombuffer(own.column("nums")[0].as_buffer(), dtype=np.int64)
+        seq = unplanes(left.column("body")[0].as_py()).astype(np.int64)
+        bounds = np.frombuffer(left.column("nums")[0].as_buffer(), dtype=np.int64)
         ids = spans(tokens, start[seq], end[seq]).astype(np.int64)
         total = np.concatenate(([0], np.cumsum((end - start)[seq])))
         off = total[bounds]
@@ -236,7 +237,7 @@ def _assemble(vocab: Vocabulary):
             pa.large_binary(), len(off) - 1, [None, pa.py_buffer(text_off.astype(np.int64)),
                                               pa.py_buffer(np.ascontiguousarray(text))])
         lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()))
-        return pa.table([own.column("ids")[0].values, pa.array(np.diff(off), pa.int64()), lists,
+        return pa.table([left.column("ids")[0].values, pa.array(np.diff(off), pa.int64()), lists,
                          decoded.cast(pa.binary())], schema=_OUT)
     return run
 
@@ -252,9 +253,7 @@ def encode_decode(docs: DataFrame, vocab: Vocabulary, *, id_col: str = "doc_id",
     base = keyed_text(docs, id_col, text_col)
     parts = block_count(docs.sparkSession, text_bytes(base), WORD_BYTES)
     cut = base.mapInArrow(_cut(vocab.pattern, parts, batch_bytes), CUT)
-    # both uses read one exchange by batch, so texts are cut once
-    words = cut.groupBy("batch").applyInArrow(
-        _asked, "batch long, part int, nums binary, body binary")
-    told = words.groupBy("part").applyInArrow(
-        _encode(vocab), "batch long, part int, counts binary, tokens binary")
-    return cut.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(_assemble(vocab), OUT)
+    # both uses read one exchange by slot, so texts are cut once
+    told = cut.groupBy("slot").applyInArrow(
+        _encode(vocab), "slot long, codes binary, counts binary, tokens binary")
+    return cut.groupBy("slot").cogroup(told.groupBy("slot")).applyInArrow(_assemble(vocab), OUT)
