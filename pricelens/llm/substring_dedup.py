@@ -14,7 +14,7 @@ each in the order asked.  Below the wanted length the answer is "held by two
 documents or more" and 32-bit keys per block serve, as a chance match only
 keeps a candidate alive for the next level.  From the wanted length on, keys
 are 64-bit hashes inside blocks dealt by a second, independent 64-bit hash,
-and the answer is "also starts in a document with a smaller id".
+and the answer also says whether a document with a smaller id holds it.
 
 Words covered by such a window are removed.  Windows are judged on the input,
 not on what is left after removals.
@@ -36,6 +36,7 @@ U = np.uint64
 WINDOW = 13
 FIRST_LEVEL = 5
 _NO_ID = np.iinfo(np.int64).max
+_SMALLER, _ELSEWHERE = 1, 2      # answers: starts in a smaller document / in another batch
 
 
 def levels_to(window: int, least: int = FIRST_LEVEL) -> list[int]:
@@ -98,18 +99,26 @@ class _Batch:
 
     def learn(self, level: int, right: pa.Table) -> None:
         """Take in the answers of a level."""
-        at, order, new, block, _, low, _, ids = self.ask(level)
+        at, order, new, block, _, low, high, ids = self.ask(level)
         mine = right.filter(pa.compute.equal(right.column("level"), level))
-        told = answers(mine, "told", np.uint8, len(block)).astype(bool)
+        told = answers(mine, "told", np.uint8, len(block))
         run = np.cumsum(new) - 1
-        yes = told[run]
+        n = int(self.words.first[-1])
+        # repeated: candidates of the next level, the first holder's included
+        self.alive = np.zeros(n + 1, dtype=bool)
+        self.alive[at[order][((told & _ELSEWHERE) > 0)[run] | (low < high)[run]]] = True
+        # also in a document with a smaller id
+        self.later = np.zeros(n, dtype=bool)
         if level >= self.window:
-            yes = yes | (ids[order] > low[run])
-        self.alive = np.zeros(int(self.words.first[-1]) + 1, dtype=bool)
-        self.alive[at[order][yes]] = True
+            self.later[at[order][((told & _SMALLER) > 0)[run] | (ids[order] > low[run])]] = True
         self.level = level
 
 
+ASKED = "block int, batch int, key binary, value binary, here boolean"
+_ASKED = pa.schema([("block", pa.int32()), ("batch", pa.int32()), ("key", pa.binary()),
+                    ("value", pa.binary()), ("here", pa.bool_())])
+
+
 def _emit(levels: list[int], window: int, blocks: int):
     """Questions of the last level, given answers to those before it."""
     def emit(left: pa.Table, right: pa.Table | None) -> pa.Table:
@@ -119,21 +128,19 @@ def _emit(levels: list[int], window: int, blocks: int):
         _, _, _, block, key, low, high, _ = state.ask(levels[-1])
         src = left.column("batch")[0].as_py()
         if levels[-1] < window:
-            key, value = key.astype(np.uint32), (low < high).astype(np.uint8)
+            key, value = key.astype(np.uint32), np.zeros(0, np.uint8)     # the key alone is asked
         else:
             value = low
-        rows = [(b, src, key[i:j].tobytes(), value[i:j].tobytes()) for b, i, j in cells(block)]
-        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, kinds)],
-                        names=["block", "batch", "key", "value"])
+        here = low < high                 # held by two documents of this batch
+        rows = [(b, src, key[i:j].tobytes(), value[i:j].tobytes(), bool(here[i:j].any()))
+                for b, i, j in cells(block)]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, _ASKED)],
+                        schema=_ASKED)
     if len(levels) == 1:
         return lambda table: emit(table, None)
 
     def cogrouped(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int32(), pa.int32(), pa.binary(), pa.binary())],
-                            names=["block", "batch", "key", "value"])
-        return emit(left, right)
+        return emit(left, right) if left.num_rows else _ASKED.empty_table()
     return cogrouped
 
 
@@ -141,22 +148,23 @@ def _answer(level: int, window: int):
     def answer(table: pa.Table) -> pa.Table:
         exact = level >= window
         key, sizes = joined(table.column("key"), np.uint64 if exact else np.uint32)
-        value, _ = joined(table.column("value"), np.int64 if exact else np.uint8)
+        value, _ = joined(table.column("value"), np.int64)
         order = np.argsort(key, kind="stable")
         new = np.ones(len(key), dtype=bool)
         new[1:] = key[order][1:] != key[order][:-1]
         runs, run = np.flatnonzero(new), np.cumsum(new) - 1
         told = np.zeros(len(key), dtype=np.uint8)
         if len(runs):
+            several = (np.diff(np.append(runs, len(key))) > 1)[run]
+            told[order] = several * np.uint8(_ELSEWHERE)
             if exact:
-                told[order] = value[order] > np.minimum.reduceat(value[order], runs)[run]
-            else:
-                several = np.diff(np.append(runs, len(key))) > 1
-                told[order] = (several | (np.maximum.reduceat(value[order], runs) > 0))[run]
-        parts = [x.tobytes() for x in np.split(told, np.cumsum(sizes)[:-1])]
+                told[order] |= (value[order] > np.minimum.reduceat(value[order], runs)[run]) * np.uint8(_SMALLER)
+        parts = np.split(told, np.cumsum(sizes)[:-1])
+        alive = [h or bool(x.any()) for h, x in zip(table.column("here").to_pylist(), parts)]
         n = len(parts)
         return pa.table([table.column("block"), table.column("batch"), pa.array([level] * n, pa.int32()),
-                         pa.array(parts, pa.binary())], names=["block", "batch", "level", "told"])
+                         pa.array([x.tobytes() for x in parts], pa.binary()), pa.array(alive, pa.bool_())],
+                        names=["block", "batch", "level", "told", "alive"])
     return answer
 
 
@@ -170,7 +178,7 @@ def _remove(levels: list[int], window: int, blocks: int, row_type):
         longest = np.zeros(left.num_rows, dtype=np.int32)
         for level in levels:
             state.learn(level, right)
-            at = np.flatnonzero(state.alive)
+            at = np.flatnonzero(state.later)
             if level == window:
                 cover = np.zeros(n + 1, dtype=np.int32)
                 cover[at] += 1
@@ -231,19 +239,17 @@ def repeated_words(docs: DataFrame, *, window: int = WINDOW, max_words: int | No
     todo, done, told = list(levels), [], None
     while todo:
         done.append(todo.pop(0))
-        schema = "block int, batch int, key binary, value binary"
         if told is None:
-            asked = texts.groupBy("batch").applyInArrow(_emit(done, window, blocks), schema)
+            asked = texts.groupBy("batch").applyInArrow(_emit(list(done), window, blocks), ASKED)
         else:
             asked = (texts.groupBy("batch").cogroup(told.groupBy("batch"))
-                          .applyInArrow(_emit(list(done), window, blocks), schema))
+                          .applyInArrow(_emit(list(done), window, blocks), ASKED))
         new = asked.groupBy("block").applyInArrow(
-            _answer(done[-1], window), "block int, batch int, level int, told binary")
+            _answer(done[-1], window), "block int, batch int, level int, told binary, alive boolean")
         longer = max_words is None or max_words >= 2 * done[-1]
         if done[-1] >= window and longer:
             new = materialize(new, "windows-told")
-            one = F.instr(F.hex("told"), "1") > 0
-            if not new.filter(one).isEmpty():
+            if not new.filter("alive").isEmpty():
                 todo.append(2 * done[-1])
         told = new if told is None else told.unionByName(new)
     out = ("doc_id long, n_words long, n_removed long, longest int, "
