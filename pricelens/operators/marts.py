@@ -79,17 +79,33 @@ def agg_by_department_year(df: DataFrame, products: Sequence[str], *,
             .orderBy(F.col(department).asc_nulls_first(), F.col(year).asc_nulls_first()))
 
 
+def _rolled_up(products: Sequence[str], full: bool) -> list:
+    """Statistics of a coarser group from those of its parts: squared deviations
+    add up with those of the parts' means from the common mean."""
+    out = []
+    for p in products:
+        n, total = F.sum(f"{p}_n"), F.sum(f"{p}_sum")
+        out.append(F.try_divide(total, n).alias(mean_col(p)))
+        if full:
+            part = F.try_divide(F.col(f"{p}_sum") * F.col(f"{p}_sum"), F.col(f"{p}_n"))
+            between = F.sum(part) - F.try_divide(total * total, n)
+            dev = F.sum(f"{p}_dev") + F.greatest(between, F.lit(0.0))
+            out += [F.min(f"{p}_min").alias(f"{p}_min"), F.max(f"{p}_max").alias(f"{p}_max"),
+                    F.when(n > 1, F.sqrt(dev / (n - 1))).alias(f"{p}_stddev")]
+    return out
+
+
 def grouped_marts(df: DataFrame, products: Sequence[str], *,
                   department: str = "departement", region: str = "region_code",
                   date: str = "prix_maj_date", year: str = "annee",
                   materialized: bool = True) -> dict:
-    """G1-G6 in one pass: a single GROUPING SETS aggregate.
+    """G1-G6 in one pass over the detailed table.
 
-    One scan and one shuffle of the detailed table compute all six
-    groupings (separate ``groupBy``s would scan it six times).  The combined
-    result has one row per group of every mart - small - and is materialised
-    once; each mart is then a slice by ``grouping_id()``, so a genuine NULL
-    key (the NULL-date group) is never confused with "not grouped".
+    One aggregate at the finest grain (department, region, date, year) keeps
+    count, sum, minimum, maximum and the squared deviations of each product; it
+    is combined map-side, as small as the largest mart, and written once.  All
+    six marts are rolled up from it, so the detailed rows are read and
+    aggregated once and not copied for every grouping.
     """
     ps = present(df, products)
     sets = {"by_region": [region], "by_departement": [department, region]}
@@ -100,22 +116,17 @@ def grouped_marts(df: DataFrame, products: Sequence[str], *,
         sets["by_year"] = [year]
         sets["by_departement_year"] = [department, region, year]
     cols = [c for c in (department, region, date, year) if c in df.columns]
-    gid = {}
-    for name, keys in sets.items():
-        # grouping_id bit i (from the left, most significant first) is 1 when
-        # cols[i] is *not* grouped
-        gid[name] = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
-    agg = df.groupingSets([[F.col(c) for c in keys] for keys in sets.values()], *cols).agg(
-        *price_stats(ps), F.grouping_id().alias("_gid"))
+    fine = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(COUNT_COL), *[
+        a for p in ps for a in (
+            F.count(p).alias(f"{p}_n"), F.sum(p).alias(f"{p}_sum"), F.min(p).alias(f"{p}_min"),
+            F.max(p).alias(f"{p}_max"), (F.var_pop(p) * F.count(p)).alias(f"{p}_dev"))])
     if materialized:
         from ..functions.sizing import materialize
-        agg = materialize(agg, "marts")
+        fine = materialize(fine, "marts")
     out = {}
     for name, keys in sets.items():
         full = name in ("by_region", "by_departement")
-        stats = [c for p in ps for c in ([mean_col(p), f"{p}_min", f"{p}_max", f"{p}_stddev"]
-                                         if full else [mean_col(p)])]
-        m = agg.filter(F.col("_gid") == gid[name]).select(*keys, *stats, COUNT_COL)
+        m = fine.groupBy(*keys).agg(*_rolled_up(ps, full), F.sum(COUNT_COL).alias(COUNT_COL))
         if name == "by_departement_date":
             m = m.withColumnRenamed(date, "date")
         elif name == "by_year":
@@ -134,8 +145,8 @@ def build_marts(df: DataFrame, products: Sequence[str], *,
                 tiebreak: Sequence[str] = (), single_pass: bool = True) -> dict:
     """E2 core: the eight marts as a name -> DataFrame dict.
 
-    ``single_pass`` computes G1-G6 with one GROUPING SETS aggregate
-    (materialised); otherwise six lazy ``groupBy``s.
+    ``single_pass`` rolls G1-G6 up from one fine aggregate (written once);
+    otherwise six lazy ``groupBy``s.
     """
     from .ranking import bottom_n_per_group, top_n_per_group
 

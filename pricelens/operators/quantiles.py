@@ -3,18 +3,18 @@
 ``exact_quantiles`` returns the same values as SQL ``quantile_cont`` /
 Spark ``percentile`` (linear interpolation), but never holds a group in one
 task.  Spark's ``percentile`` keeps a value->count map per group and merges
-a whole group in one task; here the work is laid out by a range partition
-instead:
-
-1. collapse duplicates: ``(group, value) -> count`` (map-side partial
-   aggregation, so a value repeated a billion times is one row);
-2. range-partition those pairs by ``(group, value)`` into blocks of
-   bounded size and materialise them (the block id must not change between
-   the branches that read it);
-3. per block: its count and its place in the group (running sum over block
-   totals - at most partitions + groups rows);
-4. each wanted rank falls in one block; only those blocks get a running
-   count over their rows, which picks the value at that rank.
+a whole group in one task; here a sketch narrows the search first:
+
+1. one pass of ``percentile_approx`` per group, whose rank error has a bound,
+   gives for each wanted rank a bracket that surely holds it: about
+   ``6 n / accuracy`` ranks wide, or the whole group if that has fewer than
+   ``2 * accuracy`` values;
+2. a second pass counts the values below each bracket and keeps the few inside
+   it, equal values collapsed to a count;
+3. a running count over these picks the values at the wanted ranks.
+
+No sort or range partition of the data is needed, and nothing of it goes to
+the driver.
 
 ``approx_quantiles`` is the mergeable-sketch path (``percentile_approx``):
 one pass, bounded memory, rank error ``1/accuracy``.
@@ -64,71 +64,67 @@ def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
                     groups: Sequence[str] = (), names: Sequence[str] | None = None,
-                    partitions: int | None = None) -> DataFrame:
+                    accuracy: int = 100_000) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value`` per group.
 
     One row per group that has at least one non-NULL value (one row with
-    NULLs when there are no groups and no values).  Runs eagerly: the
-    value/count pairs and the wanted blocks are materialised.
+    NULLs when there are no groups and no values).  Runs eagerly: the values
+    are written once and read by both passes.
     """
     g = list(groups)
     names = list(names or [_qname(value, q) for q in probs])
-    spark = df.sparkSession
     global_ = not g
     if global_:
         df, g = df.withColumn("_one", F.lit(0)), ["_one"]
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value).cast("double")
-
-    pairs = (df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull())
-             .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    # the block id is written with the rows, so every later branch sees the
-    # same layout (a recomputed range partition could draw other bounds)
-    pairs = materialize(pairs.repartitionByRange(nparts, *[F.col(c) for c in g], F.col("_v"))
-                        .withColumn("_blk", F.spark_partition_id()), "quantile_pairs")
-
-    blocks = pairs.groupBy(*g, "_blk").agg(F.sum("_c").alias("_bn"))
-    before = Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (blocks
-              .withColumn("_before", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
-              .withColumn("_n", F.sum("_bn").over(Window.partitionBy(*g))))
-
-    # wanted ranks (1-based): lo = floor(h)+1, hi = ceil(h)+1, h = (n-1) q
-    wanted = []
-    for i, q in enumerate(probs):
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        wanted.append(F.struct(F.lit(i).alias("_qi"), F.lit("lo").alias("_end"),
-                               (F.floor(h) + 1).alias("_rank"), (h - F.floor(h)).alias("_frac")))
-        wanted.append(F.struct(F.lit(i).alias("_qi"), F.lit("hi").alias("_end"),
-                               (F.ceil(h) + 1).alias("_rank"), (h - F.floor(h)).alias("_frac")))
-    need = (blocks.select(*g, "_blk", "_before", "_bn", F.explode(F.array(*wanted)).alias("_w"))
-            .select(*g, "_blk", "_before", "_bn", "_w.*")
-            .filter((F.col("_rank") > F.col("_before"))
-                    & (F.col("_rank") <= F.col("_before") + F.col("_bn")))
-            .withColumn("_local", F.col("_rank") - F.col("_before")))
-    # at most 2 x len(probs) rows per group: broadcast after a size check, so
-    # only the rows of the wanted blocks are shuffled for the running count
-    need = broadcast_if_small(need)
-
-    in_block = Window.partitionBy(*g, "_blk").orderBy("_v").rowsBetween(
+    base = materialize(df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull()),
+                       "quantile-values")
+
+    # brackets: three rank errors to either side; the whole of a small group
+    edge = 3.0 / accuracy
+    around = [p for q in probs for p in (max(0.0, q - edge), min(1.0, q + edge))]
+    sketch = base.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", around, accuracy).alias("_q"))
+    whole = F.col("_n") < 2 * accuracy
+    brackets = [F.struct(F.lit(i).alias("_qi"),
+                         F.when(whole, F.col("_min")).otherwise(F.col("_q")[2 * i]).alias("_lo"),
+                         F.when(whole, F.col("_max")).otherwise(F.col("_q")[2 * i + 1]).alias("_hi"))
+                for i in range(len(probs))]
+    sketch = broadcast_if_small(sketch.select(*g, "_n", F.array(*brackets).alias("_b")))
+    seen = _join_ns(base, sketch, g)
+
+    # ranks before each bracket, and the values inside it with their counts
+    below = seen.groupBy(*g).agg(F.max("_n").alias("_n"), *[
+        F.count_if(F.col("_v") < F.col("_b")[i]["_lo"]).alias(f"_below{i}") for i in range(len(probs))])
+    below = broadcast_if_small(below)
+    inside = (seen.select(*g, "_v", F.explode("_b").alias("_b"))
+                  .filter((F.col("_v") >= F.col("_b._lo")) & (F.col("_v") <= F.col("_b._hi")))
+                  .groupBy(*g, F.col("_b._qi").alias("_qi"), "_v")
+                  .agg(F.count(F.lit(1)).alias("_c")))
+    up_to = Window.partitionBy(*g, "_qi").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cand = (_join_ns(pairs, need.select(*g, "_blk"), [*g, "_blk"], how="left_semi")
-            .withColumn("_cum", F.sum("_c").over(in_block)))
-    hits = (_join_ns(cand, need.select(*g, "_blk", "_qi", "_end", "_local", "_frac"),
-                     [*g, "_blk"])
-            .filter((F.col("_cum") - F.col("_c") < F.col("_local"))
-                    & (F.col("_local") <= F.col("_cum"))))
+    at = _join_ns(inside.withColumn("_cum", F.sum("_c").over(up_to)), below, g)
+    start = F.array(*[F.col(f"_below{i}") for i in range(len(probs))])[F.col("_qi")]
+    at = at.withColumn("_cum", F.col("_cum") + start)
+
+    # wanted ranks (1-based): floor(h) + 1 and ceil(h) + 1, h = (n - 1) q
+    h = (F.col("_n") - 1) * F.array(*[F.lit(float(q)) for q in probs])[F.col("_qi")]
+    at = at.withColumn("_h", h)
 
+    def holds(rank):
+        return (F.col("_cum") - F.col("_c") < rank) & (rank <= F.col("_cum"))
     aggs = []
     for i, n in enumerate(names):
-        lo = F.max(F.when((F.col("_qi") == i) & (F.col("_end") == "lo"), F.col("_v")))
-        hi = F.max(F.when((F.col("_qi") == i) & (F.col("_end") == "hi"), F.col("_v")))
-        frac = F.max(F.when(F.col("_qi") == i, F.col("_frac")))
+        mine = F.col("_qi") == i
+        lo = F.max(F.when(mine & holds(F.floor("_h") + 1), F.col("_v")))
+        hi = F.max(F.when(mine & holds(F.ceil("_h") + 1), F.col("_v")))
+        frac = F.max(F.when(mine, F.col("_h") - F.floor("_h")))
         aggs.append((lo + (hi - lo) * frac).alias(n))
     if global_:
         # a global aggregate has exactly one row (NULLs when there are no values)
-        return hits.agg(*aggs)
-    return hits.groupBy(*g).agg(*aggs)
+        return at.agg(*aggs)
+    return at.groupBy(*g).agg(*aggs)
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,

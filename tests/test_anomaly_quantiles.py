@@ -16,7 +16,7 @@ def test_exact_quantiles_match_numpy_with_hot_group(spark):
     rows += [("a", None)] * 50
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.05, 0.25, 0.5, 0.75, 0.95]
-    got = {r.g: r for r in exact_quantiles(df, "v", probs, groups=["g"], partitions=7).collect()}
+    got = {r.g: r for r in exact_quantiles(df, "v", probs, groups=["g"], accuracy=50).collect()}
     for g in ("hot", "a", "b", "c"):
         vals = np.array([v for k, v in rows if k == g and v is not None])
         for q in probs:
