@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import clean
+from .. import schema as S
+from ..operators import clean, lookups
 from . import bindings as B
 from .catalog import register
+from .sqltext import csv as _csv
 
 L = B.OBS_LONG_SQL
 LONG_COLS = ["id", "departement", "region_code", "prix_nom", "prix_valeur",
@@ -129,3 +131,90 @@ RUN_TS = "2025-06-30T08:00:00"
 def q_stamp_processing(spark, sf):
     out = clean.stamp_processing(B.obs_wide(spark, sf), run_ts=RUN_TS, run_date="2025-06-30")
     return out.select("id", "prix_maj_date", "processing_timestamp", "processing_date")
+
+
+# --- rows that reach every branch, derived from keys over whole tables -----------------
+
+def _values(mapping: dict) -> str:
+    return "(VALUES " + ", ".join("('%s', '%s')" % (k, v.replace("'", "''")) for k, v in mapping.items()) + ")"
+
+
+_NULL_KEYS_SQL = ("k AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS id, "
+                  "CASE WHEN o_custkey % 11 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS cp, "
+                  "CASE WHEN o_orderkey % 13 <> 0 THEN o_orderstatus END AS ville FROM orders)")
+
+
+def _null_keys(spark, sf):
+    """Orders as observations; each key is NULL for some."""
+    o = B.table(spark, sf, "orders")
+    return o.select("o_orderkey",
+                    F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey").cast("string")).alias("id"),
+                    F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey").cast("string")).alias("cp"),
+                    F.when(F.col("o_orderkey") % 13 != 0, F.col("o_orderstatus")).alias("ville"))
+
+
+@register("require_keys_nulls", f"WITH {_NULL_KEYS_SQL} SELECT * FROM k WHERE id IS NOT NULL AND cp IS NOT NULL "
+                                "AND ville IS NOT NULL")
+def q_require_keys_nulls(spark, sf):
+    return clean.require_keys(_null_keys(spark, sf))
+
+
+@register("clean_report_nulls",
+          f"WITH {_NULL_KEYS_SQL}, n AS (SELECT count(*) AS a, count(*) FILTER (WHERE id IS NOT NULL AND cp IS NOT "
+          "NULL AND ville IS NOT NULL) AS b FROM k) SELECT a AS rows_in, b AS rows_out, a - b AS rows_removed, "
+          "CASE WHEN a > 0 THEN (a - b) * 100.0 / a ELSE 0.0 END AS removed_pct FROM n", doubles=["removed_pct"])
+def q_clean_report_nulls(spark, sf):
+    return clean.clean_report(_null_keys(spark, sf))
+
+
+# postal codes from 00000 to 99999 in steps of 89 and department codes for every 5th
+# customer: Corsica, overseas, unknown and NULL ones occur
+_POSTAL_SQL = ("c AS (SELECT c_custkey, CASE WHEN c_custkey % 17 <> 0 THEN lpad(CAST(c_custkey * 89 % 100000 AS "
+               "VARCHAR), 5, '0') END AS cp, CASE WHEN c_custkey % 5 = 0 THEN CAST(CASE WHEN c_custkey % 10 = 0 THEN "
+               "970 + c_custkey % 7 ELSE c_custkey % 100 END AS VARCHAR) END AS dep_code FROM customer), "
+               "d AS (SELECT c_custkey, cp, coalesce(CASE WHEN length(dep_code) < 2 THEN lpad(dep_code, 2, '0') ELSE "
+               "dep_code END, CASE WHEN substr(cp, 1, 3) IN ('200', '201') THEN '2A' WHEN substr(cp, 1, 3) IN ('202', "
+               "'206') THEN '2B' ELSE substr(cp, 1, 2) END) AS departement FROM c)")
+
+
+def _departments(spark, sf):
+    k = F.col("c_custkey")
+    c = B.table(spark, sf, "customer").select(
+        k, F.when(k % 17 != 0, F.lpad((k * 89 % 100000).cast("string"), 5, "0")).alias("cp"),
+        F.when(k % 5 == 0, F.when(k % 10 == 0, 970 + k % 7).otherwise(k % 100).cast("string")).alias("dep_code"))
+    return clean.derive_department(c).drop("dep_code")
+
+
+@register("derive_department_codes", f"WITH {_POSTAL_SQL} SELECT * FROM d")
+def q_derive_department_codes(spark, sf):
+    return _departments(spark, sf)
+
+
+@register("derive_region_codes",
+          f"WITH {_POSTAL_SQL} SELECT c_custkey, cp, departement, coalesce(r.v, '99') AS region_code FROM d "
+          f"LEFT JOIN {_values(S.DEPARTMENT_REGION)} r(k, v) ON d.departement = r.k")
+def q_derive_region_codes(spark, sf):
+    return clean.derive_region(_departments(spark, sf))
+
+
+_REGION_CODES = [*S.REGION_NAMES, "00", "x"]
+
+
+@register("lookup_region_builtin",
+          "SELECT c_custkey, code AS region_code, coalesce(n.v, 'Inconnu') AS region_name FROM (SELECT c_custkey, "
+          f"CASE WHEN c_custkey % 19 <> 0 THEN [{_csv(repr(c) for c in _REGION_CODES)}][c_custkey % "
+          f"{len(_REGION_CODES)} + 1] END AS code FROM customer) c LEFT JOIN {_values(S.REGION_NAMES)} n(k, v) "
+          "ON c.code = n.k")
+def q_lookup_region_builtin(spark, sf):
+    k = F.col("c_custkey")
+    codes = F.array(*[F.lit(c) for c in _REGION_CODES])
+    c = B.table(spark, sf, "customer").select(
+        k, F.when(k % 19 != 0, codes[(k % len(_REGION_CODES)).cast("int")]).alias("region_code"))
+    return lookups.lookup_region_name(c)
+
+
+@register("lookup_department_builtin",
+          f"WITH {_POSTAL_SQL} SELECT c_custkey, departement, n.v AS departement_name FROM d "
+          f"LEFT JOIN {_values(S.DEPARTMENT_NAMES)} n(k, v) ON d.departement = n.k")
+def q_lookup_department_builtin(spark, sf):
+    return lookups.lookup_department_name(_departments(spark, sf).drop("cp"))

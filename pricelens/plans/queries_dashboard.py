@@ -20,7 +20,7 @@ LABELS = {p: p.upper() for p in P}
 OTHER = "4"          # region code playing the catch-all role
 YEAR = 1998
 PRODUCT = "ECONOMY"
-NO_DATA_AREA = "NATION_7"
+NO_DATA_AREA = "NOWHERE"          # one more area, without any price
 
 MARTS_SQL = B.OBS_WIDE_SQL + f""",
 by_region AS (SELECT region_code, {_full_stats_sql()} FROM obs_wide GROUP BY region_code),
@@ -518,27 +518,30 @@ def q_heat_points(spark, sf):
     return heat_points(B.with_coordinates(W(spark, sf)), weight="economy")
 
 
-_AREAS_SQL = (", areas AS (SELECT n_name AS departement FROM nation), "
-              f"prices AS (SELECT * FROM latest WHERE fuel_type = '{PRODUCT}' "
-              f"AND departement <> '{NO_DATA_AREA}'), "
+_AREAS_SQL = (f", areas AS (SELECT n_name AS departement FROM nation UNION ALL SELECT '{NO_DATA_AREA}'), "
+              f"prices AS (SELECT * FROM latest WHERE fuel_type = '{PRODUCT}'), "
               "tbl AS (SELECT a.departement, p.mean_price, p.nombre_stations, "
               "p.mean_price IS NOT NULL AS has_data FROM areas a LEFT JOIN prices p "
               "ON a.departement = p.departement)")
 
 
 def _prices(spark, sf):
-    s = select.filter_product(latest(spark, sf), PRODUCT)
-    return s.filter(F.col("departement") != NO_DATA_AREA)
+    return select.filter_product(latest(spark, sf), PRODUCT)
 
 
 def _areas(spark, sf):
     return B.table(spark, sf, "nation").select(F.col("n_name").alias("departement"))
 
 
+def _areas_and_one(spark, sf):
+    areas = _areas(spark, sf)
+    return areas.union(areas.agg(F.lit(NO_DATA_AREA)))
+
+
 @register("choropleth_table", f"WITH {MARTS_SQL}{_AREAS_SQL} SELECT * FROM tbl",
           doubles=["mean_price"])
 def q_choropleth_table(spark, sf):
-    return choropleth_table(_areas(spark, sf), _prices(spark, sf))
+    return choropleth_table(_areas_and_one(spark, sf), _prices(spark, sf))
 
 
 @register("choropleth_bands",
@@ -550,7 +553,7 @@ def q_choropleth_table(spark, sf):
           doubles=["mean_price", "band"])
 def q_choropleth_bands(spark, sf):
     prices = _prices(spark, sf)
-    return choropleth_bands(choropleth_table(_areas(spark, sf), prices),
+    return choropleth_bands(choropleth_table(_areas_and_one(spark, sf), prices),
                             dashboard.price_scale(prices))
 
 
