@@ -16,8 +16,11 @@ A document's row of the incidence matrix is the set of its 5-word shingles
    of one column propose pairs, thinned by the size bound
    (``100 * smaller >= percent * larger``) and by the bound that follows from
    the ranks of the common column.
+   An overlap is at most the lesser number of shared columns (count two or
+   more) of the two rows, so pairs whose rows share too little fall away too.
 4. *Exact overlaps.*  Proposed pairs get their full overlap from the sorted
-   rows.  A column with m rows first proposes pairs with one pivot row, and
+   rows.  A column with m rows first proposes pairs with one pivot row (the one
+   that shares the largest part of itself: the original of edited copies), and
    only rows not yet connected are paired with each other afterwards, so
    groups of thousands of near copies cost links in proportion to their
    size and no component is lost.
@@ -42,7 +45,7 @@ from .textvec import Words, find_words, mix, window_hashes, window_starts, word_
 U = np.uint64
 SHINGLE = 5
 PERCENT = 80
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 
 def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,27 +186,33 @@ def verify(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFra
     return full.mapInArrow(_overlap(percent), "a long, b long, overlap int, linked boolean")
 
 
-def _size_ok(x: str, y: str, percent: int):
-    return (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
+def _possible(n_x: str, s_x: str, n_y: str, s_y: str, percent: int):
+    """Sizes n and shared columns s of two rows admit a link."""
+    return ((F.least(n_x, n_y) * 100 >= F.greatest(n_x, n_y) * percent)
+            & (F.least(s_x, s_y) * (100 + percent) >= (F.col(n_x) + F.col(n_y)) * percent))
 
 
 def linked_sets(rows: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """(node, comp) of the sets (``ent``) that have a link."""
-    pre = (rows.select("ent", "n", F.explode("pre").alias("p"))
-               .select(F.col("p.tok").alias("tok"), "ent", "n", F.col("p.rank").alias("rank")))
+    shared = F.floor(F.octet_length("toks") / 8).cast("int")
+    pre = (rows.select("ent", "n", shared.alias("s"), F.explode("pre").alias("p"))
+               .select(F.col("p.tok").alias("tok"), "ent", "n", "s", F.col("p.rank").alias("rank")))
     several = pre.groupBy("tok").agg(F.min("ent").alias("lo"), F.max("ent").alias("hi"))
     several = several.filter("lo <> hi").select("tok")
     entries = materialize(pre.join(several, "tok", "left_semi"), "jaccard-entries")
     tested = comp = None
-    for _ in range(star_rounds):
+    for step in range(star_rounds):
         own = entries.withColumn("comp", F.col("ent")) if comp is None else _labelled(entries, comp)
-        # the pivot of a column: its row in the least component
+        # the pivot of a column: first the row that shares most of itself, later any
+        first = (-F.col("s") / F.col("n")) if step == 0 else F.xxhash64(F.col("ent"), F.lit(step))
         pivot = own.groupBy("tok").agg(
-            F.min(F.struct("comp", "ent", "n", "rank")).alias("p"), F.max("comp").alias("most"))
-        pivot = pivot.filter(F.col("p.comp") != F.col("most")).select(
-            "tok", F.col("p.ent").alias("pivot"), F.col("p.comp").alias("p_comp"), F.col("p.n").alias("p_n"))
+            F.min(F.struct(first.alias("first"), "ent", "n", "s", "comp")).alias("p"),
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        pivot = pivot.filter("lo <> hi").select(
+            "tok", F.col("p.ent").alias("pivot"), F.col("p.comp").alias("p_comp"),
+            F.col("p.n").alias("p_n"), F.col("p.s").alias("p_s"))
         met = (own.join(pivot, "tok").filter("comp <> p_comp")
-                  .filter(_size_ok("n", "p_n", percent))
+                  .filter(_possible("n", "s", "p_n", "p_s", percent))
                   .groupBy("ent", "pivot").agg(F.count(F.lit(1)).alias("common")))
         met = met.select(F.greatest("ent", "pivot").alias("a"), F.least("ent", "pivot").alias("b"),
                          "ent", "common")
@@ -224,14 +233,13 @@ def linked_sets(rows: DataFrame, percent: int = PERCENT, star_rounds: int = STAR
     # columns that still join several components: all their pairs across components
     open_ = own.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     own = own.join(open_.filter("lo <> hi").select("tok"), "tok", "left_semi")
-    x = own.select("tok", F.col("ent").alias("a"), F.col("n").alias("n_a"),
-                   F.col("rank").alias("r_a"), F.col("comp").alias("c_a"))
-    y = own.select("tok", F.col("ent").alias("b"), F.col("n").alias("n_b"),
-                   F.col("rank").alias("r_b"), F.col("comp").alias("c_b"))
-    best = F.least(F.col("n_a") - F.col("r_a"), F.col("n_b") - F.col("r_b"))
-    rest = (x.join(y, "tok").filter("a > b AND c_a <> c_b").filter(_size_ok("n_a", "n_b", percent))
-             .filter(best * 100 >= percent * (F.col("n_a") + F.col("n_b") - best))
-             .select("a", "b").distinct())
+    x = own.select("tok", *[F.col(c).alias(f"{c}_a") for c in ("ent", "n", "s", "rank", "comp")])
+    y = own.select("tok", *[F.col(c).alias(f"{c}_b") for c in ("ent", "n", "s", "rank", "comp")])
+    best = F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b"))
+    rest = (x.join(y, "tok").filter("ent_a > ent_b AND comp_a <> comp_b")
+             .filter(_possible("n_a", "s_a", "n_b", "s_b", percent))
+             .filter(best * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b")))
+             .select(F.col("ent_a").alias("a"), F.col("ent_b").alias("b")).distinct())
     if tested is not None:
         rest = rest.join(tested.select("a", "b"), ["a", "b"], "left_anti")
     got = materialize(verify(materialize(rest, "jaccard-pairs"), rows, percent), "jaccard-tested")
@@ -241,7 +249,7 @@ def linked_sets(rows: DataFrame, percent: int = PERCENT, star_rounds: int = STAR
 
 def _labelled(entries: DataFrame, comp: DataFrame) -> DataFrame:
     return (entries.join(comp, entries["ent"] == comp["node"], "left")
-                   .select("tok", "ent", "n", "rank", F.coalesce("comp", "ent").alias("comp")))
+                   .select("tok", "ent", "n", "s", "rank", F.coalesce("comp", "ent").alias("comp")))
 
 
 def near_duplicate_groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT,
