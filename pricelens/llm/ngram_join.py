@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sizing import discard
 from .common import materialize
 from .components import components
 from .exchange import answers, block_of, cells, dealt, joined
@@ -267,18 +268,22 @@ def near_duplicate_groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: i
     # one row for each class of equal sets
     rows = materialize(all_rows.filter("toks IS NOT NULL").dropDuplicates(["ent"])
                        .select("ent", "n", "toks", "pre"), "jaccard-classes")
-    comp = linked_sets(rows, percent)
+    comp = materialize(linked_sets(rows, percent), "jaccard-comp")
     classes = (all_rows.filter("ent IS NOT NULL").groupBy("ent").agg(F.min("doc_id").alias("least")))
     named = (classes.join(comp, classes["ent"] == comp["node"], "left")
                     .select("ent", "least", F.coalesce("comp", "ent").alias("comp")))
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    by_set = materialize(named.select("ent", "comp").join(names, "comp")
-                         .select(F.col("ent").alias("set_id"), "component_id"), "jaccard-names")
+    by_set = (named.select("ent", "comp").join(names, "comp")
+                   .select(F.col("ent").alias("set_id"), "component_id"))
     base = all_rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "ent")
-    return (base.join(by_set, base["ent"] == by_set["set_id"], "left")
-                .select("doc_id", "n_shingles",
-                        F.when(F.col("ent").isNull(), F.col("doc_id"))
-                         .otherwise(F.col("component_id")).alias("component_id")))
+    out = materialize(base.join(by_set, base["ent"] == by_set["set_id"], "left")
+                          .select("doc_id", "n_shingles",
+                                  F.when(F.col("ent").isNull(), F.col("doc_id"))
+                                   .otherwise(F.col("component_id")).alias("component_id")),
+                      "jaccard-groups")
+    for t in (all_rows, rows, comp):          # three columns are left of all this
+        discard(t)
+    return out
 
 
 def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

@@ -234,15 +234,14 @@ def repeated_words(docs: DataFrame, *, window: int = WINDOW, max_words: int | No
     is larger than every id.
     """
     batches, blocks = dealt(docs, id_col, text_col, carry=carry)
-    texts = batches.select("batch", "doc_id", "text") if carry else batches
     levels = levels_to(window)
     todo, done, told = list(levels), [], None
     while todo:
         done.append(todo.pop(0))
         if told is None:
-            asked = texts.groupBy("batch").applyInArrow(_emit(list(done), window, blocks), ASKED)
+            asked = batches.groupBy("batch").applyInArrow(_emit(list(done), window, blocks), ASKED)
         else:
-            asked = (texts.groupBy("batch").cogroup(told.groupBy("batch"))
+            asked = (batches.groupBy("batch").cogroup(told.groupBy("batch"))
                           .applyInArrow(_emit(list(done), window, blocks), ASKED))
         new = asked.groupBy("block").applyInArrow(
             _answer(done[-1], window), "block int, batch int, level int, told binary, alive boolean")
