@@ -21,8 +21,10 @@ read where it lies, only the keys are shuffled.
 
 from __future__ import annotations
 
+import array
 import json
 import math
+import sys
 import uuid
 
 import numpy as np
@@ -40,7 +42,7 @@ SHARD_BYTES = 8 << 20           # text bytes
 BLOCK_IDS = 1 << 18
 INDEX_KEYS = 100_000
 GAMMA = 1.5
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 
 
 # --- encoding --------------------------------------------------------------------
@@ -71,17 +73,31 @@ class WordEncoder:
             self.find = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
                                       r"| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
             self.split = regex.compile(r"(?V1)(?= \S)").split
-            self.pieces = _Kept(self._piece)
-            self.chunks = _Kept(lambda w: self._chunk(" " + w))
+            self.words, self.others = _Kept(self._word), _Kept(self._piece)
             self.letters = {b: c for b, c in enumerate(_byte_letters())}
-            self.model = self.tok.model
+            self.tokenize = self.tok.model.tokenize
+            self.code = "I" if wide else "H"
+            self.marks = {m: self._piece(m) for m in ".,;:!?"}
 
     def _piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(letters)], self.dtype).tobytes()
+        ids = array.array(self.code, [t.id for t in self.tokenize(letters)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        return b"".join([self.pieces[p] for p in self.find(chunk)])
+        return b"".join([self.words[p[1:]] if p[0] == " " and p[1:].isalpha() else self.others[p]
+                         for p in self.find(chunk)])
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a space and a word (text up to the next space)."""
+        if word.isalpha():                       # one pre-token
+            return self._piece(" " + word)
+        mark = self.marks.get(word[-1:])
+        if mark is not None and word[:-1].isalpha():
+            return self.words[word[:-1]] + mark
+        return self._chunk(" " + word)
 
     def __call__(self, text: str) -> bytes:
         if not self.by_word:
@@ -90,7 +106,7 @@ class WordEncoder:
         if "  " in text:
             return b"".join(map(self._chunk, self.split(text))) + self.end
         first, *rest = text.split(" ")
-        return self._chunk(first) + b"".join(map(self.chunks.__getitem__, rest)) + self.end
+        return self._chunk(first) + b"".join(map(self.words.__getitem__, rest)) + self.end
 
 
 class _Kept(dict):
@@ -117,6 +133,14 @@ def _byte_letters() -> list[str]:
 _ENCODERS: dict = {}
 
 
+def encoder_for(path: str, end_id: int | None, wide: bool) -> WordEncoder:
+    """One encoder, with the words it knows, for all tasks of a Python worker."""
+    name = (path, end_id, wide)
+    if name not in _ENCODERS:
+        _ENCODERS[name] = WordEncoder(*name)
+    return _ENCODERS[name]
+
+
 def encoded(docs: DataFrame, tokenizer: str, *, end_id: int | None = 2, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """(key long, ids binary) of the rows with an id; NULL texts are empty.
@@ -126,10 +150,7 @@ def encoded(docs: DataFrame, tokenizer: str, *, end_id: int | None = 2, id_col:
     wide = Tokenizer.from_file(tokenizer).get_vocab_size() > 1 << 16
 
     def run(batches):
-        name = (tokenizer, end_id, wide)
-        if name not in _ENCODERS:
-            _ENCODERS[name] = WordEncoder(*name)
-        encode = _ENCODERS[name]
+        encode = encoder_for(tokenizer, end_id, wide)
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
