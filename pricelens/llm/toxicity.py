@@ -11,9 +11,9 @@
    text has them), so one chance hit in a long text is far from many in a short.
 3. *Index.*  The examples' vectors form an inverted index in blocks of
    neighbouring examples; each term has its greatest weight in each block.  A
-   text visits blocks in falling order of the cosine that their maxima allow
-   and stops when no block left can beat its k-th neighbour, so the k nearest
-   by cosine are exact.
+   text reads the block where the maxima allow the highest cosine, then every
+   block that they allow to reach its k-th neighbour there, so the k nearest by
+   cosine are exact.
 4. *Votes.*  Neighbours vote with their cosine; the votes shrink towards the
    share of toxic examples among those without any term.  A text without a term
    has no neighbour and gets that share.
@@ -42,6 +42,7 @@ PREFIXES = (4, 5, 6, 7)
 K = 15
 SHRINK = 0.25
 BLOCK = 128
+QUERIES = 128
 
 _SPACE = bytes.maketrans(bytes(x for x in range(128) if not chr(x).isalpha()),
                          b" " * sum(not chr(x).isalpha() for x in range(128)))
@@ -138,8 +139,8 @@ class Index:
         blocks = -(-len(ordered) // BLOCK)
         self.most = np.array([self.matrix[b * BLOCK:(b + 1) * BLOCK].max(axis=0) for b in range(blocks)]
                              ).reshape(blocks, len(idf))
-        # postings of each block: (example in the block, term, weight) by term
-        self.postings = [np.nonzero(self.matrix[b * BLOCK:(b + 1) * BLOCK].T) for b in range(blocks)]
+        # the lists of a block: weights of its examples by term
+        self.lists = [np.ascontiguousarray(self.matrix[b * BLOCK:(b + 1) * BLOCK].T) for b in range(blocks)]
         toxic, total = labels_without
         self.prior = (toxic + 0.5) / (total + 1.0) if total else (
             float((self.label.sum() + 0.5) / (len(self.label) + 1.0)))
@@ -153,27 +154,41 @@ class Index:
                 v /= norm
         return v
 
-    def nearest(self, at, tf, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest with a positive cosine, by falling
-        cosine, ties by the example's id; exact."""
-        v = self.vector(at, tf)
-        used = np.asarray(at)
-        bound = self.most[:, used] @ v[used]
-        best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            # a block that could only tie may hold a smaller id
-            if bound[b] <= 0 or (len(best) == k and bound[b] < cosine[-1] - 1e-12):
-                break
-            lo = b * BLOCK
-            term, example = self.postings[b]
-            mine = np.isin(term, used)
-            score = np.bincount(example[mine], weights=self.matrix[lo + example[mine], term[mine]] * v[term[mine]],
-                                minlength=BLOCK)
-            hit = np.flatnonzero(score > 0)
-            best, cosine = np.concatenate((best, lo + hit)), np.concatenate((cosine, score[hit]))
-            order = np.lexsort((self.ids[best], -np.round(cosine, 12)))[:k]
-            best, cosine = best[order], cosine[order]
-        return best, cosine
+    def nearest(self, queries: list[tuple], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each (at, tf) the (examples, cosines) of the k nearest with a positive
+        cosine, by falling cosine, ties by the example's id; exact.
+
+        Every query first reads the block of its highest bound, which gives a
+        floor for its k-th cosine; then it reads the lists of its terms in each
+        block whose bound reaches the floor.
+        """
+        q = np.array([self.vector(at, tf) for at, tf in queries]).reshape(len(queries), len(self.idf))
+        bound = q @ self.most.T
+        score = np.zeros((len(q), len(self.ids)))
+
+        def read(b: int, rows: np.ndarray) -> None:
+            used = np.flatnonzero(q[rows].any(axis=0))
+            score[rows, b * BLOCK:(b + 1) * BLOCK] = q[np.ix_(rows, used)] @ self.lists[b][used]
+
+        first = bound.argmax(axis=1)
+        for b in np.unique(first).tolist():
+            read(b, np.flatnonzero(first == b))
+        floor = np.zeros(len(q))
+        if score.shape[1] >= k:
+            floor = np.partition(score, -k, axis=1)[:, -k]
+        # a block that could only tie may hold a smaller id
+        again = (bound > 0) & (bound >= floor[:, None] - 1e-9)
+        again[np.arange(len(q)), first] = False
+        for b in np.flatnonzero(again.any(axis=0)).tolist():
+            read(b, np.flatnonzero(again[:, b]))
+        out = []
+        for row in score:
+            hit = np.flatnonzero(row > 1e-12)
+            if len(hit) > k:
+                hit = hit[row[hit] >= np.partition(row[hit], -k)[-k] - 1e-9]
+            order = np.lexsort((self.ids[hit], -np.round(row[hit], 12)))[:k]
+            out.append((hit[order], row[hit[order]]))
+        return out
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         return float((self.prior * SHRINK + (cosine * self.label[best]).sum()) / (SHRINK + cosine.sum()))
@@ -192,26 +207,17 @@ def _score(index_bytes: bytes, k: int, evidence: int):
 
         if "i" not in own:
             own["i"] = Index(*pickle.loads(index_bytes))
-            own["seen"] = {}
-        index, seen = own["i"], own["seen"]
+        index = own["i"]
         for b in batches:
-            scores, shown = [], []
-            for at, tf in zip(b.column("at").to_pylist(), b.column("tf").to_pylist()):
-                if not at or not len(index.ids):
-                    scores.append(index.prior)
-                    shown.append([])
-                    continue
-                key = (tuple(at), tuple(tf))
-                if key not in seen:
-                    if len(seen) > 50_000:
-                        seen.clear()
-                    best, cosine = index.nearest(at, tf, k)
-                    seen[key] = (index.vote(best, cosine), [
-                        {"doc_id": int(index.ids[i]), "cosine": float(c), "label": int(index.label[i])}
-                        for i, c in zip(best[:evidence].tolist(), cosine.tolist())])
-                score, why = seen[key]
-                scores.append(score)
-                shown.append(why)
+            at, tf = b.column("at").to_pylist(), b.column("tf").to_pylist()
+            scores, shown = [index.prior] * len(at), [[] for _ in at]
+            some = [i for i, x in enumerate(at) if x] if len(index.ids) else []
+            for lo in range(0, len(some), QUERIES):
+                part = some[lo:lo + QUERIES]
+                for i, (best, cosine) in zip(part, index.nearest([(at[i], tf[i]) for i in part], k)):
+                    scores[i] = index.vote(best, cosine)
+                    shown[i] = [{"doc_id": int(index.ids[e]), "cosine": float(c), "label": int(index.label[e])}
+                                for e, c in zip(best[:evidence].tolist(), cosine.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(scores, pa.float64()),
                  pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(shown, kind)],
@@ -255,4 +261,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column | None = Non
             for r in known.filter(F.size("v.at") > 0).collect()]   # at most ``sample`` rows
     rest = known.filter(F.size("v.at") == 0).agg(F.sum("v.label"), F.count(F.lit(1))).first()
     index = pickle.dumps((idf, rows, (int(rest[0] or 0), int(rest[1]))))
-    return vectors.mapInArrow(_score(index, k, evidence), _SCORED)
+    # few bytes but much work: dealt to all tasks
+    dealt = vectors.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.mapInArrow(_score(index, k, evidence), _SCORED)
