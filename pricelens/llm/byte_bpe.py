@@ -24,7 +24,7 @@ from .common import block_count, keyed_text, text_bytes
 from .exchange import cells, planes, unplanes
 from .textvec import ragged, spans
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 WORD_BYTES = 8 << 20
 
 
@@ -167,12 +167,16 @@ _TOLD = pa.schema([("slot", pa.int64()), ("codes", pa.binary()), ("counts", pa.b
 
 
 def _encode(vocab: Vocabulary):
+    own: dict = {}              # one encoder for all groups of a task
+
     def run(table: pa.Table) -> pa.Table:
         import zstandard
 
         if table.column("slot")[0].as_py() < 0:       # texts of a batch: nothing to encode
             return _TOLD.empty_table()
-        encode = vocab.encoder().encode_ordinary
+        if "e" not in own:
+            own["e"] = vocab.encoder()
+        encode = own["e"].encode_ordinary
         unpack = zstandard.ZstdDecompressor().decompress
         known: dict[bytes, list[int]] = {}
         counted, told = [], []

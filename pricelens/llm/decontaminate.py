@@ -69,7 +69,7 @@ def _slices(windows: DataFrame, slice_rows: int, slice_bytes: int) -> tuple[Data
     return windows.withColumn("slice", F.pmod(F.xxhash64("win"), F.lit(count))), int(count)
 
 
-def _exploded(docs: DataFrame, id_col: str, text_col: str, rows: Column | None = None) -> DataFrame:
+def _exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     base = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("ws"))
     return base.select("doc_id", "ws", F.posexplode("ws").alias("pos", "word"))
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import block_count, keyed_text, text_bytes
 
 U = np.uint64
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 BLOCK_BYTES = 8 << 20
 
 
@@ -91,3 +91,13 @@ def unplanes(data: bytes) -> np.ndarray:
 
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1)
+
+
+def steps(ascending: np.ndarray) -> bytes:
+    """Ascending 32-bit keys by their differences (small ones, as keys of one cell
+    share a range)."""
+    return planes(np.diff(ascending, prepend=ascending.dtype.type(0)))
+
+
+def unsteps(data: bytes) -> np.ndarray:
+    return np.cumsum(unplanes(data), dtype=np.uint32)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from ..functions.sizing import discard
 from .common import materialize
 from .components import components
-from .exchange import answers, block_of, cells, dealt, joined
+from .exchange import answers, block_of, cells, dealt, joined, steps, unsteps
 from .textvec import Words, find_words, mix, window_hashes, window_starts, word_hashes
 
 U = np.uint64
@@ -86,7 +86,7 @@ def _emit(k: int, blocks: int):
         _, _, uniq, _, count = _columns(table.column("text"), k, blocks)
         src = table.column("batch")[0].as_py()
         res, few = uniq.astype(np.uint32), np.minimum(count, 255).astype(np.uint8)
-        rows = [(b, src, res[i:j].tobytes(), few[i:j].tobytes())
+        rows = [(b, src, steps(res[i:j]), few[i:j].tobytes())
                 for b, i, j in cells(uniq >> U(32))]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, (
             pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "batch", "res", "cnt"])
@@ -96,8 +96,8 @@ def _emit(k: int, blocks: int):
 def _count(table: pa.Table) -> pa.Table:
     """Rarity byte of each asked column: 0 for one document, then eight steps
     for each doubling."""
-    res, sizes = joined(table.column("res"), np.uint32)
-    cnt, _ = joined(table.column("cnt"), np.uint8)
+    res = np.concatenate([unsteps(x.as_py()) for x in table.column("res")])
+    cnt, sizes = joined(table.column("cnt"), np.uint8)
     _, inverse = np.unique(res, return_inverse=True)
     total = np.bincount(inverse, weights=cnt)
     rarity = np.minimum(255, np.ceil(8 * np.log2(np.maximum(total, 1)))).astype(np.uint8)[inverse]
@@ -263,11 +263,13 @@ def near_duplicate_groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: i
     a NULL id links others but never names a component (a component of NULL
     ids only has a NULL name).
     """
-    all_rows = materialize(incidence(docs, shingle=shingle, percent=percent, id_col=id_col,
-                                     text_col=text_col), "jaccard-rows")
+    found = materialize(incidence(docs, shingle=shingle, percent=percent, id_col=id_col,
+                                  text_col=text_col), "jaccard-rows")
     # one row for each class of equal sets
-    rows = materialize(all_rows.filter("toks IS NOT NULL").dropDuplicates(["ent"])
+    rows = materialize(found.filter("toks IS NOT NULL").dropDuplicates(["ent"])
                        .select("ent", "n", "toks", "pre"), "jaccard-classes")
+    all_rows = materialize(found.select("doc_id", "n", "ent"), "jaccard-documents")
+    discard(found)
     comp = materialize(linked_sets(rows, percent), "jaccard-comp")
     classes = (all_rows.filter("ent IS NOT NULL").groupBy("ent").agg(F.min("doc_id").alias("least")))
     named = (classes.join(comp, classes["ent"] == comp["node"], "left")

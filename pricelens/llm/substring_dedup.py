@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .exchange import answers, block_of, cells, dealt, joined
+from .exchange import answers, block_of, cells, dealt, joined, steps, unsteps
 from .textvec import find_words, joined_words, mix, window_hashes, window_starts, word_hashes
 
 U = np.uint64
@@ -129,10 +129,11 @@ def _emit(levels: list[int], window: int, blocks: int):
         src = left.column("batch")[0].as_py()
         if levels[-1] < window:
             key, value = key.astype(np.uint32), np.zeros(0, np.uint8)     # the key alone is asked
+            pack = steps
         else:
-            value = low
+            value, pack = low, np.ndarray.tobytes
         here = low < high                 # held by two documents of this batch
-        rows = [(b, src, key[i:j].tobytes(), value[i:j].tobytes(), bool(here[i:j].any()))
+        rows = [(b, src, pack(key[i:j]), value[i:j].tobytes(), bool(here[i:j].any()))
                 for b, i, j in cells(block)]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, _ASKED)],
                         schema=_ASKED)
@@ -147,7 +148,11 @@ def _emit(levels: list[int], window: int, blocks: int):
 def _answer(level: int, window: int):
     def answer(table: pa.Table) -> pa.Table:
         exact = level >= window
-        key, sizes = joined(table.column("key"), np.uint64 if exact else np.uint32)
+        if exact:
+            key, sizes = joined(table.column("key"), np.uint64)
+        else:
+            parts = [unsteps(x.as_py()) for x in table.column("key")]
+            key, sizes = np.concatenate(parts), np.array([len(x) for x in parts])
         value, _ = joined(table.column("value"), np.int64)
         order = np.argsort(key, kind="stable")
         new = np.ones(len(key), dtype=bool)
