@@ -42,7 +42,7 @@ SHARD_BYTES = 8 << 20           # text bytes
 BLOCK_IDS = 1 << 18
 INDEX_KEYS = 100_000
 GAMMA = 1.5
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 
 
 # --- encoding --------------------------------------------------------------------
@@ -142,9 +142,10 @@ def encoder_for(path: str, end_id: int | None, wide: bool) -> WordEncoder:
 
 
 def encoded(docs: DataFrame, tokenizer: str, *, end_id: int | None = 2, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
+            text_col: str = "text", cuts: np.ndarray | None = None) -> DataFrame:
     """(key long, ids binary) of the rows with an id; NULL texts are empty.
-    ``tokenizer`` is the path of a tokenizers file on every executor."""
+    ``tokenizer`` is the path of a tokenizers file on every executor.  With
+    ascending ``cuts`` of the keys also (shard int), the range a key is in."""
     from tokenizers import Tokenizer
 
     wide = Tokenizer.from_file(tokenizer).get_vocab_size() > 1 << 16
@@ -155,10 +156,13 @@ def encoded(docs: DataFrame, tokenizer: str, *, end_id: int | None = 2, id_col:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
                 ids = [encode(t.as_py()) for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())],
-                                                 names=["key", "ids"])
+                cols, names = [part.column("doc_id"), pa.array(ids, pa.binary())], ["key", "ids"]
+                if cuts is not None:
+                    at = np.searchsorted(cuts, part.column("doc_id").to_numpy(), "left")
+                    cols, names = [*cols, pa.array(at.astype(np.int32))], [*names, "shard"]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
     base = keyed_text(docs, id_col, text_col).filter("doc_id IS NOT NULL")
-    return base.mapInArrow(run, "key long, ids binary")
+    return base.mapInArrow(run, "key long, ids binary" + (", shard int" if cuts is not None else ""))
 
 
 # --- minimal perfect hash ----------------------------------------------------------
@@ -334,12 +338,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, end_id: int | Non
                                                max(10_000, 20 * shards))).first()
     cuts = np.unique(np.array(cuts or [], dtype=np.int64))
 
-    @F.pandas_udf("int")
-    def shard_of(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, keys.to_numpy(), "left").astype(np.int32))
-
-    rows = encoded(docs, tokenizer, end_id=end_id, id_col=id_col, text_col=text_col)
-    packed = (rows.withColumn("shard", shard_of("key")).repartition(shards, "shard")
+    rows = encoded(docs, tokenizer, end_id=end_id, id_col=id_col, text_col=text_col, cuts=cuts)
+    packed = (rows.select("shard", "key", "ids").repartition(shards, "shard")
                   .sortWithinPartitions("shard", "key", "ids")
                   .mapInArrow(_pack(wide), _BLOCKS))
     store = Store(spark, path, shards, max(1, -(-n // INDEX_KEYS)), wide)
