@@ -139,8 +139,11 @@ class Index:
         blocks = -(-len(ordered) // BLOCK)
         self.most = np.array([self.matrix[b * BLOCK:(b + 1) * BLOCK].max(axis=0) for b in range(blocks)]
                              ).reshape(blocks, len(idf))
-        # the lists of a block: weights of its examples by term
-        self.lists = [np.ascontiguousarray(self.matrix[b * BLOCK:(b + 1) * BLOCK].T) for b in range(blocks)]
+        # the lists of each block: weights of its examples by term (0 beyond the last)
+        self.lists = np.zeros((blocks, len(idf), BLOCK))
+        for b in range(blocks):
+            part = self.matrix[b * BLOCK:(b + 1) * BLOCK]
+            self.lists[b, :, :len(part)] = part.T
         toxic, total = labels_without
         self.prior = (toxic + 0.5) / (total + 1.0) if total else (
             float((self.label.sum() + 0.5) / (len(self.label) + 1.0)))
@@ -164,30 +167,22 @@ class Index:
         """
         q = np.array([self.vector(at, tf) for at, tf in queries]).reshape(len(queries), len(self.idf))
         bound = q @ self.most.T
-        score = np.zeros((len(q), len(self.ids)))
-
-        def read(b: int, rows: np.ndarray) -> None:
-            used = np.flatnonzero(q[rows].any(axis=0))
-            score[rows, b * BLOCK:(b + 1) * BLOCK] = q[np.ix_(rows, used)] @ self.lists[b][used]
-
-        first = bound.argmax(axis=1)
-        for b in np.unique(first).tolist():
-            read(b, np.flatnonzero(first == b))
-        floor = np.zeros(len(q))
-        if score.shape[1] >= k:
-            floor = np.partition(score, -k, axis=1)[:, -k]
-        # a block that could only tie may hold a smaller id
-        again = (bound > 0) & (bound >= floor[:, None] - 1e-9)
-        again[np.arange(len(q)), first] = False
-        for b in np.flatnonzero(again.any(axis=0)).tolist():
-            read(b, np.flatnonzero(again[:, b]))
-        out = []
-        for row in score:
-            hit = np.flatnonzero(row > 1e-12)
+        first, out = bound.argmax(axis=1), []
+        for (at, _), v, most, b0 in zip(queries, q, bound, first.tolist()):
+            used = np.asarray(at)
+            floor = 0.0
+            if k <= BLOCK:
+                floor = np.partition(v[used] @ self.lists[b0, used], -k)[-k]
+            # a block that could only tie may hold a smaller id
+            blocks = np.flatnonzero((most > 0) & (most >= floor - 1e-9))
+            score = np.tensordot(v[used], self.lists[np.ix_(blocks, used)], axes=(0, 1))
+            b, x = np.nonzero(score > max(1e-12, floor - 1e-9))
+            row, hit = score[b, x], blocks[b] * BLOCK + x
             if len(hit) > k:
-                hit = hit[row[hit] >= np.partition(row[hit], -k)[-k] - 1e-9]
-            order = np.lexsort((self.ids[hit], -np.round(row[hit], 12)))[:k]
-            out.append((hit[order], row[hit[order]]))
+                keep = row >= np.partition(row, -k)[-k] - 1e-9
+                row, hit = row[keep], hit[keep]
+            order = np.lexsort((self.ids[hit], -np.round(row, 12)))[:k]
+            out.append((hit[order], row[order]))
         return out
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
