@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from .textvec import ragged, spans
 
 BATCH_BYTES = 4 << 20
 WORD_BYTES = 8 << 20
+# a space before other white space or the end may lie inside a pre-token
+LONE_SPACE = re.compile(r" (?!\S)")
 
 
 class Vocabulary:
@@ -95,7 +98,7 @@ class _Batch:
     def add(self, doc_id, text: str, split) -> None:
         # chunks begin at a space before a non-space, always a pre-token's
         # beginning; equal chunks are cut into pre-tokens once
-        if "  " in text:
+        if LONE_SPACE.search(text):
             own = split(text)
         else:
             own = text.split(" ")

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .byte_bpe import LONE_SPACE
 from .common import block_count, keyed_text, text_bytes
 from .exchange import cells
 from .textvec import mix, spans
@@ -103,7 +104,7 @@ class WordEncoder:
         if not self.by_word:
             return np.array(self.tok.encode(text, add_special_tokens=False).ids,
                             self.dtype).tobytes() + self.end
-        if "  " in text:
+        if LONE_SPACE.search(text):
             return b"".join(map(self._chunk, self.split(text))) + self.end
         first, *rest = text.split(" ")
         return self._chunk(first) + b"".join(map(self.words.__getitem__, rest)) + self.end

@@ -48,6 +48,20 @@ def test_encode_and_decode(make, vocab, encoding, batch_bytes):
     assert byte_bpe.encode_decode(make([]), vocab).count() == 0
 
 
+BLANKS = ["foo \u00a0 \u00a0 bar", " \u00a0" * 8, "a\n \nb", "\n \n", "a\t \tb", "\t \t ", "x\n ", "x\u3000 ", " \u2003 y",
+          "a \x1c b", "one two", "one two "]
+
+
+def test_blanks_inside_white_space(make, vocab, encoding):
+    """A blank inside a run of other white space begins no pre-token."""
+    got = {r.doc_id: list(r.ids) for r in byte_bpe.encode_decode(make(list(enumerate(BLANKS))), vocab).collect()}
+    assert got == {i: encoding.encode_ordinary(t) for i, t in enumerate(BLANKS)}
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    enc = token_store.WordEncoder(P.path("byte_bpe_50k.json"), None, False)
+    for t in BLANKS:
+        assert np.frombuffer(enc(t), "<u2").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 def test_store_round_trip(spark, make):
     docs = make(rows())
     path = scratch_path(spark, f"test-store-{uuid.uuid4().hex}")
