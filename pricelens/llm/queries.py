@@ -35,7 +35,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     store = token_store.write_store(docs, scratch_path(spark, f"token-store/{uuid.uuid4().hex}"),
-                                    public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+                                    public_tokenizers.path("byte_bpe_50k.json"), end_id=2,
+                                    added_tokens=True)
     got = token_store.lookup(store, docs)
     return got.select(F.col("key").alias("doc_id"), "start", "n_tokens",
                       F.crc32("ids").alias("ids_crc32"))

@@ -53,15 +53,24 @@ class WordEncoder:
 
     For byte-level BPE without a normaliser every pre-token is encoded alone,
     so words are encoded by the library's model once and kept (a bounded number
-    of them).  Other tokenizers encode whole texts.
+    of them).  Other tokenizers encode whole texts.  With ``added_tokens`` the
+    strings of the file's added tokens give their ids, as in the library with the
+    file's own settings, and texts that hold one are encoded whole; without, they
+    are ordinary text.
     """
 
-    def __init__(self, path: str, end_id: int | None, wide: bool):
+    def __init__(self, path: str, end_id: int | None, wide: bool, added_tokens: bool = False):
         import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True     # their strings are ordinary text
+        self.added = None
+        if added_tokens:
+            strings = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content]
+            if strings:
+                self.added = regex.compile("|".join(map(regex.escape, strings)))
+        else:
+            self.tok.encode_special_tokens = True     # their strings are ordinary text
         self.dtype = "<u4" if wide else "<u2"
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
         conf = json.loads(self.tok.to_str())
@@ -101,7 +110,7 @@ class WordEncoder:
         return self._chunk(" " + word)
 
     def __call__(self, text: str) -> bytes:
-        if not self.by_word:
+        if not self.by_word or self.added is not None and self.added.search(text):
             return np.array(self.tok.encode(text, add_special_tokens=False).ids,
                             self.dtype).tobytes() + self.end
         if LONE_SPACE.search(text):
@@ -134,16 +143,17 @@ def _byte_letters() -> list[str]:
 _ENCODERS: dict = {}
 
 
-def encoder_for(path: str, end_id: int | None, wide: bool) -> WordEncoder:
+def encoder_for(path: str, end_id: int | None, wide: bool, added_tokens: bool = False) -> WordEncoder:
     """One encoder, with the words it knows, for all tasks of a Python worker."""
-    name = (path, end_id, wide)
+    name = (path, end_id, wide, added_tokens)
     if name not in _ENCODERS:
         _ENCODERS[name] = WordEncoder(*name)
     return _ENCODERS[name]
 
 
 def encoded(docs: DataFrame, tokenizer: str, *, end_id: int | None = 2, id_col: str = "doc_id",
-            text_col: str = "text", cuts: np.ndarray | None = None) -> DataFrame:
+            text_col: str = "text", cuts: np.ndarray | None = None,
+            added_tokens: bool = False) -> DataFrame:
     """(key long, ids binary) of the rows with an id; NULL texts are empty.
     ``tokenizer`` is the path of a tokenizers file on every executor.  With
     ascending ``cuts`` of the keys also (shard int), the range a key is in."""
@@ -152,7 +162,7 @@ def encoded(docs: DataFrame, tokenizer: str, *, end_id: int | None = 2, id_col:
     wide = Tokenizer.from_file(tokenizer).get_vocab_size() > 1 << 16
 
     def run(batches):
-        encode = encoder_for(tokenizer, end_id, wide)
+        encode = encoder_for(tokenizer, end_id, wide, added_tokens)
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
@@ -321,12 +331,13 @@ def open_store(spark: SparkSession, path: str) -> Store:
 
 
 def write_store(docs: DataFrame, path: str, tokenizer: str, *, end_id: int | None = 2,
-                id_col: str = "doc_id", text_col: str = "text") -> Store:
+                id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> Store:
     """Encode ``docs`` into a new store at ``path`` (a shared folder).
 
     Documents are stored in ascending id order; rows that repeat an id follow
     each other, in the order of their ids' bytes; rows with a NULL id have no
-    key and are not stored.  NULL texts hold ``end_id`` only.
+    key and are not stored.  NULL texts hold ``end_id`` only.  ``added_tokens``:
+    see ``WordEncoder``.
     """
     from tokenizers import Tokenizer
 
@@ -339,7 +350,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, end_id: int | Non
                                                max(10_000, 20 * shards))).first()
     cuts = np.unique(np.array(cuts or [], dtype=np.int64))
 
-    rows = encoded(docs, tokenizer, end_id=end_id, id_col=id_col, text_col=text_col, cuts=cuts)
+    rows = encoded(docs, tokenizer, end_id=end_id, id_col=id_col, text_col=text_col, cuts=cuts,
+                   added_tokens=added_tokens)
     packed = (rows.select("shard", "key", "ids").repartition(shards, "shard")
                   .sortWithinPartitions("shard", "key", "ids")
                   .mapInArrow(_pack(wide), _BLOCKS))

@@ -3,6 +3,7 @@
 import base64
 import random
 import uuid
+import zlib
 
 import numpy as np
 import public_tokenizers as P
@@ -113,6 +114,30 @@ def test_words_encode_as_texts():
                 t or "", add_special_tokens=False).ids
 
 
+ADDED = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>  y \n", "<|endoftext|", "no token, twice  spaced",
+         "<|startoftext|> z"]
+
+
+def test_added_tokens_as_the_library(spark, make):
+    """Against the library with the files' own settings."""
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        tok = Tokenizer.from_file(P.path(name))
+        enc = token_store.WordEncoder(P.path(name), None, False, added_tokens=True)
+        for t in [*ADDED, *TEXTS]:
+            assert np.frombuffer(enc(t or ""), "<u2").tolist() == tok.encode(t or "", add_special_tokens=False).ids
+    from pricelens.llm.queries import QUERIES
+    path = scratch_path(spark, f"test-store-{uuid.uuid4().hex}")
+    make(list(enumerate(ADDED))).write.parquet(f"{path}/documents.parquet")
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want, at = [], 0
+    for i, t in enumerate(ADDED):
+        ids = tok.encode(t, add_special_tokens=False).ids + [2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    got = QUERIES["op2_token_store"](spark, path).collect()
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got) == want
+
+
 def plain_attribution(encoding, text, spans):
     raw, at, out, none = text.encode(), 0, [0] * len(spans), 0
     place = [len(text[:c].encode()) for c in range(len(text) + 1)]
