@@ -47,6 +47,34 @@ def test_language_edges(spark, make):
     assert langid.identify(make([]), model).count() == 0
 
 
+def test_language_learns_beyond_a_common_head(spark):
+    """Texts of all languages begin with one long header, or with no letters."""
+    words = {"fr": "le chat dort sur la table pendant que les enfants jouent dans le jardin avec leurs amis".split(),
+             "en": "the cat sleeps on the table while those children play in the garden with their friends".split()}
+    rng, rows = random.Random(3), []
+    head = "Copyright notice and licence terms of the site, all rights reserved. " * 20
+    for i in range(120):
+        lang = ("fr", "en")[i % 2]
+        body = " ".join(rng.choice(words[lang]) for _ in range(600))
+        rows.append((i, (head if i % 3 else "1234 ... " * 200) + body, lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert sum(map(len, model.dictionaries.values())) <= 2 * langid.DICT_BYTES
+    for lang, data in model.dictionaries.items():
+        assert len(set(words[lang]) & {w.decode() for w in data.split()}) >= 0.9 * len(set(words[lang]))
+    test = [(i, " ".join(rng.choice(words[k]) for _ in range(60)), k) for i, k in enumerate(("fr", "en") * 20)]
+    got = langid.identify(spark.createDataFrame(test, "doc_id long, text string, lang string"), model).collect()
+    assert all(r.langid.lang_pred == r.lang and not r.langid.rejected for r in got)
+
+
+def test_language_slices():
+    raw = b" " + b" ".join(b"w%d" % i for i in range(5000)) + b" "
+    got = langid.drawn(raw, 256, 7)
+    assert got == langid.drawn(raw, 256, 7) != langid.drawn(raw, 256, 8)
+    assert len(got) == langid.SLICES and sum(map(len, got)) <= 256 and all(x in raw for x in got)
+    assert langid.drawn(b" ab ", 256, 1) == [b" ab "] and langid.drawn(b"\xe6\xbc\xa2" * 100, 1, 1)
+
+
 def test_language_sizes_are_plain_compression():
     """The predictor against one compressor call for each block and language."""
     model = langid.Model({"a": b" alpha beta gamma delta " * 50, "b": b" uno dos tres cuatro " * 50})
