@@ -5,11 +5,11 @@ and returns a DataFrame, which is written as Parquet and reread as the next
 one's ``docs``.  All but the last return the columns of ``documents``.
 
 1. language_id: documents whose language is not identified go;
-2. near_duplicates: one document of each group of near copies stays (the
-   least id);
+2. near_duplicates: one row of each group of near copies stays (the least
+   id; rows with a NULL or repeated id are rows like others);
 3. substring_dedup: words of passages that an earlier document has go, the
    documents stay;
-4. decontaminate: documents contaminated with benchmark items go;
+4. decontaminate: rows contaminated with benchmark items go;
 5. byte_bpe: token ids of what is left, with digests of ids and of the
    decoded bytes.
 
@@ -38,7 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return ngram_join.one_per_group(docs)
+    return ngram_join.one_row_per_group(docs)
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,11 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != F.lit(""))
 
 
+def digest_of(words: Column) -> Column:
+    """Rows of one id and one digest have the same words, so the same hits."""
+    return F.md5(F.array_join(words, " ").cast("binary"))
+
+
 def item_windows(items: DataFrame, window: int = WINDOW, id_col: str = "item_id",
                  text_col: str = "text") -> DataFrame:
     """(win array<string>, n_win int, item_id string): every window of every
@@ -92,8 +97,9 @@ def occurrences(docs: DataFrame, items: DataFrame, *, window: int = WINDOW,
                 id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
                 item_text: str = "text", slice_rows: int = SLICE_ROWS,
                 slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """(doc_id, start int from 0, n_win int, items array<string>): every place
-    of a document where a benchmark window occurs, with the items that hold it.
+    """(doc_id, ws_md5 string: a digest of the text's words, start int from 0,
+    n_win int, items array<string>): every place of a document where a benchmark
+    window occurs, with the items that hold it.
 
     NULL or wordless texts and items have no occurrence; documents with a NULL
     id give rows with a NULL id; repeated rows repeat their occurrences.
@@ -121,52 +127,69 @@ def occurrences(docs: DataFrame, items: DataFrame, *, window: int = WINDOW,
         hit = (exploded.join(F.broadcast(own), "word")
                        .filter((start >= 0) & (start + F.col("n_win") <= F.size("ws")))
                        .filter(F.slice("ws", start + 1, F.col("n_win")) == F.col("win"))
-                       .select("doc_id", start.alias("start"), "n_win", "items"))
+                       .select("doc_id", digest_of(F.col("ws")).alias("ws_md5"), start.alias("start"),
+                               "n_win", "items"))
         out = hit if out is None else out.unionByName(hit)
     return out
 
 
 def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW,
                   id_col: str = "doc_id", text_col: str = "text", share: int = 20,
-                  **kw) -> DataFrame:
+                  by_row: bool = False, **kw) -> DataFrame:
     """One row per document: (doc_id, n_words long, n_hit long, n_items long,
     items array<string> sorted, contaminated boolean).
 
     A word is hit if an occurring window covers it; a document is contaminated
     if ``share * n_hit >= n_words`` and a word is hit.  Documents with NULL or
-    wordless texts have zero counts.  Documents are told apart by their id:
-    rows that repeat an id share the union of its hits; a NULL id is a value
-    like another.
+    wordless texts have zero counts.  Rows that repeat an id share the union of
+    its hits, as in the query's SQL; with ``by_row`` each has its own.  Rows with
+    a NULL id always have their own.
     """
+    got = _counted(docs, items, window, id_col, text_col, share, by_row, **kw)
+    return got.drop("key")
+
+
+def _key(doc_id: str, md5: Column, by_row: bool) -> Column:
+    return md5 if by_row else F.when(F.col(doc_id).isNull(), md5).otherwise(F.lit(""))
+
+
+def _counted(docs, items, window, id_col, text_col, share, by_row, **kw) -> DataFrame:
+    """The columns of ``contamination`` and ``key``, which tells rows of an id apart."""
     occ = materialize(occurrences(docs, items, window=window, id_col=id_col,
                                   text_col=text_col, **kw), "bench-hits")
-    spans = occ.groupBy("doc_id", "start").agg(F.max("n_win").alias("n_win"))
+    occ = occ.withColumn("key", _key("doc_id", F.col("ws_md5"), by_row))
+    spans = occ.groupBy("doc_id", "key", "start").agg(F.max("n_win").alias("n_win"))
     end = F.col("start") + F.col("n_win")
-    by_doc = Window.partitionBy("doc_id").orderBy("start")
+    by_doc = Window.partitionBy("doc_id", "key").orderBy("start")
     done = F.coalesce(F.max(end).over(by_doc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     new = F.greatest(end - F.greatest(F.col("start"), done), F.lit(0))
-    n_hit = (spans.select("doc_id", new.alias("new")).groupBy("doc_id")
+    n_hit = (spans.select("doc_id", "key", new.alias("new")).groupBy("doc_id", "key")
                   .agg(F.sum("new").cast("long").alias("n_hit")))
-    found = (occ.select("doc_id", F.explode("items").alias("item")).distinct()
-                .groupBy("doc_id").agg(F.array_sort(F.collect_set("item")).alias("items")))
-    hits = n_hit.join(found, n_hit["doc_id"].eqNullSafe(found["doc_id"])).select(
-        n_hit["doc_id"].alias("hit_id"), "n_hit", "items")
-    base = docs.select(F.col(id_col).alias("doc_id"),
-                       F.size(words_of(F.col(text_col))).cast("long").alias("n_words"))
+    found = (occ.select("doc_id", "key", F.explode("items").alias("item")).distinct()
+                .groupBy("doc_id", "key").agg(F.array_sort(F.collect_set("item")).alias("items")))
+    hits = n_hit.join(found, n_hit["doc_id"].eqNullSafe(found["doc_id"])
+                      & (n_hit["key"] == found["key"])).select(
+        n_hit["doc_id"].alias("hit_id"), n_hit["key"].alias("hit_key"), "n_hit", "items")
+    base = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("ws"))
+    base = base.select("doc_id", F.size("ws").cast("long").alias("n_words"),
+                       _key("doc_id", digest_of(F.col("ws")), by_row).alias("key"))
     none = F.array().cast(T.ArrayType(T.StringType()))
-    joined = base.join(hits, base["doc_id"].eqNullSafe(hits["hit_id"]), "left")
+    joined = base.join(hits, base["doc_id"].eqNullSafe(hits["hit_id"])
+                       & (base["key"] == hits["hit_key"]), "left")
     n = F.coalesce("n_hit", F.lit(0).cast("long"))
     return joined.select(
         "doc_id", "n_words", n.alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", none).alias("items"),
-        ((n > 0) & (n * share >= F.col("n_words"))).alias("contaminated"))
+        ((n > 0) & (n * share >= F.col("n_words"))).alias("contaminated"), "key")
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
-                        text_col: str = "text", **kw) -> DataFrame:
+def remove_contaminated(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, id_col: str = "doc_id",
+                        text_col: str = "text", share: int = 20, **kw) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns unchanged.
-    Only the ids of contaminated documents are joined back."""
-    bad = (contamination(docs, items, id_col=id_col, text_col=text_col, **kw)
-           .filter("contaminated").select(F.col("doc_id").alias("bad_id")).distinct())
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"]), "left_anti")
+    Every row counts by itself, whatever its id.  Only ids and digests of
+    contaminated rows are joined back."""
+    bad = (_counted(docs, items, window, id_col, text_col, share, True, **kw).filter("contaminated")
+           .select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_md5")).distinct())
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"])
+                     & (digest_of(words_of(docs[text_col])) == bad["bad_md5"]), "left_anti")

@@ -107,7 +107,7 @@ def _count(table: pa.Table) -> pa.Table:
                     names=["block", "batch", "rarity"])
 
 
-ROWS = "doc_id long, ent long, n int, toks binary, pre array<struct<tok:long,rank:int>>"
+ROWS = "doc_id long, md5 string, ent long, n int, toks binary, pre array<struct<tok:long,rank:int>>"
 
 
 def least_overlap(n, percent: int):
@@ -116,7 +116,7 @@ def least_overlap(n, percent: int):
 
 
 def _select(k: int, blocks: int, percent: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("ent", pa.int64()), ("n", pa.int32()),
+    schema = pa.schema([("doc_id", pa.int64()), ("md5", pa.string()), ("ent", pa.int64()), ("n", pa.int32()),
                         ("toks", pa.binary()),
                         ("pre", pa.list_(pa.struct([("tok", pa.int64()), ("rank", pa.int32())])))])
 
@@ -124,9 +124,9 @@ def _select(k: int, blocks: int, percent: int):
         sets, off, uniq, inverse, _ = _columns(left.column("text"), k, blocks)
         rarity = answers(right, "rarity", np.uint8, len(uniq))[inverse]
         ids = left.column("doc_id").to_pylist()
-        out: list[list] = [[] for _ in range(5)]
+        out: list[list] = [[] for _ in range(6)]
         sent: set[int] = set()
-        for d, doc_id in enumerate(ids):
+        for d, (doc_id, text) in enumerate(zip(ids, left.column("text"))):
             i, j = int(off[d]), int(off[d + 1])
             n = j - i
             own = sets[i:j]
@@ -145,7 +145,8 @@ def _select(k: int, blocks: int, percent: int):
                 toks = own[shared].tobytes()
                 pre = [{"tok": t, "rank": alone + r}
                        for r, t in enumerate(own[order].view(np.int64).tolist())]
-            for c, v in zip(out, (doc_id, ent, n, toks, pre)):
+            md5 = hashlib.md5(text.as_buffer(), usedforsecurity=False).hexdigest()
+            for c, v in zip(out, (doc_id, md5, ent, n, toks, pre)):
                 c.append(v)
         return pa.table([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
     return select
@@ -153,7 +154,7 @@ def _select(k: int, blocks: int, percent: int):
 
 def incidence(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: (doc_id, ent, n, toks, pre).  ``ent`` names the
+    """One row per document: (doc_id, md5 of the text, ent, n, toks, pre).  ``ent`` names the
     set (NULL without words); ``toks`` and ``pre`` are given for rows that
     pass the row bound (once per batch among copies)."""
     batches, blocks = dealt(docs, id_col, text_col)
@@ -253,6 +254,20 @@ def _labelled(entries: DataFrame, comp: DataFrame) -> DataFrame:
                    .select("tok", "ent", "n", "s", "rank", F.coalesce("comp", "ent").alias("comp")))
 
 
+def _linked(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str):
+    """Written tables: all rows (doc_id, md5, n, ent), classes of equal sets, and
+    the components (node, comp) of the classes that have a link."""
+    found = materialize(incidence(docs, shingle=shingle, percent=percent, id_col=id_col,
+                                  text_col=text_col), "jaccard-rows")
+    # one row for each class of equal sets
+    rows = materialize(found.filter("toks IS NOT NULL").dropDuplicates(["ent"])
+                       .select("ent", "n", "toks", "pre"), "jaccard-classes")
+    all_rows = materialize(found.select("doc_id", "md5", "n", "ent"), "jaccard-documents")
+    discard(found)
+    comp = materialize(linked_sets(rows, percent), "jaccard-comp")
+    return all_rows, rows, comp
+
+
 def near_duplicate_groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT,
                           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (doc_id, n_shingles long, component_id long).
@@ -263,14 +278,7 @@ def near_duplicate_groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: i
     a NULL id links others but never names a component (a component of NULL
     ids only has a NULL name).
     """
-    found = materialize(incidence(docs, shingle=shingle, percent=percent, id_col=id_col,
-                                  text_col=text_col), "jaccard-rows")
-    # one row for each class of equal sets
-    rows = materialize(found.filter("toks IS NOT NULL").dropDuplicates(["ent"])
-                       .select("ent", "n", "toks", "pre"), "jaccard-classes")
-    all_rows = materialize(found.select("doc_id", "n", "ent"), "jaccard-documents")
-    discard(found)
-    comp = materialize(linked_sets(rows, percent), "jaccard-comp")
+    all_rows, rows, comp = _linked(docs, shingle, percent, id_col, text_col)
     classes = (all_rows.filter("ent IS NOT NULL").groupBy("ent").agg(F.min("doc_id").alias("least")))
     named = (classes.join(comp, classes["ent"] == comp["node"], "left")
                     .select("ent", "least", F.coalesce("comp", "ent").alias("comp")))
@@ -295,3 +303,38 @@ def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     groups = near_duplicate_groups(docs, id_col=id_col, text_col=text_col, **kw)
     gone = (groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct())
     return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+
+
+def one_row_per_group(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT,
+                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component and the rows without words, all columns
+    unchanged.  The row of the least id stays (NULL ids last, ties by the MD5
+    of the text); of rows equal in id and text any one.  Unlike in
+    ``one_per_group`` rows are told apart whatever their id."""
+    all_rows, rows, comp = _linked(docs, shingle, percent, id_col, text_col)
+    with_words = all_rows.filter("ent IS NOT NULL")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "md5")
+    classes = with_words.groupBy("ent").agg(F.min(row).alias("least"))
+    named = (classes.join(comp, classes["ent"] == comp["node"], "left")
+                    .select("ent", "least", F.coalesce("comp", "ent").alias("comp")))
+    stay = named.groupBy("comp").agg(F.min("least").alias("stay"))
+    by_set = named.select(F.col("ent").alias("set_id"), "comp").join(stay, "comp").select("set_id", "stay")
+    counted = with_words.groupBy("ent", "doc_id", "md5").agg(F.count(F.lit(1)).alias("copies"))
+    told = materialize(
+        counted.join(by_set, counted["ent"] == by_set["set_id"])
+               .select("doc_id", "md5", "copies",
+                       (F.col("doc_id").eqNullSafe(F.col("stay.doc_id")) & (F.col("md5") == F.col("stay.md5")))
+                       .alias("stays"))
+               .filter("copies > 1 OR NOT stays"), "jaccard-gone")
+    for t in (all_rows, rows, comp):          # only rows that go or repeat are left of all this
+        discard(t)
+
+    def same(t: DataFrame):
+        md5 = F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
+        return docs[id_col].cast("long").eqNullSafe(t["row_id"]) & (md5 == t["row_md5"])
+    told = told.select(F.col("doc_id").alias("row_id"), F.col("md5").alias("row_md5"), "stays")
+    out = docs.join(told, same(told), "left_anti")
+    again = told.filter("stays")
+    if again.isEmpty():
+        return out
+    return out.union(docs.join(again, same(again), "left_semi").dropDuplicates([id_col, text_col]))

@@ -105,6 +105,37 @@ def test_one_per_group_keeps_columns(make, spark):
     assert ngram_join.one_per_group(odd).count() == kept.count()
 
 
+def test_one_row_per_group(make):
+    """Rows with NULL and repeated ids: one row of each component stays."""
+    copy, other, alone = (" ".join(f"{p}{k}" for k in range(60)) for p in "abc")
+    rows = [(1, copy), (1, copy), (2, copy.upper()), (None, copy), (None, copy), (2, alone),
+            (None, other), (None, other), (None, other + " z"), (5, None), (None, None), (5, ""), (None, "")]
+    docs = make(rows).withColumnsRenamed({"lang": "md5", "source": "row_id", "n_chars": "stays"})
+    kept = ngram_join.one_row_per_group(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    rest = [r for r in got if r[1] not in (other, other + " z")]
+    assert rest == sorted([(1, copy), (2, alone), (5, None), (None, None), (5, ""), (None, "")], key=repr)
+    assert len(got) == len(rest) + 1
+
+
+def test_rows_are_decontaminated_alone(make, spark):
+    """A clean row stays beside a contaminated one of its id or of no id."""
+    item = " ".join(f"q{k}" for k in range(20))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = " ".join(f"c{k}" for k in range(100))
+    rows = [(None, item), (None, clean), (None, clean + " more"), (7, item + " x"), (7, clean), (8, item), (8, item),
+            (9, None), (None, None)]
+    kept = decontaminate.remove_contaminated(make(rows), bench).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted(
+        [(None, clean), (None, clean + " more"), (7, clean), (9, None), (None, None)], key=repr)
+    got = decontaminate.contamination(make(rows), bench)
+    assert {r.text_len: r.n_hit for r in got.filter("doc_id IS NULL").selectExpr("n_words AS text_len", "n_hit").collect()} == {
+        20: 20, 100: 0, 101: 0, 0: 0}
+    own = decontaminate.contamination(make(rows), bench, by_row=True).filter("doc_id = 7").collect()
+    assert sorted((r.n_words, r.n_hit) for r in own) == [(21, 20), (100, 0)]
+
+
 def test_components_of_graphs(spark):
     rng = random.Random(3)
     for n, m in ((30, 20), (200, 150)):
