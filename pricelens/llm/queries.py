@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (byte_bpe, decontaminate, exact_topk, langid, lattice_lm, ngram_join, substring_dedup,
-               token_counts, token_store, toxicity)
+from . import (byte_bpe, conversation_repair, conversation_trie, decontaminate, exact_topk, langid, lattice_lm,
+               license_scan, ngram_join, substring_dedup, token_counts, token_store, toxicity)
 from .common import held_out, ship, table
 
 
@@ -95,6 +95,28 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = license_scan.license_scan(table(spark, sf_dir, "documents"))
+    starts = F.transform("places", lambda p: p["start"])
+    return got.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+                      F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                      F.array_join("base_labels", ",").alias("base_labels"),
+                      F.array_join("labels", ",").alias("labels"), "score",
+                      F.array_join("expressions", "; ").alias("expressions"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    got = conversation_repair.repair(rows, there=F.col("there"))
+    return got.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                      "repaired_sha256")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_trie.entries(conversation_trie.turns(table(spark, sf_dir, "conversations")))
+    return conversation_trie.trie(conversation_trie.rebuilt(rows))
+
+
 def _shipped(query):
     """The query, once the executors can import this package."""
     @functools.wraps(query)
@@ -106,7 +128,8 @@ def _shipped(query):
 
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_token_counts, op2_token_store, op3_lattice_lm, op4_exact_topk, op5_substring_dedup,
-    op6_decontaminate, op7_ngram_join, op8_language_id, op9_toxicity, op10_byte_bpe)}
+    op6_decontaminate, op7_ngram_join, op8_language_id, op9_toxicity, op10_byte_bpe, op11_license_scan,
+    op12_conversation_repair, op13_conversation_trie)}
 
 # --- DuckDB SQL ----------------------------------------------------------------
 
