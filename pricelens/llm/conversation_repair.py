@@ -24,8 +24,8 @@ Rows are hash-partitioned by conversation and sorted, never collected: a
 conversation of any length passes through its task in bounded memory (its
 SHA-256 is a sequential function of all its text, so one task has to read it).
 
-Odd rows: NULL role and text count as one blank; a NULL id is a conversation of
-its own; NULL turns come first; rows of one turn are ordered by role and text;
+Odd rows: NULL role and text count as one blank; an empty role has no initial, so
+its row cannot be kept as it is; a NULL id is a conversation of its own; NULL turns come first; rows of one turn are ordered by role and text;
 repeated rows are duplicates.  A conversation without rows has zeros, an empty
 audit and the empty string's hash.  Extra columns are ignored.
 """

@@ -219,9 +219,111 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20
 """
 
+def _crc32_sql(text: str) -> str:
+    """crc32 of an ASCII string, bit by bit."""
+    bits = (f"flatten(list_transform(range(1, length({text}) + 1), lambda i: list_transform(range(8), "
+            f"lambda b: CAST((ascii(substr({text}, CAST(i AS INTEGER), 1)) >> CAST(b AS INTEGER)) & 1 AS BIGINT))))")
+    step = "lambda s, b: xor(s >> 1, CASE WHEN (s & 1) <> b THEN 3988292384 ELSE 0 END)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), {step}), 4294967295)"
+
+
+def _edit(node: str, cost: str, letter: str, when: str, role: str | None) -> str:
+    """A script of ``node`` with one more edit; its text with one more line."""
+    text = f"{node}.txt" if role is None else f"concat({node}.txt || chr(10), {role}, ':', r.text)"
+    return (f"CASE WHEN {node} IS NOT NULL AND {when} THEN "
+            f"{{cost: {node}.cost + {cost}, audit: {node}.audit || '{letter}', txt: {text}}} END")
+
+
+def _least(last: int, *into: str) -> str:
+    gone = _edit(f"n{last}", "2", "D", "true", None)
+    return f"list_min([{', '.join([gone, *into])}])"
+
+
+def _turn(sources: tuple[int, ...], role: str) -> list[str]:
+    keep = [_edit(f"n{q}", "r.extra", "K", f"NOT r.gone AND left(r.role, 1) = '{role[0]}'", "r.role") for q in sources]
+    return keep + [_edit(f"n{q}", "1 + r.extra", "R", "NOT r.gone", f"'{role}'") for q in sources]
+
+
+_SCRIPT = "STRUCT(cost BIGINT, audit VARCHAR, txt VARCHAR)"
+OP12_SQL = rf"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32_sql("key")} % 20 AS code
+  FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+        FROM conversations)),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN code = 1 THEN '' WHEN code = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM raw WHERE code <> 0),
+ordered AS (
+  SELECT *, row_number() OVER w AS i, lag(role) OVER w AS role_before,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+faults AS (
+  SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+         regexp_matches(text, '[^ 	-]') AND again AS dup,
+         NOT again AND regexp_matches(text, '[^.!? 	-][ 	-]*\z') AS cut
+  FROM ordered),
+rows AS (SELECT conv_id, i, role, text, blank OR dup AS gone, CASE WHEN cut THEN 5 ELSE 0 END AS extra FROM faults),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (i > 1 AND left(role_before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id),
+scripts AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, CAST({{cost: 0, audit: '', txt: NULL}} AS {_SCRIPT}) AS n0,
+         CAST(NULL AS {_SCRIPT}) AS n1, CAST(NULL AS {_SCRIPT}) AS n2, CAST(NULL AS {_SCRIPT}) AS n3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT s.conv_id, r.i, {_least(0)},
+         {_least(1, _edit("n0", "r.extra", "K", "NOT r.gone AND left(r.role, 1) = 's'", "r.role"))},
+         {_least(2, *_turn((0, 1, 3), "user"))},
+         {_least(3, *_turn((2,), "assistant"))}
+  FROM scripts s JOIN rows r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i + 1),
+done AS (SELECT s.conv_id, list_min([n0, n3]) AS best
+         FROM scripts s LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM s.conv_id WHERE s.i = coalesce(c.n, 0))
+SELECT d.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, best.cost AS cost, best.audit AS audit,
+       sha256(coalesce(best.txt, '')) AS repaired_sha256
+FROM done d LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+OP13_SQL = f"""
+WITH own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS d
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, {_crc32_sql("CAST(c AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT c FROM own)),
+heads AS (SELECT i.c, o.d, o.r, o.t FROM ids i JOIN own o ON o.c = i.c - i.c % 100 AND o.d <= i.h),
+taken AS (SELECT c, count(*) AS n FROM heads GROUP BY c),
+turned AS (
+  SELECT * FROM heads UNION ALL
+  SELECT i.c, o.d - i.h + coalesce(k.n, 0), o.r, o.t
+  FROM ids i JOIN own o ON o.c = i.c AND o.d > i.h LEFT JOIN taken k ON k.c = i.c),
+whole AS (SELECT i.c, coalesce(s, []) AS s FROM ids i LEFT JOIN
+          (SELECT c, list({{r: r, t: t}} ORDER BY d) AS s FROM turned GROUP BY c) USING (c)),
+member AS (SELECT c, d, s[1:d] AS p, d = len(s) AS last FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM whole)),
+node AS (SELECT d, p, min(c) AS conv_id, count(*) AS n, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last) AS ends
+         FROM member GROUP BY d, p),
+path AS (SELECT m.c, m.d, n.conv_id FROM member m JOIN node n ON m.d = n.d AND m.p = n.p),
+linked AS (SELECT n.*, a.conv_id AS parent, CASE WHEN n.d = 0 THEN 0 ELSE (n.n - 1) * length(n.p[n.d].t) END AS v
+           FROM node n LEFT JOIN path a ON a.c = n.conv_id AND a.d = n.d - 1),
+child AS (SELECT d - 1 AS d, parent AS conv_id, count(*) AS k FROM linked WHERE d > 0 GROUP BY ALL),
+full_node AS (SELECT l.*, coalesce(k, 0) AS k FROM linked l LEFT JOIN child USING (d, conv_id)),
+subtree AS (SELECT a.d, a.conv_id, sum(f.v) AS saved, count(*) FILTER (f.k = 0) AS leaves
+            FROM full_node f JOIN path a ON a.c = f.conv_id AND a.d <= f.d GROUP BY ALL)
+SELECT f.conv_id, f.d AS depth, f.parent AS parent_conv_id, f.n AS n_convs, f.k AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM full_node f JOIN subtree USING (d, conv_id)
+"""
+
 ORACLES = {
     "op4_exact_topk": OP4_SQL,
     "op5_substring_dedup": OP5_SQL,
     "op7_ngram_join": OP7_SQL,
     "op6_decontaminate": OP6_SQL,
+    "op12_conversation_repair": OP12_SQL,
+    "op13_conversation_trie": OP13_SQL,
 }
