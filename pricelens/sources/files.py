@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
@@ -45,46 +45,110 @@ def settled(df: DataFrame, on_corrupt: str, probe: str) -> DataFrame:
         return df
     text = F.concat(F.lit("corrupt input record: "), F.substring(S.CORRUPT, 1, 200),
                     F.coalesce(F.col(probe).cast("string"), F.lit("")))
-    ok = F.when(F.col(S.CORRUPT).isNotNull(), F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    # not deterministic, so that no later filter is evaluated before it: one on the
+    # keys would drop the corrupt rows, which have none, without a word
+    ok = F.when(F.col(S.CORRUPT).isNotNull(), F.raise_error(text).cast("boolean")) \
+        .otherwise(F.spark_partition_id() >= 0)
     return df.filter(ok).drop(S.CORRUPT)
 
 
 def scan_json(spark: SparkSession, path, schema: StructType | str | None = S.RAW_OBSERVATION,
               glob: str | None = None, on_corrupt: str = "fail",
               source_col: str | None = None) -> DataFrame:
-    """Files holding one JSON array of objects (whole-file parse).
+    """Files holding one JSON array of objects.
 
     A file that is no array is corrupt as a whole: a truncated array, JSON Lines,
-    or a single object.  ``on_corrupt`` "fail" raises when it is read; "report"
-    gives one row for it, with the beginning of its text in the corrupt column.
-    The array reader of the JSON source would take the first record of a JSON
-    Lines file and stop without a word, so the file is parsed from its text.
+    a single object, or more behind the array's end.  ``on_corrupt`` "fail" raises
+    when it is read; "report" gives one row for it, with the beginning of its text
+    in the corrupt column.  A value of the wrong type is NULL.
+
+    The array reader of the JSON source reads the first value of a file and stops
+    without a word, so files are first checked at their ends (``broken_arrays``:
+    one splittable text scan, eager).  Those that pass are parsed once, by that
+    reader; files that do not are left out of it by their paths.  The reader
+    streams a file's bytes and holds the rows of one file in a task, never its
+    text; the list of broken files is the only thing that reaches the driver.
     """
     if schema is None:
         r = spark.read.option("multiLine", True).option("mode", "FAILFAST")
         return (r.option("pathGlobFilter", glob) if glob else r).json(path)
+    fields = _struct(schema)
+    broken = broken_arrays(spark, path, glob)
+    # every field as text: the reader then marks syntax errors only, and a value
+    # of the wrong type becomes NULL below
+    text = StructType([*[T.StructField(f.name, T.StringType()) for f in fields.fields],
+                       T.StructField(S.CORRUPT, T.StringType())])
     r = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    return json_arrays(r.text(path, wholetext=True), schema, on_corrupt=on_corrupt, source_col=source_col)
+    df = (r.option("multiLine", True).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", S.CORRUPT).schema(text).json(path))
+    if broken:
+        df = df.filter(~F.col("_metadata.file_path").isin(list(broken)))
+    more = [F.col("_metadata.file_path").alias(source_col)] if source_col else []
+    out = df.select(*[_typed(f).alias(f.name) for f in fields.fields], *more,
+                    F.substring(S.CORRUPT, 1, 1000).alias(S.CORRUPT))
+    if broken:
+        rows = spark.createDataFrame(list(broken.items()), f"file string, {S.CORRUPT} string")
+        out = out.unionByName(rows.withColumnRenamed("file", source_col) if source_col else rows.drop("file"),
+                              allowMissingColumns=True)
+    return settled(out, on_corrupt, fields.fields[0].name)
 
 
-def json_arrays(text: DataFrame, schema: StructType | str, *, on_corrupt: str = "fail",
-                source_col: str | None = None) -> DataFrame:
-    """Rows of whole-file texts that are JSON arrays (batch or stream); see
-    ``scan_json``."""
-    fields = _struct(schema)
-    keep = [F.col("_metadata.file_path").alias(source_col)] if source_col else []
-    is_array = F.col("value").rlike(r"\A\s*\[[\s\S]*\]\s*\z")
-    rows = F.when(is_array, F.from_json("value", T.ArrayType(fields), {"mode": "PERMISSIVE"}))
-    blank = F.trim(F.col("value")) == ""
-    bad = F.when(rows.isNull() & ~blank, F.substring("value", 1, 1000))
-    parsed = text.select(*keep, rows.alias("rows"), bad.alias(S.CORRUPT))
-    # an empty array or file has no row; a corrupt file one row of NULLs
-    one = F.when(F.col(S.CORRUPT).isNotNull(), F.array(F.lit(None).cast(fields)))
-    parsed = parsed.select(*([source_col] if source_col else []), S.CORRUPT,
-                           F.explode(F.coalesce(one, F.col("rows"))).alias("r"))
-    cols = [F.col("r")[f.name].alias(f.name) for f in fields.fields]
-    out = parsed.select(*cols, *([source_col] if source_col else []), S.CORRUPT)
-    return settled(out, on_corrupt, fields.fields[0].name)
+def _typed(field: T.StructField) -> Column:
+    """A field read as text, in its own type (NULL where it is none)."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return c
+    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(c, field.dataType)
+    return c.try_cast(field.dataType)
+
+
+def broken_arrays(spark: SparkSession, path, glob: str | None = None) -> dict[str, str]:
+    """Files that are no JSON array, with the beginning of their text.
+
+    The text scan is cut at ``}`` instead of line ends, so a task never holds more
+    than an object, whatever the file's size and however it is laid out, and large
+    files are read by many tasks.  A file's first piece has to open an array and
+    its last one to close it, by the pieces' order within the file's blocks.  A
+    value behind a closing bracket is looked for outside of strings; as a piece
+    can begin inside a string that holds a ``}``, files with such a piece are
+    looked at whole before they are called broken.
+    """
+    r = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    blank = F.lit(" \t\r\n")
+    pieces = (r.option("lineSep", "}").text(path)
+              .select("value", F.col("_metadata.file_path").alias("file"),
+                      F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("at")))
+    value = F.col("value")
+    ends = (pieces.filter(value.rlike(r"\S"))
+            .groupBy("file", "block")
+            .agg(F.min_by(F.startswith(F.ltrim(value, blank), F.lit("[")), "at").alias("opens"),
+                 F.max_by(F.endswith(F.rtrim(value, blank), F.lit("]")), "at").alias("closes"),
+                 F.bool_or(_more_behind(value)).alias("more"))
+            .groupBy("file")
+            .agg(F.min_by("opens", "block").alias("opens"), F.max_by("closes", "block").alias("closes"),
+                 F.bool_or("more").alias("more"))
+            .filter("NOT opens OR NOT closes OR more").collect())
+    broken = [e["file"] for e in ends if not (e["opens"] and e["closes"])]
+    doubtful = [e["file"] for e in ends if e["opens"] and e["closes"]]
+    if doubtful:
+        whole = r.text(path, wholetext=True).filter(F.col("_metadata.file_path").isin(doubtful))
+        broken += [x["file"] for x in whole.filter(_more_behind(value))
+                   .select(F.col("_metadata.file_path").alias("file")).collect()]
+    if not broken:
+        return {}
+    order = F.struct("block", "at")
+    heads = (pieces.filter(F.col("file").isin(broken) & value.rlike(r"\S"))
+             .groupBy("file").agg(F.min_by(F.substring(value, 1, 1000), order).alias("head")))
+    return {x["file"]: x["head"] for x in heads.collect()}
+
+
+def _more_behind(text: Column) -> Column:
+    """A ``]`` with another value behind it, outside of strings."""
+    behind = r"\]\s*[\[{\"0-9a-z-]"
+    bare = F.regexp_replace(F.regexp_replace(text, r"\\.", ""), '"[^"]*"', '"')
+    return F.when(text.rlike(behind), bare.rlike(behind)).otherwise(F.lit(False))
 
 
 def scan_jsonl(spark: SparkSession, path, schema: StructType | str | None = S.RAW_OBSERVATION,
@@ -130,7 +194,7 @@ def scan_csv(spark: SparkSession, path, schema: StructType | str | None = None,
     df = (r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", S.CORRUPT)
            .option("enforceSchema", not header).schema(text).csv(path))
 
-    def column(name: str, kind) -> F.Column:
+    def column(name: str, kind) -> Column:
         if isinstance(kind, StructType):
             return F.struct(*[column(f"{name}_{f.name}", f.dataType).alias(f.name) for f in kind.fields])
         return (F.col(f"`{name}`").try_cast(kind) if name in names else F.lit(None).cast(kind))

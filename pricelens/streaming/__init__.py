@@ -1,3 +1,3 @@
 """Incremental ingestion of landed snapshots (Structured Streaming)."""
 
-from .snapshots import snapshot_stream, start_incremental_clean  # noqa: F401
+from .snapshots import landed_files, start_incremental_clean  # noqa: F401

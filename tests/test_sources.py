@@ -112,6 +112,64 @@ def test_array_reader_refuses_lines_and_truncated_files(spark, tmpdir_path):
     assert audit.first().corrupt_count == 1
 
 
+ARRAYS = {
+    "plain": ('[{"x": 1, "s": "a"}, {"x": 2, "s": "b"}]', [(1, "a"), (2, "b")]),
+    "one_line": ('[{"x":1,"s":"}"},{"x":2,"s":"] {"},{"x":3,"s":"a} ] [b"}]', [(1, "}"), (2, "] {"), (3, "a} ] [b")]),
+    "spread": ('\n [\n{"x": 1,\n "s":\n"a"}\n,\n{"x": 2}\n]\n\n', [(1, "a"), (2, None)]),
+    "quotes": ('[{"x": 1, "s": "\\"] {"}, {"x": 2, "s": "\\\\"}]', [(1, '"] {'), (2, "\\")]),
+    "nested": ('[{"x": 1, "s": "a", "n": {"k": [{"z": 1}, [2]]}}]', [(1, "a")]),
+    "wrong_type": ('[{"x": "one", "s": 5}, {"x": 2.0, "s": null}]', [(None, "5"), (None, None)]),
+    "empty": ("[]", []), "blank": (" \n ", []), "nothing": ("", []),
+    "lines": ('{"x": 1}\n{"x": 2}', None), "single": ('{"x": 1}', None),
+    "cut": ('[{"x": 1}, {"x": 2}', None), "cut_in": ('[{"x": 1}, {"x"', None), "cut_text": ('[{"x": 1}, {"s": "]', None),
+    "two": ('[{"x": 1}]\n[{"x": 2}]', None), "lines_behind": ('[{"x": 1}]\n{"x": 2}', None),
+    "empty_first": ('[] [{"x": 1}]', None), "number_behind": ('[{"x": 1}] 5 ]', None),
+    "words": ("no json", None), "no_comma": ('[{"x": 1} {"x": 2}]', None),
+}
+
+
+@pytest.mark.parametrize("name", sorted(ARRAYS))
+def test_array_files(spark, tmpdir_path, name):
+    text, want = ARRAYS[name]
+    p = os.path.join(tmpdir_path, f"{name} é.json")
+    write(p, text)
+    if want is None:
+        with pytest.raises(Exception, match="corrupt input record"):
+            files.scan_json(spark, p, "x int, s string").collect()
+        got = files.scan_json(spark, p, "x int, s string", on_corrupt="report", source_col="f").collect()
+        assert [r.x for r in got] == [None] and got[0][schema.CORRUPT] and got[0].f
+    else:
+        got = files.scan_json(spark, p, "x int, s string").collect()
+        assert [(r.x, r.s) for r in got] == want
+
+
+def test_array_files_of_many_blocks(spark, tmpdir_path):
+    """A file far larger than a block is checked by many tasks and read once."""
+    p = os.path.join(tmpdir_path, "big.json")
+    rows = [dict(REC, id=str(i), ville="a } ] [ b" if i % 7 == 0 else "c") for i in range(3000)]
+    write(p, json.dumps(rows))
+    lines = os.path.join(tmpdir_path, "cut.json")
+    write(lines, json.dumps(rows)[:-1])
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "20k")
+    try:
+        assert spark.read.option("lineSep", "}").text(p).rdd.getNumPartitions() > 20
+        assert sorted(files.broken_arrays(spark, tmpdir_path)) == [f"file:{lines}"]
+        assert sorted(int(r.id) for r in files.scan_json(spark, p).collect()) == list(range(3000))
+        assert files.scan_json(spark, tmpdir_path, on_corrupt="report").count() == 3001
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_arrays_are_parsed_once(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "a.json")
+    write(p, json.dumps([REC] * 3))
+    plan = files.scan_json(spark, p)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 1 and "wholetext" not in plan
+    assert plan.count("from_json") == 1           # the nested geometry, from its own text
+
+
 def test_corrupt_lines_and_csv_rows(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "l_2025-01-15.json")
     write(p, "\n".join([json.dumps(REC), '{"id": "2", "cp"', json.dumps(dict(REC, id="3"))]))
@@ -132,6 +190,17 @@ def test_corrupt_lines_and_csv_rows(spark, tmpdir_path):
         files.scan_jsonl(spark, p, on_corrupt="ignore")
 
 
+def test_corrupt_input_fails_before_any_filter(spark, tmpdir_path):
+    """A filter on the keys does not hide corrupt rows, which have none."""
+    write(os.path.join(tmpdir_path, "a.jsonl"), json.dumps(REC) + "\n{\"id\"\n")
+    write(os.path.join(tmpdir_path, "a.json"), json.dumps(REC))
+    write(os.path.join(tmpdir_path, "a.csv"), "id,cp\n1,2\n3\n")
+    for fmt in ("jsonl", "json", "csv"):
+        df = files.read_table(spark, os.path.join(tmpdir_path, f"a.{fmt}"), fmt, "id string, cp string")
+        with pytest.raises(Exception, match="corrupt input record"):
+            df.filter("cp IS NOT NULL AND id > ''").select("id").collect()
+
+
 def test_checkpoint_dir_required_off_local_masters():
     # lineage cuts never go to one machine's disk on a cluster
     from pricelens.session import ensure_checkpoint_dir

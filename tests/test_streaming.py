@@ -39,3 +39,24 @@ def test_incremental_clean_picks_up_new_files_once(spark, tmpdir_path):
         start_incremental_clean(spark, landing, path).awaitTermination()
         assert spark.read.parquet(path).count() == 3
     assert {r.id: r.prix_valeur for r in rows}["2"] is None        # invalid price -> NULL
+
+
+def test_a_batch_run_again_replaces_itself(spark, tmpdir_path):
+    landing, out = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "long")
+    _land(landing, "carburants_2025-01-15.json", [rec(1), rec(2)])
+    for ckpt in ("a", "b"):                       # a lost checkpoint: batch 0 comes again
+        start_incremental_clean(spark, landing, out, checkpoint_location=f"{tmpdir_path}/{ckpt}").awaitTermination()
+        assert spark.read.parquet(out).count() == 2
+
+
+def test_corrupt_files_fail_the_stream_or_go(spark, tmpdir_path):
+    import pytest
+
+    landing = os.path.join(tmpdir_path, "raw")
+    _land(landing, "carburants_2025-01-15.json", [rec(1)])
+    with open(os.path.join(landing, "carburants_2025-01-16.json"), "w") as f:
+        f.write(json.dumps(rec(2)) + "\n" + json.dumps(rec(3)))
+    with pytest.raises(Exception, match="corrupt input record"):
+        start_incremental_clean(spark, landing, f"{tmpdir_path}/x").awaitTermination()
+    start_incremental_clean(spark, landing, f"{tmpdir_path}/y", on_corrupt="report").awaitTermination()
+    assert [r.id for r in spark.read.parquet(f"{tmpdir_path}/y").collect()] == ["1"]
