@@ -3,15 +3,20 @@
 ``exact_quantiles`` returns the same values as SQL ``quantile_cont`` /
 Spark ``percentile`` (linear interpolation), but never holds a group in one
 task.  Spark's ``percentile`` keeps a value->count map per group and merges
-a whole group in one task; here a sketch narrows the search first:
+a whole group in one task; here the search is narrowed first:
 
 1. one pass of ``percentile_approx`` per group, whose rank error has a bound,
    gives for each wanted rank a bracket that surely holds it: about
    ``6 n / accuracy`` ranks wide, or the whole group if that has fewer than
    ``2 * accuracy`` values;
-2. a second pass counts the values below each bracket and keeps the few inside
-   it, equal values collapsed to a count;
-3. a running count over these picks the values at the wanted ranks.
+2. a second pass counts each distinct value inside a bracket, and all values
+   below it as one;
+3. while a bracket has more than ``bound`` distinct values, they are cut at
+   ``CUTS`` of their quantiles, the counts of the parts say in which one the
+   wanted ranks lie, and only its values stay; the rows shrink about ``CUTS``
+   times a round, whatever the ties;
+4. a running count over the at most ``bound`` values left picks those at the
+   wanted ranks.
 
 No sort or range partition of the data is needed, and nothing of it goes to
 the driver.
@@ -62,17 +67,23 @@ def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
     return agg.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
+#: Parts that a bracket with too many distinct values is cut into.
+CUTS = 64
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
                     groups: Sequence[str] = (), names: Sequence[str] | None = None,
-                    accuracy: int = 100_000) -> DataFrame:
+                    accuracy: int = 100_000, bound: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value`` per group.
 
     One row per group that has at least one non-NULL value (one row with
     NULLs when there are no groups and no values).  Runs eagerly: the values
-    are written once and read by both passes.
+    are written once and read by both passes.  No task orders more than
+    ``bound`` distinct values of a bracket (default ``2 * accuracy``).
     """
     g = list(groups)
     names = list(names or [_qname(value, q) for q in probs])
+    bound = max(bound or 2 * accuracy, 2)
     global_ = not g
     if global_:
         df, g = df.withColumn("_one", F.lit(0)), ["_one"]
@@ -87,39 +98,33 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", around, accuracy).alias("_q"))
     whole = F.col("_n") < 2 * accuracy
-    brackets = [F.struct(F.lit(i).alias("_qi"),
+    brackets = [F.struct(F.lit(i).alias("_qi"), F.lit(float(q)).alias("_p"),
                          F.when(whole, F.col("_min")).otherwise(F.col("_q")[2 * i]).alias("_lo"),
                          F.when(whole, F.col("_max")).otherwise(F.col("_q")[2 * i + 1]).alias("_hi"))
-                for i in range(len(probs))]
+                for i, q in enumerate(probs)]
     sketch = broadcast_if_small(sketch.select(*g, "_n", F.array(*brackets).alias("_b")))
-    seen = _join_ns(base, sketch, g)
-
-    # ranks before each bracket, and the values inside it with their counts
-    below = seen.groupBy(*g).agg(F.max("_n").alias("_n"), *[
-        F.count_if(F.col("_v") < F.col("_b")[i]["_lo"]).alias(f"_below{i}") for i in range(len(probs))])
-    below = broadcast_if_small(below)
-    inside = (seen.select(*g, "_v", F.explode("_b").alias("_b"))
-                  .filter((F.col("_v") >= F.col("_b._lo")) & (F.col("_v") <= F.col("_b._hi")))
-                  .groupBy(*g, F.col("_b._qi").alias("_qi"), "_v")
-                  .agg(F.count(F.lit(1)).alias("_c")))
-    up_to = Window.partitionBy(*g, "_qi").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    at = _join_ns(inside.withColumn("_cum", F.sum("_c").over(up_to)), below, g)
-    start = F.array(*[F.col(f"_below{i}") for i in range(len(probs))])[F.col("_qi")]
-    at = at.withColumn("_cum", F.col("_cum") + start)
-
-    # wanted ranks (1-based): floor(h) + 1 and ceil(h) + 1, h = (n - 1) q
-    h = (F.col("_n") - 1) * F.array(*[F.lit(float(q)) for q in probs])[F.col("_qi")]
-    at = at.withColumn("_h", h)
+
+    # distinct values inside each bracket with their counts; NULL: all below it
+    seen = _join_ns(base, sketch, g).select(*g, "_v", F.explode("_b").alias("_b"))
+    cells = (seen.filter(F.col("_v") <= F.col("_b._hi"))
+                 .groupBy(*g, F.col("_b._qi").alias("_qi"),
+                          F.when(F.col("_v") >= F.col("_b._lo"), F.col("_v")).alias("_v"))
+                 .agg(F.count(F.lit(1)).alias("_c")))
+    # wanted ranks (1-based): floor(h) + 1 and ceil(h) + 1, h = (n - 1) p
+    h = (F.col("_n") - 1) * F.col("_b._p")
+    ranks = (sketch.select(*g, "_n", F.explode("_b").alias("_b"))
+             .select(*g, F.col("_b._qi").alias("_qi"), (F.floor(h) + 1).alias("_r1"),
+                     (F.ceil(h) + 1).alias("_r2"), (h - F.floor(h)).alias("_frac")))
+    at = _narrowed(materialize(cells, "quantile-cells"), ranks, [*g, "_qi"], bound)
 
     def holds(rank):
         return (F.col("_cum") - F.col("_c") < rank) & (rank <= F.col("_cum"))
     aggs = []
     for i, n in enumerate(names):
         mine = F.col("_qi") == i
-        lo = F.max(F.when(mine & holds(F.floor("_h") + 1), F.col("_v")))
-        hi = F.max(F.when(mine & holds(F.ceil("_h") + 1), F.col("_v")))
-        frac = F.max(F.when(mine, F.col("_h") - F.floor("_h")))
+        lo = F.max(F.when(mine & holds(F.col("_r1")), F.col("_v")))
+        hi = F.max(F.when(mine & holds(F.col("_r2")), F.col("_v")))
+        frac = F.max(F.when(mine, F.col("_frac")))
         aggs.append((lo + (hi - lo) * frac).alias(n))
     if global_:
         # a global aggregate has exactly one row (NULLs when there are no values)
@@ -127,6 +132,48 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
     return at.groupBy(*g).agg(*aggs)
 
 
+def _running(keys: Sequence[str]) -> Window:
+    """From the values below the bracket (NULL) upwards."""
+    return (Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def _narrowed(cells: DataFrame, ranks: DataFrame, keys: Sequence[str], bound: int) -> DataFrame:
+    """``cells`` (keys, _v, _c: a distinct value and its count, NULL for all values
+    below) with the running count ``_cum`` and the wanted ``ranks``, once no
+    bracket has more than ``bound`` values."""
+    while True:
+        sizes = cells.groupBy(*keys).agg(F.count("_v").alias("_d"))
+        wide = sizes.filter(F.col("_d") > bound)
+        if wide.isEmpty():
+            break
+        # cut the wide brackets at quantiles of their distinct values
+        cuts = [(i + 1) / CUTS for i in range(CUTS - 1)]
+        at = _join_ns(cells, wide.select(*keys), keys, "left_semi").groupBy(*keys).agg(
+            F.percentile_approx("_v", cuts, 20 * CUTS).alias("_cuts"))
+        at = broadcast_if_small(at)
+        part = F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(
+            F.size(F.filter("_cuts", lambda x: x < F.col("_v"))))
+        parted = _join_ns(cells, at, keys, "left").withColumn("_part", part)
+        sums = (parted.filter(F.col("_cuts").isNotNull()).groupBy(*keys, "_part")
+                .agg(F.sum("_c").alias("_s")))
+        up_to = (Window.partitionBy(*keys).orderBy("_part")          # at most CUTS + 1 rows
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        found = _join_ns(sums.withColumn("_to", F.sum("_s").over(up_to)), ranks, keys)
+        found = found.groupBy(*keys).agg(
+            F.min(F.when(F.col("_r1") <= F.col("_to"), F.col("_part"))).alias("_first"),
+            F.min(F.when(F.col("_r2") <= F.col("_to"), F.col("_part"))).alias("_last"))
+        found = broadcast_if_small(found)
+        parted = _join_ns(parted, found, keys, "left")
+        # brackets that were not cut stay; of the others only the parts between
+        kept = parted.filter(F.col("_first").isNull() | (F.col("_part") <= F.col("_last")))
+        below = F.col("_first").isNotNull() & (F.col("_part") < F.col("_first"))
+        kept = (kept.select(*keys, F.when(~below, F.col("_v")).alias("_v"), "_c")
+                .groupBy(*keys, "_v").agg(F.sum("_c").alias("_c")))
+        cells = materialize(kept, "quantile-cells")
+    return _join_ns(cells.withColumn("_cum", F.sum("_c").over(_running(keys))), ranks, keys)
+
+
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
                    groups: Sequence[str] = (), method: str = "exact",
                    accuracy: int = 10000) -> DataFrame:

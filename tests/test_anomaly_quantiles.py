@@ -1,9 +1,10 @@
 """Quantiles (exact and sketch) and IQR flags (A1-A5)."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from pricelens.operators import anomaly
+from pricelens.operators import anomaly, quantiles
 from pricelens.operators.quantiles import approx_quantiles, exact_quantiles
 
 
@@ -33,6 +34,41 @@ def test_exact_quantiles_global_and_empty(spark):
     assert len(r) == 1 and r[0].m is None
 
 
+@pytest.mark.parametrize("bound", [1, 7, 100])
+def test_brackets_are_narrowed_whatever_the_ties(spark, bound):
+    """Heavy ties, ties at the wanted rank, skewed and tiny groups: many rounds."""
+    rng = np.random.default_rng(bound)
+    groups = {"ties": np.repeat([1.0, 2.0, 3.0], 900), "mostly": np.r_[np.full(2000, 5.0), rng.normal(5, 1, 900)],
+              "distinct": rng.permutation(4000) / 8, "skew": np.exp(rng.normal(0, 6, 2500)), "one": np.array([4.0]),
+              None: np.r_[rng.normal(0, 1, 300), np.full(700, 0.25)]}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 1.0]
+    names = [f"q{i}" for i in range(len(probs))]
+    got = {r.g: r for r in exact_quantiles(df, "v", probs, groups=["g"], names=names, accuracy=60, bound=bound).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        for n, q in zip(names, probs):
+            assert got[g][n] == pytest.approx(np.percentile(vs, q * 100), rel=1e-12, abs=1e-12)
+
+
+def test_no_window_is_wider_than_the_bound(spark, monkeypatch):
+    """Ten million distinct values, one of them repeated ten million times more."""
+    n, bound, widest = 10_000_000, 500, []
+    narrowed = quantiles._narrowed
+
+    def run(cells, ranks, keys, b):
+        out = narrowed(cells, ranks, keys, b)
+        widest.append(out.groupBy(*keys).agg(F.count("_v").alias("d")).agg(F.max("d")).first()[0])
+        return out
+    monkeypatch.setattr(quantiles, "_narrowed", run)
+    df = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("v"))
+    df = df.union(spark.range(n).select(F.lit(123_456.0)))
+    r = exact_quantiles(df, "v", [0.25, 0.75], names=["a", "b"], accuracy=1000, bound=bound).first()
+    assert r.a == 123_456.0 and r.b == (2 * n - 1) * 0.75 - n
+    assert widest and max(widest) <= bound
+
+
 def test_approx_quantile_rank_error(spark):
     vals = [float(x) for x in range(10000)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
