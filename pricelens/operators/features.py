@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sizing import broadcast_if_small, materialize
@@ -93,18 +93,50 @@ def competitive_score(df: DataFrame, products: Sequence[str], *, suffix: str = "
     return df.withColumn(out, reduce(lambda a, b: a + b, terms))
 
 
+#: Days of an entity's rows in one task of ``lag_change``.
+RANGE_DAYS = 31
+
+
+def date_range(column: str, kind: str, days: int = RANGE_DAYS) -> Column | None:
+    """Number of the ``days`` long range that a date or moment lies in, ascending
+    with it; None for other types."""
+    if kind == "date":
+        return F.floor(F.unix_date(column) / days)
+    if kind == "timestamp":
+        return F.floor(F.unix_seconds(column) / (86_400 * days))
+    return None
+
+
 def lag_change(df: DataFrame, value: str = "gazole", *, entity: str = "id",
                order: Sequence[str] = ("prix_maj_date",), tiebreak: Sequence[str] = (),
-               out: str | None = None) -> DataFrame:
+               out: str | None = None, days: int = RANGE_DAYS) -> DataFrame:
     """value minus the entity's previous value in date order (unrounded).
 
-    Runs on the wide table, where an entity has at most one row per date and
-    attribute tuple, so a window partition is bounded by the number of
-    dates of one entity, not by its raw observation count.
+    Where the first order column is a date or a moment, rows are split by entity
+    and range of ``days`` days, so an entity with a third of all rows is as many
+    tasks as it has ranges.  A range's first row takes the last value of the range
+    before from a carry table: one row for each entity and range that it has rows
+    in, an aggregate of the key, order and value columns that is combined before
+    its shuffle.  The rows themselves go through one shuffle.
     """
-    w = Window.partitionBy(entity).orderBy(
-        *[F.col(c).asc_nulls_first() for c in list(order) + list(tiebreak)])
-    return df.withColumn(out or f"{value}_evolution", F.col(value) - F.lag(value, 1).over(w))
+    ordered = [F.col(c).asc_nulls_first() for c in list(order) + list(tiebreak)]
+    name = out or f"{value}_evolution"
+    part = date_range(order[0], dict(df.dtypes)[order[0]], days)
+    if part is None:
+        w = Window.partitionBy(entity).orderBy(*ordered)
+        return df.withColumn(name, F.col(value) - F.lag(value, 1).over(w))
+    w = Window.partitionBy(entity, "__range").orderBy(*ordered)
+    cell = F.struct(F.col(value).alias("v"))       # a NULL value is a previous value too
+    rows = df.withColumn("__range", part)
+    last = rows.groupBy(F.col(entity).alias("__entity"), F.col("__range").alias("__at")).agg(
+        F.max_by(cell, F.struct(*order, *tiebreak)).alias("__last"))
+    rows = rows.withColumn("__before", F.lag(cell).over(w))
+    by_range = Window.partitionBy("__entity").orderBy(F.col("__at").asc_nulls_first())
+    carry = last.select("__entity", "__at", F.lag("__last").over(by_range).alias("__carry"))
+    got = rows.join(carry, F.col(entity).eqNullSafe(F.col("__entity"))
+                    & F.col("__range").eqNullSafe(F.col("__at")), "left")
+    before = F.coalesce("__before", "__carry")["v"]
+    return got.select(*[F.col(f"`{c}`") for c in df.columns if c != name], (F.col(value) - before).alias(name))
 
 
 def add_features(df: DataFrame, products: Sequence[str], *,

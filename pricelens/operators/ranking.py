@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -80,22 +81,27 @@ def bounded_sample(df: DataFrame, *, n: int = 5000, seed: int = 42,
     would pick whole entities.  Integer, string or date columns.
 
     A top-k alone ends in one task merging ``n`` rows from every task.
-    With ``prefilter`` (eager: the rows written once and counted) the hash,
-    uniform over the 128-bit range, is first cut at a threshold that about
-    ``4 n`` rows pass; the n smallest hashes are all below it, so the
-    result is the same, and the final merge sees thousands of rows.  If
-    fewer than ``n`` pass (vanishingly unlikely), the plain top-k runs.
+    With ``prefilter`` (eager) the rows are counted, and the hash, uniform over
+    the 128-bit range, is cut at a threshold that about ``4 n`` rows pass; the n
+    smallest hashes are all below it, so the result is the same, and the merge
+    sees thousands of rows.  If fewer than ``n`` pass (vanishingly unlikely), the
+    threshold goes.  Count and choice read the key columns alone; the chosen keys
+    (``n`` rows) are broadcast to fetch the rows, and nothing else is written.
     """
     keys = [F.col(k) for k in key]
     h = sample_hash(keys, seed)
-    top = df.orderBy(h, *keys).limit(n)
     if not prefilter:
-        return top
-    df = materialize(df, "sample-rows")
+        return df.orderBy(h, *keys).limit(n)
     total = df.count()
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        least = rows.select(*keys).orderBy(h, *keys).limit(n)
+        return materialize(least.toDF(*[f"__k{i}" for i in range(len(key))]), "sample-keys")
     threshold = (4 * n * 2 ** 128) // max(total, 1)
-    if threshold < 2 ** 128:
-        cand = materialize(df.filter(h <= F.lit(format(threshold, "032x"))), "sample-candidates")
-        if cand.count() >= n:
-            df = cand
-    return df.orderBy(h, *keys).limit(n)
+    if threshold >= 2 ** 128:                      # hardly more rows than asked for
+        return df.orderBy(h, *keys).limit(n)
+    found = chosen(df.filter(h <= F.lit(format(threshold, "032x"))))
+    if found.count() < n:
+        found = chosen(df)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(key)])
+    return df.join(F.broadcast(found), same, "left_semi").orderBy(h, *keys).limit(n)

@@ -55,6 +55,17 @@ def test_global_top_k_and_sample(spark):
         ranking.bounded_sample(rows, n=500)
 
 
+def test_bounded_sample_writes_only_the_chosen_keys(spark, monkeypatch):
+    written = []
+    inner = ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda df, name="t": written.append(df.columns) or inner(df, name))
+    df = spark.range(4000).selectExpr("id", "CASE WHEN id % 9 = 0 THEN NULL ELSE id % 50 END AS day", "id * 2 AS v")
+    got = ranking.bounded_sample(df, n=200, key=["id", "day"])
+    want = ranking.bounded_sample(df, n=200, key=["id", "day"], prefilter=False)
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+    assert written == [["__k0", "__k1"]] and got.columns == df.columns
+
+
 def test_histogram_and_scale(spark):
     vals = [1.0, 2.0, 2.5, 3.0, 10.0, None]
     df = spark.createDataFrame([(v,) for v in vals], "v double")

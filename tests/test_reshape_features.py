@@ -1,5 +1,9 @@
 """Pivot / unpivot (R1-R6) and derived features."""
 
+import random
+
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricelens.operators import features, reshape
@@ -148,3 +152,40 @@ def test_hot_entity_pivot_means_lag_vs_brute_force(spark):
         assert (g is None and pd.isna(r.gazole)) or abs(g - r.gazole) < 1e-12
         assert abs(m - round(means[r.region_code], 3)) < 1e-9
         assert (e is None and pd.isna(r.evo)) or abs(e - r.evo) < 1e-9
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "int"])
+def test_lag_over_a_hot_entity(spark, kind):
+    """One entity with a third of all rows, NULL values, dates and ids: equal to
+    the plain window, and no task has more of it than a range of days."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(1500):
+        entity = "hot" if i % 3 == 0 else rng.choice([None, "a", "b", "c"])
+        day = None if rng.random() < 0.02 else rng.randint(-400, 900)
+        rows.append((entity, day, i, None if rng.random() < 0.1 else float(rng.randint(1, 9))))
+    df = spark.createDataFrame(rows, "id string, d int, k int, gazole double")
+    at = {"date": F.date_add(F.lit("1970-03-01").cast("date"), F.col("d")), "int": F.col("d"),
+          "timestamp": F.timestamp_seconds(F.col("d") * 40_000)}[kind]
+    df = df.withColumn("day", at)
+    got = features.lag_change(df, "gazole", order=["day"], tiebreak=["k"])
+    w = Window.partitionBy("id").orderBy(F.col("day").asc_nulls_first(), "k")
+    want = df.withColumn("gazole_evolution", F.col("gazole") - F.lag("gazole").over(w))
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    if kind == "date":
+        ranges = df.groupBy("id", features.date_range("day", "date")).count()
+        assert ranges.agg(F.max("count")).first()[0] < 60 < df.filter("id = 'hot'").count() / 5
+
+
+def test_lag_shuffles_the_rows_once(spark):
+    df = wide_rows(spark).withColumn("prix_maj_date", F.to_date("prix_maj_date"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = features.lag_change(df, "gazole", order=["prix_maj_date"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    # the rows, the carry aggregate, its window and its way back to the rows
+    assert len([x for x in shuffles if "id#" in x and "__range" in x]) <= 3
+    assert plan.count("partial_max_by") == 1
