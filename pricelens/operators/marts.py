@@ -95,38 +95,30 @@ def _rolled_up(products: Sequence[str], full: bool) -> list:
     return out
 
 
-def grouped_marts(df: DataFrame, products: Sequence[str], *,
-                  department: str = "departement", region: str = "region_code",
-                  date: str = "prix_maj_date", year: str = "annee",
-                  materialized: bool = True) -> dict:
-    """G1-G6 in one pass over the detailed table.
+def fine_state(df: DataFrame, products: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The state that G1-G6 roll up from, at the finest grain ``keys``: rows, and for
+    each product count, sum, minimum, maximum and squared deviations.  States of
+    disjoint sets of rows add up (``marts_of`` takes them united)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT_COL), *[
+        a for p in products for a in (
+            F.count(p).alias(f"{p}_n"), F.sum(p).alias(f"{p}_sum"), F.min(p).alias(f"{p}_min"),
+            F.max(p).alias(f"{p}_max"), (F.var_pop(p) * F.count(p)).alias(f"{p}_dev"))])
 
-    One aggregate at the finest grain (department, region, date, year) keeps
-    count, sum, minimum, maximum and the squared deviations of each product; it
-    is combined map-side, as small as the largest mart, and written once.  All
-    six marts are rolled up from it, so the detailed rows are read and
-    aggregated once and not copied for every grouping.
-    """
-    ps = present(df, products)
+
+def marts_of(fine: DataFrame, products: Sequence[str], *, department: str = "departement",
+             region: str = "region_code", date: str = "prix_maj_date", year: str = "annee") -> dict:
+    """G1-G6 from ``fine_state`` rows, any number for each of its keys."""
     sets = {"by_region": [region], "by_departement": [department, region]}
-    if date in df.columns:
+    if date in fine.columns:
         sets["by_date"] = [date]
         sets["by_departement_date"] = [department, region, date]
-    if year in df.columns:
+    if year in fine.columns:
         sets["by_year"] = [year]
         sets["by_departement_year"] = [department, region, year]
-    cols = [c for c in (department, region, date, year) if c in df.columns]
-    fine = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(COUNT_COL), *[
-        a for p in ps for a in (
-            F.count(p).alias(f"{p}_n"), F.sum(p).alias(f"{p}_sum"), F.min(p).alias(f"{p}_min"),
-            F.max(p).alias(f"{p}_max"), (F.var_pop(p) * F.count(p)).alias(f"{p}_dev"))])
-    if materialized:
-        from ..functions.sizing import materialize
-        fine = materialize(fine, "marts")
     out = {}
     for name, keys in sets.items():
         full = name in ("by_region", "by_departement")
-        m = fine.groupBy(*keys).agg(*_rolled_up(ps, full), F.sum(COUNT_COL).alias(COUNT_COL))
+        m = fine.groupBy(*keys).agg(*_rolled_up(products, full), F.sum(COUNT_COL).alias(COUNT_COL))
         if name == "by_departement_date":
             m = m.withColumnRenamed(date, "date")
         elif name == "by_year":
@@ -137,6 +129,26 @@ def grouped_marts(df: DataFrame, products: Sequence[str], *,
     return out
 
 
+def grouped_marts(df: DataFrame, products: Sequence[str], *,
+                  department: str = "departement", region: str = "region_code",
+                  date: str = "prix_maj_date", year: str = "annee",
+                  materialized: bool = True) -> dict:
+    """G1-G6 in one pass over the detailed table.
+
+    One aggregate at the finest grain (department, region, date, year) keeps
+    count, sum, minimum, maximum and the squared deviations of each product; it
+    is combined map-side, as small as the largest mart, and written once.  All
+    six marts are rolled up from it, so the detailed rows are read and
+    aggregated once and not copied for every grouping.
+    """
+    ps = present(df, products)
+    fine = fine_state(df, ps, [c for c in (department, region, date, year) if c in df.columns])
+    if materialized:
+        from ..functions.sizing import materialize
+        fine = materialize(fine, "marts")
+    return marts_of(fine, ps, department=department, region=region, date=date, year=year)
+
+
 def build_marts(df: DataFrame, products: Sequence[str], *,
                 entity: str = "id", department: str = "departement",
                 region: str = "region_code", date: str = "prix_maj_date",

@@ -39,6 +39,18 @@ def latest_order(df: DataFrame, order: Sequence[str]) -> list:
     return out
 
 
+def wide_keys(df: DataFrame, *, name: str = "prix_nom", value: str = "prix_valeur",
+              order: Sequence[str] | None = None, keys: Sequence[str] | None = None,
+              exclude: Iterable[str] = ()) -> tuple[list, list]:
+    """(key columns, order columns) of the wide table, with their defaults; see
+    ``pivot_wide``."""
+    if order is None:
+        order = [("prix_maj_ts" if "prix_maj_ts" in df.columns else "prix_maj"), "prix_id"]
+        order = [c for c in order if c in df.columns]
+    skip = set(schema.OBSERVATION_COLUMNS) | {name, value} | set(order) | set(exclude)
+    return list(keys if keys is not None else [c for c in df.columns if c not in skip]), list(order)
+
+
 def pivot_wide(
     df: DataFrame,
     values: Sequence[str] | None = None,
@@ -67,13 +79,7 @@ def pivot_wide(
     """
     if values is None:
         values = product_names(df, name)
-    if order is None:
-        order = [("prix_maj_ts" if "prix_maj_ts" in df.columns else "prix_maj"), "prix_id"]
-        order = [c for c in order if c in df.columns]
-    skip = set(schema.OBSERVATION_COLUMNS) | {name, value} | set(order) | set(exclude)
-    if keys is None:
-        keys = [c for c in df.columns if c not in skip]
-    keys = list(keys)
+    keys, order = wide_keys(df, name=name, value=value, order=order, keys=keys, exclude=exclude)
     # a single ordering column is used bare: for a fixed-width type (a
     # timestamp, a number) the aggregate then runs as a hash aggregate; a
     # struct ordering needs the sort-based aggregate

@@ -77,6 +77,6 @@ def double_columns(df: DataFrame) -> list:
 def load_all() -> dict:
     """Import every module that registers queries, return the catalog."""
     from . import (queries_clean, queries_core, queries_dashboard,  # noqa: F401
-                   queries_features, queries_io, queries_job, queries_pipeline,
+                   queries_features, queries_increments, queries_io, queries_job, queries_pipeline,
                    queries_stream)
     return CATALOG

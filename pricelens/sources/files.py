@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
@@ -254,8 +254,9 @@ def scan_snapshots(spark: SparkSession, root: str,
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Sequence[str] | None = None,
-                max_records_per_file: int | None = 5_000_000) -> None:
+                partition_by: Sequence[str] | None = None, cluster_by: Sequence[str] = (),
+                max_records_per_file: int | None = 5_000_000,
+                observation: Observation | None = None, metrics: Sequence[Column] = ()) -> None:
     """Write with a save mode and optional Hive partitioning.
 
     Before a partitioned write the rows are rebalanced on the partition
@@ -263,10 +264,19 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
     rows over several tasks and merges small ones), so each partition
     folder gets a few large files rather than one file per task, and no
     single task writes a whole hot partition.
+
+    ``cluster_by`` sorts the rows of each file by these columns, so that the
+    row groups' statistics (and their sizes on disk) shrink and a filter on them
+    skips row groups.  ``metrics`` are aggregates that ``observation`` collects
+    from the rows on their way into the files, in the writing tasks themselves.
     """
     check_format(fmt)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if metrics:
+        df = df.observe(observation, *metrics)
+    if cluster_by:
+        df = df.sortWithinPartitions(*(partition_by or ()), *cluster_by)
     w = df.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
