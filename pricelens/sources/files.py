@@ -74,13 +74,14 @@ def scan_json(spark: SparkSession, path, schema: StructType | str | None = S.RAW
         return (r.option("pathGlobFilter", glob) if glob else r).json(path)
     fields = _struct(schema)
     broken = broken_arrays(spark, path, glob)
-    # every field as text: the reader then marks syntax errors only, and a value
-    # of the wrong type becomes NULL below
-    text = StructType([*[T.StructField(f.name, T.StringType()) for f in fields.fields],
-                       T.StructField(S.CORRUPT, T.StringType())])
+    # every field as a variant: the reader then marks syntax errors only, and a
+    # value of the wrong type becomes NULL below.  (As strings, numbers would be
+    # read a second time from the file, each by its place.)
+    anything = StructType([*[T.StructField(f.name, T.VariantType()) for f in fields.fields],
+                           T.StructField(S.CORRUPT, T.StringType())])
     r = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     df = (r.option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", S.CORRUPT).schema(text).json(path))
+           .option("columnNameOfCorruptRecord", S.CORRUPT).schema(anything).json(path))
     if broken:
         df = df.filter(~F.col("_metadata.file_path").isin(list(broken)))
     more = [F.col("_metadata.file_path").alias(source_col)] if source_col else []
@@ -94,13 +95,8 @@ def scan_json(spark: SparkSession, path, schema: StructType | str | None = S.RAW
 
 
 def _typed(field: T.StructField) -> Column:
-    """A field read as text, in its own type (NULL where it is none)."""
-    c = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.StringType):
-        return c
-    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-        return F.from_json(c, field.dataType)
-    return c.try_cast(field.dataType)
+    """A field read as a variant, in its own type (NULL where it is none)."""
+    return F.try_variant_get(F.col(f"`{field.name}`"), "$", field.dataType.simpleString())
 
 
 def broken_arrays(spark: SparkSession, path, glob: str | None = None) -> dict[str, str]:
