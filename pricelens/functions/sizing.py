@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -29,8 +31,13 @@ DEFAULT_MAX_ROWS = 200_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", observation: Observation | None = None,
+                metrics: Sequence[Column] = ()) -> DataFrame:
+    """Write ``df`` and read it back; ``metrics`` are aggregates that ``observation``
+    collects from the rows as they are written."""
     spark = df.sparkSession
+    if metrics:
+        df = df.observe(observation, *metrics)
     path = scratch_path(spark, f"materialized/{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sizing import materialize, scalar_struct
@@ -93,16 +93,22 @@ def detect_anomalies(df: DataFrame, products: Sequence[str], *, method: str = "e
     return any_anomaly(outlier_flags(df, bounds, ps))
 
 
+def outlier_metrics(df: DataFrame, *, prefix: str = "is_outlier_",
+                    anomaly: str = "has_any_anomaly") -> dict[str, Column]:
+    """A4 as aggregates: number of flagged rows by product, and ``any``."""
+    flags = {c[len(prefix):]: c for c in df.columns if c.startswith(prefix)}
+    if anomaly in df.columns:
+        flags["any"] = anomaly
+    return {name: F.count_if(F.col(c)) for name, c in flags.items()}
+
+
 def outlier_rate(df: DataFrame, *, prefix: str = "is_outlier_",
                  anomaly: str = "has_any_anomaly") -> DataFrame:
     """A4: outlier count and percent per flag and overall, from one aggregate."""
-    flags = [c for c in df.columns if c.startswith(prefix)]
-    names = [c[len(prefix):] for c in flags]
-    if anomaly in df.columns:
-        flags.append(anomaly)
-        names.append("any")
+    counts = outlier_metrics(df, prefix=prefix, anomaly=anomaly)
+    names = list(counts)
     aggs = [F.count(F.lit(1)).alias("_total")]
-    aggs += [F.count_if(F.col(c)).alias(f"_n{i}") for i, c in enumerate(flags)]
+    aggs += [c.alias(f"_n{i}") for i, c in enumerate(counts.values())]
     wide = df.agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(n).alias("product"), F.col(f"_n{i}").alias("n_outliers"),

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import logging
 from datetime import datetime
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
@@ -122,20 +123,27 @@ def parse_date_year(df: DataFrame, *, ts: str = "prix_maj", date_out: str = "pri
               .withColumn(time_out, F.col(ts).try_cast("timestamp")))
 
 
+def clean_metrics(df: DataFrame, keys: Sequence[str] = ("id", "cp", "ville")) -> list[Column]:
+    """P9 as aggregates, for a scan or for the write that passes the rows on."""
+    keep = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    corrupt = [F.count(schema.CORRUPT).alias("rows_corrupt")] if schema.CORRUPT in df.columns else []
+    return [F.count(F.lit(1)).alias("rows_in"), F.count_if(keep).alias("rows_out"), *corrupt]
+
+
+def removed(rows_in, rows_out) -> tuple:
+    """(rows removed, percent) of the metrics, as numbers."""
+    return rows_in - rows_out, ((rows_in - rows_out) * 100.0 / rows_in if rows_in else 0.0)
+
+
 def clean_report(df: DataFrame, keys: Sequence[str] = ("id", "cp", "ville")) -> DataFrame:
     """Rows in, rows kept by P2, rows removed and removed percent - one
     aggregate over the input (no second scan of the cleaned table).  For a scan
     with the corrupt column ``rows_corrupt`` counts corrupt records; they are
     among the rows in and, having no keys, among the rows removed."""
-    keep = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        keep = c if keep is None else keep & c
-    corrupt = [F.count(schema.CORRUPT).alias("rows_corrupt")] if schema.CORRUPT in df.columns else []
-    agg = df.agg(F.count(F.lit(1)).alias("rows_in"),
-                 F.count_if(keep).alias("rows_out"), *corrupt)
-    return agg.select(
-        "rows_in", "rows_out", *(["rows_corrupt"] if corrupt else []), (F.col("rows_in") - F.col("rows_out")).alias("rows_removed"),
+    metrics = clean_metrics(df, keys)
+    return df.agg(*metrics).select(
+        "rows_in", "rows_out", *(["rows_corrupt"] if len(metrics) > 2 else []),
+        (F.col("rows_in") - F.col("rows_out")).alias("rows_removed"),
         F.when(F.col("rows_in") > 0,
                (F.col("rows_in") - F.col("rows_out")) * 100.0 / F.col("rows_in"))
         .otherwise(F.lit(0.0)).alias("removed_pct"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import mean_col
@@ -212,6 +212,24 @@ def run_summary(df: DataFrame, *, region: str = "region_code",
     return df.agg(*aggs)
 
 
+def summary_metrics(df: DataFrame, *, region: str = "region_code", department: str = "departement",
+                    year: str = "annee", anomaly: str = "has_any_anomaly") -> list[Column]:
+    """G7 as aggregates without distinct counts, for the write that passes the rows
+    on: the codes of regions and departments and the years are fixed domains, so
+    their sets are small."""
+    def values(c):
+        return F.size(F.collect_set(F.coalesce(F.col(c).cast("string"), F.lit("-")))).cast("long")
+
+    out = [F.count(F.lit(1)).alias("total_rows"), values(region).alias("n_regions"),
+           values(department).alias("n_departements")]
+    if year in df.columns:
+        out += [F.min(year).alias("first_year"), F.max(year).alias("last_year"),
+                F.size(F.collect_set(year)).cast("long").alias("n_years")]
+    if anomaly in df.columns:
+        out.append(F.count_if(F.col(anomaly)).alias("n_anomalies"))
+    return out
+
+
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count/mean/stddev/min/max per column, one row per column.
 

@@ -91,31 +91,45 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
     base = materialize(df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull()),
                        "quantile-values")
 
-    # brackets: three rank errors to either side; the whole of a small group
-    edge = 3.0 / accuracy
-    around = [p for q in probs for p in (max(0.0, q - edge), min(1.0, q + edge))]
-    sketch = base.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", around, accuracy).alias("_q"))
-    whole = F.col("_n") < 2 * accuracy
-    brackets = [F.struct(F.lit(i).alias("_qi"), F.lit(float(q)).alias("_p"),
-                         F.when(whole, F.col("_min")).otherwise(F.col("_q")[2 * i]).alias("_lo"),
-                         F.when(whole, F.col("_max")).otherwise(F.col("_q")[2 * i + 1]).alias("_hi"))
-                for i, q in enumerate(probs)]
-    sketch = broadcast_if_small(sketch.select(*g, "_n", F.array(*brackets).alias("_b")))
+    # brackets: three rank errors to either side; the whole of a small group, one
+    # for all its ranks where it needs no narrowing
+    whole, shared = F.col("_n") < 2 * accuracy, F.col("_n") < min(2 * accuracy, bound + 1)
+    sizes = broadcast_if_small(base.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")))
+    large = sizes.filter(~whole)
+    if large.isEmpty():
+        sketched, sized = False, sizes.withColumn("_q", F.lit(None).cast("array<double>"))
+    else:
+        sketched = True
+        edge = 3.0 / accuracy
+        around = [p for q in probs for p in (max(0.0, q - edge), min(1.0, q + edge))]
+        sketch = _join_ns(base, large.select(*g), g, "left_semi").groupBy(*g).agg(
+            F.percentile_approx("_v", around, accuracy).alias("_q"))
+        sized = _join_ns(sizes, sketch, g, "left")
+
+    def at_rank(i):
+        return [F.lit(i).alias("_bi"), F.when(whole, F.col("_min")).otherwise(F.get("_q", F.lit(2 * i))).alias("_lo"),
+                F.when(whole, F.col("_max")).otherwise(F.get("_q", F.lit(2 * i + 1))).alias("_hi")]
+    brackets = F.array(*[F.struct(*at_rank(i)) for i in range(len(probs))])
+    sized = sized.withColumn("_b", F.when(shared, F.slice(brackets, 1, 1)).otherwise(brackets))
+    sized = sized.select(*g, "_n", "_b")
+    if sketched:                       # else still the checked table of sizes, projected
+        sized = broadcast_if_small(sized)
 
     # distinct values inside each bracket with their counts; NULL: all below it
-    seen = _join_ns(base, sketch, g).select(*g, "_v", F.explode("_b").alias("_b"))
+    seen = _join_ns(base, sized.select(*g, "_b"), g).select(*g, "_v", F.explode("_b").alias("_b"))
     cells = (seen.filter(F.col("_v") <= F.col("_b._hi"))
-                 .groupBy(*g, F.col("_b._qi").alias("_qi"),
+                 .groupBy(*g, F.col("_b._bi").alias("_bi"),
                           F.when(F.col("_v") >= F.col("_b._lo"), F.col("_v")).alias("_v"))
                  .agg(F.count(F.lit(1)).alias("_c")))
     # wanted ranks (1-based): floor(h) + 1 and ceil(h) + 1, h = (n - 1) p
-    h = (F.col("_n") - 1) * F.col("_b._p")
-    ranks = (sketch.select(*g, "_n", F.explode("_b").alias("_b"))
-             .select(*g, F.col("_b._qi").alias("_qi"), (F.floor(h) + 1).alias("_r1"),
-                     (F.ceil(h) + 1).alias("_r2"), (h - F.floor(h)).alias("_frac")))
-    at = _narrowed(materialize(cells, "quantile-cells"), ranks, [*g, "_qi"], bound)
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("_qi"), F.lit(float(q)).alias("_p"))
+                                 for i, q in enumerate(probs)]))
+    h = (F.col("_n") - 1) * F.col("_w._p")
+    ranks = (sized.select(*g, "_n", wanted.alias("_w"))
+             .select(*g, F.col("_w._qi").alias("_qi"), F.when(shared, 0).otherwise(F.col("_w._qi")).alias("_bi"),
+                     (F.floor(h) + 1).alias("_r1"), (F.ceil(h) + 1).alias("_r2"), (h - F.floor(h)).alias("_frac")))
+    at = _narrowed(materialize(cells, "quantile-cells"), ranks, [*g, "_bi"], bound)
 
     def holds(rank):
         return (F.col("_cum") - F.col("_c") < rank) & (rank <= F.col("_cum"))

@@ -14,9 +14,9 @@ from __future__ import annotations
 import argparse
 import logging
 from datetime import datetime
-from typing import Sequence
+from typing import NamedTuple, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -82,31 +82,49 @@ def detailed_table(long_df: DataFrame, *, raw_products: Sequence[str] | None = N
                               run_date=run_date, once=not checkpoint)
 
 
-def run_detailed(spark: SparkSession, raw_path: str, out_base: str, *, fmt: str = "json",
+class Detailed(NamedTuple):
+    """What ``run_detailed`` wrote, and the statistics of its two writes."""
+    path: str
+    report: dict                       # P9
+    summary: dict                      # G7
+    outliers: dict                     # A4: flagged rows by product, and "any"
+
+
+def run_detailed(spark: SparkSession, raw_path: str, out_base: str, **options) -> str:
+    """``detailed_job``; returns the detailed table's path."""
+    return detailed_job(spark, raw_path, out_base, **options).path
+
+
+def detailed_job(spark: SparkSession, raw_path: str, out_base: str, *, fmt: str = "json",
                  raw_products: Sequence[str] | None = None,
                  products: Sequence[str] | None = None,
                  flagged: Sequence[str] = S.FLAGGED_PRODUCTS,
                  price_range: tuple = (0.0, 5.0), run_ts: str | None = None,
                  run_date: str | None = None, glob: str | None = None, quantiles: str = "exact",
-                 max_corrupt: int = 0, schema=S.RAW_OBSERVATION) -> str:
+                 max_corrupt: int = 0, schema=S.RAW_OBSERVATION) -> Detailed:
     """E1 with I/O: landed snapshots -> detailed Parquet partitioned by
-    region and department.  Returns the detailed table's path.
-
-    Raw text is parsed once: the cleaned long table is written, and the report,
-    the list of products and the pivot read that.  Corrupt records and files are
-    counted; more than ``max_corrupt`` of them fail the job before anything is
-    written to ``out_base``, and the report is logged in any case.  With
-    ``raw_products`` only those become columns, and rows of other products are
-    counted and logged; without it all do.  ``quantiles`` "approx" takes the
-    sketch.  The job's own intermediate tables are deleted at its end.
+    region and department.
+
+    Raw text is parsed once: the landed rows are written, and the list of products
+    and the pivot read that.  The clean report (P9) is observed in this write, the
+    outlier counts (A4) and the run summary (G7) in that of the detailed table, so
+    none of them scans anything.  Corrupt records and files are counted; more than
+    ``max_corrupt`` of them fail the job before anything is written to
+    ``out_base``, and the report is logged in any case.  With ``raw_products`` only
+    those become columns, and rows of other products are counted and logged;
+    without it all do.  ``quantiles`` "approx" takes the sketch.  Rows are sorted by
+    date in each file, so that a filter on it skips row groups.  The job's own
+    intermediate tables are deleted at its end.
     """
     files.check_format(fmt)
     raw = files.scan_snapshots(spark, raw_path, schema, fmt=fmt, source_col=None, glob=glob,
                                on_corrupt="report")
     if S.CORRUPT not in raw.columns:          # Parquet has no corrupt records
         raw = raw.withColumn(S.CORRUPT, F.lit(None).cast("string"))
-    landed = materialize(raw, "landed")
-    report = clean.clean_report(landed).first().asDict()
+    seen = Observation("clean")
+    landed = materialize(raw, "landed", seen, clean.clean_metrics(raw))
+    report = seen.get
+    report["rows_removed"], report["removed_pct"] = clean.removed(report["rows_in"], report["rows_out"])
     log.info("clean report: %s", report)
     if report["rows_corrupt"] > max_corrupt:
         raise ValueError(f"{report['rows_corrupt']} corrupt records or files in {raw_path} "
@@ -123,10 +141,16 @@ def run_detailed(spark: SparkSession, raw_path: str, out_base: str, *, fmt: str
     detailed = detailed_from_wide(wide, products=products, flagged=flagged, quantiles=quantiles,
                                   run_ts=run_ts or datetime.now().isoformat(), run_date=run_date)
     path = f"{out_base.rstrip('/')}/detailed"
-    files.write_table(detailed, path, partition_by=list(DETAILED_PARTITIONS))
+    written, outliers = Observation("detailed"), anomaly.outlier_metrics(detailed)
+    metrics = [*marts.summary_metrics(detailed), *[c.alias(f"outliers {n}") for n, c in outliers.items()]]
+    files.write_table(detailed, path, partition_by=list(DETAILED_PARTITIONS), cluster_by=["prix_maj_date"],
+                      observation=written, metrics=metrics)
+    found = written.get
+    counts = {n: found.pop(f"outliers {n}") for n in outliers}
+    log.info("run summary: %s; outliers: %s", found, counts)
     discard(wide)
     discard(landed)
-    return path
+    return Detailed(path, report, found, counts)
 
 
 def run_marts(spark: SparkSession, detailed_path: str, out_base: str, *,
@@ -198,13 +222,12 @@ def main(argv=None) -> int:
             nbytes = files.input_bytes(spark, args.raw_path, glob)
             parts = shuffle_partitions_for(nbytes, spark.sparkContext.defaultParallelism)
             spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-        detailed = run_detailed(spark, args.raw_path, args.out_base, fmt=args.format,
+        detailed = detailed_job(spark, args.raw_path, args.out_base, fmt=args.format,
                                 glob=args.glob, price_range=tuple(args.price_range),
                                 quantiles=args.quantiles, max_corrupt=args.max_corrupt,
                                 raw_products=args.products or None)
-        run_marts(spark, detailed, args.out_base)
-        marts.run_summary(files.scan_parquet(spark, detailed, string_partitions=DETAILED_PARTITIONS)
-                          ).show(truncate=False)
+        run_marts(spark, detailed.path, args.out_base)
+        print(f"run summary: {detailed.summary}")
         return 0
     except Exception:  # noqa: BLE001
         log.exception("transform failed")

@@ -15,12 +15,17 @@ from . import bindings as B
 from . import incremental
 from .catalog import register
 from .queries_io import LONG_COLS, LONG_SCHEMA
-from .queries_job import MART_KEYS, marts_long, marts_long_sql
+from .queries_job import _FLAGS, _JOB_SQL, MART_KEYS, _land, marts_long, marts_long_sql
+from .queries_pipeline import HI, LO, RUN_DATE, RUN_TS
 from ..operators import marts
+from . import pipeline
 
 P = B.PRODUCTS
 LAYOUT = incremental.Layout(keys=B.WIDE_KEYS, order=B.ORDER, products=B.RAW_PRODUCTS, headline=B.HEADLINE)
 
+_JOB_HEAD, _JOB_FROM = _JOB_SQL.rpartition("\nSELECT ")[0], "feat f CROSS JOIN bounds b"
+_JOB_FLAGS = ", ".join(f"{x} AS is_outlier_{p}" for p, x in zip(P, _FLAGS)) + f", ({' OR '.join(_FLAGS)}) AS has_any_anomaly"
+
 
 def _fresh(spark, name):
     return scratch_path(spark, f"roundtrip/{name}-{uuid.uuid4().hex}")
@@ -64,6 +69,30 @@ def q_published_marts(spark, sf):
     return marts_long({m: published.load_published(spark, base, m) for m in MART_KEYS})
 
 
+@register("job_statistics", f"""{_JOB_HEAD}, t AS (SELECT region_code, departement, annee, {_JOB_FLAGS}
+  FROM {_JOB_FROM})
+SELECT 'report rows_in' AS name, CAST((SELECT count(*) FROM raw) AS DOUBLE) AS value
+UNION ALL SELECT 'report rows_out', CAST((SELECT count(*) FROM raw) AS DOUBLE)
+UNION ALL SELECT 'report rows_corrupt', 0 UNION ALL SELECT 'report rows_removed', 0
+UNION ALL SELECT 'report removed_pct', 0
+UNION ALL SELECT 'summary total_rows', count(*) FROM t
+UNION ALL SELECT 'summary n_regions', count(DISTINCT region_code) FROM t
+UNION ALL SELECT 'summary n_departements', count(DISTINCT departement) FROM t
+UNION ALL SELECT 'summary first_year', min(annee) FROM t UNION ALL SELECT 'summary last_year', max(annee) FROM t
+UNION ALL SELECT 'summary n_years', count(DISTINCT annee) FROM t
+UNION ALL SELECT 'summary n_anomalies', count(*) FILTER (has_any_anomaly) FROM t
+UNION ALL SELECT 'outliers any', count(*) FILTER (has_any_anomaly) FROM t
+{" ".join(f"UNION ALL SELECT 'outliers {p}', count(*) FILTER (is_outlier_{p}) FROM t" for p in P)}""",
+          doubles=["value"])
+def q_job_statistics(spark, sf):
+    """P9, A4 and G7 of the landed job, as observed in its two writes."""
+    base = _land(spark, sf, "job")
+    got = pipeline.detailed_job(spark, f"{base}/raw", f"{base}/out", fmt="jsonl", glob="part-*", products=P,
+                                flagged=B.FLAGGED, price_range=(LO, HI), run_ts=RUN_TS, run_date=RUN_DATE)
+    rows = [(f"{k} {n}", float(v)) for k in ("report", "summary", "outliers") for n, v in getattr(got, k).items()]
+    return spark.createDataFrame(rows, "name string, value double")
+
+
 _FORMATS = " UNION ALL ".join(f"SELECT '{f}' AS format, {str(f != 'xml').lower()} AS accepted, "
                               + ("count(*) AS n_rows, sum(prix_valeur) AS total FROM obs_long" if f != "xml"
                                  else "CAST(0 AS BIGINT) AS n_rows, CAST(0 AS DOUBLE) AS total")
