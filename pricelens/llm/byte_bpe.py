@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import block_count, keyed_text, text_bytes
+from .common import block_count, keyed_text, lean, lean_pair, release, text_bytes
 from .exchange import cells, planes, unplanes
 from .textvec import ragged, spans
 
@@ -158,8 +158,11 @@ def _cut(pattern: str, parts: int, batch_bytes: int):
                 if own.held >= batch_bytes:
                     yield from flush()
                     batch, own = batch - 1, _Batch()
+                    release()
         if own.ids:
             yield from flush()
+        own = None
+        release()
     return run
 
 
@@ -262,5 +265,5 @@ def encode_decode(docs: DataFrame, vocab: Vocabulary, *, id_col: str = "doc_id",
     cut = base.mapInArrow(_cut(vocab.pattern, parts, batch_bytes), CUT)
     # both uses read one exchange by slot, so texts are cut once
     told = cut.groupBy("slot").applyInArrow(
-        _encode(vocab), "slot long, codes binary, counts binary, tokens binary")
-    return cut.groupBy("slot").cogroup(told.groupBy("slot")).applyInArrow(_assemble(vocab), OUT)
+        lean(_encode(vocab)), "slot long, codes binary, counts binary, tokens binary")
+    return cut.groupBy("slot").cogroup(told.groupBy("slot")).applyInArrow(lean_pair(_assemble(vocab)), OUT)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import zipfile
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sizing import materialize
 
-__all__ = ["materialize", "ship", "table", "keyed_text", "text_bytes", "block_count", "held_out"]
+__all__ = ["materialize", "ship", "release", "lean", "lean_pair", "table", "keyed_text", "text_bytes", "block_count", "held_out"]
 
 
 _SHIPPED: set[str] = set()
@@ -33,6 +34,45 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def release() -> None:
+    """Give this Python worker's freed memory back to the system.  Workers serve one
+    task after the other; what the allocators keep of a large group would add up
+    with what the next task needs."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim      # glibc; other systems have none
+    except (AttributeError, OSError):
+        return None
+
+
+_TRIM = _trim()
+
+
+def lean(of_group):
+    """A function of one group's table that releases memory behind itself."""
+    def run(table):
+        out = of_group(table)
+        release()
+        return out
+    return run
+
+
+def lean_pair(of_groups):
+    """``lean`` for a function of two cogrouped tables."""
+    def run(left, right):
+        out = of_groups(left, right)
+        release()
+        return out
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sizing import discard
-from .common import materialize
+from .common import lean, lean_pair, materialize
 from .components import components
 from .exchange import answers, block_of, cells, dealt, joined, steps, unsteps
 from .textvec import Words, find_words, mix, window_hashes, window_starts, word_hashes
@@ -159,10 +159,10 @@ def incidence(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT
     pass the row bound (once per batch among copies)."""
     batches, blocks = dealt(docs, id_col, text_col)
     asked = batches.groupBy("batch").applyInArrow(
-        _emit(shingle, blocks), "block int, batch int, res binary, cnt binary")
-    told = asked.groupBy("block").applyInArrow(_count, "block int, batch int, rarity binary")
+        lean(_emit(shingle, blocks)), "block int, batch int, res binary, cnt binary")
+    told = asked.groupBy("block").applyInArrow(lean(_count), "block int, batch int, rarity binary")
     return (batches.groupBy("batch").cogroup(told.groupBy("batch"))
-                   .applyInArrow(_select(shingle, blocks, percent), ROWS))
+                   .applyInArrow(lean_pair(_select(shingle, blocks, percent)), ROWS))
 
 
 def _overlap(percent: int):

@@ -28,7 +28,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lean, lean_pair, materialize
 from .exchange import answers, block_of, cells, dealt, joined, steps, unsteps
 from .textvec import find_words, joined_words, mix, window_hashes, window_starts, word_hashes
 
@@ -244,12 +244,12 @@ def repeated_words(docs: DataFrame, *, window: int = WINDOW, max_words: int | No
     while todo:
         done.append(todo.pop(0))
         if told is None:
-            asked = batches.groupBy("batch").applyInArrow(_emit(list(done), window, blocks), ASKED)
+            asked = batches.groupBy("batch").applyInArrow(lean(_emit(list(done), window, blocks)), ASKED)
         else:
             asked = (batches.groupBy("batch").cogroup(told.groupBy("batch"))
-                          .applyInArrow(_emit(list(done), window, blocks), ASKED))
+                          .applyInArrow(lean_pair(_emit(list(done), window, blocks)), ASKED))
         new = asked.groupBy("block").applyInArrow(
-            _answer(done[-1], window), "block int, batch int, level int, told binary, alive boolean")
+            lean(_answer(done[-1], window)), "block int, batch int, level int, told binary, alive boolean")
         longer = max_words is None or max_words >= 2 * done[-1]
         if done[-1] >= window and longer:
             new = materialize(new, "windows-told")
@@ -261,7 +261,7 @@ def repeated_words(docs: DataFrame, *, window: int = WINDOW, max_words: int | No
     if carry:
         out += f", row {batches.schema['row'].dataType.simpleString()}, text string"
     return (batches.groupBy("batch").cogroup(told.groupBy("batch"))
-                   .applyInArrow(_remove(done, window, blocks, carry), out))
+                   .applyInArrow(lean_pair(_remove(done, window, blocks, carry)), out))
 
 
 def remove_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_id",
