@@ -33,7 +33,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .byte_bpe import LONE_SPACE
 from .common import block_count, keyed_text, text_bytes
 from .exchange import cells
 from .textvec import mix, spans
@@ -43,7 +42,7 @@ SHARD_BYTES = 8 << 20           # text bytes
 BLOCK_IDS = 1 << 18
 INDEX_KEYS = 100_000
 GAMMA = 1.5
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 
 # --- encoding --------------------------------------------------------------------
@@ -64,11 +63,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.added = None
+        self.added: list[str] = []
         if added_tokens:
-            strings = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content]
-            if strings:
-                self.added = regex.compile("|".join(map(regex.escape, strings)))
+            self.added = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content]
         else:
             self.tok.encode_special_tokens = True     # their strings are ordinary text
         self.dtype = "<u4" if wide else "<u2"
@@ -102,6 +99,8 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of a space and a word (text up to the next space)."""
+        if not word or word[0].isspace():        # the space may lie inside a pre-token
+            raise _LoneSpace
         if word.isalpha():                       # one pre-token
             return self._piece(" " + word)
         mark = self.marks.get(word[-1:])
@@ -110,13 +109,18 @@ class WordEncoder:
         return self._chunk(" " + word)
 
     def __call__(self, text: str) -> bytes:
-        if not self.by_word or self.added is not None and self.added.search(text):
+        if not self.by_word or any(s in text for s in self.added):
             return np.array(self.tok.encode(text, add_special_tokens=False).ids,
                             self.dtype).tobytes() + self.end
-        if LONE_SPACE.search(text):
-            return b"".join(map(self._chunk, self.split(text))) + self.end
         first, *rest = text.split(" ")
-        return self._chunk(first) + b"".join(map(self.words.__getitem__, rest)) + self.end
+        try:                                     # such a word is never kept, so it is always noticed
+            return self._chunk(first) + b"".join(map(self.words.__getitem__, rest)) + self.end
+        except _LoneSpace:
+            return b"".join(map(self._chunk, self.split(text))) + self.end
+
+
+class _LoneSpace(Exception):
+    """A space before other white space or the end of the text."""
 
 
 class _Kept(dict):
