@@ -67,6 +67,14 @@ def test_language_learns_beyond_a_common_head(spark):
     assert all(r.langid.lang_pred == r.lang and not r.langid.rejected for r in got)
 
 
+def test_signs_that_are_no_letters_have_no_language():
+    import pyarrow as pa
+
+    model = langid.Model({"de": b"der die das und ist nicht", "en": b"the and of to in is not"})
+    told = langid._predictor(model, 0.0)(pa.array(["²", "½ Ⅷ", "①②③", "12_34", "a", "日本"]))
+    assert [x == "und" for x in told.field("lang_pred").to_pylist()] == [True] * 4 + [False] * 2
+
+
 def test_language_slices():
     raw = b" " + b" ".join(b"w%d" % i for i in range(5000)) + b" "
     got = langid.drawn(raw, 256, 7)
