@@ -85,7 +85,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out("doc_id", 5, 0)
     got = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~out)
-    return got.select("doc_id", out.alias("held_out"), "score", "predicted")
+    near = F.transform("evidence", lambda e: F.format_string("%d:%.4f:%d", e["doc_id"], e["cosine"], e["label"]))
+    return got.select("doc_id", out.alias("held_out"), "score", "predicted",
+                      F.array_join(near, " ").alias("nearest"))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,9 +263,13 @@ ordered AS (
          row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
   FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
 faults AS (
-  SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
-         regexp_matches(text, '[^ 	-]') AND again AS dup,
-         NOT again AND regexp_matches(text, '[^.!? 	-][ 	-]*\z') AS cut
+  SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+         regexp_matches(text, '[^ 	-
+]') AND again AS dup,
+         NOT again AND regexp_matches(text, '[^.!? 	-
+][ 	-
+]*\z') AS cut
   FROM ordered),
 rows AS (SELECT conv_id, i, role, text, blank OR dup AS gone, CASE WHEN cut THEN 5 ELSE 0 END AS extra FROM faults),
 counts AS (

@@ -1,30 +1,27 @@
 """Toxicity from the nearest labelled examples.
 
-1. *Terms.*  A term is the beginning of a word: its first 4 to 7 bytes
-   (lower-cased, letters only), or the whole word if it is shorter.  From the
-   labelled examples the terms most associated with the label (chi-square) are
-   chosen; they are the dimensions of the vector space.
-2. *Vectors.*  One pass over all texts counts the terms (an Aho-Corasick
-   automaton over the whole text).  Document frequencies over all documents
-   give idf; weights are (1 + ln tf) * idf, vectors have length one.  All other
-   words of a text that has a term are one more dimension (idf 1, as every
-   text has them), so one chance hit in a long text is far from many in a short.
-3. *Index.*  The examples' vectors form an inverted index in blocks of
-   neighbouring examples; each term has its greatest weight in each block.  A
-   text reads the block where the maxima allow the highest cosine, then every
-   block that they allow to reach its k-th neighbour there, so the k nearest by
-   cosine are exact.
-4. *Votes.*  Neighbours vote with their cosine; the votes shrink towards the
-   share of toxic examples among those without any term.  A text without a term
-   has no neighbour and gets that share.
-
-Bounds: ``sample`` labelled examples (smallest hash of the id) and ``terms``
-terms, whatever the size of the corpus; everything else covers all rows.
+1. *Vectors.*  The terms are the words of a text (lower-cased; ASCII other than
+   letters parts words), all of them.  Weights are (1 + ln tf) * idf * lean, vectors
+   have length one.  Document frequencies over all documents give idf.  A term that
+   no example has weighs as one that no document has: it lowers all cosines of its
+   text alike.  ``lean`` is ``BASE`` for a term that says nothing of the label and
+   grows with the root of its chi-square among the examples; no term is left out.
+2. *Index.*  The examples' vectors form an inverted index in blocks of
+   neighbouring examples; a term has one list for each block that holds it, and
+   that list's greatest weight.  A text reads the block where the maxima allow
+   the highest cosine, then every block that they allow to reach its k-th
+   neighbour there, so the k nearest by cosine are exact.
+3. *Votes.*  Neighbours vote with their cosine; the votes shrink towards the share
+   of toxic examples among those without a toxic-leaning term.  A text without a
+   neighbour (no word in common with any example) gets that share.
+
+Bounds: ``sample`` labelled examples (smallest hash of the id) of at most
+``example_bytes`` bytes each (larger labelled texts teach nothing), whatever the
+size of the corpus; everything else covers all rows and whole texts.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
@@ -34,185 +31,229 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-SAMPLE = 20_000
-TERMS = 256
-MIN_CHI2 = 30.0
-MIN_DOCS = 5
-PREFIXES = (4, 5, 6, 7)
+SAMPLE = 4096
+EXAMPLE_BYTES = 65536
+BASE = 0.03
+CHANCE = 15.0        # chi-square that chance gives some term of a large vocabulary
 K = 15
 SHRINK = 0.25
 BLOCK = 128
-QUERIES = 128
+FREQUENT = 0.125     # a term in a larger share of the examples has one dense list
 
 _SPACE = bytes.maketrans(bytes(x for x in range(128) if not chr(x).isalpha()),
                          b" " * sum(not chr(x).isalpha() for x in range(128)))
 
 
-def plain(text: str | None) -> bytes:
-    """Lower case, ASCII other than letters as spaces, a space at both ends."""
-    return b" " + (text or "").lower().encode("utf-8", "replace").translate(_SPACE) + b" "
+def words(text: str | None) -> Counter:
+    """Word -> occurrences of a whole text."""
+    return Counter((text or "").lower().encode("utf-8", "replace").translate(_SPACE).split())
 
 
-def word_starts(text: str | None) -> set[bytes]:
-    out = set()
-    for w in set(plain(text).split()):
-        out.update(b" " + w[:n] for n in PREFIXES)
-    return out
+# --- 1: vectors ------------------------------------------------------------------------
 
-
-# --- 1: terms ------------------------------------------------------------------------
-
-def _term_counts(batches):
-    counts = [Counter(), Counter()]
+def _example_terms(batches):
     for b in batches:
-        for text, y in zip(b.column("text"), b.column("label").to_pylist()):
-            counts[y].update(word_starts(text.as_py()))
-    terms = list(counts[0].keys() | counts[1].keys())
-    for lo in range(0, len(terms), 10_000):
-        part = terms[lo:lo + 10_000]
+        got = [words(t.as_py()) for t in b.column("text")]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.binary()), pa.array([counts[0][t] for t in part], pa.int64()),
-             pa.array([counts[1][t] for t in part], pa.int64())], names=["term", "n0", "n1"])
-
-
-def choose_terms(examples: DataFrame, terms: int = TERMS) -> list[bytes]:
-    """The terms of highest chi-square among those more frequent in toxic
-    examples (text, label), ties by the term."""
-    sizes = {r["label"]: r["n"] for r in examples.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    neg, pos = sizes.get(0, 0), sizes.get(1, 0)
-    if not neg or not pos:
-        return []
-    got = (examples.select("text", "label").mapInArrow(_term_counts, "term binary, n0 long, n1 long")
-                   .groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-    a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
-    chi2 = ((neg + pos) * (a * (neg - b) - b * (pos - a)) ** 2
-            / ((a + b) * (neg + pos - a - b) * float(pos) * float(neg)))
-    best = (got.filter((F.col("n0") + F.col("n1") >= MIN_DOCS) & (F.col("n0") + F.col("n1") < neg + pos))
-               .filter(a / pos > b / neg).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
-               .orderBy(F.desc("chi2"), "term").limit(terms).collect())
-    return sorted(bytes(r["term"]) for r in best)
-
-
-# --- 2: vectors ------------------------------------------------------------------------
-
-def _count(terms: list[bytes]):
-    """Counts of the terms in each text; under the number after the last term
-    all words of a text that has one."""
-    def run(batches):
-        import ahocorasick
+            [b.column("key"), b.column("label"), pa.array([list(g) for g in got], pa.list_(pa.binary())),
+             pa.array([list(g.values()) for g in got], pa.list_(pa.int32()))],
+            names=["key", "label", "terms", "tf"])
+
 
-        auto = ahocorasick.Automaton()
-        for i, t in enumerate(terms):
-            auto.add_word(t.decode("latin-1"), i)
-        if terms:
-            auto.make_automaton()
+def _frequencies(vocabulary: list[bytes]):
+    """(term, documents that have it) of a partition; term -1 counts documents."""
+    def run(batches):
+        number = {t: i for i, t in enumerate(vocabulary)}
+        seen, rows = np.zeros(len(vocabulary), np.int64), 0
         for b in batches:
-            at, tf = [], []
             for text in b.column("text"):
-                raw = plain(text.as_py()).decode("latin-1")
-                got = Counter(i for _, i in auto.iter(raw)) if terms else Counter()
-                if got:
-                    got[len(terms)] = len(raw.split())
-                keys = sorted(got)
-                at.append(keys)
-                tf.append([got[k] for k in keys])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(at, pa.list_(pa.int32())), pa.array(tf, pa.list_(pa.int32()))],
-                names=["doc_id", "at", "tf"])
+                rows += 1
+                at = [number[w] for w in words(text.as_py()) if w in number]
+                seen[at] += 1
+        at = np.flatnonzero(seen)
+        for lo in range(0, len(at), 10_000):
+            part = at[lo:lo + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(seen[part])],
+                                             names=["term", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([rows], pa.int64())],
+                                         names=["term", "n"])
     return run
 
 
-# --- 3, 4: block-max index and votes --------------------------------------------------------
+def chi_square(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
+    """Of each term held by ``pos`` toxic and ``neg`` other examples; 0 for terms
+    that lean to the others."""
+    total, held = n_pos + n_neg, pos + neg
+    below = held * (total - held) * float(n_pos) * float(n_neg)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        got = total * (pos * (n_neg - neg) - neg * (n_pos - pos)) ** 2 / below
+    return np.where((below > 0) & (pos * n_neg > neg * n_pos), got, 0.0)
+
+
+# --- 2, 3: block-max index and votes --------------------------------------------------------
+
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of every range, one range after the other."""
+    first = np.cumsum(length) - length
+    return np.repeat(start - first, length) + np.arange(int(length.sum()))
+
 
 class Index:
-    """Examples with at least one term, in blocks, and their maxima."""
-
-    def __init__(self, idf: np.ndarray, rows: list[tuple], labels_without: tuple[int, int]):
-        """rows: (doc_id, label, at, tf); labels_without: (toxic, all) of the rest."""
-        self.idf = idf
-        ordered = sorted(rows, key=lambda r: (-max(idf[i] * t for i, t in zip(r[2], r[3])), r[2], r[0]))
-        self.ids = np.array([r[0] for r in ordered], dtype=np.int64)
-        self.label = np.array([r[1] for r in ordered], dtype=np.float64)
-        self.matrix = np.zeros((len(ordered), len(idf)))
-        for n, r in enumerate(ordered):
-            self.matrix[n] = self.vector(r[2], r[3])
-        blocks = -(-len(ordered) // BLOCK)
-        self.most = np.array([self.matrix[b * BLOCK:(b + 1) * BLOCK].max(axis=0) for b in range(blocks)]
-                             ).reshape(blocks, len(idf))
-        # the lists of each block: weights of its examples by term (0 beyond the last)
-        self.lists = np.zeros((blocks, len(idf), BLOCK))
-        for b in range(blocks):
-            part = self.matrix[b * BLOCK:(b + 1) * BLOCK]
-            self.lists[b, :, :len(part)] = part.T
+    """Examples with at least one term, in blocks, with the terms' lists and maxima."""
+
+    def __init__(self, weight: np.ndarray, rows: list[tuple], labels_without: tuple[int, int],
+                 unknown: float = 0.0):
+        """weight: of each term; rows: (doc_id, label, at, tf); labels_without:
+        (toxic, all) of the examples that the prior counts; unknown: weight of a
+        term without a number."""
+        self.weight, self.unknown = weight, unknown
+        vectors = [self.entries(r[2], r[3]) for r in rows]
+        # neighbours in a block share their heaviest term
+        heads = [(int(at[np.argmax(w)]), -float(w.max()), int(r[0])) for r, (at, w) in zip(rows, vectors)]
+        order = sorted(range(len(rows)), key=heads.__getitem__)
+        self.ids = np.array([rows[i][0] for i in order], dtype=np.int64)
+        self.label = np.array([rows[i][1] for i in order], dtype=np.float64)
+        self.n, terms = len(order), len(weight)
+        self.blocks = -(-self.n // BLOCK)
+        none = [np.zeros(0)]
+        term = np.concatenate([vectors[i][0] for i in order] or none).astype(np.int64)
+        value = np.concatenate([vectors[i][1] for i in order] or none)
+        row = np.repeat(np.arange(self.n), [len(vectors[i][0]) for i in order])
+        by_term = np.argsort(term, kind="stable")            # then by row, so by block
+        self.row, self.value, term = row[by_term].astype(np.int32), value[by_term], term[by_term]
+        # a list: the postings of one term in one block
+        name = term * max(self.blocks, 1) + self.row // BLOCK
+        self.begin = np.flatnonzero(np.diff(name, prepend=-1))
+        self.size = np.diff(self.begin, append=len(name))
+        self.block = (self.row[self.begin] // BLOCK).astype(np.int32)
+        self.most = np.maximum.reduceat(self.value, self.begin) if len(name) else np.zeros(0)
+        at = np.searchsorted(term[self.begin], np.arange(terms + 1))
+        self.list_at, self.lists = at[:-1], np.diff(at)
+        # frequent terms: their lists side by side, 0 where an example lacks the term
+        count = np.bincount(term, minlength=terms)
+        frequent = np.flatnonzero(count > FREQUENT * self.n)
+        self.place = np.full(terms, -1)
+        self.place[frequent] = np.arange(len(frequent))
+        dense = self.place[term]
+        self.dense = np.zeros((len(frequent), self.blocks * BLOCK))
+        self.dense[dense[dense >= 0], self.row[dense >= 0]] = self.value[dense >= 0]
+        self.dense_most = self.dense.reshape(len(frequent), self.blocks, BLOCK).max(axis=2)
         toxic, total = labels_without
         self.prior = (toxic + 0.5) / (total + 1.0) if total else (
             float((self.label.sum() + 0.5) / (len(self.label) + 1.0)))
 
+    def entries(self, at, tf, other: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of length one; ``other``: sum of (1 + ln tf) squared
+        over the words without a number."""
+        at = np.asarray(at, dtype=np.int64)
+        w = (1 + np.log(np.asarray(tf, dtype=np.float64))) * self.weight[at]
+        norm = np.sqrt((w * w).sum() + other * self.unknown ** 2)
+        return at, w / norm if norm > 0 else w
+
     def vector(self, at, tf) -> np.ndarray:
-        v = np.zeros(len(self.idf))
-        if len(at):
-            v[at] = (1 + np.log(np.asarray(tf, dtype=np.float64))) * self.idf[at]
-            norm = np.sqrt((v * v).sum())
-            if norm > 0:
-                v /= norm
+        v = np.zeros(len(self.weight))
+        at, w = self.entries(at, tf)
+        v[at] = w
         return v
 
+    def _one(self, at, w, k: int) -> tuple[np.ndarray, np.ndarray]:
+        place = self.place[at]
+        common, rare = place >= 0, place < 0
+        lists = _ranges(self.list_at[at[rare]], self.lists[at[rare]])
+        weight, block = np.repeat(w[rare], self.lists[at[rare]]), self.block[lists]
+        place, common = place[common], w[common]
+        bound = (np.bincount(block, weights=weight * self.most[lists], minlength=self.blocks)
+                 + common @ self.dense_most[place])
+
+        def score(wanted: np.ndarray) -> np.ndarray:
+            """Cosines of all examples of the wanted blocks, by block."""
+            use = wanted[block]
+            own, size = lists[use], self.size[lists[use]]
+            post = _ranges(self.begin[own], size)
+            got = np.bincount(self.row[post], weights=np.repeat(weight[use], size) * self.value[post],
+                              minlength=self.blocks * BLOCK)
+            return got + common @ self.dense[place]
+
+        floor = 0.0
+        if k <= BLOCK:
+            best = np.zeros(self.blocks, bool)
+            best[int(bound.argmax())] = True
+            lo = int(bound.argmax()) * BLOCK
+            floor = np.partition(score(best)[lo:lo + BLOCK], -k)[-k]
+        # a block that could only tie may hold a smaller id
+        wanted = (bound > 0) & (bound >= floor - 1e-9)
+        got = score(wanted)
+        hit = np.flatnonzero((got > max(1e-12, floor - 1e-9)) & np.repeat(wanted, BLOCK))
+        cosine = got[hit]
+        if len(hit) > k:
+            keep = cosine >= np.partition(cosine, -k)[-k] - 1e-9
+            cosine, hit = cosine[keep], hit[keep]
+        order = np.lexsort((self.ids[hit], -np.round(cosine, 12)))[:k]
+        return hit[order], cosine[order]
+
     def nearest(self, queries: list[tuple], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each (at, tf) the (examples, cosines) of the k nearest with a positive
-        cosine, by falling cosine, ties by the example's id; exact.
-
-        Every query first reads the block of its highest bound, which gives a
-        floor for its k-th cosine; then it reads the lists of its terms in each
-        block whose bound reaches the floor.
-        """
-        q = np.array([self.vector(at, tf) for at, tf in queries]).reshape(len(queries), len(self.idf))
-        bound = q @ self.most.T
-        first, out = bound.argmax(axis=1), []
-        for (at, _), v, most, b0 in zip(queries, q, bound, first.tolist()):
-            used = np.asarray(at)
-            floor = 0.0
-            if k <= BLOCK:
-                floor = np.partition(v[used] @ self.lists[b0, used], -k)[-k]
-            # a block that could only tie may hold a smaller id
-            blocks = np.flatnonzero((most > 0) & (most >= floor - 1e-9))
-            score = np.tensordot(v[used], self.lists[np.ix_(blocks, used)], axes=(0, 1))
-            b, x = np.nonzero(score > max(1e-12, floor - 1e-9))
-            row, hit = score[b, x], blocks[b] * BLOCK + x
-            if len(hit) > k:
-                keep = row >= np.partition(row, -k)[-k] - 1e-9
-                row, hit = row[keep], hit[keep]
-            order = np.lexsort((self.ids[hit], -np.round(row, 12)))[:k]
-            out.append((hit[order], row[order]))
-        return out
+        """For each (at, tf[, other]) the (examples, cosines) of the k nearest with a
+        positive cosine, by falling cosine, ties by the example's id; exact."""
+        if not self.n:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        return [self._one(*self.entries(*q), k) for q in queries]
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         return float((self.prior * SHRINK + (cosine * self.label[best]).sum()) / (SHRINK + cosine.sum()))
 
 
+def build(examples: pa.Table, df: np.ndarray, n_docs: int, number: np.ndarray) -> Index:
+    """The index of (key, label, terms, tf) examples; ``number``: of each example's
+    terms, one after the other; ``df``: documents that have a term."""
+    label = np.array(examples.column("label").to_pylist(), dtype=np.int64)
+    sizes = np.array([len(x) for x in examples.column("tf").to_pylist()], dtype=np.int64)
+    tf = (np.concatenate([np.asarray(x, np.int64) for x in examples.column("tf").to_pylist() if x])
+          if len(number) else np.zeros(0, np.int64))
+    toxic = np.repeat(label, sizes) > 0
+    chi = chi_square(np.bincount(number[toxic], minlength=len(df)).astype(float),
+                     np.bincount(number[~toxic], minlength=len(df)).astype(float),
+                     int(label.sum()), int((label == 0).sum()))
+    lean = np.sqrt(np.maximum(chi - CHANCE, 0) / max(len(label), 1))
+    weight = (np.log((1 + n_docs) / (1 + df)) + 1) * (BASE + lean)
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    keys, rows, rest = examples.column("key").to_pylist(), [], [0, 0]
+    for i, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])):
+        if hi > lo:
+            rows.append((keys[i], int(label[i]), number[lo:hi], tf[lo:hi]))
+        if not (lean[number[lo:hi]] > 0).any():
+            rest[0] += int(label[i])
+            rest[1] += 1
+    return Index(weight, rows, (rest[0], rest[1]), (np.log(1 + n_docs) + 1) * BASE)
+
+
 _SCORED = ("doc_id long, score double, predicted int, "
            "evidence array<struct<doc_id:long,cosine:double,label:int>>")
 
 
-def _score(index_bytes: bytes, k: int, evidence: int):
-    own: dict = {}
+def _score(vocabulary: list[bytes], index: Index, k: int, evidence: int):
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def run(batches):
-        import pickle
-
-        if "i" not in own:
-            own["i"] = Index(*pickle.loads(index_bytes))
-        index = own["i"]
+        number = {t: i for i, t in enumerate(vocabulary)}
         for b in batches:
-            at, tf = b.column("at").to_pylist(), b.column("tf").to_pylist()
-            scores, shown = [index.prior] * len(at), [[] for _ in at]
-            some = [i for i, x in enumerate(at) if x] if len(index.ids) else []
-            for lo in range(0, len(some), QUERIES):
-                part = some[lo:lo + QUERIES]
-                for i, (best, cosine) in zip(part, index.nearest([(at[i], tf[i]) for i in part], k)):
-                    scores[i] = index.vote(best, cosine)
-                    shown[i] = [{"doc_id": int(index.ids[e]), "cosine": float(c), "label": int(index.label[e])}
-                                for e, c in zip(best[:evidence].tolist(), cosine.tolist())]
+            scores, shown = [], []
+            for text in b.column("text"):                # one text at a time
+                at, tf, other = [], [], 0.0
+                for w, n in words(text.as_py()).items():
+                    i = number.get(w)
+                    if i is None:
+                        other += (1 + np.log(n)) ** 2 if n > 1 else 1.0
+                    else:
+                        at.append(i)
+                        tf.append(n)
+                if not at:
+                    scores.append(index.prior)
+                    shown.append([])
+                    continue
+                best, cosine = index.nearest([(at, tf, other)], k)[0]
+                scores.append(index.vote(best, cosine))
+                shown.append([{"doc_id": int(index.ids[e]), "cosine": float(c), "label": int(index.label[e])}
+                              for e, c in zip(best[:evidence].tolist(), cosine.tolist())])
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(scores, pa.float64()),
                  pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(shown, kind)],
@@ -222,19 +263,18 @@ def _score(index_bytes: bytes, k: int, evidence: int):
 
 def toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, *,
              id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-             sample: int = SAMPLE, terms: int = TERMS, k: int = K, evidence: int = 3) -> DataFrame:
+             sample: int = SAMPLE, example_bytes: int = EXAMPLE_BYTES, k: int = K,
+             evidence: int = 3) -> DataFrame:
     """One row per document: (doc_id, score double in 0..1, predicted int,
     evidence array<struct<doc_id, cosine, label>>: its nearest examples).
 
     Examples are the labelled documents that ``learn_from`` (a condition on the
     label rows) admits; NULL ids and labels teach nothing, of label rows that
     repeat an id the larger label counts, and of document rows that repeat it
-    one vector.  NULL, empty and letterless texts, and texts without a term, have
-    no neighbour and score the share of toxic examples among such; without any
+    the least text.  NULL, empty and letterless texts, and texts without a word in
+    common with an example, have no neighbour and score the prior; without any
     example every text scores 0.5 and predicts 1.
     """
-    import pickle
-
     own = labels.filter(learn_from) if learn_from is not None else labels
     own = (own.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
               .groupBy(F.col(id_col).cast("long").alias("key"))
@@ -242,20 +282,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column | None = Non
     # at most ``sample`` rows
     chosen = F.broadcast(materialize(own.orderBy(F.xxhash64("key"), "key").limit(sample), "toxic-sample"))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    examples = base.join(chosen, base["doc_id"] == chosen["key"])
-    words = choose_terms(examples, terms)
-    vectors = materialize(base.mapInArrow(_count(words), "doc_id long, at array<int>, tf array<int>"),
-                          "toxic-vectors")
-    n = vectors.count()
-    df = {r["i"]: r["n"] for r in vectors.select(F.explode("at").alias("i")).groupBy("i")
-          .agg(F.count(F.lit(1)).alias("n")).collect()}           # a row per term
-    idf = np.array([np.log((1 + n) / (1 + df.get(i, 0))) + 1.0 for i in range(len(words))] + [1.0])
-    known = vectors.join(chosen, vectors["doc_id"] == chosen["key"]).groupBy("key").agg(
-        F.min(F.struct("at", "tf", "label")).alias("v"))
-    rows = [(r["key"], r["v"]["label"], r["v"]["at"], r["v"]["tf"])
-            for r in known.filter(F.size("v.at") > 0).collect()]   # at most ``sample`` rows
-    rest = known.filter(F.size("v.at") == 0).agg(F.sum("v.label"), F.count(F.lit(1))).first()
-    index = pickle.dumps((idf, rows, (int(rest[0] or 0), int(rest[1]))))
-    # few bytes but much work: dealt to all tasks
-    dealt = vectors.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return dealt.mapInArrow(_score(index, k, evidence), _SCORED)
+    small = F.coalesce(F.octet_length("text"), F.lit(0)) <= example_bytes
+    examples = (base.filter(small).join(chosen, base["doc_id"] == chosen["key"])
+                    .groupBy("key", "label").agg(F.min("text").alias("text"))
+                    .mapInArrow(_example_terms, "key long, label int, terms array<binary>, tf array<int>")
+                    .toArrow().sort_by("key"))
+    terms = examples.column("terms").combine_chunks().flatten().dictionary_encode()
+    if isinstance(terms, pa.ChunkedArray):
+        terms = terms.combine_chunks()
+    vocabulary = terms.dictionary.to_pylist()
+    number = terms.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    got = (base.select("text").mapInArrow(_frequencies(vocabulary), "term int, n long")
+               .groupBy("term").agg(F.sum("n").alias("n")).toArrow())      # a row per term of the examples
+    df = np.zeros(len(vocabulary) + 1)
+    df[got.column("term").to_numpy()] = got.column("n").to_numpy()
+    index = build(examples, df[:-1], int(df[-1]), number)
+    return base.mapInArrow(_score(vocabulary, index, k, evidence), _SCORED)

@@ -223,6 +223,84 @@ def test_toxicity_edges(spark, make):
     assert toxicity.toxicity(make([]), labels).count() == 0
 
 
+def plain_toxicity(docs, labels, learn, k=toxicity.K):
+    """All cosines of all texts, term by term: (doc_id, score, nearest examples)."""
+    def bag(text):
+        raw = (text or "").lower()
+        out = {}
+        for w in "".join(c if ord(c) > 127 or c.isalpha() else " " for c in raw).split():
+            out[w] = out.get(w, 0) + 1
+        return out
+    bags = [(i, bag(t)) for i, t in docs]
+    df = {}
+    for _, b in bags:
+        for w in b:
+            df[w] = df.get(w, 0) + 1
+    label = {}
+    for i, y in labels:
+        if learn(i):
+            label[i] = max(label.get(i, 0), y)
+    examples = {i: b for i, b in bags if i in label}
+    pos = sum(label[i] for i in examples)
+    neg = len(examples) - pos
+    known = {w for b in examples.values() for w in b}
+    lean = {}
+    for w in known:
+        a = sum(label[i] for i, b in examples.items() if w in b)
+        b_ = sum(w in b for b in examples.values()) - a
+        c, d = pos - a, neg - b_
+        chi = 0.0
+        if a * neg > b_ * pos and (a + b_) * (c + d) * pos * neg:
+            chi = (pos + neg) * (a * d - b_ * c) ** 2 / ((a + b_) * (c + d) * pos * neg)
+        lean[w] = math.sqrt(max(chi - toxicity.CHANCE, 0) / len(examples))
+
+    def vector(b):
+        v = {w: (1 + math.log(n)) * (math.log((1 + len(docs)) / (1 + (df[w] if w in known else 0))) + 1)
+             * (toxicity.BASE + lean.get(w, 0)) for w, n in b.items()}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
+        return {w: x / norm for w, x in v.items()}
+    rest = [label[i] for i, b in examples.items() if not any(lean[w] > 0 for w in b)]
+    prior = (sum(rest) + 0.5) / (len(rest) + 1.0)
+    rows = {i: vector(b) for i, b in examples.items()}
+    out = []
+    for i, b in bags:
+        v = vector(b)
+        near = sorted((-round(sum(x * e[w] for w, x in v.items() if w in e), 12), j) for j, e in rows.items())
+        near = [(-c, j) for c, j in near[:k] if -c > 1e-12]
+        score = (prior * toxicity.SHRINK + sum(c * label[j] for c, j in near)) / (
+            toxicity.SHRINK + sum(c for c, _ in near))
+        out.append((i, score, [j for _, j in near[:3]]))
+    return out
+
+
+def test_toxicity_is_a_full_cosine_scan(spark):
+    """Scores and evidence of the whole query against all cosines of all texts."""
+    def learn(i):
+        return zlib.crc32(str(i).encode()) % 5 != 0
+    docs = [(r.doc_id, r.text) for r in table(spark, SF, "documents").select("doc_id", "text").collect()]
+    labels = [(r.doc_id, r.toxic) for r in table(spark, SF, "labels").collect()]
+    docs, ids = docs[:400], {i for i, _ in docs[:400]}
+    labels = [x for x in labels if x[0] in ids]
+    assert 0 < sum(y for i, y in labels if learn(i)) < len(labels)
+    got = toxicity.toxicity(spark.createDataFrame(docs, "doc_id long, text string"),
+                            spark.createDataFrame(labels, "doc_id long, toxic int"),
+                            ~held_out("doc_id", 5, 0)).collect()
+    want = {i: (s, near) for i, s, near in plain_toxicity(docs, labels, learn)}
+    assert len(got) == len(docs)
+    for r in got:
+        assert abs(r.score - want[r.doc_id][0]) < 1e-9
+        assert [e.doc_id for e in r.evidence] == want[r.doc_id][1]
+
+
+def test_toxicity_bounds_its_examples(make):
+    """A labelled text beyond the byte bound teaches nothing but is scored whole."""
+    docs = make([(1, "bad bad words"), (2, "fine words"), (3, "x " * 500 + "bad")])
+    labels = docs.sparkSession.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels, example_bytes=100).collect()}
+    assert {e.doc_id for r in got.values() for e in r.evidence} == {1, 2}
+    assert [e.doc_id for e in got[3].evidence] == [1]
+
+
 # --- top-k search ------------------------------------------------------------------------
 
 def plain_topk(rows, k, scale=64):
