@@ -12,6 +12,9 @@ word is cut by the vocabulary's own tokenizer, and a piece's probability is its
 add-one share of all pieces.  A word that training has seen has one more path,
 the whole word, with its share of the training tokens; the weight of that path
 against the pieces is the Good-Turing estimate 1 - n1 / N (n1: words seen once).
+A word begins with a marked piece and goes on until the next mark or the end.  With
+the end's share among tokens fixed, the pieces are scaled so that all words (byte
+strings, those with blanks and the empty one included) and the end sum to 1.
 
 Shape of the job: batches of texts keep their words as codes into the batch's
 distinct words; the distinct words of all batches meet by hash, where training
@@ -154,6 +157,17 @@ class Pieces:
                 self.bytes.append(raw)
 
 
+def with_end(pieces: list[bytes], p: np.ndarray, end: float) -> np.ndarray:
+    """Log probabilities of pieces (shares ``p``, sum 1), scaled so that the words
+    they make sum to 1 - ``end``.
+
+    With the marked pieces' mass a and the others' mass b, words sum to a / (1 - b);
+    scaled by 1 - e both, that is 1 - end for e = end * a / (1 - end + end * a).
+    """
+    a = float(p[[x.startswith(_MARK) for x in pieces]].sum())
+    return np.log(p) + math.log1p(-end * a / (1 - end + end * a))
+
+
 # --- words of the corpus --------------------------------------------------------------
 
 CUT = "batch long, part int, ids array<long>, nums binary, body binary"
@@ -291,7 +305,7 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known",
                   ("base_score", pa.float64()), ("score", pa.float64()), ("lattice_score", pa.float64())])
 
 
-def _score(n_tokens: int, n_types: int, n_ends: int, weight: float):
+def _score(n_tokens: int, n_types: int, n_ends: int, weight: float, end_share: float):
     def mixed(count, marginal):
         """log10 of the whole-word path and the pieces together."""
         with np.errstate(divide="ignore"):
@@ -318,7 +332,7 @@ def _score(n_tokens: int, n_types: int, n_ends: int, weight: float):
         denominator = n_tokens + n_types + 1
         base = np.log10((count + 1) / denominator)
         end_base = math.log10((n_ends + 1) / denominator)
-        end = float(mixed(np.float64(n_ends), end_base * math.log(10)))
+        end = float(mixed(np.float64(n_ends), math.log(end_share)))
 
         def add(per_word, at_end):
             return np.bincount(doc, weights=per_word[seq], minlength=n) + at_end
@@ -327,7 +341,7 @@ def _score(n_tokens: int, n_types: int, n_ends: int, weight: float):
         return pa.table([own.column("ids")[0].values, pa.array(np.diff(bounds) + 1, pa.int64()),
                          pa.array(known, pa.int64()), pa.array(add(base, end_base)),
                          pa.array(add(mixed(count.astype(float), marginal), end)),
-                         pa.array(add(marginal / math.log(10), end_base))], schema=_OUT)
+                         pa.array(add(marginal / math.log(10), math.log10(end_share)))], schema=_OUT)
     return run
 
 
@@ -360,13 +374,15 @@ def scores(docs: DataFrame, vocabulary: str, learn_from: Column | None = None, *
     n_types = n.get(_WORDS, 0) + (n_ends > 0)
     weight = min(max(1 - once / n_tokens, 0.01), 0.99) if n_tokens else 0.0
     count = np.array([n.get(i, 0) + 1 for i in pieces.ids], dtype=np.float64)
-    logp = np.log(count / count.sum())
+    # one share more than the base's, so words keep some mass without training
+    end_share = (n_ends + 1) / (n_tokens + n_types + 2)
+    logp = with_end(pieces.bytes, count / count.sum(), end_share)
     cut = base.mapInArrow(_cut(parts, batch_bytes, True), CUT)
     asked = cut.groupBy("batch").applyInArrow(_ask, "batch long, part int, nums binary, body binary")
     told = asked.groupBy("part").applyInArrow(
         _answer(pieces, logp), "batch long, part int, counts binary, probs binary")
     out = (cut.groupBy("batch").cogroup(told.groupBy("batch"))
-              .applyInArrow(_score(n_tokens, n_types, n_ends, weight), OUT))
+              .applyInArrow(_score(n_tokens, n_types, n_ends, weight, end_share), OUT))
     return out.withColumn("train_tokens", F.lit(n_tokens).cast("long"))
 
 

@@ -158,10 +158,10 @@ def test_scores_are_probabilities(make):
     pieces = lattice_lm.Pieces(P.path("piece_bpe_32k.model"))
     ids = [i for w in ("aa", "bb", "cc") for i in pieces.sp.encode(w)]
     c = np.array([ids.count(i) + 1 for i in pieces.ids], float)
-    lattice = lattice_lm.Lattice(pieces.bytes, np.log(c / c.sum()))
+    share = (ends + 1) / (n + 4 + 2)
+    lattice = lattice_lm.Lattice(pieces.bytes, lattice_lm.with_end(pieces.bytes, c / c.sum(), share))
     m = dict(zip(("aa", "bb", "cc"), np.exp(lattice.log_marginals([b"\xffaa", b"\xffbb", b"\xffcc"]))))
-    base_end = (ends + 1) / (n + 4 + 1)
-    end = weight * ends / n + (1 - weight) * base_end
+    end = weight * ends / n + (1 - weight) * share
 
     def p(word, k):
         return weight * k / n + (1 - weight) * m[word]
@@ -172,6 +172,20 @@ def test_scores_are_probabilities(make):
     assert lattice_lm.scores(make([]), P.path("piece_bpe_32k.model")).count() == 0
 
 
+@pytest.mark.parametrize("end", [0.02, 0.3, 0.9])
+def test_words_and_end_sum_to_one(end):
+    """All words of a tiny vocabulary, enumerated, and the end."""
+    pieces = [b"\xffa", b"\xffb", b"\xffab", b"a", b"b", b"bb"]
+    p = np.array([0.3, 0.25, 0.2, 0.1, 0.1, 0.05])
+    lattice = lattice_lm.Lattice(pieces, lattice_lm.with_end(pieces, p, end))
+    strings = [b""]
+    mass = 0.0
+    for _ in range(13):
+        strings = [s + c for s in strings for c in (b"a", b"b")]
+        mass += float(np.exp(lattice.log_marginals([b"\xff" + s for s in strings])).sum())
+    assert abs(mass + end - 1) < 1e-4
+
+
 # --- toxicity ---------------------------------------------------------------------------
 
 def test_nearest_examples_are_exact():
