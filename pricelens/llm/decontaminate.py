@@ -135,29 +135,23 @@ def occurrences(docs: DataFrame, items: DataFrame, *, window: int = WINDOW,
 
 def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW,
                   id_col: str = "doc_id", text_col: str = "text", share: int = 20,
-                  by_row: bool = False, **kw) -> DataFrame:
+                  **kw) -> DataFrame:
     """One row per document: (doc_id, n_words long, n_hit long, n_items long,
     items array<string> sorted, contaminated boolean).
 
     A word is hit if an occurring window covers it; a document is contaminated
     if ``share * n_hit >= n_words`` and a word is hit.  Documents with NULL or
-    wordless texts have zero counts.  Rows that repeat an id share the union of
-    its hits, as in the query's SQL; with ``by_row`` each has its own.  Rows with
-    a NULL id always have their own.
+    wordless texts have zero counts.  Rows that repeat an id or have none count
+    each by itself.
     """
-    got = _counted(docs, items, window, id_col, text_col, share, by_row, **kw)
-    return got.drop("key")
+    return _counted(docs, items, window, id_col, text_col, share, **kw).drop("key")
 
 
-def _key(doc_id: str, md5: Column, by_row: bool) -> Column:
-    return md5 if by_row else F.when(F.col(doc_id).isNull(), md5).otherwise(F.lit(""))
-
-
-def _counted(docs, items, window, id_col, text_col, share, by_row, **kw) -> DataFrame:
+def _counted(docs, items, window, id_col, text_col, share, **kw) -> DataFrame:
     """The columns of ``contamination`` and ``key``, which tells rows of an id apart."""
     occ = materialize(occurrences(docs, items, window=window, id_col=id_col,
                                   text_col=text_col, **kw), "bench-hits")
-    occ = occ.withColumn("key", _key("doc_id", F.col("ws_md5"), by_row))
+    occ = occ.withColumnRenamed("ws_md5", "key")
     spans = occ.groupBy("doc_id", "key", "start").agg(F.max("n_win").alias("n_win"))
     end = F.col("start") + F.col("n_win")
     by_doc = Window.partitionBy("doc_id", "key").orderBy("start")
@@ -172,7 +166,7 @@ def _counted(docs, items, window, id_col, text_col, share, by_row, **kw) -> Data
         n_hit["doc_id"].alias("hit_id"), n_hit["key"].alias("hit_key"), "n_hit", "items")
     base = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("ws"))
     base = base.select("doc_id", F.size("ws").cast("long").alias("n_words"),
-                       _key("doc_id", digest_of(F.col("ws")), by_row).alias("key"))
+                       digest_of(F.col("ws")).alias("key"))
     none = F.array().cast(T.ArrayType(T.StringType()))
     joined = base.join(hits, base["doc_id"].eqNullSafe(hits["hit_id"])
                        & (base["key"] == hits["hit_key"]), "left")
@@ -189,7 +183,7 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, *, window: int = WIND
     """The rows of ``docs`` that are not contaminated, all columns unchanged.
     Every row counts by itself, whatever its id.  Only ids and digests of
     contaminated rows are joined back."""
-    bad = (_counted(docs, items, window, id_col, text_col, share, True, **kw).filter("contaminated")
+    bad = (_counted(docs, items, window, id_col, text_col, share, **kw).filter("contaminated")
            .select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_md5")).distinct())
     return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"])
                      & (digest_of(words_of(docs[text_col])) == bad["bad_md5"]), "left_anti")

@@ -137,7 +137,7 @@ QUERIES = {q.__name__: _shipped(q) for q in (
 
 OP6_SQL = r"""
 WITH w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
   FROM documents),
 items AS (
@@ -151,20 +151,20 @@ wins AS (
         FROM items WHERE len(ws) > 0)),
 lens AS (SELECT DISTINCT k FROM wins),
 dwin AS (
-  SELECT doc_id, k, i, ws[i:i + k - 1] AS win
-  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+  SELECT r, k, i, ws[i:i + k - 1] AS win
+  FROM (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
         FROM w, lens WHERE len(ws) >= k)),
-occ AS (SELECT d.doc_id, d.i, d.k, x.item_id FROM dwin d JOIN wins x ON d.win = x.win AND d.k = x.k),
-hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
-        FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM occ) GROUP BY doc_id),
-its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
-        FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY doc_id)
+occ AS (SELECT d.r, d.i, d.k, x.item_id FROM dwin d JOIN wins x ON d.win = x.win AND d.k = x.k),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit
+        FROM (SELECT r, unnest(range(i, i + k)) AS p FROM occ) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+        FROM (SELECT DISTINCT r, item_id FROM occ) GROUP BY r)
 SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words,
        CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w.ws) AS contaminated
-FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+FROM w LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
 
 OP7_SQL = r"""

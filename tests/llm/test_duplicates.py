@@ -132,7 +132,7 @@ def test_rows_are_decontaminated_alone(make, spark):
     got = decontaminate.contamination(make(rows), bench)
     assert {r.text_len: r.n_hit for r in got.filter("doc_id IS NULL").selectExpr("n_words AS text_len", "n_hit").collect()} == {
         20: 20, 100: 0, 101: 0, 0: 0}
-    own = decontaminate.contamination(make(rows), bench, by_row=True).filter("doc_id = 7").collect()
+    own = decontaminate.contamination(make(rows), bench).filter("doc_id = 7").collect()
     assert sorted((r.n_words, r.n_hit) for r in own) == [(21, 20), (100, 0)]
 
 
