@@ -30,15 +30,18 @@ import uuid
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import block_count, keyed_text, text_bytes
+from .common import keyed_text
 from .exchange import cells
 from .textvec import mix, spans
 
 U = np.uint64
 SHARD_BYTES = 8 << 20           # text bytes
+MAX_SHARDS = 1 << 20            # shards grow beyond 8 TB of text
+MAX_BUCKETS = 1 << 15           # files of a written table for each task; Spark's own limit is 100,000
+RANGES = 1024
 BLOCK_IDS = 1 << 18
 INDEX_KEYS = 100_000
 GAMMA = 1.5
@@ -317,10 +320,14 @@ class Store:
         self.name = f"token_ids_{uuid.uuid4().hex}"
 
     def ids(self) -> DataFrame:
+        """The blocks, with their bucketing known to the plan.  The catalog has the
+        table only while it is looked up; its files stay."""
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({_BLOCKS}) "
                        f"USING parquet CLUSTERED BY (shard) INTO {self.buckets} BUCKETS "
                        f"LOCATION '{self.path}/ids'")
-        return self.spark.table(self.name)
+        found = self.spark.table(self.name)
+        self.spark.sql(f"DROP TABLE {self.name}")
+        return found
 
     def index(self) -> DataFrame:
         return self.spark.read.schema(_INDEX).parquet(f"{self.path}/index")
@@ -334,6 +341,59 @@ def open_store(spark: SparkSession, path: str) -> Store:
     return Store(spark, path, meta["buckets"], meta["index_buckets"], meta["wide"])
 
 
+def shard_cuts(docs: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> tuple[int, np.ndarray]:
+    """(documents with a key, last keys of all shards but the last).
+
+    Shards hold about ``shard_bytes`` of text, or more beyond ``MAX_SHARDS`` of them,
+    and there is at least one for every shuffle partition if keys allow.  Keys
+    are first cut into ``RANGES`` ranges of about equal row counts; the bytes of
+    these say where shards end: light ranges go together, heavy ones are cut
+    again.  What reaches the driver has the bound RANGES * RANGES keys.  Rows of
+    one key stay in one shard.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).cast("long").alias("key"),
+                       F.octet_length(text_col).alias("bytes")).filter("key IS NOT NULL")
+
+    def ranks(m: int) -> Column:
+        return F.percentile_approx("key", [i / m for i in range(1, m)], 20 * m)
+
+    n, coarse = rows.agg(F.count(F.lit(1)), ranks(RANGES)).first()
+    coarse = np.unique(np.array(coarse or [], dtype=np.int64))
+
+    @F.pandas_udf("int")
+    def range_of(k: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(coarse, k.to_numpy(), "left").astype(np.int32))
+
+    ranged = rows.withColumn("range", range_of("key"))
+    size = np.zeros(len(coarse) + 1, dtype=np.int64)
+    for r in ranged.groupBy("range").agg(F.sum(F.coalesce("bytes", F.lit(0)) + 1)).collect():
+        size[r[0]] = r[1]
+    total = int(size.sum())
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = max(min(shard_bytes, total / least), total / MAX_SHARDS, 1)
+    pieces = np.clip(np.ceil(size / target), 1, RANGES).astype(np.int64)
+    fine = {}
+    if pieces.max() > 1:
+        m = int(pieces.max())
+        heavy = ranged.filter(F.col("range").isin(np.flatnonzero(pieces > 1).tolist()))
+        fine = dict(heavy.groupBy("range").agg(ranks(m)).collect())
+    cuts, held = [], 0.0
+    for i in range(len(size)):
+        if pieces[i] > 1:
+            if i and held:
+                cuts.append(int(coarse[i - 1]))
+            own = fine[i]
+            cuts += [own[j * len(own) // int(pieces[i])] for j in range(1, int(pieces[i]))]
+            held = size[i] / pieces[i]
+        else:
+            held += size[i]
+        if held >= target / 2 and i < len(coarse) and held + size[i + 1] > target:
+            cuts.append(int(coarse[i]))
+            held = 0.0
+    return n, np.unique(np.array(cuts, dtype=np.int64))
+
+
 def write_store(docs: DataFrame, path: str, tokenizer: str, *, end_id: int | None = 2,
                 id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> Store:
     """Encode ``docs`` into a new store at ``path`` (a shared folder).
@@ -347,30 +407,27 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, end_id: int | Non
 
     spark = docs.sparkSession
     wide = Tokenizer.from_file(tokenizer).get_vocab_size() > 1 << 16
-    shards = block_count(spark, text_bytes(docs, text_col), SHARD_BYTES)
-    key = F.col(id_col).cast("long")
-    n, cuts = docs.filter(key.isNotNull()).agg(
-        F.count(F.lit(1)), F.percentile_approx(key, [i / shards for i in range(1, shards)] or [0.5],
-                                               max(10_000, 20 * shards))).first()
-    cuts = np.unique(np.array(cuts or [], dtype=np.int64))
+    n, cuts = shard_cuts(docs, id_col, text_col, SHARD_BYTES)
+    # beyond the bucket limit a bucket holds several shards, sorted; a group stays one shard
+    buckets = min(len(cuts) + 1, MAX_BUCKETS, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
     rows = encoded(docs, tokenizer, end_id=end_id, id_col=id_col, text_col=text_col, cuts=cuts,
                    added_tokens=added_tokens)
-    packed = (rows.select("shard", "key", "ids").repartition(shards, "shard")
+    packed = (rows.select("shard", "key", "ids").repartition(buckets, "shard")
                   .sortWithinPartitions("shard", "key", "ids")
                   .mapInArrow(_pack(wide), _BLOCKS))
-    store = Store(spark, path, shards, max(1, -(-n // INDEX_KEYS)), wide)
-    (packed.write.bucketBy(shards, "shard").option("path", f"{path}/ids")
+    store = Store(spark, path, buckets, max(1, -(-n // INDEX_KEYS)), wide)
+    (packed.write.bucketBy(buckets, "shard").option("path", f"{path}/ids")
            .option("compression", "zstd").saveAsTable(store.name))
     ids = store.ids()
-    per_shard = ids.groupBy("shard").agg(F.sum("tokens").alias("tokens"))     # a row per shard
+    per_shard = ids.groupBy("shard").agg(F.sum("tokens").alias("tokens"))     # a row per shard, MAX_SHARDS
     before = F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     per_shard.select("shard", F.coalesce(before, F.lit(0)).cast("long").alias("start")) \
              .write.parquet(f"{path}/starts")
     (ids.select("shard", "block", "keys").mapInArrow(
         _entries(store.index_buckets), "bucket int, shard int, block int, keys binary, row binary")
         .groupBy("bucket").applyInArrow(_build, _INDEX).write.parquet(f"{path}/index"))
-    spark.createDataFrame([(shards, store.index_buckets, wide)],
+    spark.createDataFrame([(buckets, store.index_buckets, wide)],
                           "buckets int, index_buckets int, wide boolean").write.parquet(f"{path}/meta")
     return store
 

@@ -88,6 +88,30 @@ def test_store_round_trip(spark, make):
     assert {r.key for r in token_store.lookup(store, asked).collect()} == {listed[3][0]}
 
 
+def test_store_of_few_buckets(spark, make, monkeypatch):
+    """More shards than buckets; shards cut by bytes; no table left in the catalog."""
+    monkeypatch.setattr(token_store, "SHARD_BYTES", 2000)
+    texts = [(i, "word " * (2000 if 300 <= i < 310 else 5)) for i in range(600)] + [(None, "none"), (7, None)]
+    docs = make(texts)
+    before = spark.conf.get("spark.sql.sources.bucketing.maxBuckets")
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        n, cuts = token_store.shard_cuts(docs, "doc_id", "text", 2000)
+        assert n == 601 and set(range(300, 309)) <= set(cuts.tolist()) and list(cuts) == sorted(set(cuts))
+        path = scratch_path(spark, f"test-store-{uuid.uuid4().hex}")
+        store = token_store.write_store(docs, path, P.path("byte_bpe_50k.json"))
+        assert store.buckets == 3 and store.ids().select("shard").distinct().count() > 10
+        got = sorted((r.key, r.start, r.n_tokens) for r in token_store.lookup(store, docs).collect())
+    finally:
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", before)
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    sizes = sorted((i, len(tok.encode(t or "", add_special_tokens=False).ids) + 1)
+                   for i, t in texts if i is not None)
+    assert [(k, n) for k, _, n in got] == [(k, n) for k, n in sizes]
+    assert [s for _, s, _ in got] == [sum(n for _, n in sizes[:i]) for i in range(len(sizes))]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("token_ids_")]
+
+
 def test_store_of_no_rows(spark, make):
     path = scratch_path(spark, f"test-store-{uuid.uuid4().hex}")
     store = token_store.write_store(make([]), path, P.path("byte_bpe_50k.json"))
