@@ -75,6 +75,28 @@ def test_signs_that_are_no_letters_have_no_language():
     assert [x == "und" for x in told.field("lang_pred").to_pylist()] == [True] * 4 + [False] * 2
 
 
+def test_language_margin_is_learnt(spark, make):
+    """The margin keeps nearly all labelled texts and rejects most letter junk."""
+    docs = table(spark, SF, "documents")
+    out = held_out("doc_id", 4, 2)
+    model = langid.fit(docs, ~out)
+    assert len(model.min_margin) == len(langid.LENGTHS) + 1 and max(model.min_margin) > 0
+    rng = random.Random(5)
+    junk = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(60)) for _ in range(200)]
+    got = langid.identify(make(list(enumerate(junk))), model).filter("langid.rejected").count()
+    assert got >= 100
+    # one language: no other to lose to, so the margin is that to no dictionary
+    one = langid.fit(docs.filter("lang = 'en'"))
+    told = langid.identify(make(list(enumerate(junk)) + [(900, "the people of the city and the water")]), one)
+    told = {r.doc_id: r.langid for r in told.collect()}
+    assert not told[900].rejected and sum(told[i].margin < told[900].margin for i in range(200)) >= 190
+
+
+def test_language_common_length():
+    assert langid.common_length([10, 20, 30], 60) == 30 and langid.common_length([10, 100, 100], 90) == 40
+    assert langid.common_length([100] * 9, 4) == 1 and langid.common_length([], 5) == 1
+
+
 def test_language_slices():
     raw = b" " + b" ".join(b"w%d" % i for i in range(5000)) + b" "
     got = langid.drawn(raw, 256, 7)

@@ -42,7 +42,7 @@ def test_pipeline_matches_a_plain_version(spark):
     # 1: the same dictionaries, one compressor call for each block
     model = langid.fit(docs, ~held_out("doc_id", 4, 2))
     import pyarrow as pa
-    told = langid._predictor(model, langid.MIN_MARGIN)(pa.array([t for _, t in rows]))
+    told = langid._predictor(model, model.min_margin)(pa.array([t for _, t in rows]))
     rows = [r for r, gone in zip(rows, told.field("rejected").to_pylist()) if not gone]
     # 2: one of each group
     comp, _ = components(rows)
