@@ -52,6 +52,25 @@ def format_price(c, decimals: int = 3, unit: str = "€") -> Column:
         F.format_string(f"%.{decimals}f{suffix}", v))
 
 
+def rounded(values, digits: int) -> Column:
+    """``F.round`` of each of some double columns, as one array.
+
+    Many roundings side by side make a generated method that is too large for the
+    JVM to compile; over an array they are one expression that is evaluated for each
+    element.  ``F.round`` goes through the decimal text of a number; where a number is
+    below a million and clearly not between two results, the nearest multiple of
+    ``10 ** -digits`` by floating point is the same double.
+    """
+    scale = 10.0 ** digits
+
+    def one(x):
+        scaled = x * scale
+        part = scaled - F.floor(scaled)
+        clear = (F.abs(x) < 1e6) & (F.abs(part - 0.5) > 1e-3)
+        return F.when(clear, F.floor(scaled + 0.5) / scale).otherwise(F.round(x, digits))
+    return F.transform(F.array(*[_col(v) for v in values]), one if digits <= 4 else lambda x: F.round(x, digits))
+
+
 def format_date_dmy(c) -> Column:
     """Date as ``dd/MM/yyyy`` text."""
     return F.date_format(_col(c), "dd/MM/yyyy")

@@ -105,18 +105,22 @@ def q_format_guard(spark, sf):
     is refused before a plan is built."""
     from ..sources import landing
 
-    long, parts = B.obs_long(spark, sf).select(*LONG_COLS), []
-    for fmt in (*files.FORMATS, "xml"):
-        path = _fresh(spark, f"format-{fmt}")
+    # the Parquet table first: joined once, and the other formats are written from it;
+    # text is written compressed, in files that one task reads
+    source, parts = B.obs_long(spark, sf).select(*LONG_COLS), {}
+    for fmt in sorted((*files.FORMATS, "xml"), key="parquet".__ne__):
+        path, small = _fresh(spark, f"format-{fmt}"), fmt in ("jsonl", "csv")
         try:
             if fmt == "json":
-                landing.write_json_array(long, path)
+                landing.write_json_array(source, path, compression="gzip")
             else:
-                files.write_table(long, path, fmt=fmt)
-            back = files.read_table(spark, path, fmt, LONG_SCHEMA, glob="part-*.txt" if fmt == "json" else None)
+                files.write_table(source, path, fmt=fmt, compression="gzip" if small else None,
+                                  max_records_per_file=500_000 if small else 5_000_000)
+            back = files.read_table(spark, path, fmt, LONG_SCHEMA, glob="part-*.txt.gz" if fmt == "json" else None)
         except ValueError:
-            parts.append(spark.sql(f"SELECT '{fmt}' AS format, false AS accepted, 0L AS n_rows, 0D AS total"))
+            parts[fmt] = spark.sql(f"SELECT '{fmt}' AS format, false AS accepted, 0L AS n_rows, 0D AS total")
             continue
-        parts.append(back.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("prix_valeur").alias("total"))
-                     .select(F.lit(fmt).alias("format"), F.lit(True).alias("accepted"), "n_rows", "total"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        source = back if fmt == "parquet" else source
+        parts[fmt] = (back.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("prix_valeur").alias("total"))
+                      .select(F.lit(fmt).alias("format"), F.lit(True).alias("accepted"), "n_rows", "total"))
+    return reduce(lambda a, b: a.unionByName(b), [parts[fmt] for fmt in (*files.FORMATS, "xml")])

@@ -117,7 +117,7 @@ def broken_arrays(spark: SparkSession, path, glob: str | None = None) -> dict[st
                       F.col("_metadata.file_block_start").alias("block"),
                       F.monotonically_increasing_id().alias("at")))
     value = F.col("value")
-    ends = (pieces.filter(value.rlike(r"\S"))
+    ends = (pieces.filter(F.length(F.trim(value, F.lit(" \t\r\n\x0b\f"))) > 0)
             .groupBy("file", "block")
             .agg(F.min_by(F.startswith(F.ltrim(value, blank), F.lit("[")), "at").alias("opens"),
                  F.max_by(F.endswith(F.rtrim(value, blank), F.lit("]")), "at").alias("closes"),
@@ -144,7 +144,8 @@ def _more_behind(text: Column) -> Column:
     """A ``]`` with another value behind it, outside of strings."""
     behind = r"\]\s*[\[{\"0-9a-z-]"
     bare = F.regexp_replace(F.regexp_replace(text, r"\\.", ""), '"[^"]*"', '"')
-    return F.when(text.rlike(behind), bare.rlike(behind)).otherwise(F.lit(False))
+    # most pieces have no bracket, and a byte search is cheaper than a pattern
+    return F.when(F.contains(text, F.lit("]")) & text.rlike(behind), bare.rlike(behind)).otherwise(F.lit(False))
 
 
 def scan_jsonl(spark: SparkSession, path, schema: StructType | str | None = S.RAW_OBSERVATION,
@@ -251,7 +252,8 @@ def scan_snapshots(spark: SparkSession, root: str,
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None, cluster_by: Sequence[str] = (),
-                max_records_per_file: int | None = 5_000_000,
+                max_records_per_file: int | None = 5_000_000, rebalance: bool = True,
+                compression: str | None = None,
                 observation: Observation | None = None, metrics: Sequence[Column] = ()) -> None:
     """Write with a save mode and optional Hive partitioning.
 
@@ -259,7 +261,11 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
     keys (a REBALANCE hint: AQE splits a key that holds a large share of the
     rows over several tasks and merges small ones), so each partition
     folder gets a few large files rather than one file per task, and no
-    single task writes a whole hot partition.
+    single task writes a whole hot partition.  ``rebalance=False`` is for rows that
+    an earlier exchange has dealt out by the partition keys.
+
+    ``compression`` is the files' codec (default: the session's).  A compressed text
+    file is read by one task, so ``max_records_per_file`` bounds it.
 
     ``cluster_by`` sorts the rows of each file by these columns, so that the
     row groups' statistics (and their sizes on disk) shrink and a filter on them
@@ -267,7 +273,7 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
     from the rows on their way into the files, in the writing tasks themselves.
     """
     check_format(fmt)
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     if metrics:
         df = df.observe(observation, *metrics)
@@ -278,6 +284,8 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if compression:
+        w = w.option("compression", compression)
     if fmt == "parquet":
         w.parquet(path)
     elif fmt in ("json", "jsonl"):

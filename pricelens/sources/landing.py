@@ -47,15 +47,51 @@ def ingest_audit(df: DataFrame, *, dataset_name: str, source_url: str,
         *(["file_size_mb"] if with_size else []))
 
 
-def write_json_array(df: DataFrame, path: str, rows_per_file: int = 50_000) -> None:
+def write_json_array(df: DataFrame, path: str, rows_per_file: int = 50_000,
+                     compression: str | None = None) -> None:
     """Write the rows as files of one JSON array of objects each (the landed
     snapshot format read by ``scan_json``), at most ``rows_per_file`` rows in an
-    array.  Files end in ``.txt``."""
-    own = F.monotonically_increasing_id()
-    part, at = F.shiftright(own, 33), own.bitwiseAND(F.lit((1 << 33) - 1))
-    rows = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row"),
-                     part.alias("part"), F.floor(at / rows_per_file).alias("chunk"))
-    arrays = rows.groupBy("part", "chunk").agg(F.collect_list("row").alias("rows"))
-    text = F.concat(F.lit("["), F.array_join("rows", ",\n"), F.lit("]"))
-    (arrays.select(text.alias("value")).write.mode("errorifexists")
-           .option("maxRecordsPerFile", 1).text(path))
+    array.  Files end in ``.txt``, and the codec's ending (``.gz``) with
+    ``compression``.
+
+    Each row is a line of its file, the writer begins a new file after
+    ``rows_per_file`` of them: no array is ever held, and no row is shuffled.  A
+    task's lines get their brackets and commas on the way; the last one of the task
+    is known one line later.
+    """
+    def lines(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def put(rows, at, last):
+            n = len(rows)
+            if not n:
+                return at
+            # places in their arrays, which begin anew in each file
+            place = [(at + i) % rows_per_file for i in range(n)]
+            head = pa.array(["[" if p == 0 else "" for p in place], pa.string())
+            tail = ["]" if p == rows_per_file - 1 else "," for p in place]
+            if last:
+                tail[-1] = "]"
+            out.append(pa.RecordBatch.from_arrays(
+                [pc.binary_join_element_wise(head, rows, pa.array(tail, pa.string()), "")], ["value"]))
+            return at + n
+
+        out, at, held = [], 0, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rows = b.column(0).cast(pa.string())
+            if held is not None:
+                at = put(held, at, False)
+            at = put(rows.slice(0, len(rows) - 1), at, False)
+            held = rows.slice(len(rows) - 1)
+            yield from out
+            out.clear()
+        if held is not None:
+            put(held, at, True)
+        yield from out
+
+    rows = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))
+    w = rows.mapInArrow(lines, "value string").write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file)
+    (w.option("compression", compression) if compression else w).text(path)
