@@ -85,11 +85,14 @@ def pivot_wide(
     # struct ordering needs the sort-based aggregate
     by = latest_order(df, order)
     order_struct = by[0] if len(by) == 1 else F.struct(*by)
+    # name and order are worked out once for a row, not once for each product
+    rows = df.select(*keys, normalized(name).alias("__name"), order_struct.alias("__order"),
+                     F.col(value).alias("__value"))
     aggs = []
     for out in dict.fromkeys(normalized_name(v) for v in values):
-        hit = (normalized(name) == F.lit(out)) & F.col(value).isNotNull()
-        aggs.append(F.max_by(F.when(hit, F.col(value)), F.when(hit, order_struct)).alias(out))
-    return df.groupBy(*keys).agg(*aggs)
+        hit = (F.col("__name") == F.lit(out)) & F.col("__value").isNotNull()
+        aggs.append(F.max_by(F.when(hit, F.col("__value")), F.when(hit, F.col("__order"))).alias(out))
+    return rows.groupBy(*keys).agg(*aggs)
 
 
 def unpivot_long(

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import rounded
 from .sqltext import rnd
 
 
@@ -55,18 +56,17 @@ def register(name: str, sql: str | None, doubles: Sequence[str] = (), digits: in
 
 
 def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            # Spark rounds the shortest decimal form of the double half-up;
-            # the oracle side does the same through VARCHAR (see sqltext.rnd).
-            # The nudge moves exact ties (a mean of a few two-decimal values
-            # is often exactly x.xxxx5) off the tie in both engines alike,
-            # so a last-bit difference between their sums cannot flip it.
-            cols.append(F.round(F.col(f.name) * F.lit(NUDGE), digits).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+    doubles = double_columns(df)
+    if not doubles:
+        return df
+    # Spark rounds the shortest decimal form of the double half-up; the oracle
+    # side does the same through VARCHAR (see sqltext.rnd).  The nudge moves
+    # exact ties (a mean of a few two-decimal values is often exactly x.xxxx5)
+    # off the tie in both engines alike, so a last-bit difference between their
+    # sums cannot flip it.
+    values = rounded([F.col(c) * F.lit(NUDGE) for c in doubles], digits).alias("__rounded")
+    return df.select("*", values).select(*[
+        F.col("__rounded")[doubles.index(c)].alias(c) if c in doubles else F.col(c) for c in df.columns])
 
 
 def double_columns(df: DataFrame) -> list:

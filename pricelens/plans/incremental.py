@@ -37,6 +37,8 @@ PERIOD = "period"
 TABLES = ("latest", "fine", "most", "least")
 #: An increment with rows in more periods than this is no increment of months.
 MAX_PERIODS = 10_000
+#: Rows of one period that a task merges and writes.
+SLOT_ROWS = 250_000
 
 
 class Layout(NamedTuple):
@@ -71,9 +73,11 @@ def latest_state(long_df: DataFrame, layout: Layout) -> DataFrame:
     by = reshape.latest_order(long_df, layout.order)
     best = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(by)], F.col(layout.value).alias("v"))
     period = F.coalesce(F.date_format(layout.date, "yyyy-MM"), F.lit("none"))
-    hit = F.col(layout.value).isNotNull()
-    aggs = [F.max(F.when(hit & (normalized(layout.name) == p), best)).alias(p) for p in layout.columns]
-    return long_df.groupBy(*layout.keys, period.alias(PERIOD)).agg(*aggs)
+    # name, value and period are worked out once for a row, not once for each product
+    rows = long_df.select(*layout.keys, period.alias(PERIOD), normalized(layout.name).alias("__name"),
+                          F.when(F.col(layout.value).isNotNull(), best).alias("__best"))
+    aggs = [F.max(F.when(F.col("__name") == p, F.col("__best"))).alias(p) for p in layout.columns]
+    return rows.groupBy(*layout.keys, PERIOD).agg(*aggs)
 
 
 def wide_of(state: DataFrame, layout: Layout) -> DataFrame:
@@ -89,11 +93,12 @@ def _periods(df: DataFrame) -> set[str]:
 
 
 def _rewrite(spark: SparkSession, base: str, since: int, touched: set[str], state: DataFrame,
-             layout: Layout) -> int:
-    """Write the touched periods of all four tables and publish them together."""
+             layout: Layout, dealt: bool = False) -> int:
+    """Write the touched periods of all four tables and publish them together.
+    ``dealt``: the rows of ``state`` lie by period already."""
     folder = pub.new_folder()
     entries = {"latest": pub.write(state, base, f"{folder}/latest", partition_by=[PERIOD],
-                                   cluster_by=[layout.date])}
+                                   cluster_by=[layout.date], rebalance=not dealt)}
     wide = wide_of(pub.load(spark, base, entries["latest"]), layout)
     grain = [c for c in (layout.department, layout.region, layout.date, layout.year) if c in layout.keys]
     entries["fine"] = pub.write(marts.fine_state(wide, layout.columns, [PERIOD, *grain]), base,
@@ -111,6 +116,16 @@ def _tiebreak(layout: Layout) -> list[str]:
     return list(dict.fromkeys([layout.entity, layout.date, *layout.keys]))
 
 
+def _greater(both: DataFrame, layout: Layout) -> DataFrame:
+    """The greater state of each key, dealt out by period and by slots of at most
+    about ``SLOT_ROWS`` rows of it: one exchange serves the aggregate and the write."""
+    largest = both.groupBy(PERIOD).count().agg(F.max("count")).first()[0] or 0
+    slot = F.pmod(F.xxhash64(*layout.keys), F.lit(-(-largest // SLOT_ROWS) or 1))
+    dealt = both.withColumn("__slot", slot).repartition(PERIOD, "__slot")
+    return (dealt.groupBy(*layout.keys, PERIOD, "__slot")
+            .agg(*[F.max(p).alias(p) for p in layout.columns]).drop("__slot"))
+
+
 def merge(spark: SparkSession, base: str, long_df: DataFrame, layout: Layout) -> int:
     """Merge cleaned long rows into the tables below ``base``; returns the number of
     the manifest that has them.  Rows without a product of the layout or without a
@@ -123,9 +138,8 @@ def merge(spark: SparkSession, base: str, long_df: DataFrame, layout: Layout) ->
     old = pub.load_parts(spark, base, entries, "latest", touched)
     state = new
     if old is not None:
-        both = old.unionByName(new, allowMissingColumns=True)
-        state = both.groupBy(*layout.keys, PERIOD).agg(*[F.max(p).alias(p) for p in layout.columns])
-    number = _rewrite(spark, base, since, touched, state, layout)
+        state = _greater(old.unionByName(new, allowMissingColumns=True), layout)
+    number = _rewrite(spark, base, since, touched, state, layout, dealt=old is not None)
     discard(new)
     return number
 

@@ -23,9 +23,10 @@ P = B.PRODUCTS
 
 
 def _land(spark, sf, name, df=None):
-    """The landed records as JSON Lines snapshots."""
+    """The landed records as JSON Lines snapshots (compressed, in files that one task reads)."""
     base = scratch_path(spark, f"roundtrip/{name}-{uuid.uuid4().hex}")
-    files.write_table(B.raw_snapshot(spark, sf) if df is None else df, f"{base}/raw", fmt="jsonl")
+    files.write_table(B.raw_snapshot(spark, sf) if df is None else df, f"{base}/raw", fmt="jsonl",
+                      compression="gzip", max_records_per_file=500_000)
     return base
 
 

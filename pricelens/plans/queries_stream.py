@@ -45,9 +45,9 @@ FROM dept LEFT JOIN dr ON dept.departement = dr.d"""
           doubles=["latitude", "longitude", "prix_valeur"])
 def q_incremental_clean(spark, sf):
     base = scratch_path(spark, f"roundtrip/stream-{uuid.uuid4().hex}")
-    landing.write_json_array(B.raw_snapshot(spark, sf), f"{base}/raw")
+    landing.write_json_array(B.raw_snapshot(spark, sf), f"{base}/raw", compression="gzip")
     q = start_incremental_clean(spark, f"{base}/raw", f"{base}/long",
                                 checkpoint_location=f"{base}/checkpoint", low=LO, high=HI,
-                                glob="part-*.txt")
+                                glob="part-*.txt.gz")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/long").select(*OUT_COLS)

@@ -79,10 +79,10 @@ def publish(spark: SparkSession, base: str, entries: dict[str, Entry | None], si
 
 
 def write(df: DataFrame, base: str, folder: str, *, fmt: str = "parquet", partition_by=None,
-          cluster_by=()) -> Entry:
+          cluster_by=(), rebalance: bool = True) -> Entry:
     """Write a table into a folder of its own, for an entry of ``publish``."""
     write_table(df, f"{base.rstrip('/')}/{folder}", fmt=fmt, mode="errorifexists", partition_by=partition_by,
-                cluster_by=cluster_by)
+                cluster_by=cluster_by, rebalance=rebalance)
     return Entry(folder, df.schema.json())
 
 
