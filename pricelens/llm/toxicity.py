@@ -6,11 +6,10 @@
    no example has weighs as one that no document has: it lowers all cosines of its
    text alike.  ``lean`` is ``BASE`` for a term that says nothing of the label and
    grows with the root of its chi-square among the examples; no term is left out.
-2. *Index.*  The examples' vectors form an inverted index in blocks of
-   neighbouring examples; a term has one list for each block that holds it, and
-   that list's greatest weight.  A text reads the block where the maxima allow
-   the highest cosine, then every block that they allow to reach its k-th
-   neighbour there, so the k nearest by cosine are exact.
+2. *Index.*  The examples' vectors form an inverted index.  Terms that many
+   examples have are rows of a matrix, which multiplies the vectors of some texts
+   together; the other terms' lists are read once for each text that has them.  So
+   a text gets its cosine with every example, and the k nearest are exact.
 3. *Votes.*  Neighbours vote with their cosine; the votes shrink towards the share
    of toxic examples among those without a toxic-leaning term.  A text without a
    neighbour (no word in common with any example) gets that share.
@@ -23,6 +22,7 @@ size of the corpus; everything else covers all rows and whole texts.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,16 +37,25 @@ BASE = 0.03
 CHANCE = 15.0        # chi-square that chance gives some term of a large vocabulary
 K = 15
 SHRINK = 0.25
-BLOCK = 128
-FREQUENT = 0.125     # a term in a larger share of the examples has one dense list
+TEXTS = 32           # texts whose cosines are worked out together
+FREQUENT = 0.125     # a term in a larger share of the examples is a row of the matrix
 
 _SPACE = bytes.maketrans(bytes(x for x in range(128) if not chr(x).isalpha()),
                          b" " * sum(not chr(x).isalpha() for x in range(128)))
 
 
+def _split(text: str | None) -> list[bytes]:
+    return (text or "").lower().encode("utf-8", "replace").translate(_SPACE).split()
+
+
 def words(text: str | None) -> Counter:
     """Word -> occurrences of a whole text."""
-    return Counter((text or "").lower().encode("utf-8", "replace").translate(_SPACE).split())
+    return Counter(_split(text))
+
+
+def _numbers(found, number: dict[bytes, int]) -> np.ndarray:
+    """The number of each word, -1 for one without."""
+    return np.fromiter(map(number.get, found, repeat(-1)), np.int64, len(found))
 
 
 # --- 1: vectors ------------------------------------------------------------------------
@@ -64,13 +73,12 @@ def _frequencies(vocabulary: list[bytes]):
     """(term, documents that have it) of a partition; term -1 counts documents."""
     def run(batches):
         number = {t: i for i, t in enumerate(vocabulary)}
-        seen, rows = np.zeros(len(vocabulary), np.int64), 0
+        seen, rows = np.zeros(len(vocabulary) + 1, np.int64), 0      # the last: of words without a number
         for b in batches:
             for text in b.column("text"):
                 rows += 1
-                at = [number[w] for w in words(text.as_py()) if w in number]
-                seen[at] += 1
-        at = np.flatnonzero(seen)
+                seen[_numbers(set(_split(text.as_py())), number)] += 1
+        at = np.flatnonzero(seen[:-1])
         for lo in range(0, len(at), 10_000):
             part = at[lo:lo + 10_000]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(seen[part])],
@@ -90,7 +98,7 @@ def chi_square(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -> np.n
     return np.where((below > 0) & (pos * n_neg > neg * n_pos), got, 0.0)
 
 
-# --- 2, 3: block-max index and votes --------------------------------------------------------
+# --- 2, 3: inverted index and votes --------------------------------------------------------
 
 def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The numbers start, start + 1, ... of every range, one range after the other."""
@@ -99,7 +107,7 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Examples with at least one term, in blocks, with the terms' lists and maxima."""
+    """Examples with at least one term, and the terms' lists of them."""
 
     def __init__(self, weight: np.ndarray, rows: list[tuple], labels_without: tuple[int, int],
                  unknown: float = 0.0):
@@ -108,36 +116,27 @@ class Index:
         term without a number."""
         self.weight, self.unknown = weight, unknown
         vectors = [self.entries(r[2], r[3]) for r in rows]
-        # neighbours in a block share their heaviest term
-        heads = [(int(at[np.argmax(w)]), -float(w.max()), int(r[0])) for r, (at, w) in zip(rows, vectors)]
-        order = sorted(range(len(rows)), key=heads.__getitem__)
-        self.ids = np.array([rows[i][0] for i in order], dtype=np.int64)
-        self.label = np.array([rows[i][1] for i in order], dtype=np.float64)
-        self.n, terms = len(order), len(weight)
-        self.blocks = -(-self.n // BLOCK)
+        self.ids = np.array([r[0] for r in rows], dtype=np.int64)
+        self.label = np.array([r[1] for r in rows], dtype=np.float64)
+        self.n, terms = len(rows), len(weight)
         none = [np.zeros(0)]
-        term = np.concatenate([vectors[i][0] for i in order] or none).astype(np.int64)
-        value = np.concatenate([vectors[i][1] for i in order] or none)
-        row = np.repeat(np.arange(self.n), [len(vectors[i][0]) for i in order])
-        by_term = np.argsort(term, kind="stable")            # then by row, so by block
-        self.row, self.value, term = row[by_term].astype(np.int32), value[by_term], term[by_term]
-        # a list: the postings of one term in one block
-        name = term * max(self.blocks, 1) + self.row // BLOCK
-        self.begin = np.flatnonzero(np.diff(name, prepend=-1))
-        self.size = np.diff(self.begin, append=len(name))
-        self.block = (self.row[self.begin] // BLOCK).astype(np.int32)
-        self.most = np.maximum.reduceat(self.value, self.begin) if len(name) else np.zeros(0)
-        at = np.searchsorted(term[self.begin], np.arange(terms + 1))
-        self.list_at, self.lists = at[:-1], np.diff(at)
-        # frequent terms: their lists side by side, 0 where an example lacks the term
+        term = np.concatenate([at for at, _ in vectors] or none).astype(np.int64)
+        value = np.concatenate([w for _, w in vectors] or none)
+        row = np.repeat(np.arange(self.n), [len(at) for at, _ in vectors])
+        # frequent terms: 0 where an example lacks the term
         count = np.bincount(term, minlength=terms)
         frequent = np.flatnonzero(count > FREQUENT * self.n)
         self.place = np.full(terms, -1)
         self.place[frequent] = np.arange(len(frequent))
-        dense = self.place[term]
-        self.dense = np.zeros((len(frequent), self.blocks * BLOCK))
-        self.dense[dense[dense >= 0], self.row[dense >= 0]] = self.value[dense >= 0]
-        self.dense_most = self.dense.reshape(len(frequent), self.blocks, BLOCK).max(axis=2)
+        place = self.place[term]
+        self.dense = np.zeros((len(frequent), self.n))
+        self.dense[place[place >= 0], row[place >= 0]] = value[place >= 0]
+        # the others: their lists one after the other
+        by_term = np.flatnonzero(place < 0)
+        by_term = by_term[np.argsort(term[by_term], kind="stable")]
+        self.row, self.value = row[by_term], value[by_term]
+        self.size = np.where(self.place < 0, count, 0)
+        self.begin = np.cumsum(self.size) - self.size
         toxic, total = labels_without
         self.prior = (toxic + 0.5) / (total + 1.0) if total else (
             float((self.label.sum() + 0.5) / (len(self.label) + 1.0)))
@@ -156,47 +155,30 @@ class Index:
         v[at] = w
         return v
 
-    def _one(self, at, w, k: int) -> tuple[np.ndarray, np.ndarray]:
-        place = self.place[at]
-        common, rare = place >= 0, place < 0
-        lists = _ranges(self.list_at[at[rare]], self.lists[at[rare]])
-        weight, block = np.repeat(w[rare], self.lists[at[rare]]), self.block[lists]
-        place, common = place[common], w[common]
-        bound = (np.bincount(block, weights=weight * self.most[lists], minlength=self.blocks)
-                 + common @ self.dense_most[place])
-
-        def score(wanted: np.ndarray) -> np.ndarray:
-            """Cosines of all examples of the wanted blocks, by block."""
-            use = wanted[block]
-            own, size = lists[use], self.size[lists[use]]
-            post = _ranges(self.begin[own], size)
-            got = np.bincount(self.row[post], weights=np.repeat(weight[use], size) * self.value[post],
-                              minlength=self.blocks * BLOCK)
-            return got + common @ self.dense[place]
-
-        floor = 0.0
-        if k <= BLOCK:
-            best = np.zeros(self.blocks, bool)
-            best[int(bound.argmax())] = True
-            lo = int(bound.argmax()) * BLOCK
-            floor = np.partition(score(best)[lo:lo + BLOCK], -k)[-k]
-        # a block that could only tie may hold a smaller id
-        wanted = (bound > 0) & (bound >= floor - 1e-9)
-        got = score(wanted)
-        hit = np.flatnonzero((got > max(1e-12, floor - 1e-9)) & np.repeat(wanted, BLOCK))
-        cosine = got[hit]
-        if len(hit) > k:
-            keep = cosine >= np.partition(cosine, -k)[-k] - 1e-9
-            cosine, hit = cosine[keep], hit[keep]
-        order = np.lexsort((self.ids[hit], -np.round(cosine, 12)))[:k]
-        return hit[order], cosine[order]
+    def cosines(self, queries: list[tuple]) -> np.ndarray:
+        """Of each (at, tf[, other]) with every example."""
+        common, got = np.zeros((len(queries), len(self.dense))), np.zeros((len(queries), self.n))
+        for i, query in enumerate(queries):
+            at, w = self.entries(*query)
+            place, size = self.place[at], self.size[at]
+            common[i, place[place >= 0]] = w[place >= 0]
+            post = _ranges(self.begin[at], size)
+            got[i] = np.bincount(self.row[post], weights=np.repeat(w, size) * self.value[post], minlength=self.n)
+        return got + common @ self.dense
+
+    def _best(self, cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        floor = max(1e-12, np.partition(cosine, -k)[-k] - 1e-9) if self.n > k else 1e-12
+        hit = np.flatnonzero(cosine > floor)
+        order = np.lexsort((self.ids[hit], -np.round(cosine[hit], 12)))[:k]
+        return hit[order], cosine[hit[order]]
 
     def nearest(self, queries: list[tuple], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each (at, tf[, other]) the (examples, cosines) of the k nearest with a
         positive cosine, by falling cosine, ties by the example's id; exact."""
         if not self.n:
             return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
-        return [self._one(*self.entries(*q), k) for q in queries]
+        return [self._best(c, k) for lo in range(0, len(queries), TEXTS)
+                for c in self.cosines(queries[lo:lo + TEXTS])]
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         return float((self.prior * SHRINK + (cosine * self.label[best]).sum()) / (SHRINK + cosine.sum()))
@@ -236,24 +218,19 @@ def _score(vocabulary: list[bytes], index: Index, k: int, evidence: int):
     def run(batches):
         number = {t: i for i, t in enumerate(vocabulary)}
         for b in batches:
-            scores, shown = [], []
-            for text in b.column("text"):                # one text at a time
-                at, tf, other = [], [], 0.0
-                for w, n in words(text.as_py()).items():
-                    i = number.get(w)
-                    if i is None:
-                        other += (1 + np.log(n)) ** 2 if n > 1 else 1.0
-                    else:
-                        at.append(i)
-                        tf.append(n)
-                if not at:
-                    scores.append(index.prior)
-                    shown.append([])
-                    continue
-                best, cosine = index.nearest([(at, tf, other)], k)[0]
-                scores.append(index.vote(best, cosine))
-                shown.append([{"doc_id": int(index.ids[e]), "cosine": float(c), "label": int(index.label[e])}
-                              for e, c in zip(best[:evidence].tolist(), cosine.tolist())])
+            scores, shown, texts = [], [], b.column("text")
+            for lo in range(0, len(texts), TEXTS):
+                queries = []
+                for text in texts[lo:lo + TEXTS]:
+                    found = words(text.as_py())
+                    at = _numbers(found, number)
+                    tf = np.fromiter(found.values(), np.int64, len(found))
+                    known = at >= 0
+                    queries.append((at[known], tf[known], float(((1 + np.log(tf[~known])) ** 2).sum())))
+                for (at, _, _), (best, cosine) in zip(queries, index.nearest(queries, k)):
+                    scores.append(index.vote(best, cosine) if len(at) else index.prior)
+                    shown.append([{"doc_id": int(index.ids[e]), "cosine": float(c), "label": int(index.label[e])}
+                                  for e, c in zip(best[:evidence].tolist(), cosine.tolist())])
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(scores, pa.float64()),
                  pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(shown, kind)],

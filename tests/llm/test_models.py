@@ -231,6 +231,20 @@ def test_nearest_examples_are_exact():
         assert 0 <= index.vote(best, cosine) <= 1
 
 
+def test_lists_are_read_once_a_text(monkeypatch):
+    """However little the best neighbours stand out, a text reads each list of its
+    terms once: no list of bounds before, no second reading after a first floor."""
+    read, real = [], toxicity._ranges
+    monkeypatch.setattr(toxicity, "_ranges", lambda a, n: read.append(int(n.sum())) or real(a, n))
+    rng = np.random.default_rng(8)
+    rows = [(i, i % 2, sorted(rng.choice(120, 6, replace=False).tolist()), [1] * 6) for i in range(1000)]
+    index = toxicity.Index(np.ones(120), rows, (1, 10))
+    asked = [(sorted(rng.choice(120, 8, replace=False).tolist()), [1] * 8) for _ in range(70)]
+    assert all(len(best) == 15 for best, _ in index.nearest(asked, 15))
+    held = np.bincount(np.concatenate([r[2] for r in rows]), minlength=120)
+    assert sum(read) == sum(int(held[at].sum()) for at, _ in asked)
+
+
 def test_toxicity_held_out(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     truth = {r.doc_id: r.toxic for r in labels.collect()}
