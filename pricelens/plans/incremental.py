@@ -68,16 +68,20 @@ class Layout(NamedTuple):
         return [self.entity, *self.extra, self.department, self.region, self.headline]
 
 
-def latest_state(long_df: DataFrame, layout: Layout) -> DataFrame:
-    """Keys, period and, for each product, the greatest (order tuple, value)."""
+def observed(long_df: DataFrame, layout: Layout) -> DataFrame:
+    """Of each long row its keys, its period, its product and (order tuple, value)."""
     by = reshape.latest_order(long_df, layout.order)
     best = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(by)], F.col(layout.value).alias("v"))
     period = F.coalesce(F.date_format(layout.date, "yyyy-MM"), F.lit("none"))
-    # name, value and period are worked out once for a row, not once for each product
-    rows = long_df.select(*layout.keys, period.alias(PERIOD), normalized(layout.name).alias("__name"),
+    return long_df.select(*layout.keys, period.alias(PERIOD), normalized(layout.name).alias("__name"),
                           F.when(F.col(layout.value).isNotNull(), best).alias("__best"))
-    aggs = [F.max(F.when(F.col("__name") == p, F.col("__best"))).alias(p) for p in layout.columns]
-    return rows.groupBy(*layout.keys, PERIOD).agg(*aggs)
+
+
+def _lifted(rows: DataFrame, layout: Layout) -> DataFrame:
+    """``observed`` rows with the columns of ``latest``: a row for each, its own
+    product's column alone filled."""
+    return rows.select(*layout.keys, PERIOD, *[F.when(F.col("__name") == p, F.col("__best")).alias(p)
+                                               for p in layout.columns])
 
 
 def wide_of(state: DataFrame, layout: Layout) -> DataFrame:
@@ -118,12 +122,14 @@ def _tiebreak(layout: Layout) -> list[str]:
 
 def _greater(both: DataFrame, layout: Layout) -> DataFrame:
     """The greater state of each key, dealt out by period and by slots of at most
-    about ``SLOT_ROWS`` rows of it: one exchange serves the aggregate and the write."""
+    about ``SLOT_ROWS`` rows of it: one exchange serves the aggregate and the write,
+    and its one sort, period and date first, serves both as well."""
     largest = both.groupBy(PERIOD).count().agg(F.max("count")).first()[0] or 0
     slot = F.pmod(F.xxhash64(*layout.keys), F.lit(-(-largest // SLOT_ROWS) or 1))
     dealt = both.withColumn("__slot", slot).repartition(PERIOD, "__slot")
-    return (dealt.groupBy(*layout.keys, PERIOD, "__slot")
-            .agg(*[F.max(p).alias(p) for p in layout.columns]).drop("__slot"))
+    keys = list(dict.fromkeys([layout.date, *layout.keys]))
+    return (dealt.groupBy(PERIOD, *keys, "__slot")
+            .agg(*[F.max(p).alias(p) for p in layout.columns]).select(*layout.keys, PERIOD, *layout.columns))
 
 
 def merge(spark: SparkSession, base: str, long_df: DataFrame, layout: Layout) -> int:
@@ -131,15 +137,15 @@ def merge(spark: SparkSession, base: str, long_df: DataFrame, layout: Layout) ->
     the manifest that has them.  Rows without a product of the layout or without a
     value still make a wide row, as in R1.  Merging rows again changes nothing."""
     since, entries = pub.current(spark, base)
-    new = materialize(latest_state(long_df, layout), "increment")
+    # the rows as they come: they meet the old states in one exchange and one aggregate
+    new = materialize(observed(long_df, layout), "increment")
     touched = _periods(new)
     if not touched:
         return since
-    old = pub.load_parts(spark, base, entries, "latest", touched)
-    state = new
+    old, state = pub.load_parts(spark, base, entries, "latest", touched), _lifted(new, layout)
     if old is not None:
-        state = _greater(old.unionByName(new, allowMissingColumns=True), layout)
-    number = _rewrite(spark, base, since, touched, state, layout, dealt=old is not None)
+        state = old.unionByName(state, allowMissingColumns=True)
+    number = _rewrite(spark, base, since, touched, _greater(state, layout), layout, dealt=True)
     discard(new)
     return number
 

@@ -81,3 +81,23 @@ def test_merged_states_through_one_exchange(spark):
     out = incremental._greater(state.unionByName(state), LAYOUT)
     assert _plan(out).count("Exchange") == 1
     assert out.count() == 2 and set(out.columns) == set(state.columns)
+
+
+def test_a_merge_aggregates_and_sorts_once(spark, tmp_path, monkeypatch):
+    """The increment's rows meet the old states unaggregated, and the aggregate's sort
+    is the one the files need."""
+    plans, real = [], incremental.materialize
+    monkeypatch.setattr(incremental, "materialize", lambda df, *a: plans.append(_plan(df)) or real(df, *a))
+    rows = [(e, "d", "r", None, None, "Economy", v, t, 1, 1, 1) for e, v, t in (
+        (1, 1.0, "a"), (1, 2.0, "b"), (2, None, "c"), (3, 5.0, None))]
+    schema = ("id int, departement string, region_code string, prix_maj_date date, annee int, prix_nom string, "
+              "prix_valeur double, prix_maj string, l_orderkey long, l_linenumber int, l_partkey long")
+    for some in (rows, rows[:1], [(2, *rows[0][1:])]):
+        incremental.merge(spark, str(tmp_path), spark.createDataFrame(some, schema), LAYOUT)
+    assert len(plans) == 3 and not any(x in p for p in plans for x in ("Exchange", "Aggregate"))
+    got = {r.id: r.economy for r in incremental.wide(spark, str(tmp_path), LAYOUT).collect()}
+    assert got == {1: 2.0, 2: 1.0, 3: 5.0}
+    state = incremental._lifted(incremental.observed(spark.createDataFrame(rows, schema), LAYOUT), LAYOUT)
+    out = incremental._greater(state, LAYOUT).sortWithinPartitions("period", "prix_maj_date")
+    assert out.count() == 3 and len(out.collect()) == 3
+    assert len(re.findall(r"\bSort \[", _plan(out).split("Initial Plan")[0])) == 1
