@@ -33,7 +33,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sizing import broadcast_if_small, materialize, scalar_struct
+from ..functions.sizing import broadcast_if_small, discard, materialize, scalar_struct
 
 
 def _join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -129,7 +129,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
     ranks = (sized.select(*g, "_n", wanted.alias("_w"))
              .select(*g, F.col("_w._qi").alias("_qi"), F.when(shared, 0).otherwise(F.col("_w._qi")).alias("_bi"),
                      (F.floor(h) + 1).alias("_r1"), (F.ceil(h) + 1).alias("_r2"), (h - F.floor(h)).alias("_frac")))
-    at = _narrowed(materialize(cells, "quantile-cells"), ranks, [*g, "_bi"], bound)
+    cells = materialize(cells, "quantile-cells")
+    discard(base)                  # read by the passes above only
+    at = _narrowed(cells, ranks, [*g, "_bi"], bound)
 
     def holds(rank):
         return (F.col("_cum") - F.col("_c") < rank) & (rank <= F.col("_cum"))

@@ -5,13 +5,17 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.columns import normalized, normalized_name, tidy_label
 
 
+#: The column that a dealt wide table's rows were dealt out by.
+DEALT = "__dealt"
+
+
 def product_names(df: DataFrame, name: str = "prix_nom", limit: int = 1000) -> list[str]:
     """The normalised product names that occur, sorted: one distinct.  A table
     with more than ``limit`` of them is no product column and raises."""
@@ -60,6 +64,7 @@ def pivot_wide(
     order: Sequence[str] | None = None,
     keys: Sequence[str] | None = None,
     exclude: Iterable[str] = (),
+    dealt: Column | None = None,
 ) -> DataFrame:
     """One row per key tuple, one column per product.
 
@@ -76,6 +81,12 @@ def pivot_wide(
     The pivot is written as one conditional aggregate per product: a single
     aggregation with map-side partial aggregation, so an entity with a huge
     number of observations collapses before the shuffle.
+
+    With ``dealt``, a struct over key columns (``features.range_key``), the rows are
+    dealt out by it ahead of the aggregate, and it stays as the first column
+    ``DEALT``: what follows by it needs no shuffle of its own.  Keys that are fields
+    of it travel in it alone.  As several readers of that shuffle may each run the
+    aggregate, the greatest value counts among rows of the same order.
     """
     if values is None:
         values = product_names(df, name)
@@ -84,6 +95,8 @@ def pivot_wide(
     # timestamp, a number) the aggregate then runs as a hash aggregate; a
     # struct ordering needs the sort-based aggregate
     by = latest_order(df, order)
+    if dealt is not None:
+        return _pivot_dealt(df, values, name, value, by, keys, dealt)
     order_struct = by[0] if len(by) == 1 else F.struct(*by)
     # name and order are worked out once for a row, not once for each product
     rows = df.select(*keys, normalized(name).alias("__name"), order_struct.alias("__order"),
@@ -95,6 +108,20 @@ def pivot_wide(
     return rows.groupBy(*keys).agg(*aggs)
 
 
+def _pivot_dealt(df: DataFrame, values: Sequence[str], name: str, value: str, by: Sequence[Column],
+                 keys: Sequence[str], dealt: Column) -> DataFrame:
+    held = df.select(dealt).schema[0].dataType.fieldNames()
+    own = [c for c in keys if c not in held]
+    cell = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(by)], F.col(value).alias("v"))
+    rows = df.select(dealt.alias(DEALT), *own, normalized(name).alias("__name"),
+                     F.when(F.col(value).isNotNull(), cell).alias("__cell")).repartition(DEALT)
+    names = list(dict.fromkeys(normalized_name(v) for v in values))
+    wide = rows.groupBy(DEALT, *own).agg(*[
+        F.max(F.when(F.col("__name") == F.lit(out), F.col("__cell"))).alias(out) for out in names])
+    return wide.select(DEALT, *[F.col(DEALT)[c].alias(c) if c in held else F.col(c) for c in keys],
+                       *[F.col(out)["v"].alias(out) for out in names])
+
+
 def unpivot_long(
     df: DataFrame,
     columns: dict,

@@ -1,15 +1,20 @@
 """Work done once: exchanges, projections and files of the job's and increments' steps."""
 
 import glob
+import json
 import math
+import os
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
+from pricelens.functions import sizing
 from pricelens.functions.columns import rounded
-from pricelens.operators import features, reshape
+from pricelens.operators import anomaly, features, reshape
 from pricelens.plans import bindings as B
-from pricelens.plans import incremental
+from pricelens.plans import incremental, pipeline
 from pricelens.plans.queries_increments import LAYOUT
 from pricelens.sources import files, landing
 
@@ -101,3 +106,113 @@ def test_a_merge_aggregates_and_sorts_once(spark, tmp_path, monkeypatch):
     out = incremental._greater(state, LAYOUT).sortWithinPartitions("period", "prix_maj_date")
     assert out.count() == 3 and len(out.collect()) == 3
     assert len(re.findall(r"\bSort \[", _plan(out).split("Initial Plan")[0])) == 1
+
+
+LONG = "id string, k string, d string, n string, v double, o string"
+
+
+def test_a_dealt_pivot_and_its_lag_share_an_exchange(spark):
+    """Long rows are shuffled once for the pivot and the change behind it; the rows are those
+    of the pivot that is written first."""
+    rows = [(e, k, d, p, v, o) for e in ("a", "b", None) for k in ("x", None) for d, p, v, o in (
+        (None, "P", 9.0, "1"), ("2024-01-05", "P", 1.0, "9"), ("2024-01-05", "p ", 2.0, "10"),
+        ("2024-01-06", "P", None, "1"), ("2024-01-06", "Q-r", 5.0, "1"), ("2024-03-01", "P", 4.0, "1"),
+        ("2024-03-02", "other", 6.0, "1"), ("2024-05-02", "P", 7.0, None))]
+    df = (spark.createDataFrame(rows, LONG).withColumn("d", F.col("d").cast("date"))
+          .withColumn("x", F.when(F.col("k") == "x", -0.0)))
+    how = dict(name="n", value="v", order=["o"], keys=["id", "d", "k", "x"])
+    lag = dict(order=("d",), tiebreak=["k", "x"], out="c")
+    plain = sizing.materialize(reshape.pivot_wide(df, ["P", "Q-r"], **how))
+    want = features.lag_change(plain, "p", **lag)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = reshape.pivot_wide(df, ["P", "Q-r"], dealt=features.range_key("id", "d", "date"), **how)
+        got = features.lag_change(dealt, "p", dealt=reshape.DEALT, **lag)
+        assert got.columns == want.columns
+        found = got.collect()
+        plan = _plan(got).split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(found) == 36 and sorted(map(str, found)) == sorted(map(str, want.collect()))
+    assert any(r.c == 2.0 - 9.0 for r in found)
+    # the second reader of the long rows takes the first one's exchange
+    assert plan.count("ReusedExchange") == 1
+    assert plan.count("REPARTITION_BY_COL") == 2 and len(re.findall(r"Exchange hashpartitioning\(__dealt", plan)) <= 2
+
+
+def test_of_the_same_order_the_greatest_value_counts(spark):
+    rows = [("a", "x", "2024-03-01", "P", v, "1") for v in (3.5, 4.0, None, 3.0)]
+    df = spark.createDataFrame(rows, LONG).withColumn("d", F.col("d").cast("date"))
+    for some in (df, df.orderBy("v"), df.orderBy(F.desc("v"))):
+        out = reshape.pivot_wide(some, ["P"], name="n", value="v", order=["o"], keys=["id", "d"],
+                                 dealt=features.range_key("id", "d", "date"))
+        assert [r.p for r in out.collect()] == [4.0]
+
+
+def _shuffles(spark):
+    dirs = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+
+def _gone(spark, before):
+    for _ in range(50):
+        if not _shuffles(spark) - before:
+            return True
+        time.sleep(0.2)
+    return False
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    before = _shuffles(spark)
+    conf = spark.conf.get(sizing._CLEANUP)
+    dealt = spark.range(1000).repartition(3, "id")
+    with sizing.brief_shuffles(spark):
+        assert sizing.materialize(dealt).count() == 1000
+    assert _gone(spark, before)
+    with pytest.raises(KeyError), sizing.brief_shuffles(spark):
+        raise KeyError
+    assert spark.conf.get(sizing._CLEANUP) == conf
+
+
+def _tables(spark, name):
+    base = sizing.scratch_path(spark, "materialized").split(":", 1)[-1]
+    return set(glob.glob(f"{base}/{name}-*"))
+
+
+def test_quantile_values_go_once_counted(spark):
+    before = _tables(spark, "quantile-values")
+    df = spark.range(1000).select(F.col("id").cast("double").alias("a"))
+    bounds = anomaly.iqr_bounds(df, ["a"])
+    assert not _tables(spark, "quantile-values") - before
+    assert (bounds.first().a_q1, bounds.first().a_q3) == (249.75, 749.25)
+
+
+def test_the_job_holds_little_at_once(spark, tmp_path, monkeypatch):
+    """Rows are dealt out for the detailed table while they are narrow, the landed rows are gone
+    by then, and no shuffle file outlives the job."""
+    plans, real = [], files.write_table
+    landed, shuffles = _tables(spark, "landed"), _shuffles(spark)
+
+    def write(df, path, **options):
+        plans.append(_plan(df))
+        assert not _tables(spark, "landed") - landed
+        real(df, path, **options)
+    monkeypatch.setattr(files, "write_table", write)
+    rows = [{"id": str(i % 9), "cp": "75001" if i % 2 else "20000", "ville": "v", "prix_nom": "Gazole", "prix_id": str(i),
+             "prix_valeur": str(1 + i / 100), "prix_maj": f"2024-0{1 + i % 9}-11T08:00:00"} for i in range(90)]
+    os.makedirs(tmp_path / "raw")
+    (tmp_path / "raw" / "carburants_2025-01-15.json").write_text(json.dumps(rows))
+    pipeline.run_detailed(spark, f"{tmp_path}/raw", f"{tmp_path}/out")
+    plan, = plans
+    assert plan.count("REBALANCE") == 1
+    below = plan[plan.index("REBALANCE"):]
+    assert "Scan parquet" in below.split("\n")[1] and "gazole_evolution" in below.split("\n")[1]
+    assert _gone(spark, shuffles)
+    back = files.load_detailed(spark, f"{tmp_path}/out")
+    assert back.count() == len({(r["id"], r["cp"], r["prix_maj"]) for r in rows})
+
+
+def test_discard_where_a_folder_is_written_otherwise_in_a_uri(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sizing, "scratch_path", lambda _, name: f"{tmp_path}/a b/{name}")
+    sizing.discard(sizing.materialize(spark.range(3), "t"))
+    assert not os.listdir(tmp_path / "a b" / "materialized")
