@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from ..functions.sizing import brief_shuffles
 from ..operators import clean, marts, reshape
 from ..session import scratch_path
 from ..sources import files
@@ -25,8 +26,9 @@ P = B.PRODUCTS
 def _land(spark, sf, name, df=None):
     """The landed records as JSON Lines snapshots (compressed, in files that one task reads)."""
     base = scratch_path(spark, f"roundtrip/{name}-{uuid.uuid4().hex}")
-    files.write_table(B.raw_snapshot(spark, sf) if df is None else df, f"{base}/raw", fmt="jsonl",
-                      compression="gzip", max_records_per_file=500_000)
+    with brief_shuffles(spark):
+        files.write_table(B.raw_snapshot(spark, sf) if df is None else df, f"{base}/raw", fmt="jsonl",
+                          compression="gzip", max_records_per_file=500_000)
     return base
 
 

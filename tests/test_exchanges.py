@@ -14,7 +14,7 @@ from pricelens.functions import sizing
 from pricelens.functions.columns import rounded
 from pricelens.operators import anomaly, features, reshape
 from pricelens.plans import bindings as B
-from pricelens.plans import incremental, pipeline
+from pricelens.plans import incremental, pipeline, queries_job
 from pricelens.plans.queries_increments import LAYOUT
 from pricelens.sources import files, landing
 
@@ -216,3 +216,29 @@ def test_discard_where_a_folder_is_written_otherwise_in_a_uri(spark, tmp_path, m
     monkeypatch.setattr(sizing, "scratch_path", lambda _, name: f"{tmp_path}/a b/{name}")
     sizing.discard(sizing.materialize(spark.range(3), "t"))
     assert not os.listdir(tmp_path / "a b" / "materialized")
+
+
+def test_landing_shuffles_narrow_rows_and_keeps_no_files(spark, tmp_path):
+    """Rows cross the joins with their value instead of what it is made of; a NULL or zero
+    quantity gives no value."""
+    lines = [(o, 1, 1, o, q, 10.0) for o, q in ((1, 4.0), (2, 0.0), (3, None))]
+    tables = {"lineitem": spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                                                       "l_quantity double, l_extendedprice double")
+              .withColumn("l_shipdate", F.lit("1995-03-04 00:00:00").cast("timestamp_ntz")),
+              "part": spark.createDataFrame([(1, "PROMO")], "p_partkey long, p_type string"),
+              "supplier": spark.createDataFrame([(1, "S", 0)], "s_suppkey long, s_name string, s_nationkey int"),
+              "nation": spark.createDataFrame([(0, "N")], "n_nationkey int, n_name string")}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    before = _shuffles(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(B.raw_snapshot(spark, str(tmp_path)))
+        base = queries_job._land(spark, str(tmp_path), "narrow")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt, = [x.split("\n")[1] for x in plan.split("Exchange hashpartitioning(l_partkey")[1:]]
+    assert "AS value" in dealt
+    back = files.scan_jsonl(spark, f"{base}/raw", glob="part-*").collect()
+    assert sorted((r.prix_id, r.prix_valeur) for r in back) == [("1-1-1", "2.5"), ("2-2-1", None), ("3-3-1", None)]
+    assert _gone(spark, before)
